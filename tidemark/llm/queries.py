@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from . import line_dedup as q1
 from . import minhash as q2
+from . import mixing as q5
 from . import quality_rules as q9
 
 QUERIES = {
     "op1_line_dedup": q1.op1_line_dedup,
     "op2_near_dedup": q2.op2_near_dedup,
+    "op5_mixing": q5.op5_mixing,
     "op9_quality_rules": q9.op9_quality_rules,
 }
 ORACLE_SQL = {
     "op1_line_dedup": q1.OP1_SQL,
     "op2_near_dedup": q2.OP2_SQL,
+    "op5_mixing": q5.OP5_SQL,
     "op9_quality_rules": q9.OP9_SQL,
 }
