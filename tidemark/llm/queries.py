@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from . import line_dedup as q1
-from . import minhash as q2
-from . import mixing as q5
-from . import quality_rules as q9
+from . import chat, line_dedup, minhash, mixing, quality_classifier, quality_rules, toxicity
 
 QUERIES = {
-    "op1_line_dedup": q1.op1_line_dedup,
-    "op2_near_dedup": q2.op2_near_dedup,
-    "op5_mixing": q5.op5_mixing,
-    "op9_quality_rules": q9.op9_quality_rules,
+    "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_near_dedup": minhash.op2_near_dedup,
+    "op3_quality_classifier": quality_classifier.op3_quality_classifier,
+    "op5_mixing": mixing.op5_mixing,
+    "op8_toxicity": toxicity.op8_toxicity,
+    "op9_quality_rules": quality_rules.op9_quality_rules,
+    "op10_chat_formatting": chat.op10_chat_formatting,
 }
 ORACLE_SQL = {
-    "op1_line_dedup": q1.OP1_SQL,
-    "op2_near_dedup": q2.OP2_SQL,
-    "op5_mixing": q5.OP5_SQL,
-    "op9_quality_rules": q9.OP9_SQL,
+    "op1_line_dedup": line_dedup.OP1_SQL,
+    "op2_near_dedup": minhash.OP2_SQL,
+    "op5_mixing": mixing.OP5_SQL,
+    "op9_quality_rules": quality_rules.OP9_SQL,
+    "op10_chat_formatting": chat.OP10_SQL,
 }
