@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import chat, line_dedup, minhash, mixing, quality_classifier, quality_rules, toxicity
+from . import chat, line_dedup, minhash, mixing, quality_classifier, quality_rules, sentencepieces, simhash, token_counts, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_near_dedup": minhash.op2_near_dedup,
     "op3_quality_classifier": quality_classifier.op3_quality_classifier,
+    "op4_fingerprints": simhash.op4_fingerprints,
     "op5_mixing": mixing.op5_mixing,
+    "op6_token_counts": token_counts.op6_token_counts,
+    "op7_sentencepieces": sentencepieces.op7_sentencepieces,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_chat_formatting": chat.op10_chat_formatting,
