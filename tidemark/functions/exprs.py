@@ -18,7 +18,7 @@ DAY_MS = 86_400_000
 def epoch_ms(ts: Column) -> Column:
     """Milliseconds since 1970 of a timestamp without time zone, whatever the session's zone."""
     days = F.date_diff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint")
-    seconds = F.floor(F.extract(F.lit("SECOND"), ts) * 1000)
+    seconds = F.floor(F.extract(F.lit("SECOND"), ts) * 1000).cast("bigint")
     return days * DAY_MS + F.hour(ts) * 3_600_000 + F.minute(ts) * 60_000 + seconds
 
 
