@@ -3,10 +3,11 @@
 Equal sets are one representative from the start. Each of TREES independent
 trees sends a representative to the node of one minwise token. A node first
 compares its members with one of them, its centre, which joins large groups of
-copies without all of their pairs. Nodes that then hold more than one component
-go on: small ones compare the members of different components exhaustively, large
-ones branch, each member following the minwise tokens that the node's own path
-selects. Compared pairs pass a bound on sizes and a one-bit sketch (which keeps
+copies without all of their pairs; nodes that it leaves in many components get
+several more centres. Nodes that then hold more than one component go on: those
+with few members outside their largest component compare these with all the
+others, the rest branch, each member following the minwise tokens that the
+node's own path selects. Compared pairs pass a bound on sizes and a one-bit sketch (which keeps
 a pair at the threshold with a probability of about 1 - 1e-7) and are confirmed
 by intersecting the full sets. At the threshold a tree's root alone brings a pair together
 with probability 0.75, so that twelve trees lose about one such pair in ten million, and fewer
@@ -27,10 +28,14 @@ from .common import components, cut, documents, lowered_words_of
 
 WORDS, PERCENT = 5, 75
 TREES, TOKENS, SKETCH = 12, 32, 128
-#: Members up to which a node is compared exhaustively, and how deep larger ones branch before they are compared all the same.
-SMALL_NODE, DEPTH, BRANCHES = 48, 6, 2
+#: Members outside its largest component up to which a node is compared exhaustively, and how deep larger ones branch before they are compared all the same.
+SMALL_NODE, DEPTH, BRANCHES = 512, 5, 2
+#: Further centres of a node that the first left in many components.
+CENTRES = 8
 #: Differing sketch bits beyond which a pair cannot be near: 16 are expected at 75 percent, with a deviation of 3.74.
 MAX_BITS = 38
+#: Numbers of 64 places of an odd sketch.
+ODD = 16
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _MULT = _rng.integers(1, 1 << 63, SKETCH + TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 1 << 63, SKETCH + TOKENS, dtype=np.uint64)
@@ -68,22 +73,33 @@ def signature(found: np.ndarray) -> tuple[np.ndarray, int, int]:
     return low[:TOKENS].view(np.int64), one - ((one >> 63) << 64), two - ((two >> 63) << 64)
 
 
+def odd_sketch(found: np.ndarray) -> np.ndarray:
+    """Which of 64 * ODD places an odd number of the set's elements fall on. Two sketches differ in no more places than the sets in elements."""
+    odd = np.bincount((_mix(found ^ np.uint64(ODD)) % np.uint64(64 * ODD)).astype(np.int64), minlength=64 * ODD) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sketches(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(0, b.num_rows, 500):
                 part = b.slice(k, 500)
-                rows = []
+                rows, wide = [], []
                 for text in part.column(1).to_pylist():
                     found = shingle_set(text, words)
                     if len(found):
                         both = xxhash.xxh3_128_intdigest(found.tobytes())
                         tokens, one, two = signature(found)
-                        rows.append((len(found), (both >> 64) - (1 << 63), (both & ((1 << 64) - 1)) - (1 << 63), one, two, tokens.tobytes()))
+                        rows.append((len(found), (both >> 64) - (1 << 63), (both & ((1 << 64) - 1)) - (1 << 63), one, two))
+                        wide.append(np.concatenate((tokens, odd_sketch(found))))
                     else:
-                        rows.append((0, 0, 0, 0, 0, b""))
-                cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 5 + [pa.binary()], strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), *cols], ["doc_id", "n", "s1", "s2", "b1", "b2", "tokens"])
+                        rows.append((0, 0, 0, 0, 0))
+                        wide.append(np.zeros(TOKENS + ODD, np.int64))
+                cols = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
+                for lo, hi in ((0, TOKENS), (TOKENS, TOKENS + ODD)):
+                    flat = np.concatenate([x[lo:hi] for x in wide])
+                    cols.append(pa.ListArray.from_arrays(pa.array(np.arange(len(wide) + 1, dtype=np.int32) * (hi - lo)), pa.array(flat)))
+                yield pa.RecordBatch.from_arrays([part.column(0), *cols], ["doc_id", "n", "s1", "s2", "b1", "b2", "tokens", "odd"])
 
     return run
 
@@ -101,14 +117,6 @@ def _sets(words: int):
     return run
 
 
-def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Minwise tokens from bytes to an array."""
-    for b in batches:
-        flat = [np.frombuffer(x, np.int64) for x in b.column(1).to_pylist()]
-        ends = np.arange(len(flat) + 1, dtype=np.int32) * TOKENS
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(flat) if flat else np.empty(0, np.int64)))], ["id", "tokens"])
-
-
 def _may_be_near(a: str, b: str, percent: int) -> Column:
     """What sizes and sketches allow; no pair at the threshold has sizes further apart."""
     n1, n2 = F.col(f"{a}.n"), F.col(f"{b}.n")
@@ -116,6 +124,34 @@ def _may_be_near(a: str, b: str, percent: int) -> Column:
     return (F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent) & (differ <= MAX_BITS)
 
 
+def _sets_may_be_near(a: str, b: str, percent: int) -> Column:
+    """What odd sketches allow. Sets at the threshold differ in (100 - percent) / (100 + percent) of their sizes' sum, so
+    the sketches in no more places; for large sets in about places / 2 * (1 - exp(-2 * elements / places)) with a deviation under 16."""
+    places = 64 * ODD
+    most = (F.col(f"{a}.n") + F.col(f"{b}.n")) * F.lit((100 - percent) / (100 + percent))
+    expected = F.lit(places / 2) * (F.lit(1.0) - F.exp(most * F.lit(-2 / places)))
+    differ = sum((F.bit_count(F.get(f"{a}.odd", F.lit(i)).bitwiseXOR(F.get(f"{b}.odd", F.lit(i)))) for i in range(ODD)), F.lit(0))
+    return differ <= F.least(most, expected + F.lit(6.0 * (places**0.5) / 2))
+
+
+def _open_nodes(rows: DataFrame, group: DataFrame | None = None, wide: DataFrame | None = None) -> DataFrame:
+    """The rows of nodes that hold more than one component, with the node's largest (major) and how many members are outside it (minor)."""
+    if group is not None:
+        rows = rows.join(group, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    each = rows.groupBy("node", "component").agg(F.count("*").alias("k"))
+    state = each.groupBy("node").agg(F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("m"))
+    state = state.select("node", F.col("top.component").alias("major"), (F.col("m") - F.col("top.k")).alias("minor")).filter("minor > 0")
+    rows = rows.join(state, "node")
+    return cut(rows if wide is None else rows.join(wide, "id"))
+
+
+def _cross(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a row of left and one of right in the same node, of different components, that may be near."""
+    x, y = left.alias("x"), right.alias("y")
+    met = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & _may_be_near("x", "y", percent) & _sets_may_be_near("x", "y", percent))
+    return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+
+
 def _confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold. Only documents that are in a pair have their sets made again."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
@@ -139,11 +175,11 @@ def near_dedup(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, tree
     for a row to be linked. Other columns of docs are ignored; no rows give none.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    schema = "doc_id bigint, n bigint, s1 bigint, s2 bigint, b1 bigint, b2 bigint, tokens binary"
+    schema = "doc_id bigint, n bigint, s1 bigint, s2 bigint, b1 bigint, b2 bigint, tokens array<bigint>, odd array<bigint>"
     made = cut(docs.mapInArrow(_sketches(words), schema))
     # One representative for each set: the smallest doc_id. A group of equal texts of any size is a map-side minimum.
-    reps = cut(made.filter("n > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "n", "b1", "b2", "tokens")).alias("r")).select("s1", "s2", F.col("r.doc_id").alias("id"), "r.n", "r.b1", "r.b2", "r.tokens"))
-    tokens = reps.select("id", "tokens").mapInArrow(_tokens, "id bigint, tokens array<bigint>")
+    reps = cut(made.filter("n > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "n", "b1", "b2", "tokens", "odd")).alias("r")).select("s1", "s2", F.col("r.doc_id").alias("id"), "r.n", "r.b1", "r.b2", "r.tokens", "r.odd"))
+    tokens = reps.select("id", "tokens")
     rooted = tokens.select("id", F.posexplode(F.slice("tokens", 1, trees)).alias("tree", "token")).select("id", F.xxhash64("tree", "token").alias("node"))
     lean = reps.select("id", "n", "b1", "b2")
 
@@ -155,30 +191,34 @@ def near_dedup(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, tree
     star = rows.select("node", "centre", F.struct("id", "n", "b1", "b2").alias("m")).filter("m.id <> centre.id").filter(_may_be_near("centre", "m", percent))
     pairs = cut(star.select(F.least("centre.id", "m.id").alias("a"), F.greatest("centre.id", "m.id").alias("b")).distinct())
     links = cut(_confirm(pairs, docs, words, percent))
-    group = components(links)
-    tested, rows = pairs, rows.drop("centre").join(group, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rows = _open_nodes(rows.select("id", "n", "b1", "b2", "node"), components(links), reps.select("id", "odd"))
+    large = rows.filter(F.col("minor") > small_node)
+    if large.limit(1).count():
+        # Groups of many near copies: several more centres each, so that few members stay outside the largest component.
+        slot = F.pmod(F.xxhash64(F.lit("slot"), "id"), F.lit(CENTRES))
+        centres = large.groupBy("node", slot.alias("slot")).agg(F.min(F.struct(F.xxhash64("node", "id"), "id", "n", "b1", "b2", "odd", "component")).alias("c")).select("node", "c.*")
+        met = _cross(centres, large, percent).distinct().join(pairs, ["a", "b"], "left_anti")
+        met = cut(met)
+        links = cut(links.unionByName(_confirm(met, docs, words, percent)))
+        pairs = cut(pairs.unionByName(met))
+        rows = _open_nodes(rows.select("id", "n", "b1", "b2", "odd", "node"), components(links))
     more = None
     for depth in range(1, DEPTH + 1):
-        # A node whose members are of one component has nothing left to find.
-        state = rows.groupBy("node").agg(F.count("*").alias("members"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-        rows = cut(rows.drop("members").join(state.select("node", "members"), "node"))
         last = depth == DEPTH
-        small = rows if last else rows.filter(F.col("members") <= small_node)
-        a, b = small.alias("a"), small.alias("b")
-        cross = a.join(b, (F.col("a.node") == F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & (F.col("a.id") < F.col("b.id")) & _may_be_near("a", "b", percent))
-        cross = cross.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
+        small = rows if last else rows.filter(F.col("minor") <= small_node)
+        cross = _cross(small.filter("component <> major"), small, percent)
         more = cross if more is None else more.unionByName(cross)
-        large = rows.filter(F.col("members") > small_node)
+        large = rows.filter(F.col("minor") > small_node)
         if last or large.limit(1).count() == 0:
             break
         pick = F.sequence(F.lit(1), F.lit(BRANCHES))
-        wide = large.join(tokens, "id").select("id", "n", "b1", "b2", "component", "node", "tokens", F.explode(pick).alias("branch"))
+        wide = large.join(tokens, "id").select("id", "n", "b1", "b2", "odd", "component", "node", "tokens", F.explode(pick).alias("branch"))
         place = (F.pmod(F.xxhash64("node", "branch"), F.lit(TOKENS)) + 1).cast("int")
-        rows = cut(wide.select("id", "n", "b1", "b2", "component", F.xxhash64("node", "branch", F.element_at("tokens", place)).alias("node")))
-    more = cut(more.distinct().join(tested, ["a", "b"], "left_anti"))
+        rows = _open_nodes(wide.select("id", "n", "b1", "b2", "odd", "component", F.xxhash64("node", "branch", F.element_at("tokens", place)).alias("node")))
+    more = cut(more.distinct().join(pairs, ["a", "b"], "left_anti"))
     if more.limit(1).count():
-        found = _confirm(more, docs, words, percent)
-        group = components(links.unionByName(found))
+        links = links.unionByName(_confirm(more, docs, words, percent))
+    group = components(links)
     named = reps.select("s1", "s2", "id").join(group, "id", "left").select("s1", "s2", F.coalesce("component", "id").alias("component_id"))
     out = made.select("doc_id", "n", "s1", "s2").join(named, ["s1", "s2"], "left")
     label = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
