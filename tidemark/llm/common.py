@@ -49,6 +49,15 @@ def lowered_words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+#: Edges of one partition while components are found.
+EDGES = 500_000
+
+
+def _mark(edges: DataFrame) -> tuple[int, int]:
+    """How many distinct edges there are, and the exclusive or of their hashes: equal for equal sets of edges."""
+    return tuple(edges.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("v", "m")), F.lit(0))).first())
+
+
 def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """Connected components of edges(a, b) as (id, component), component being the smallest id reachable.
 
@@ -57,20 +66,21 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     reaches the driver. The minimum of a node's neighbours is an aggregate, so a
     node of very many edges is not gathered in one task.
     """
-    now = cut(
-        edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).filter("v <> m").distinct()
-    )
+    now = cut(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).filter("v <> m").distinct())
+    n, mark = _mark(now)
+    # Edges are few bytes: as many partitions as they need, whatever the session's number is.
+    parts = max(1, -(-n // EDGES))
     for _ in range(max_rounds):
+        now = now.coalesce(parts)
         both = now.unionByName(now.select(F.col("m").alias("v"), F.col("v").alias("m")))
-        low = both.groupBy("v").agg(F.min("m").alias("low")).select("v", F.least("v", "low").alias("low"))
-        large = both.join(low, "v").filter("m > v").select(F.col("m").alias("v"), F.col("low").alias("m"))
-        large = large.filter("v <> m").distinct()
-        low = large.groupBy("v").agg(F.min("m").alias("low"))
+        low = both.groupBy("v").agg(F.min("m").alias("low")).select("v", F.least("v", "low").alias("low")).coalesce(parts)
+        large = both.join(low, "v").filter("m > v").select(F.col("m").alias("v"), F.col("low").alias("m")).filter("v <> m")
+        large = large.coalesce(parts).distinct().coalesce(parts)
+        low = large.groupBy("v").agg(F.min("m").alias("low")).coalesce(parts)
         to_low = large.join(low, "v").select(F.col("m").alias("v"), F.col("low").alias("m")).filter("v <> m")
-        after = cut(to_low.unionByName(low.withColumnRenamed("low", "m")).distinct())
-        moved = after.join(now, ["v", "m"], "left_anti").limit(1).count() or now.join(after, ["v", "m"], "left_anti").limit(1).count()
-        now = after
-        if not moved:
+        now = cut(to_low.unionByName(low.withColumnRenamed("low", "m")).coalesce(parts).distinct().coalesce(parts))
+        before, (n, mark) = (n, mark), _mark(now)
+        if before == (n, mark):
             break
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")

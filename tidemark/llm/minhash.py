@@ -30,6 +30,8 @@ WORDS, PERCENT = 5, 75
 TREES, TOKENS, SKETCH = 12, 32, 128
 #: Members outside its largest component up to which a node is compared exhaustively, and how deep larger ones branch before they are compared all the same.
 SMALL_NODE, DEPTH, BRANCHES = 512, 5, 2
+#: Ids of documents in pairs that are sent to every executor, 8 bytes each; with more, texts are shuffled to them.
+MAX_BROADCAST_IDS = 2_000_000
 #: Further centres of a node that the first left in many components.
 CENTRES = 8
 #: Differing sketch bits beyond which a pair cannot be near: 16 are expected at 75 percent, with a deviation of 3.74.
@@ -154,9 +156,11 @@ def _cross(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
 
 def _confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold. Only documents that are in a pair have their sets made again."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.join(ids, docs["doc_id"] == ids["id"], "left_semi").select("doc_id", "text")
-    sets = cut(texts.mapInArrow(_sets(words), "id bigint, shingles array<bigint>"))
+    ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    few = ids.count() <= MAX_BROADCAST_IDS
+    texts = docs.join(F.broadcast(ids) if few else ids, docs["doc_id"] == ids["id"], "left_semi").select("doc_id", "text")
+    # Both joins below read one shuffle of the sets.
+    sets = texts.mapInArrow(_sets(words), "id bigint, shingles array<bigint>")
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y")).cast("bigint")
