@@ -59,11 +59,12 @@ def _prints(with_runs):
             for k in range(0, b.num_rows, 1000):
                 part = b.slice(k, 1000)
                 texts = ["" if t is None else t for t in part.column("text").to_pylist()]
-                ids = part.column("doc_id").to_pylist()
-                runs = np.searchsorted(bounds, [(-(1 << 63) if i is None else i) for i in ids], side="left")
+                ids, at = part.column("doc_id").to_pylist(), part.column("at").to_pylist()
+                runs = np.searchsorted(bounds, [(-(1 << 63) if i is None else i) for i in ids], side="left").tolist()
+                runs = [own if given is None else given for own, given in zip(runs, at, strict=True)]
                 prints = [fingerprint(t).hex() for t in texts]
-                cols = [part.column("doc_id"), pa.array(runs, pa.int64()), pa.array(texts, pa.string()), pa.array(prints, pa.string())]
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "run", "text", "fingerprint"])
+                cols = [part.column("doc_id"), part.column("at"), pa.array(runs, pa.int64()), pa.array(texts, pa.string()), pa.array(prints, pa.string())]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "at", "run", "text", "fingerprint"])
 
     return run
 
@@ -90,8 +91,7 @@ def edited_text(text: str, following: str) -> str:
 def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = []
-        for doc, text, own, head, after, following in zip(*(b.column(i).to_pylist() for i in range(6)), strict=True):
-            after = fingerprint(following).hex() if after is None else after
+        for doc, text, own, head, after in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
             changed = edited_text(text, head)
             other = fingerprint(changed).hex() if changed != text else own
             rows.append((doc, len(text), hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(), own, other, 1 - _ham(own, other) / BITS, 1 - _ham(own, after) / BITS))
@@ -108,31 +108,29 @@ def fingerprint_edits(docs: DataFrame, run: int = RUN) -> DataFrame:
     is empty; the only document is its own next. Other columns are ignored.
 
     Ids are dealt into runs of neighbours at approximate quantiles, so that the
-    order never meets in one task; a run's last document takes its next from the
-    first of the run below, of which there is one row a run.
+    order never meets in one task; the first document of the run below joins a run
+    as its last row, so that one exchange of the texts brings all neighbours together.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     n = docs.count()
     runs = max(1, min(MAX_RUNS, -(-n // run)))
     cuts = docs.stat.approxQuantile("doc_id", [k / runs for k in range(1, runs)], 0.1 / runs) if runs > 1 else []
     sent = docs.sparkSession.sparkContext.broadcast(np.array(sorted(set(cuts)), np.float64))
-    made = docs.mapInArrow(_prints(sent), "doc_id bigint, run bigint, text string, fingerprint string")
-    w = Window.partitionBy("run").orderBy(F.col("doc_id").desc_nulls_last(), F.col("text").desc())
     # The first document of each run, found by the ids alone; then its text, of which there is one a run.
     top = docs.select("doc_id").mapInArrow(_runs(sent), "doc_id bigint, run bigint").groupBy("run").agg(F.max("doc_id").alias("id"))
     falling = Window.orderBy(F.col("run").desc())
     follow = top.select("run", F.coalesce(F.lead("id").over(falling), F.max("id").over(Window.partitionBy())).alias("id"))
-    heads = docs.join(F.broadcast(follow), same(F.col("doc_id"), F.col("id"))).groupBy("run").agg(F.max(F.coalesce("text", F.lit(""))).alias("head"))
-    heads = cut(heads.select(F.col("run").alias("at"), "head"))
-    led = made.withColumns({"next_text": F.lead("text").over(w), "next_print": F.lead("fingerprint").over(w)})
-    third = F.floor(F.length("text") / 3).cast("int")
-    # Only as much of the next text as the edit needs goes on; the texts meet again for a run's last document alone.
-    head = lambda c: F.substring(F.col(c), F.lit(1), third).alias("head")
-    whole = led.filter("next_print is not null").select("doc_id", "text", "fingerprint", head("next_text"), F.col("next_print").alias("after"), F.lit(None).cast("string").alias("next"))
-    last = led.filter("next_print is null").join(heads, F.col("run") == F.col("at"))
-    last = last.select("doc_id", "text", "fingerprint", head("head"), F.lit(None).cast("string").alias("after"), F.col("head").alias("next"))
+    heads = docs.join(F.broadcast(follow), same(F.col("doc_id"), F.col("id"))).groupBy("run").agg(F.max(F.coalesce("text", F.lit(""))).alias("text"))
+    heads = cut(heads.select(F.lit(None).cast("bigint").alias("doc_id"), "text", F.col("run").alias("at")))
+    rows = docs.withColumn("at", F.lit(None).cast("bigint")).unionByName(heads)
+    made = rows.mapInArrow(_prints(sent), "doc_id bigint, at bigint, run bigint, text string, fingerprint string")
+    # A run's own rows come first, then the head of the run below, which only serves as the last one's next.
+    w = Window.partitionBy("run").orderBy(F.col("at").isNotNull(), F.col("doc_id").desc_nulls_last(), F.col("text").desc())
+    led = made.withColumns({"next": F.lead("text").over(w), "after": F.lead("fingerprint").over(w)}).filter("at is null")
+    # Only as much of the next text as the edit needs goes on.
+    head = F.substring(F.col("next"), F.lit(1), F.floor(F.length("text") / 3).cast("int")).alias("head")
     schema = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return whole.unionByName(last).mapInArrow(_edited, schema)
+    return led.select("doc_id", "text", "fingerprint", head, "after").mapInArrow(_edited, schema)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
