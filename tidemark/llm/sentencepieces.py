@@ -21,6 +21,7 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -221,7 +222,7 @@ def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
 
 
 def decode(tokens: DataFrame, path: str = MODEL) -> DataFrame:
-    """tokens(token_ids, ...) with decoded, the text that the ids stand for; null lists are empty."""
+    """tokens(token_ids, ...) with decoded, the text that the ids stand for; null lists are empty, null ids the unknown."""
     tokens = tokens.drop("decoded")
     sent = tokens.sparkSession.sparkContext.broadcast(_model(path))
 
@@ -230,7 +231,10 @@ def decode(tokens: DataFrame, path: str = MODEL) -> DataFrame:
         for b in batches:
             for k in range(0, b.num_rows, 500):
                 part = b.slice(k, 500)
-                texts = [enc.decode(x or []) for x in part.column("token_ids").to_pylist()]
+                lists = part.column("token_ids")
+                ends = np.cumsum(pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)).tolist()
+                ids = lists.flatten().fill_null(enc.unknown).to_numpy(zero_copy_only=False).tolist()
+                texts = [enc.decode(ids[i:j]) for i, j in zip([0, *ends], ends, strict=False)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "decoded"])
 
     kinds = [f"`{c}` {t}" for c, t in tokens.dtypes]
