@@ -30,8 +30,8 @@ from .common import documents
 #: Where the public vocabularies are; a parameter of every function here.
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 MARK = "▁"
-#: Chunks and pairs that a Python worker remembers.
-CHUNKS, PAIRS = 500_000, 500_000
+#: Chunks, parts of chunks and pairs that a Python worker remembers: some 50 MB in all.
+CHUNKS, PAIRS = 100_000, 200_000
 
 
 def read_model(path: str = MODEL) -> dict:
@@ -195,16 +195,16 @@ def _model(path: str) -> dict:
     return model | {"key": (path, len(model["pieces"]))}
 
 
-def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
-    """docs(text, ...) with token_ids array<int> and n_tokens.
+def encode(docs: DataFrame, path: str = MODEL, decoded: bool = False) -> DataFrame:
+    """docs(text, ...) with token_ids array<int> and n_tokens; where asked for, also decoded, what the ids give back.
 
     Null and empty texts have no tokens. Whole texts are encoded; characters
     outside the vocabulary become the pieces of their bytes. Columns of docs with
     the names of new ones are replaced; an empty table gives none. The vocabulary
     is read on the driver and sent to the executors: its size does not depend on
-    the data.
+    the data. Decoding in the same pass takes one Python worker a task, not two.
     """
-    docs = docs.drop("token_ids", "n_tokens")
+    docs = docs.drop("token_ids", "n_tokens", *["decoded"] * decoded)
     sent = docs.sparkSession.sparkContext.broadcast(_model(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,10 +215,13 @@ def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
                 ids = [enc.encode(t) for t in part.column("text").to_pylist()]
                 ends = np.cumsum([0, *(len(x) for x in ids)])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32)))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists, pa.array(np.diff(ends), pa.int64())], [*part.schema.names, "token_ids", "n_tokens"])
+                cols, names = [*part.columns, lists, pa.array(np.diff(ends), pa.int64())], [*part.schema.names, "token_ids", "n_tokens"]
+                if decoded:
+                    cols, names = [*cols, pa.array(map(enc.decode, ids), pa.string())], [*names, "decoded"]
+                yield pa.RecordBatch.from_arrays(cols, names)
 
     kinds = [f"`{c}` {t}" for c, t in docs.dtypes]
-    return docs.mapInArrow(run, ", ".join([*kinds, "token_ids array<int>", "n_tokens bigint"]))
+    return docs.mapInArrow(run, ", ".join([*kinds, "token_ids array<int>", "n_tokens bigint", *["decoded string"] * decoded]))
 
 
 def decode(tokens: DataFrame, path: str = MODEL) -> DataFrame:
@@ -247,7 +250,7 @@ def tokenized(docs: DataFrame, path: str = MODEL) -> DataFrame:
 
 
 def op7_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = decode(encode(documents(spark, sf_dir).select("doc_id", "text")))
+    made = encode(documents(spark, sf_dir).select("doc_id", "text"), decoded=True)
     ids = F.sha2(F.concat_ws(" ", F.col("token_ids").cast("array<string>")), 256)
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return made.select("doc_id", "n_tokens", ids.alias("token_ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), same.alias("round_trip"))
