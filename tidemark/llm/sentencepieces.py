@@ -30,8 +30,8 @@ from .common import documents
 #: Where the public vocabularies are; a parameter of every function here.
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 MARK = "▁"
-#: Chunks, parts of chunks and pairs that a Python worker remembers: some 50 MB in all.
-CHUNKS, PAIRS = 100_000, 200_000
+#: Chunks, parts of chunks and pairs that a Python worker remembers.
+CHUNKS, PAIRS = 500_000, 500_000
 
 
 def read_model(path: str = MODEL) -> dict:
