@@ -56,10 +56,11 @@ def files(spark, d) -> DataFrame:
 
 
 def base(spark, d) -> DataFrame:
-    """Lifecycle base: every third customer, with a level by its nation."""
+    """Lifecycle base: the customers with order history, with a level by their nation."""
     k = F.col("c_custkey")
+    ordered = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
     level = F.when(F.col("c_nationkey") % 4 == 0, "VERIFIED_EXCHANGE_DELISTING").when(F.col("c_nationkey") % 4 == 1, "LOCAL_DATA_FIRST_SEEN").when(F.col("c_nationkey") % 4 == 2, "CURRENT_ACTIVE_ONLY").otherwise("HISTORICAL_SNAPSHOT_EVIDENCE")
-    return table(spark, d, "customer").filter(k % 3 == 0).select(F.concat(F.lit("C"), k.cast("string")).alias("symbol"), F.when(k % 2 == 0, "ACTIVE").otherwise("UNKNOWN").alias("status"), F.when(k % 5 == 0, WINDOW[0] - 86_400_000).alias("listed_ms"), F.when(k % 7 == 0, WINDOW[0] + k % 11 * 86_400_000).alias("delisted_ms"), level.alias("evidence_level"), k.alias("position"))
+    return table(spark, d, "customer").join(ordered, "c_custkey", "left_semi").select(F.concat(F.lit("C"), k.cast("string")).alias("symbol"), F.when(k % 2 == 0, "ACTIVE").otherwise("UNKNOWN").alias("status"), F.when(k % 5 == 0, WINDOW[0] - 86_400_000).alias("listed_ms"), F.when(k % 7 == 0, WINDOW[0] + k % 11 * 86_400_000).alias("delisted_ms"), level.alias("evidence_level"), k.alias("position"))
 
 
 def sources(spark, d) -> DataFrame:
