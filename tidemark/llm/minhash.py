@@ -230,9 +230,22 @@ def near_dedup(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, tree
 
 
 def drop_near(docs: DataFrame) -> DataFrame:
-    """The rows of docs that near_dedup keeps: the smallest doc_id of each component, and one row of each doc_id that repeats whole rows."""
-    keep = near_dedup(docs).filter("kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["__id"]), "left_semi").select(*docs.columns)
+    """One row of each component of near_dedup: that of the smallest doc_id.
+
+    Rows that repeat both doc_id and text are one row, the smallest by their other
+    columns. Another text of the same doc_id, and a text without one, is a
+    document of its own and takes part in the components; of one doc_id the
+    smallest hash comes first, and rows without one come last.
+    """
+    odd = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 or doc_id is null")
+    if odd.limit(1).count() == 0:
+        keep = near_dedup(docs).filter("kept").select(F.col("doc_id").alias("__id"))
+        return docs.join(keep, docs["doc_id"] == keep["__id"], "left_semi").select(*docs.columns)
+    # A pair that repeats often is a map-side minimum. Partitions of a sorted table follow each other, and so do the numbers.
+    one = docs.groupBy(F.col("doc_id").alias("__id"), F.md5("text").alias("__h")).agg(F.min(F.struct(*docs.columns)).alias("__r"))
+    rows = cut(one.orderBy(F.col("__id").asc_nulls_last(), "__h").select(F.monotonically_increasing_id().alias("__n"), "__r.*"))
+    keep = near_dedup(rows.select(F.col("__n").alias("doc_id"), "text")).filter("kept").select(F.col("doc_id").alias("__k"))
+    return rows.join(keep, F.col("__n") == F.col("__k"), "left_semi").select(*docs.columns)
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
