@@ -66,3 +66,17 @@ def test_partitions_do_not_change_an_audit(spark):
     df = spark.range(500).select(F.lit("A").alias("s"), (F.col("id") * 7 % 400 * MIN).alias("t"))
     a, b = (series.gap_audit(x, ["s"], "t", MIN, part_ms=50 * MIN).collect() for x in (df.repartition(1), df.repartition(8)))
     assert a == b
+
+
+@pytest.mark.parametrize("part_ms", [10 * MIN, 10**12])
+def test_gap_audit_from_clamped_bounds(spark, part_ms):
+    at = [*range(5), *range(15, 25), *range(35, 40)]
+    got = lambda lo, hi: audit(spark, at, start=T0 + lo * MIN, end=T0 + hi * MIN, part_ms=part_ms)
+    r = got(10, 30)
+    assert (r.expected_rows, r.missing_rows, r.gap_count, r.largest_gap_seconds, r.min_time_ms, r.max_time_ms) == (21, 11, 2, 360, T0 + 10 * MIN, T0 + 30 * MIN)
+    r = got(6, 13)
+    assert (r.expected_rows, r.missing_rows, r.gap_count, r.largest_gap_seconds) == (8, 8, 1, 480)
+    r = got(-9, 99)
+    assert (r.expected_rows, r.missing_rows, r.gap_count, r.largest_gap_seconds) == (40, 20, 2, 600)
+    r = got(50, 60)
+    assert (r.expected_rows, r.missing_rows, r.gap_count, r.status) == (0, 0, 0, "FAIL")

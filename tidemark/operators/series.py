@@ -19,7 +19,9 @@ def gap_audit(rows: DataFrame, keys: list[str], t: str, step_ms: int, start: int
     Two levels, so that a long series is no single task: times meet their
     predecessor within a part of part_ms, and then the parts' first and last
     times meet in a window over one row a part. start and end clamp the window
-    inwards. Null times are ignored.
+    inwards: slots are expected from the clamped first to the clamped last time,
+    and those before the first row inside and after the last one are missing (the
+    reference counts only the former). Null times are ignored.
     """
     rows = rows.filter(F.col(t).isNotNull())
     inside = F.lit(True)
@@ -34,7 +36,7 @@ def gap_audit(rows: DataFrame, keys: list[str], t: str, step_ms: int, start: int
     gap = F.col("__d") > step
     missing = lambda d: F.floor(d / step) - 1
     parts = slots.groupBy(*keys, "__part").agg(
-        F.sum("__n").alias("all_rows"),
+        F.sum("__n").alias("all_rows"), F.min("__t").alias("lo"), F.max("__t").alias("hi"),
         F.coalesce(F.sum(F.when(F.col("__in"), F.col("__n") - 1)), F.lit(0)).alias("dups"),
         F.min(F.when(F.col("__in"), F.col("__t"))).alias("first"), F.max(F.when(F.col("__in"), F.col("__t"))).alias("last"),
         F.count_if(gap).alias("gaps"), F.coalesce(F.sum(F.when(gap, missing(F.col("__d")))), F.lit(0)).alias("lost"),
@@ -42,12 +44,20 @@ def gap_audit(rows: DataFrame, keys: list[str], t: str, step_ms: int, start: int
     )
     w = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("__d", F.col("first") - F.max("last").over(w))
+    low, high = F.min("lo"), F.max("hi")
     out = parts.groupBy(*keys).agg(
-        F.sum("all_rows").alias("rows"), F.sum("dups").alias("duplicate_rows"), F.min("first").alias("min_time_ms"), F.max("last").alias("max_time_ms"),
+        F.sum("all_rows").alias("rows"), F.sum("dups").alias("duplicate_rows"), F.min("first").alias("__first"), F.max("last").alias("__last"),
+        (low if start is None else F.greatest(low, F.lit(start))).alias("min_time_ms"), (high if end is None else F.least(high, F.lit(end))).alias("max_time_ms"),
         (F.sum("gaps") + F.count_if(gap)).alias("gap_count"), (F.sum("lost") + F.coalesce(F.sum(F.when(gap, missing(F.col("__d")))), F.lit(0))).alias("missing_rows"),
         F.greatest(F.max("widest"), F.coalesce(F.max(F.when(gap, F.col("__d"))), F.lit(0))).alias("__widest"),
     )
-    expected = F.coalesce(F.floor((F.col("max_time_ms") - F.col("min_time_ms")) / step) + 1, F.lit(0))
+    # From the clamped first time to the first row inside, and from the last one to the clamped last time; from end to end without any.
+    before, after = F.coalesce(F.col("__first") - F.col("min_time_ms"), F.lit(0)), F.col("max_time_ms") - F.coalesce(F.col("__last"), F.col("min_time_ms") - step)
+    ends = F.when(before > 0, 1).otherwise(0) + F.when(after >= step, 1).otherwise(0)
+    lost = F.floor(before / step) + F.when(after >= step, F.floor(after / step)).otherwise(0)
+    widest = F.greatest("__widest", F.when(before > 0, before + step).otherwise(0), F.when(after >= step, after + step).otherwise(0))
+    out = out.withColumns({"gap_count": F.col("gap_count") + ends, "missing_rows": F.col("missing_rows") + lost, "__widest": widest})
+    expected = F.greatest(F.coalesce(F.floor((F.col("max_time_ms") - F.col("min_time_ms")) / step) + 1, F.lit(0)), F.lit(0))
     pct = F.when(expected > 0, F.least(F.col("rows") - F.col("duplicate_rows"), expected) * 100.0 / expected).otherwise(F.lit(0.0))
     out = out.withColumns({"expected_rows": expected.cast("bigint"), "coverage_pct": pct, "largest_gap_seconds": F.greatest(F.floor((F.col("__widest") - step) / 1000), F.lit(0)).cast("bigint")})
     status = F.when(F.col("coverage_pct") < min_pct, "FAIL").when((F.col("gap_count") > 0) | (F.col("duplicate_rows") > 0), "WARN").otherwise("PASS")
