@@ -1,7 +1,15 @@
 """The pipeline's stages against brute force, over documents with planted repeats."""
 
-from tidemark.llm import minhash
+import glob
+import os
 
+import duckdb
+import pandas as pd
+
+from tidemark.llm import line_dedup, minhash, mixing, quality_rules, sentencepieces
+from tidemark.llm.common import WHITE_SPACE, shared_dir
+
+SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, source string"
 
 
@@ -34,3 +42,56 @@ def test_drop_near_with_repeated_and_missing_ids(spark):
     unique = [(i, t, s) for i, (_, t, s) in enumerate(rows)]
     got = [tuple(r) for r in minhash.drop_near(spark.createDataFrame(unique, DOCS)).collect()]
     assert sorted(map(str, got)) == sorted(map(str, near_by_force(unique)))
+
+
+def sql(query, documents):
+    con = duckdb.connect()
+    con.register("documents", documents)
+    return con.sql(query).df()
+
+
+def lines_by_force(docs):
+    """docs without the lines that at least MIN_DOCS documents hold, but in that of the largest id."""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    key = lambda line: line.strip(WHITE_SPACE).translate(lower)
+    held = {}
+    for d, text in zip(docs["doc_id"], docs["text"], strict=True):
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= line_dedup.MIN_CHARS:
+                held.setdefault(key(line), set()).add(d)
+    goes = lambda d, line: len(held.get(key(line), ())) >= line_dedup.MIN_DOCS and d != max(held[key(line)])
+    text = ["\n".join(line for line in (t or "").split("\n") if not goes(d, line)) for d, t in zip(docs["doc_id"], docs["text"], strict=True)]
+    return docs.assign(text=text, n_chars=[len(t) for t in text])
+
+
+def test_five_stages_equal_brute_force(spark, tmp_path):
+    import corpus_pipeline as p
+    import sentencepiece
+
+    docs = pd.read_parquet(f"{SF}/documents.parquet")[["doc_id", "text", "lang", "source", "n_chars"]]
+    good = set(sql(quality_rules.OP9_SQL, docs).query("kept")["doc_id"])
+    long = docs[docs["doc_id"].isin(good) & (docs["text"].str.len() > 400)].sort_values("doc_id")
+    line = "\nThis planted line is repeated in a number of different documents."
+    docs.loc[long.index[:9], "text"] += line
+    copies = docs.loc[long.index[9:15]].assign(doc_id=lambda x: x["doc_id"] + 1_000_000, text=lambda x: x["text"] + " and a little more")
+    docs = pd.concat([docs, copies], ignore_index=True).assign(n_chars=lambda x: x["text"].fillna("").str.len())
+    spark.createDataFrame(docs).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet").toPandas()
+    p.run(spark, str(tmp_path))
+    folder = max(glob.glob(f"{shared_dir(spark).removeprefix('file:')}/pipeline-*"), key=os.path.getmtime)
+    got = [spark.read.parquet(f"{folder}/{k}").toPandas() for k in range(5)]
+    rows = lambda x: sorted(repr((r.doc_id, r.text, r.lang, r.source, r.n_chars)) for r in x.itertuples())
+
+    one = docs[docs["doc_id"].isin(set(sql(quality_rules.OP9_SQL, docs).query("kept")["doc_id"]))]
+    assert 0 < len(one) < len(docs) and rows(got[0]) == rows(one)
+    two = lines_by_force(one)
+    assert (two["text"].to_numpy() != one["text"].to_numpy()).sum() >= line_dedup.MIN_DOCS - 1 and rows(got[1]) == rows(two)
+    three = two[two["doc_id"].isin({r[0] for r in near_by_force([(r.doc_id, r.text, "") for r in two.itertuples()])})]
+    assert 0 < len(three) < len(two) and rows(got[2]) == rows(three)
+    taken = sql(mixing.OP5_SQL, three).set_index("doc_id")["copies"]
+    four = three.loc[three.index.repeat(three["doc_id"].map(taken))]
+    assert taken.max() > 1 and rows(got[3]) == rows(four)
+    sp = sentencepiece.SentencePieceProcessor(model_file=sentencepieces.MODEL)
+    five = sorted(repr((r.doc_id, len(sp.encode(r.text)), sp.encode(r.text))) for r in four.itertuples())
+    assert sorted(repr((r.doc_id, r.n_tokens, [int(i) for i in r.token_ids])) for r in got[4].itertuples()) == five
+    print("rows by stage", len(docs), *map(len, got))
