@@ -1,12 +1,15 @@
 """Operator 9, quality rules: base rules, then robust multivariate outliers per language and source.
 
 Native: DataFrame and SQL functions only. Statistics are made once per text and
-cut to the checkpoint folder; all later passes read four small whole numbers a
-document. The minimum covariance determinant is found by concentration steps:
-distances, the h nearest documents of each group, their mean and covariance, and
-again. The h-th distance comes from a histogram of fixed bins and the moments
-from exact whole-number sums, so both are map-side aggregates that a group of
-any size passes through, and reruns agree.
+cut to the checkpoint folder; all later passes read counts of their distinct
+transformed values, four small whole numbers. The minimum covariance determinant
+of every group is sought from several starts by concentration steps: distances,
+the nearest H_SHARE of the group, their mean and covariance, and again until no
+group changes; of a group's starts the one of the least determinant is taken.
+A step is one map-side aggregate of exact whole-number sums by bins of distance,
+which a group of any size passes through, so that reruns agree. A group's
+estimate then counts as its documents beside PRIOR documents of all groups
+together, so that a small group leans on the others without any threshold.
 """
 
 from __future__ import annotations
@@ -33,70 +36,86 @@ FLOOR = {"z1": 0.08, "z2": 0.25, "z3": 0.5, "z4": 1.0}
 H_SHARE, CONSISTENCY = 0.75, 1.485
 #: Squared distance beyond which a document is rejected: the 0.99999 quantile of chi-square with four degrees of freedom.
 CUTOFF = 28.5
-STEPS = 3
-#: Groups with fewer documents are judged by the estimate of all of them together.
-MIN_GROUP = 50
+#: Concentration steps at most; they stop when no group changes, which takes a handful.
+MAX_STEPS = 12
+#: Documents of all groups together that stand beside a group's own.
+PRIOR = 50
 #: Groups whose estimates are sent to every executor; with more, they are joined by shuffle.
 MAX_BROADCAST_GROUPS = 100_000
 BASE_FAILED = "n_words < 50 or 100 * n_repeat_words > 50 * n_words"
 KEY = ["pooled", "g_lang", "g_source"]
+RUN = [*KEY, "start"]
 PAIRS = [(i, j) for j in range(4) for i in range(j, 4)]
+MEANS, COVS, FACTORS = [f"m{i + 1}" for i in range(4)], [f"c{i + 1}{j + 1}" for i, j in PAIRS], [f"l{i + 1}{j + 1}" for i, j in PAIRS]
+SUMS = ["n"] + [f"s{i + 1}" for i in range(4)] + [f"s{i + 1}{j + 1}" for i, j in PAIRS]
 
-#: Covariance and Cholesky factor from a group's sums; each line may name the ones above it.
-FACTOR = [f"s{i + 1} / n as m{i + 1}" for i in range(4)]
-FACTOR += [
-    f"{CONSISTENCY}e0 * (cast(s{i + 1}{j + 1} as double) / n - (s{i + 1} / n) * (s{j + 1} / n))"
-    + (f" + {(FLOOR[Z[i]] * UNIT) ** 2}e0" if i == j else "")
-    + f" as c{i + 1}{j + 1}"
-    for i, j in PAIRS
-]
+#: Cholesky factor of a covariance; each line may name the ones above it.
+CHOLESKY = []
 for _i, _j in PAIRS:
     _rest = "".join(f" - l{_i + 1}{k + 1} * l{_j + 1}{k + 1}" for k in range(_j))
-    FACTOR.append(f"sqrt(c{_i + 1}{_i + 1}{_rest}) as l{_i + 1}{_i + 1}" if _i == _j else f"(c{_i + 1}{_j + 1}{_rest}) / l{_j + 1}{_j + 1} as l{_i + 1}{_j + 1}")
-SUMS = [f"cast(sum({z}) as double) as s{i + 1}" for i, z in enumerate(Z)] + [f"sum({Z[i]} * {Z[j]}) as s{i + 1}{j + 1}" for i, j in PAIRS]
-PARAMS = [f"m{i + 1}" for i in range(4)] + [f"l{i + 1}{j + 1}" for i, j in PAIRS]
+    CHOLESKY.append(f"sqrt(c{_i + 1}{_i + 1}{_rest}) as l{_i + 1}{_i + 1}" if _i == _j else f"(c{_i + 1}{_j + 1}{_rest}) / l{_j + 1}{_j + 1} as l{_i + 1}{_j + 1}")
+#: Mean, covariance and its factor from a group's sums.
+MOMENTS = [f"cast(s{i + 1} as double) / n as m{i + 1}" for i in range(4)]
+MOMENTS += [
+    f"{CONSISTENCY}e0 * (cast(s{i + 1}{j + 1} as double) / n - (cast(s{i + 1} as double) / n) * (cast(s{j + 1} as double) / n))" + (f" + {(FLOOR[Z[i]] * UNIT) ** 2}e0" if i == j else "") + f" as c{i + 1}{j + 1}"
+    for i, j in PAIRS
+]
 #: Forward substitution and the squared Mahalanobis distance.
 SOLVE = [f"(z{i + 1} - m{i + 1}" + "".join(f" - l{i + 1}{k + 1} * y{k + 1}" for k in range(i)) + f") / l{i + 1}{i + 1} as y{i + 1}" for i in range(4)]
 DISTANCE = "y1 * y1 + y2 * y2 + y3 * y3 + y4 * y4"
 BIN = "cast(floor(6.4e1 * ln(1e0 + d2)) as bigint)"
+DETERMINANT = "l11 * l22 * l33 * l44"
 
 
-def _with(rows: DataFrame, groups: DataFrame, few: bool) -> DataFrame:
-    """rows with their group's columns. groups is broadcast only if it was counted to be small."""
-    right = groups.select(*[F.col(k).alias(f"__{k}") for k in KEY], *[c for c in groups.columns if c not in KEY])
-    on = [same(F.col(k), F.col(f"__{k}")) for k in KEY]
-    return rows.join(F.broadcast(right) if few else right, on).drop(*[f"__{k}" for k in KEY])
-
+def _sums(k: str) -> list[str]:
+    """Sums of a group's documents and of their products; k is how many documents a row stands for."""
+    return [f"cast(sum({k}) as bigint) as n", *[f"cast(sum({z} * {k}) as bigint) as s{i + 1}" for i, z in enumerate(Z)], *[f"cast(sum({Z[i]} * {Z[j]} * {k}) as bigint) as s{i + 1}{j + 1}" for i, j in PAIRS]]
 
-def _quantile(counts: DataFrame, by: list[str], value: str, share: float, out: str) -> DataFrame:
-    """The least value that at least share of a group's rows do not exceed, from counts of each value."""
-    from pyspark.sql import Window
 
-    w = Window.partitionBy(*by)
-    run = counts.withColumn("__cum", F.sum("k").over(w.orderBy(value))).withColumn("__n", F.sum("k").over(w))
-    return run.filter(F.col("__cum") >= F.col("__n") * share).groupBy(*by).agg(F.min(value).alias(out))
+def _blend(own: dict[str, str], rest: dict[str, str]) -> list[str]:
+    """Mean and covariance of a mixture of two groups, w being the first one's share."""
+    means = [f"w * {own[m]} + (1e0 - w) * {rest[m]} as m{i + 1}" for i, m in enumerate(MEANS)]
+    apart = lambda i: f"({own[MEANS[i]]} - {rest[MEANS[i]]})"
+    return means + [f"w * {own[c]} + (1e0 - w) * {rest[c]} + w * (1e0 - w) * {apart(i)} * {apart(j)} as {c}" for c, (i, j) in zip(COVS, PAIRS, strict=True)]
 
 
-def _distances(rows: DataFrame, params: DataFrame, few: bool) -> DataFrame:
-    return _with(rows, params, few).selectExpr("*", *SOLVE, f"{DISTANCE} as d2")
+def _with(rows: DataFrame, groups: DataFrame, few: bool, key: list[str]) -> DataFrame:
+    """rows with their group's columns. groups is broadcast only if it was counted to be small."""
+    right = groups.select(*[F.col(k).alias(f"__{k}") for k in key], *[c for c in groups.columns if c not in key])
+    on = [same(F.col(k), F.col(f"__{k}")) for k in key]
+    return rows.join(F.broadcast(right) if few else right, on).drop(*[f"__{k}" for k in key])
+
+
+def _starts(cells: DataFrame, few: bool) -> DataFrame:
+    """Where the steps start, one row for each group and start: medians with median deviations, the moments of all, medians with the least spreads."""
+    medians = cells.groupBy(*KEY).agg(*[F.expr(f"percentile({z}, 0.5, k)").alias(m) for z, m in zip(Z, MEANS, strict=True)])
+    spread = _with(cells, medians, few, KEY).groupBy(*KEY, *MEANS).agg(*[F.expr(f"percentile(abs({z} - {m}), 0.5, k)").alias(f"a{i + 1}") for i, (z, m) in enumerate(zip(Z, MEANS, strict=True))])
+    least = [f"{FLOOR[z] * UNIT}e0" for z in Z]
+    factor = lambda s: [f"{s[i]} as l{i + 1}{i + 1}" if i == j else f"0e0 as l{i + 1}{j + 1}" for i, j in PAIRS]
+    moments = cells.groupBy(*KEY).agg(*map(F.expr, _sums("k"))).selectExpr(*KEY, "1 as start", *MOMENTS).selectExpr("*", *CHOLESKY)
+    return (
+        spread.selectExpr(*KEY, "0 as start", *MEANS, *factor([f"greatest(a{i + 1} * 1.4826e0, {x})" for i, x in enumerate(least)]))
+        .unionByName(moments.select(*RUN, *MEANS, *FACTORS)).unionByName(spread.selectExpr(*KEY, "2 as start", *MEANS, *factor(least)))
+    )
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Medians and median deviations of each statistic, as parameters with a diagonal factor."""
-    each = rows.select(*KEY, F.explode(F.array(*[F.struct(F.lit(z).alias("dim"), F.col(z).alias("v")) for z in Z])).alias("x"))
-    counts = cut(each.groupBy(*KEY, "x.dim", "x.v").agg(F.count("*").alias("k")))
-    by = [*KEY, "dim"]
-    med = _quantile(counts, by, "v", 0.5, "m")
-    joined = counts.alias("c").join(med.alias("q"), [same(F.col(f"c.{k}"), F.col(f"q.{k}")) for k in by])
-    dev = joined.select(*[F.col(f"c.{k}") for k in by], F.abs(F.col("v") - F.col("m")).alias("a"), "m", "k")
-    mad = _quantile(dev.groupBy(*by, "m", "a").agg(F.sum("k").alias("k")), [*by, "m"], "a", 0.5, "a")
-    floor = F.create_map(*[x for z in Z for x in (F.lit(z), F.lit(FLOOR[z] * UNIT))])
-    mad = mad.select(*by, "m", F.greatest(F.col("a") * F.lit(1.4826), floor[F.col("dim")]).alias("s"))
-    one = lambda z, c: F.max(F.when(F.col("dim") == z, F.col(c).cast("double")))
-    return mad.groupBy(*KEY).agg(
-        *[one(z, "m").alias(f"m{i + 1}") for i, z in enumerate(Z)],
-        *[(one(Z[i], "s") if i == j else F.max(F.lit(0.0))).alias(f"l{i + 1}{j + 1}") for i, j in PAIRS],
-    )
+def _estimates(cells: DataFrame, few: bool) -> DataFrame:
+    """The estimate of the least determinant for every group of cells(KEY, z1.., k): KEY, MEANS, COVS."""
+    mark = lambda df: df.agg(F.count("*"), F.bit_xor(F.xxhash64(*RUN, *MEANS, *FACTORS))).first()
+    params = cut(_starts(cells, few))
+    seen = mark(params)
+    for _ in range(MAX_STEPS):
+        near = _with(cells, params, few, KEY).selectExpr("*", *SOLVE).selectExpr("*", f"{DISTANCE} as d2").selectExpr("*", f"{BIN} as bin")
+        bins = near.groupBy(*RUN, "bin").agg(*map(F.expr, _sums("k")))
+        # A group's bins, of which there are some hundreds at most, meet in one row; the sums within the bound need no further exchange.
+        met = bins.groupBy(*RUN).agg(F.expr(f"percentile(bin, {H_SHARE}, n)").alias("h_bin"), F.collect_list(F.struct("bin", *SUMS)).alias("bins"))
+        inner = met.select(*RUN, "h_bin", F.inline("bins")).filter("bin <= h_bin").groupBy(*RUN).agg(*[F.sum(s).alias(s) for s in SUMS])
+        params = cut(inner.selectExpr(*RUN, *MOMENTS).selectExpr("*", *CHOLESKY))
+        before, seen = seen, mark(params)
+        if before == seen:
+            break
+    best = params.groupBy(*KEY).agg(F.min(F.struct(F.expr(DETERMINANT).alias("determinant"), "start", *MEANS, *COVS)).alias("b"))
+    return best.select(*KEY, *[F.col(f"b.{c}").alias(c) for c in (*MEANS, *COVS)])
 
 
 def quality_rules(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -112,24 +131,24 @@ def quality_rules(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataF
     kept = tuple(f"keep_{c}" for c in keep)
     stats = text_stats(pre, keep=(*kept, "g_lang", "g_source")).withColumn("base_failed", F.expr(BASE_FAILED))
     stats = cut(stats.selectExpr("*", *[f"case when not base_failed then {e} end as {z}" for z, e in FEATURES.items()]))
-    sizes = stats.filter("not base_failed").groupBy("g_lang", "g_source").agg(F.count("*").alias("__size"))
-    sizes = cut(sizes.withColumn("pooled", F.col("__size") < MIN_GROUP))
+    own = stats.filter("not base_failed").groupBy("g_lang", "g_source", *Z).agg(F.count("*").alias("k")).select(F.lit(False).alias("pooled"), "g_lang", "g_source", *Z, "k")
+    own = cut(own)
+    everything = own.groupBy(*Z).agg(F.sum("k").alias("k")).select(F.lit(True).alias("pooled"), F.lit(None).cast(own.schema["g_lang"].dataType).alias("g_lang"), F.lit(None).cast(own.schema["g_source"].dataType).alias("g_source"), *Z, "k")
+    cells = cut(own.unionByName(everything))
+    sizes = cut(own.groupBy(*KEY).agg(F.sum("k").alias("size")))
     few = sizes.count() <= MAX_BROADCAST_GROUPS
-    own = sizes.select(F.col("g_lang").alias("__l"), F.col("g_source").alias("__s"), "pooled")
-    on = [same(F.col("g_lang"), F.col("__l")), same(F.col("g_source"), F.col("__s"))]
-    rows = stats.join(F.broadcast(own) if few else own, on, "left").drop("__l", "__s")
-    rows = rows.withColumns({k: F.when(~F.col("pooled"), F.col(k)) for k in ("g_lang", "g_source")})
-    good = rows.filter("not base_failed").select(*KEY, *Z)
-    params = cut(_start(good))
-    for _ in range(STEPS):
-        near = _distances(good, params, few).selectExpr("*", f"{BIN} as bin")
-        bound = _quantile(near.groupBy(*KEY, "bin").agg(F.count("*").alias("k")), KEY, "bin", H_SHARE, "h_bin")
-        inner = _with(near, bound, few).filter("bin <= h_bin")
-        sums = inner.groupBy(*KEY).agg(F.count("*").alias("n"), *[F.expr(x) for x in SUMS])
-        params = cut(sums.selectExpr(*KEY, *FACTOR).select(*KEY, *PARAMS))
-    right = params.select(*[F.col(k).alias(f"__{k}") for k in KEY], *PARAMS)
-    on = [same(F.col(k), F.col(f"__{k}")) for k in KEY]
-    judged = rows.join(F.broadcast(right) if few else right, on, "left").selectExpr("*", *SOLVE, f"{DISTANCE} as d2")
+    found = cut(_estimates(cells, few))
+    # The estimate of all groups together is one row of numbers.
+    rest = found.filter("pooled").first()
+    if rest is None:
+        judged = stats.withColumn("d2", F.lit(None).cast("double"))
+    else:
+        named = {c: c for c in (*MEANS, *COVS)}
+        blend = _blend(named, {c: f"cast('{rest[c]!r}' as double)" for c in named})
+        params = _with(found, sizes, few, KEY).selectExpr(*KEY, f"cast(size as double) / (size + {PRIOR}) as w", *MEANS, *COVS).selectExpr("g_lang", "g_source", *blend).selectExpr("*", *CHOLESKY)
+        right = cut(params.select(F.col("g_lang").alias("__l"), F.col("g_source").alias("__s"), *MEANS, *FACTORS))
+        on = [same(F.col("g_lang"), F.col("__l")), same(F.col("g_source"), F.col("__s"))]
+        judged = stats.join(F.broadcast(right) if few else right, on, "left").selectExpr("*", *SOLVE).selectExpr("*", f"{DISTANCE} as d2")
     return judged.select(
         *[F.col(f"keep_{c}").alias(c) for c in keep],
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
@@ -149,9 +168,11 @@ def op9_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    """The same in DuckDB: windows counted by grouping, quantiles by window functions, steps as chained CTEs."""
-    key, on = ", ".join(KEY), lambda a, b: " and ".join(f"{a}.{k} is not distinct from {b}.{k}" for k in KEY)
-    floor = " ".join(f"when '{z}' then {FLOOR[z] * UNIT}e0" for z in Z)
+    """The same in DuckDB, over documents and not over counts: windows counted by grouping, continuous quantiles, steps as chained CTEs, as many as there may be."""
+    on = lambda a, b, key=KEY: " and ".join(f"{a}.{k} is not distinct from {b}.{k}" for k in key)
+    key, run = ", ".join(KEY), ", ".join(RUN)
+    least = [f"{FLOOR[z] * UNIT}e0" for z in Z]
+    factor = lambda s: ", ".join(f"{s[i]} as l{i + 1}{i + 1}" if i == j else f"0e0 as l{i + 1}{j + 1}" for i, j in PAIRS)
     sql = f"""
 with d as (select doc_id, lang, source, coalesce(text, '') as t from documents),
 w as (select doc_id, lang, source, t, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from d),
@@ -163,27 +184,28 @@ st as (select w.doc_id, lang, source, cast(len(w) as bigint) as n_words, cast(le
   cast(len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]'))) - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))) as bigint) as n_dup_lines,
   cast(coalesce(rep.n, 0) as bigint) as n_repeat_words from w left join rep on w.doc_id = rep.doc_id),
 b as (select *, ({BASE_FAILED}) as base_failed from st),
-sz as (select lang, source, count(*) < {MIN_GROUP} as pooled from b where not base_failed group by 1, 2),
-r as materialized (select b.*, pooled, case when not pooled then b.lang end as g_lang, case when not pooled then b.source end as g_source,
-  {", ".join(f"case when not base_failed then {e} end as {z}" for z, e in FEATURES.items())}
-  from b left join sz on b.lang is not distinct from sz.lang and b.source is not distinct from sz.source),
-g as (select * from r where not base_failed),
-e as ({" union all ".join(f"select {key}, '{z}' as dim, {z} as v from g" for z in Z)}),
-med as (select {key}, dim, min(v) as m from (select *, cume_dist() over (partition by {key}, dim order by v) as q from e) where q >= 0.5 group by all),
-mad as (select {key}, dim, m, min(a) as a from (select *, cume_dist() over (partition by {key}, dim order by a) as q from
-  (select e.*, m, abs(v - m) as a from e join med on {on("e", "med")} and e.dim = med.dim)) where q >= 0.5 group by all),
-p0 as materialized (select {key}, {", ".join(f"max(case when dim = '{z}' then cast(m as double) end) as m{i + 1}" for i, z in enumerate(Z))},
-  {", ".join(f"max(case when dim = '{Z[i]}' then greatest(a * 1.4826e0, case dim {floor} end) end) as l{i + 1}{i + 1}" if i == j else f"0e0 as l{i + 1}{j + 1}" for i, j in PAIRS)} from mad group by all)"""
-    for k in range(STEPS):
+r as materialized (select *, lang as g_lang, source as g_source, {", ".join(f"case when not base_failed then {e} end as {z}" for z, e in FEATURES.items())} from b),
+g as materialized (select false as pooled, g_lang, g_source, {", ".join(Z)} from r where not base_failed union all select true, null, null, {", ".join(Z)} from r where not base_failed),
+med as (select {key}, {", ".join(f"quantile_cont({z}, 0.5) as m{i + 1}" for i, z in enumerate(Z))} from g group by all),
+mad as materialized (select {", ".join(f"med.{c}" for c in [*KEY, *MEANS])}, {", ".join(f"quantile_cont(abs({z} - m{i + 1}), 0.5) as a{i + 1}" for i, z in enumerate(Z))} from g join med on {on("g", "med")} group by all),
+allsum as (select {key}, 1 as start, {", ".join(_sums("1"))} from g group by all),
+allmom as (select *, {", ".join(CHOLESKY)} from (select {run}, {", ".join(MOMENTS)} from allsum)),
+p0 as materialized (select {key}, 0 as start, {", ".join(MEANS)}, {factor([f"greatest(a{i + 1} * 1.4826e0, {x})" for i, x in enumerate(least)])} from mad
+  union all select {run}, {", ".join(MEANS)}, {", ".join(FACTORS)} from allmom union all select {key}, 2 as start, {", ".join(MEANS)}, {factor(least)} from mad)"""
+    for k in range(MAX_STEPS):
         sql += f""",
-x{k} as (select g.*, {", ".join(SOLVE)}, {DISTANCE} as d2, {BIN} as bin from g join p{k} on {on("g", f"p{k}")}),
-f{k} as (select *, cume_dist() over (partition by {key} order by bin) as q, count(*) over (partition by {key}) as gn from x{k}),
-h{k} as (select {key}, min(bin) as h_bin from f{k} where q >= {H_SHARE} group by all),
-t{k} as (select {", ".join(f"x{k}.{c}" for c in KEY)}, count(*) as n, {", ".join(SUMS)} from x{k} join h{k} on {on(f"x{k}", f"h{k}")} where bin <= h_bin group by all),
-p{k + 1} as materialized (select {key}, {", ".join(FACTOR)} from t{k})"""
-    return sql + f"""
+x{k} as materialized (select g.*, start, {", ".join(SOLVE)}, {DISTANCE} as d2, {BIN} as bin from g join p{k} on {on("g", f"p{k}")}),
+h{k} as (select {run}, quantile_cont(bin, {H_SHARE}) as h_bin from x{k} group by all),
+t{k} as (select {", ".join(f"x{k}.{c}" for c in RUN)}, {", ".join(_sums("1"))} from x{k} join h{k} on {on(f"x{k}", f"h{k}", RUN)} where bin <= h_bin group by all),
+p{k + 1} as materialized (select *, {", ".join(CHOLESKY)} from (select {run}, {", ".join(MOMENTS)} from t{k}))"""
+    blend = _blend({c: f"o.{c}" for c in (*MEANS, *COVS)}, {c: f"a.{c}" for c in (*MEANS, *COVS)})
+    return sql + f""",
+best as (select * from p{MAX_STEPS} qualify row_number() over (partition by {key} order by {DETERMINANT}, start) = 1),
+sized as (select {key}, count(*) as size from g group by all),
+own as (select best.*, cast(size as double) / (size + {PRIOR}) as w from best join sized on {on("best", "sized")} where not best.pooled),
+params as (select *, {", ".join(CHOLESKY)} from (select o.g_lang, o.g_source, {", ".join(blend)} from own o, (select * from best where pooled) a))
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and coalesce(d2 <= {CUTOFF}, false) as kept
-from (select r.*, {", ".join(SOLVE)}, {DISTANCE} as d2 from r left join p{STEPS} on {on("r", f"p{STEPS}")})"""
+from (select r.*, {", ".join(SOLVE)}, {DISTANCE} as d2 from r left join params on r.g_lang is not distinct from params.g_lang and r.g_source is not distinct from params.g_source)"""
 
 
 OP9_SQL = _oracle()
