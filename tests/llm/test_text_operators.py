@@ -55,7 +55,7 @@ def test_empty_tables(spark, hard):
 
 
 def test_line_dedup_by_shuffle_equals_broadcast(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("doc", F.lit(1)).withColumn("gone", F.lit("x")).withColumn("high", F.lit(2))
     a, b = (line_dedup.line_dedup(docs, min_docs=2, **kw).select("doc_id", "n_dropped", "kept_text").orderBy("doc_id").collect() for kw in ({}, {"max_broadcast_bytes": 0, "shard_keys": 7}))
     assert a == b and sum(r.n_dropped for r in a) > 0
 
@@ -65,8 +65,8 @@ def test_perfect_hash():
     high, low = rng.integers(0, 1 << 63, (2, 20_000)).astype(np.uint64)
     shard = line_dedup.Shard.from_bytes(line_dedup.Shard.build(high, low, np.arange(20_000), np.arange(20_000)).to_bytes())
     assert sorted(shard.places(high)) == list(range(20_000))
-    hit, largest = shard.probe(high, low)
-    assert hit.all() and (largest == np.arange(20_000)).all()
+    held, largest = shard.probe(high, low)
+    assert (held == np.arange(20_000)).all() and (largest == np.arange(20_000)).all()
     assert not shard.probe(low, high)[0].any()
 
 

@@ -20,10 +20,12 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
+    """The folder that driver and executors share, as spark.checkpoint.dir names it; a temporary one only in local mode, where there is one machine."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
     return sc.getCheckpointDir()
 
@@ -39,6 +41,14 @@ def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """name, or name with underscores behind it, so that no column of df is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def words_of(text: str | None) -> list[bytes]:
     """UTF-8 words of a text. bytes.split() separates at exactly the six characters of WHITE_SPACE."""
     return text.encode("utf-8", "surrogatepass").split() if text else []

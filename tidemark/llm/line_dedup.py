@@ -1,11 +1,13 @@
 """Operator 1, line dedup: a sharded minimal perfect hash over line hashes, probed by the documents.
 
 Lines become 128-bit hashes. One map-side aggregate per hash gives its number of
-documents and its largest doc_id. The hashes that reach the threshold are dealt
-into shards by their own bits, so that no shard can be hot, and each shard turns
-them into a minimal perfect hash (levels of bits, ranked by running popcounts)
-with arrays of fingerprints, counts and largest ids at the places it gives.
-Documents then probe the arrays. While the index is small it is sent to every
+documents and its largest doc_id. The hashes of more than one document (no
+threshold drops a line of a single one) are dealt into shards by their own bits,
+so that no shard can be hot, and each shard turns them into a minimal perfect
+hash (levels of bits, ranked by running popcounts) with arrays of fingerprints,
+counts (saturated at 65,535) and largest ids at the places it gives. Documents
+then probe the arrays: a line goes if its fingerprint is there, its count
+reaches the threshold and the largest id is another. While the index is small it is sent to every
 executor and the probe is a pass over the documents without a shuffle; beyond
 `max_broadcast_bytes` the documents' hashes travel to the shards instead, and
 only the hits travel back.
@@ -21,9 +23,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import MAX_BROADCAST_BYTES, WHITE_SPACE, cut, documents
+from .common import MAX_BROADCAST_BYTES, WHITE_SPACE, cut, documents, unused
 
 MIN_CHARS, MIN_DOCS = 40, 5
+#: Documents from which on a key has a place in the index; the largest number that its array of counts holds.
+INDEXED, MOST = 2, 65_535
 #: Keys that one shard holds, about.
 SHARD_KEYS = 250_000
 #: Probes that one task of the shuffled path takes, about.
@@ -94,7 +98,7 @@ class Shard:
             left = left[~taken]
         shard = cls(levels, low, counts, largest)
         order = np.argsort(shard.places(high))
-        shard.prints, shard.counts, shard.largest = low[order], counts[order], largest[order]
+        shard.prints, shard.counts, shard.largest = low[order], np.minimum(counts[order], MOST).astype(np.uint16), largest[order]
         return shard
 
     def places(self, high: np.ndarray) -> np.ndarray:
@@ -112,10 +116,12 @@ class Shard:
         return out
 
     def probe(self, high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which keys are of the shard, by fingerprint, and the largest doc_id of those (0 elsewhere)."""
+        """The number of documents of each key by the arrays, 0 where the fingerprint is another, and the largest doc_id of those."""
+        if not len(self.prints):
+            return np.zeros(len(high), np.int64), np.zeros(len(high), np.int64)
         at = self.places(high)
-        hit = (at >= 0) & (self.prints[at] == low) if len(self.prints) else np.zeros(len(high), bool)
-        return hit, np.where(hit, self.largest[at], 0) if len(self.prints) else np.zeros(len(high), np.int64)
+        hit = (at >= 0) & (self.prints[at] == low)
+        return np.where(hit, self.counts[at], 0).astype(np.int64), np.where(hit, self.largest[at], 0)
 
     def to_bytes(self) -> bytes:
         head = np.array([len(self.prints), len(self.levels), *(len(x) for x in self.levels)], np.int64)
@@ -125,9 +131,9 @@ class Shard:
     def from_bytes(cls, blob: bytes) -> Shard:
         n, k = np.frombuffer(blob, np.int64, 2)
         sizes, at, parts = np.frombuffer(blob, np.int64, k, 16), 16 + 8 * int(k), []
-        for size, kind in [*((s, np.uint64) for s in sizes), (n, np.uint64), (n, np.int64), (n, np.int64)]:
+        for size, kind in [*((s, np.uint64) for s in sizes), (n, np.uint64), (n, np.uint16), (n, np.int64)]:
             parts.append(np.frombuffer(blob, kind, size, at))
-            at += 8 * int(size)
+            at += np.dtype(kind).itemsize * int(size)
         return cls(parts[:-3], *parts[-3:])
 
 
@@ -178,7 +184,7 @@ def _clean(doc: int | None, text: str | None, hashes: list[int], dropped: set[in
     return len(lines), len(lines) - len(kept), "\n".join(kept)
 
 
-def _probe_sent(sent, shards: int, min_chars: int):
+def _probe_sent(sent, shards: int, min_docs: int, min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = {k: Shard.from_bytes(x) for k, x in sent.value}
         for b in batches:
@@ -194,8 +200,8 @@ def _probe_sent(sent, shards: int, min_chars: int):
                 for s in np.unique(to):
                     if s in index:
                         at = np.flatnonzero(to == s)
-                        hit, largest = index[s].probe(high[at], low[at])
-                        gone[at] = hit & (largest != np.array(owner, np.int64)[at])
+                        held, largest = index[s].probe(high[at], low[at])
+                        gone[at] = (held >= min_docs) & (largest != np.array(owner, np.int64)[at])
                 drop, at, out = gone.tolist(), 0, []
                 for d, t, x in zip(docs, texts, hashes, strict=True):
                     dead = set()
@@ -212,7 +218,7 @@ def _probe_sent(sent, shards: int, min_chars: int):
     return run
 
 
-def _hits(docs: DataFrame, index: DataFrame, shards: int, min_chars: int) -> DataFrame:
+def _hits(docs: DataFrame, index: DataFrame, shards: int, min_docs: int, min_chars: int) -> DataFrame:
     """(doc, high, low) of the lines to drop, found in the shards' own tasks.
 
     The index is cut further by salting: each of a shard's salts holds a copy of
@@ -225,8 +231,8 @@ def _hits(docs: DataFrame, index: DataFrame, shards: int, min_chars: int) -> Dat
         high, low, doc = (left[c].to_numpy() for c in ("high", "low", "doc"))
         if not len(right) or not len(left):
             return left[["doc", "high", "low"]].iloc[:0]
-        hit, largest = Shard.from_bytes(right["index"].iloc[0]).probe(high.view(np.uint64), low.view(np.uint64))
-        return left[["doc", "high", "low"]][hit & (largest != doc)]
+        held, largest = Shard.from_bytes(right["index"].iloc[0]).probe(high.view(np.uint64), low.view(np.uint64))
+        return left[["doc", "high", "low"]][(held >= min_docs) & (largest != doc)]
 
     most = max(1, rows.groupBy("shard").agg(F.count("*").alias("k")).agg(F.coalesce(F.max("k"), F.lit(0))).first()[0])
     salts = -(-most // PROBES)
@@ -236,14 +242,14 @@ def _hits(docs: DataFrame, index: DataFrame, shards: int, min_chars: int) -> Dat
     return left.groupBy("shard", "salt").cogroup(right.groupBy("shard", "salt")).applyInPandas(look, "doc bigint, high bigint, low bigint")
 
 
-def _drop_hits(min_chars: int):
+def _drop_hits(gone_name: str, min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             table, out = pa.Table.from_batches([b]), []
-            for d, t, gone in zip(*(table.column(c).to_pylist() for c in ("doc_id", "text", "__gone")), strict=True):
+            for d, t, gone in zip(*(table.column(c).to_pylist() for c in ("doc_id", "text", gone_name)), strict=True):
                 dead = {((x["high"] & _MASK) << 64) | (x["low"] & _MASK) for x in gone or ()}
                 out.append(_clean(d, t, line_hashes((t or "").split("\n"), min_chars), dead))
-            table = table.drop_columns(["__gone"])
+            table = table.drop_columns([gone_name])
             for name, kind, i in (("n_lines", pa.int64(), 0), ("n_dropped", pa.int64(), 1), ("kept_text", pa.string(), 2)):
                 table = table.append_column(name, pa.array([o[i] for o in out], kind))
             yield from table.combine_chunks().to_batches()
@@ -262,17 +268,20 @@ def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_C
     whose lines go becomes empty. Columns of docs with the names of new ones are
     replaced; an empty table gives none.
     """
+    if not 2 <= min_docs <= MOST:
+        raise ValueError(f"min_docs must be from 2 to {MOST}")
     docs = docs.drop("n_lines", "n_dropped", "kept_text")
-    index, shards = build_index(line_counts(docs, min_chars).filter(F.col("n") >= min_docs), shard_keys)
+    index, shards = build_index(line_counts(docs, min_chars).filter(F.col("n") >= INDEXED), shard_keys)
     size = index.agg(F.coalesce(F.sum(F.length("index")), F.lit(0))).first()[0]
     kinds = [f"`{c}` {t}" for c, t in docs.dtypes]
     out = ", ".join([*kinds, "n_lines bigint", "n_dropped bigint", "kept_text string"])
     if size <= max_broadcast_bytes:
         sent = docs.sparkSession.sparkContext.broadcast([(r["shard"], bytes(r["index"])) for r in index.select("shard", "index").collect()])
-        return docs.mapInArrow(_probe_sent(sent, shards, min_chars), out)
-    hits = _hits(docs, index, shards, min_chars).groupBy("doc").agg(F.collect_list(F.struct("high", "low")).alias("__gone"))
-    joined = docs.join(hits, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)) == F.col("doc"), "left").drop("doc")
-    return joined.mapInArrow(_drop_hits(min_chars), out)
+        return docs.mapInArrow(_probe_sent(sent, shards, min_docs, min_chars), out)
+    owner, gone = unused("owner", docs), unused("gone", docs)
+    hits = _hits(docs, index, shards, min_docs, min_chars).groupBy(F.col("doc").alias(owner)).agg(F.collect_list(F.struct("high", "low")).alias(gone))
+    joined = docs.join(hits, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)) == F.col(owner), "left").drop(owner)
+    return joined.mapInArrow(_drop_hits(gone, min_chars), out)
 
 
 def drop_lines(docs: DataFrame) -> DataFrame:
