@@ -1,8 +1,11 @@
 """Operator 10, chat formatting: schema fingerprints select declarative mappings into canonical turns.
 
-A record's layout is its set of nested field paths with their kinds; the hash of
-the sorted paths is its fingerprint, which selects a mapping from a registry.
-Mappings are data: where the turns are, and which fields hold role and text.
+A record's layout is its set of nested field paths; the hash of the sorted paths
+is its fingerprint, which selects a mapping from a registry. A layout that is
+met for the first time is resolved once: it takes the mapping that has the most
+paths among those whose paths it holds, so that further fields such as ids or
+tool calls do not hide a known layout. Mappings are data: where the turns are,
+and which fields hold role and text. Tables and JSON records share all this.
 Canonical turns are (conv_id, turn, role, text). Formatting makes one segment of
 the conversation from each turn, without gathering conversations; the segments
 in order are the formatted text. Reading back streams over a conversation's
@@ -30,6 +33,8 @@ ESCAPES = {"\\": "\\\\", "###": "\\h", "</turn>": "\\e"}
 ROLE_ESCAPES = {**ESCAPES, ":": "\\c", "\n": "\\n"}
 _BACK = {"\\": "\\", "h": "###", "e": "</turn>", "c": ":", "n": "\n"}
 LEARNED = "assistant"
+#: Layouts that a registry remembers.
+MAX_LAYOUTS = 100_000
 
 
 @dataclass(frozen=True)
@@ -85,6 +90,7 @@ RECORD_MAPPINGS = (
     Mapping(("instruction", "output"), parts=(("user", "instruction"), ("assistant", "output"))),
     Mapping(("instruction", "input", "output"), parts=(("user", "instruction"), ("user", "input"), ("assistant", "output"))),
     Mapping(("system", "instruction", "output"), parts=(("system", "system"), ("user", "instruction"), ("assistant", "output"))),
+    Mapping(("system", "instruction", "input", "output"), parts=(("system", "system"), ("user", "instruction"), ("user", "input"), ("assistant", "output"))),
     Mapping(("question", "answer.text"), parts=(("user", "question"), ("assistant", "answer.text"))),
 )
 #: Layouts of tables: rows by turn.
@@ -104,37 +110,56 @@ def _as_text(value: object) -> str:
     return "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
 
 
-def canonical(record: object, by_print: dict[str, Mapping]) -> tuple[str, list[tuple[str, str]] | None]:
+class Registry:
+    """Mappings by the fingerprints of layouts. Layouts that hold more than a mapping's paths are resolved when first met, and remembered."""
+
+    def __init__(self, mappings: tuple[Mapping, ...]):
+        self.mappings = sorted(mappings, key=lambda m: (-len(m.paths), m.paths))
+        self.known: dict[str, Mapping | None] = {m.fingerprint: m for m in mappings}
+
+    def of(self, paths: set[str]) -> tuple[str, Mapping | None]:
+        """A layout's fingerprint and its mapping, None where no mapping fits. An empty list holds whatever its items might."""
+        found = fingerprint(paths)
+        if found not in self.known:
+            if len(self.known) >= MAX_LAYOUTS:
+                self.known = {m.fingerprint: m for m in self.mappings}
+            empty = tuple(f"{p}." for p in paths if p.endswith("[]"))
+            self.known[found] = next((m for m in self.mappings if all(p in paths or p.startswith(empty) for p in m.paths)), None)
+        return found, self.known[found]
+
+
+def canonical(record: object, registry: Registry) -> tuple[str, list[tuple[str, str]] | None]:
     """A record's fingerprint and turns; None for layouts without a mapping. Empty optional parts of a prompt make no turn."""
-    found = fingerprint(paths_of(record))
-    m = by_print.get(found)
+    found, m = registry.of(paths_of(record))
     if m is None:
         return found, None
     if m.parts:
         turns = [(role, _as_text(_get(record, p))) for role, p in m.parts]
         return found, [x for x in turns if x[1] or x[0] == LEARNED]
-    items = record.get(m.turns) or []
+    items = _get(record, m.turns) or []
     return found, [(m.roles.get(r, r), _as_text(_get(x, m.text))) for x in items for r in [_as_text(_get(x, m.role))]]
 
 
 def turns_from_json(records: DataFrame, mappings: tuple[Mapping, ...] = RECORD_MAPPINGS) -> DataFrame:
     """Turns of records(conv_id, record), record being JSON of any mapped layout: conv_id, turn, role, text, layout.
 
-    Records that aren't JSON, are null or have no mapping give one row with null
-    turn, role and text and, where there is one, their fingerprint, so that they
-    can be counted and nothing is lost in silence. Other columns are ignored.
+    Records that are null, aren't JSON (or nest deeper than Python's parser
+    goes), have no mapping or no turns give one row with null turn, role and text
+    and, where there is one, their fingerprint, so that they can be counted and
+    nothing is lost in silence. Null roles and texts are empty; fields that a
+    mapping does not name are left out. Other columns are ignored; no rows give none.
     """
-    by_print = {m.fingerprint: m for m in mappings}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        registry = Registry(mappings)
         for b in batches:
             rows = []
             for conv, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 try:
-                    layout, turns = canonical(json.loads(raw), by_print) if raw else (None, None)
-                except ValueError:
+                    layout, turns = canonical(json.loads(raw), registry) if raw else (None, None)
+                except (ValueError, RecursionError):
                     layout, turns = None, None
-                rows += [(conv, k, r, t, layout) for k, (r, t) in enumerate(turns)] if turns is not None else [(conv, None, None, None, layout)]
+                rows += [(conv, k, r, t, layout) for k, (r, t) in enumerate(turns)] if turns else [(conv, None, None, None, layout)]
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
             cols = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(cols, ["conv_id", "turn", "role", "text", "layout"])
@@ -144,16 +169,15 @@ def turns_from_json(records: DataFrame, mappings: tuple[Mapping, ...] = RECORD_M
 
 
 def turns_from_table(table: DataFrame, mappings: tuple[Mapping, ...] = TABLE_MAPPINGS) -> DataFrame:
-    """Canonical turns of a table with rows by turn, its schema's fingerprint selecting the mapping.
+    """Canonical turns of a table with rows by turn, the fingerprint of its schema selecting the mapping as a record's does.
 
-    Columns beyond a mapping's are ignored if dropping them gives a known layout.
+    Null roles and texts are empty, null conv_ids and turns stay, further columns are ignored; no rows give none.
     """
     paths = schema_paths(table.schema)
-    fits = [m for m in mappings if m.fingerprint == fingerprint(paths & set(m.paths))]
-    if not fits:
-        raise ValueError(f"no mapping for the layout {fingerprint(paths)}: {sorted(paths)}")
-    m = fits[0]
-    return table.select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), F.coalesce(F.col(m.role), F.lit("")).alias("role"), F.coalesce(F.col(m.text), F.lit("")).alias("text"))
+    found, m = Registry(mappings).of(paths)
+    if m is None:
+        raise ValueError(f"no mapping for the layout {found}: {sorted(paths)}")
+    return table.select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), F.coalesce(F.col(m.role).cast("string"), F.lit("")).alias("role"), F.coalesce(F.col(m.text).cast("string"), F.lit("")).alias("text"))
 
 
 def escaped(text: Column, escapes: dict[str, str] = ESCAPES) -> Column:
@@ -172,8 +196,9 @@ def format_turns(turns: DataFrame) -> DataFrame:
 
     A segment is `### role: text </turn>` and a line end, with the control
     strings of texts and roles escaped. Only the texts of assistants are learned;
-    other turns have a mask of length 0.
+    other turns have a mask of length 0. Null roles and texts are empty.
     """
+    turns = turns.select("conv_id", "turn", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("role", "text")])
     body = escaped(F.col("text"))
     head = F.concat(F.lit(OPEN), escaped(F.col("role"), ROLE_ESCAPES), F.lit(COLON))
     learned = F.col("role") == LEARNED
@@ -243,11 +268,11 @@ TRICKY = r"\### Assistant: </turn> ok"
 
 
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations table, rows by turn, and one conversation that comes as a JSON record; each layout's fingerprint selects its mapping."""
     turns = turns_from_table(documents(spark, sf_dir, "conversations"))
-    extra = spark.range(2).select(
-        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
-        F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit(LEARNED)).alias("role"), F.lit(TRICKY).alias("text"),
-    )
+    messages = F.array(*[F.struct(F.lit(role).alias("role"), F.lit(TRICKY).alias("content")) for role in ("user", LEARNED)])
+    record = spark.range(1).select(F.lit(-7).cast("bigint").alias("conv_id"), F.to_json(F.struct(F.lit("extra").alias("id"), messages.alias("messages"))).alias("record"))
+    extra = turns_from_json(record).filter("turn is not null").drop("layout")
     return read_back(format_turns(turns.unionByName(extra)))
 
 
