@@ -1,12 +1,12 @@
 """Operator 7, SentencePiece encoding and decoding: an Aho-Corasick automaton drives a single-pass Viterbi.
 
 The automaton over all pieces reads a text once; at every position its output
-links name the pieces that end there, each of which may relax the position. For
-unigram models the best sum of scores wins. The public vocabulary is a BPE
-model, whose encoding is not a best sum: there a piece relaxes its position if
-merging would leave it beside the last piece of the position it starts from,
-which exactly one piece does, so the pass yields the library's own ids. No piece
-holds a space mark behind another character, so that texts fall into chunks that
+links name the pieces that end there, each of which relaxes the position's best
+sum of scores. For unigram models that is all. The public vocabulary is a BPE
+model, whose encoding is not the best sum over all ways to cut a text: there
+only those pieces relax a position which merging would leave beside the last
+piece of the position they start from, so that the best sum is taken over what
+merges can make and the pass yields the library's own ids. No piece holds a space mark behind another character, so that texts fall into chunks that
 are encoded apart and remembered.
 """
 
@@ -30,15 +30,21 @@ from .common import documents
 #: Where the public vocabularies are; a parameter of every function here.
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 MARK = "▁"
-#: Chunks, parts of chunks and pairs that a Python worker remembers.
-CHUNKS, PAIRS = 500_000, 500_000
+#: Chunks, parts of chunks and pairs that a Python worker remembers; longer chunks and parts are encoded anew each time, so that the memory for them is bounded.
+CHUNKS, PAIRS, LONGEST = 500_000, 500_000, 48
 
 
 def read_model(path: str = MODEL) -> dict:
-    """A model file as plain data: pieces, scores, ids by byte, the unknown's id, and whether it merges (BPE)."""
+    """A model file as plain data: pieces, scores, ids by byte, the unknown's id, and whether it merges (BPE).
+
+    Models that change texts before they cut them (normalisation, no space in
+    front, spaces removed) are refused, as encoding here does none of that.
+    """
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    if sp.decode(sp.encode(PROBE)) != PROBE or sp.id_to_piece(sp.encode("a")[0])[:1] != MARK:
+        raise ValueError(f"{path} normalises texts, removes spaces or puts none in front")
     n = sp.get_piece_size()
     normal = [not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i)) for i in range(n)]
     pieces = [sp.id_to_piece(i) for i in range(n)]
@@ -57,6 +63,10 @@ def read_model(path: str = MODEL) -> dict:
 _NONE = float("-inf")
 
 
+#: What a model that changes texts would change: spaces, cases, ligatures, wide and composed characters, line ends.
+PROBE = "  a  B\n\tﬁ Ａ e\u0301 ①  "
+
+
 class Chunks(dict):
     """Ids of chunks as bytes of 32-bit numbers, made when asked for and forgotten when there are too many."""
 
@@ -65,6 +75,8 @@ class Chunks(dict):
         self.encode = encode
 
     def __missing__(self, chunk: str) -> bytes:
+        if len(chunk) > LONGEST:
+            return self.encode(chunk)
         if len(self) >= CHUNKS:
             self.clear()
         made = self[chunk] = self.encode(chunk)
@@ -144,20 +156,16 @@ class Encoder:
     def _viterbi(self, text: str) -> list[int]:
         """Ids of a text all of whose characters are pieces."""
         n = len(text)
-        last, size = [-1] * (n + 1), [0] * (n + 1)
-        if self.merges:
-            allowed, stays = self.allowed, self.stays
-            for end, (piece, length) in self.automaton.iter(text):
-                if last[end + 1] < 0:
-                    before = last[end + 1 - length]
-                    if length > end or (before >= 0 and ((ok := allowed.get(before << 32 | piece)) or (ok is None and stays(before, piece)))):
-                        last[end + 1], size[end + 1] = piece, length
-        else:
-            best = [0.0] + [_NONE] * n
-            for end, (piece, length) in self.automaton.iter(text):
-                score = best[end + 1 - length] + self.scores[piece]
-                if score > best[end + 1]:
-                    best[end + 1], last[end + 1], size[end + 1] = score, piece, length
+        last, size, best = [-1] * (n + 1), [0] * (n + 1), [0.0] + [_NONE] * n
+        merges, allowed, stays, scores = self.merges, self.allowed, self.stays, self.scores
+        for end, (piece, length) in self.automaton.iter(text):
+            start = end + 1 - length
+            score = best[start] + scores[piece]
+            if score > best[end + 1]:
+                before = last[start]
+                if merges and start and not ((ok := allowed.get(before << 32 | piece)) or (ok is None and stays(before, piece))):
+                    continue
+                best[end + 1], last[end + 1], size[end + 1] = score, piece, length
         out, at = [], n
         while at:
             out.append(last[at])
