@@ -33,7 +33,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 BLOCK = 64
 #: A pre-token is decided by its own characters and no more than this many behind it.
 CONTEXT = 3
-_KNOWN = 500_000
+#: Pre-tokens that a Python worker remembers; longer ones are encoded anew each time, so that the memory for them is bounded.
+_KNOWN, LONGEST = 500_000, 48
 
 
 class Counts(dict):
@@ -44,6 +45,8 @@ class Counts(dict):
         self.encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def __missing__(self, part: str) -> int:
+        if len(part) > LONGEST:
+            return len(self.encoding.encode_ordinary(part))
         if len(self) >= _KNOWN:
             self.clear()
         made = self[part] = len(self.encoding.encode_ordinary(part))
@@ -220,8 +223,10 @@ def apply_edits(trees: DataFrame, path: str = RANKS) -> DataFrame:
 
     edits is a list of (at, removed, added), applied one after the other: removed
     characters at a position give way to added. Positions beyond the text are its
-    end, nulls are 0 and empty. n_encoded counts the pre-tokens that the edits
-    had encoded; the others' counts come from the tree.
+    end, nulls are 0 and empty, and so are null texts; null edits leave the text.
+    A null tree is made from the text. n_encoded counts the pre-tokens that were
+    encoded, by the edits or for a missing tree; the others' counts come from the
+    tree. Columns of the names given are replaced; no rows give none.
     """
     sent = trees.sparkSession.sparkContext.broadcast(read_ranks(path))
     rest = [c for c in trees.columns if c not in ("text", "tree", "edits", "n_tokens", "n_encoded")]
@@ -232,7 +237,9 @@ def apply_edits(trees: DataFrame, path: str = RANKS) -> DataFrame:
             for k in range(0, b.num_rows, 500):
                 part, rows = b.slice(k, 500), []
                 for text, blob, edits in zip(*(part.column(c).to_pylist() for c in ("text", "tree", "edits")), strict=True):
-                    text, tree, n = text or "", Tree.from_bytes(blob), 0
+                    text = text or ""
+                    tree = Tree.of(text, counts) if blob is None else Tree.from_bytes(blob)
+                    n = tree.parts if blob is None else 0
                     for e in edits or ():
                         text, fresh = tree.edit(text, e["at"] or 0, e["removed"] or 0, e["added"] or "", counts)
                         n += fresh
