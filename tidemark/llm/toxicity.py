@@ -138,7 +138,7 @@ def train(rows: list[np.ndarray], labels: np.ndarray) -> Machine:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes:
-    """The machine's bytes, fitted in one task on at most `sample` labelled documents."""
+    """The machine's bytes, fitted in one task on at most `sample` labelled documents; of rows that repeat a doc_id one is taken."""
     picked = training_labels(labels, "toxic").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id")
 
@@ -152,7 +152,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes:
         made = train([np.frombuffer(x, np.int32).astype(np.int64) for x in pdf["terms"]], pdf["label"].to_numpy(float))
         return pdf.iloc[:1].assign(machine=[made.to_bytes()])[["machine"]]
 
-    made = rows.mapInArrow(terms, "doc_id bigint, label int, terms binary").groupBy().applyInPandas(learn, "machine binary")
+    each = rows.mapInArrow(terms, "doc_id bigint, label int, terms binary").groupBy("doc_id", "label").agg(F.min("terms").alias("terms"))
+    made = each.groupBy().applyInPandas(learn, "machine binary")
     got = cut(made).first()
     return bytes(got["machine"]) if got else train([], np.empty(0)).to_bytes()
 
