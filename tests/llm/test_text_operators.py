@@ -266,3 +266,123 @@ def test_pipeline_stages(spark):
     last = p.run(spark, SF)
     assert {"doc_id", "token_ids", "n_tokens"} <= set(last.columns) and last.filter("n_tokens <> size(token_ids)").count() == 0
     assert last.count() > 0 and len(p.STAGES) == 5 and not out
+
+
+def test_chat_layouts_with_more_or_less_than_a_mapping(spark):
+    records = ['{"id": 7, "messages": [{"role": "user", "content": "a", "name": "n"}, {"role": "assistant", "content": null, "tool_calls": [{"f": 1}]}]}', '{"messages": []}', "[" * 100_000, '{"prompt": "p", "response": {"deep": [1, "x"]}, "source": "s"}', '{"system": "s", "instruction": "i", "input": "x", "output": "o"}', ""]
+    got = chat.turns_from_json(spark.createDataFrame([(k, r, "x") for k, r in enumerate(records)], "conv_id long, record string, turn string")).collect()
+    assert [(r.conv_id, r.role, r.text) for r in got] == [(0, "user", "a"), (0, "assistant", ""), (1, None, None), (2, None, None), (3, None, None), (4, "system", "s"), (4, "user", "i"), (4, "user", "x"), (4, "assistant", "o"), (5, None, None)]
+    assert all(r.layout for r in got if r.conv_id in (0, 1, 3, 4)) and not any(r.layout for r in got if r.conv_id in (2, 5))
+    assert chat.turns_from_json(spark.createDataFrame([], "conv_id long, record string")).count() == 0
+
+
+def test_chat_hard_rows(spark):
+    rows = [(1, 1, None, None, "x"), (1, None, "assistant", "", "y"), (1, 1, "assistant", "a" * 300_000, "z"), (1, 1, "assistant", "b", "z"), (1, 1, "assistant", "b", "z"), (None, 2, "user", "u", None)]
+    schema = "conv_id long, turn long, role string, text string, segment string"
+    got = {r.conv_id: r for r in chat.read_back(chat.format_turns(chat.turns_from_table(spark.createDataFrame(rows, schema)))).collect()}
+    assert (got[1].n_turns, got[1].loss_chars, got[None].n_turns, got[None].loss_chars) == (5, 300_002, 1, 0)
+    said = "assistant\n\n" + "\n\n" + "assistant\n" + "a" * 300_000 + "\n" + "assistant\nb\n" * 2
+    assert got[1].turns_sha256 == hashlib.sha256(said.encode()).hexdigest() and got[1].loss_sha256 == hashlib.sha256(("a" * 300_000 + "bb").encode()).hexdigest()
+    assert chat.read_back(chat.format_turns(chat.turns_from_table(spark.createDataFrame([], schema)))).count() == 0
+    with pytest.raises(ValueError, match="no mapping"):
+        chat.turns_from_table(spark.createDataFrame([], "conv_id long, turn long, said string"))
+
+
+def test_machine_scores_equal_the_sum_over_pairs():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 40, 12)) for _ in range(300)]
+    labels = np.array([float("w1 " in t + " " and "w2" in t) for t in texts])
+    m = toxicity.Machine.from_bytes(toxicity.train([toxicity.terms_of(t) for t in texts], labels).to_bytes())
+    for t in [*texts[:40], "", None, "none of these"]:
+        x = [int(np.flatnonzero(m.chosen == b)[0]) for b in toxicity.terms_of(t) if b in m.chosen]
+        odds = m.bias + sum(m.weights[i] for i in x) + sum(float(m.factors[i] @ m.factors[j]) for a, i in enumerate(x) for j in x[:a])
+        assert m.score(t) == pytest.approx(1 / (1 + np.exp(-odds)))
+
+
+def test_toxicity_fits_on_one_row_of_an_id(spark):
+    docs = spark.createDataFrame([(k % 40, f"bad you {k}" if k % 2 else f"good day {k}") for k in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, toxic int")
+    m = toxicity.Machine.from_bytes(toxicity.fit(docs, labels))
+    n = labels.filter(~labelled.held_out(F.col("doc_id"))).count()
+    assert len(m.chosen) and 0 < n < 40 and m.score("bad") > 0.5 > m.score("good")
+
+
+def test_quality_scores_equal_the_discriminant_by_force(spark):
+    d = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    stats = textstats.text_stats(docs).selectExpr("doc_id", *[f"{e} as {n}" for n, e in quality_classifier.FEATURES.items()]).toPandas().set_index("doc_id")
+    known = labelled.training_labels(labels, "quality").toPandas().set_index("doc_id")["label"]
+    x, every = stats.loc[known.index].to_numpy(float), stats.to_numpy(float)
+    both = np.concatenate((x, every))
+    got = quality_classifier.quality_scores(docs, labels).toPandas().set_index("doc_id")["score"].loc[stats.index]
+    scale, model = x.std(axis=0), []
+    for k in (0, 1):
+        part = (x / scale)[known.to_numpy() == k]
+        c = np.cov(part.T, bias=True)
+        c = 0.8 * c + 0.2 * max(np.trace(c) / len(c), 1e-3) * np.eye(len(c))
+        away = both / scale - part.mean(axis=0)
+        model.append(np.log((known == k).mean()) - 0.5 * np.log(np.linalg.det(c)) - 0.5 * np.einsum("ij,jk,ik->i", away, np.linalg.inv(c), away))
+    odds = (model[1] - model[0])[len(x) :]
+    assert got.to_numpy() == pytest.approx(1 / (1 + np.exp(-odds / quality_classifier.TEMPERATURE)), abs=1e-6)
+
+
+def test_edits_equal_encoding_anew(spark):
+    counts, rng = token_counts.Counts(token_counts.read_ranks()), random.Random(8)
+    long = " ".join(f"w{i % 977}x{i % 31}" for i in range(30_000))
+    texts = [None, "", "it's  we'll\n\nx 12", long, "a b c", "a b c", "\u00e9\u0301 \U0001f600 " * 20]
+    edits = [None, [], *[[(rng.choice([None, 0, 3, 9, 10**6]), rng.choice([None, 0, 2, 50]), rng.choice([None, "", "x ", "'re", "\n\n", "12"])) for _ in range(6)] for _ in range(12)]]
+    rows = [(k, t, e, "own", 5) for k, (t, e) in enumerate((t, e) for t in texts for e in edits)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, edits array<struct<at: int, removed: int, added: string>>, n_encoded string, n_tokens int")
+    trees = token_counts.token_trees(docs)
+    lost = trees.withColumn("tree", F.when(F.col("doc_id") % 3 > 0, F.col("tree")))
+    for got in (token_counts.apply_edits(trees), token_counts.apply_edits(lost)):
+        found = {r.doc_id: r for r in got.collect()}
+        for k, text, es, *_ in rows:
+            text = text or ""
+            for at, removed, added in es or ():
+                at = min(at or 0, len(text))
+                text = text[:at] + (added or "") + text[at + (removed or 0) :]
+            assert (found[k].text, found[k].n_tokens) == (text, len(counts.encoding.encode_ordinary(text)))
+    assert token_counts.apply_edits(trees.limit(0)).count() == 0
+
+
+def test_op6_equals_encoding_anew(spark):
+    counts = token_counts.Counts(token_counts.read_ranks())
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = queries.QUERIES["op6_token_counts"](spark, SF).collect()
+    assert {r.doc_id for r in got} == set(texts)
+    for r in got:
+        text = f"Document {r.doc_id}\n\n" + texts[r.doc_id]
+        n = len(texts[r.doc_id])
+        text = text[: n // 2] + text[n // 2 + n // 20 :]
+        text = text[:n] + texts[r.doc_id][:40] + text[n + 5 :]
+        size = lambda t: len(counts.encoding.encode_ordinary(t))
+        assert (r.n_tokens_before, r.n_tokens_after, r.edited_sha256) == (size(texts[r.doc_id]), size(text), hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_decode_with_nulls_and_long_chunks(spark):
+    rows = [(1, None), (2, []), (3, [None, 400]), (4, [400, 500])]
+    got = {r.id: r.decoded for r in sentencepieces.decode(spark.createDataFrame(rows, "id long, token_ids array<int>")).collect()}
+    enc = sentencepieces.Encoder(sentencepieces.read_model())
+    assert got == {1: "", 2: "", 3: enc.decode([enc.unknown, 400]), 4: enc.decode([400, 500])}
+    assert sentencepieces.decode(spark.createDataFrame([], "token_ids array<int>")).count() == 0
+    text = "x" * 5000 + " y"
+    assert enc.decode(enc.encode(text)) == text and all(len(c) <= sentencepieces.LONGEST for c in enc.chunks)
+
+
+def test_models_that_change_texts_are_refused(tmp_path):
+    import sentencepiece
+
+    raw = open(sentencepieces.MODEL, "rb").read()
+    sp = sentencepiece.SentencePieceProcessor(model_proto=raw)
+    assert sp.decode(sp.encode(sentencepieces.PROBE)) == sentencepieces.PROBE
+    try:
+        from sentencepiece import sentencepiece_model_pb2 as pb
+    except ImportError:
+        pytest.skip("no reader of model files")
+    for change in ("add_dummy_prefix", "remove_extra_whitespaces"):
+        model = pb.ModelProto.FromString(raw)
+        setattr(model.normalizer_spec, change, not getattr(model.normalizer_spec, change))
+        (tmp_path / "other.model").write_bytes(model.SerializeToString())
+        with pytest.raises(ValueError, match="normalises"):
+            sentencepieces.read_model(str(tmp_path / "other.model"))
