@@ -89,7 +89,7 @@ g2 as (select *, period[1:4] as year, period[6:7] as month, 'candles/futures-um/
 files as (select *, row_count * 64 as length, sha256(path || '#' || row_count) as sha256 from g2)"""
 SQL_BASE = f"""base as (select 'C' || c_custkey as symbol, case when c_custkey % 2 = 0 then 'ACTIVE' else 'UNKNOWN' end as status, case when c_custkey % 5 = 0 then {WINDOW[0] - 86_400_000} end as listed_ms,
  case when c_custkey % 7 = 0 then {WINDOW[0]} + c_custkey % 11 * 86400000 end as delisted_ms, case c_nationkey % 4 when 0 then 'VERIFIED_EXCHANGE_DELISTING' when 1 then 'LOCAL_DATA_FIRST_SEEN' when 2 then 'CURRENT_ACTIVE_ONLY' else 'HISTORICAL_SNAPSHOT_EVIDENCE' end as evidence_level, c_custkey as position
- from customer where c_custkey % 3 = 0)"""
+ from customer where c_custkey in (select o_custkey from orders))"""
 SQL_SOURCES = """sources as (select 'C' || o_custkey as symbol, case when o_orderpriority = '1-URGENT' then 'UNKNOWN' else 'OFFICIAL' end as trust, case when o_orderkey % 6 <> 0 then epoch_ms(o_orderdate) end as observed_ms,
  case when o_orderkey % 4 <> 0 then sha256(cast(o_orderkey as varchar)) end as source_hash, case when o_orderkey % 3 = 0 then 'HISTORICAL_SNAPSHOT_EVIDENCE' else 'UNKNOWN' end as evidence_level, o_orderkey as source_id from orders)"""
 SQL_UNIVERSE = f"""{SQL_BASE}, members as (select 'C' || c_custkey as symbol, {WINDOW[0]} + c_custkey * 86400000 as first_seen from customer where c_mktsegment = 'BUILDING'),
