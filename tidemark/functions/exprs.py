@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 UNIT_MS = {"m": 60_000, "h": 3_600_000, "d": 86_400_000, "w": 604_800_000}
 RANGE_INTERVALS = ("1m", "3m", "5m", "15m", "1h", "4h", "1d")
 QUOTES = ("USDT", "USDC", "USD", "BTC", "ETH")
-EXCHANGE_STATUS = {"TRADING": "TRADING", "PENDING_TRADING": "PRE_TRADING", "PRE_TRADING": "PRE_TRADING", "BREAK": "BREAK", "HALT": "HALT", "SETTLING": "SETTLING", "DELIVERED": "DELIVERED", "CLOSE": "CLOSE"}
-LIFECYCLE_STATUS = {"TRADING": "ACTIVE", "PRE_TRADING": "PENDING", "BREAK": "SUSPENDED", "HALT": "SUSPENDED", "SETTLING": "DELIVERED", "DELIVERED": "DELIVERED", "CLOSE": "DELISTED"}
-TERMINAL = ("DELIVERED", "DELISTED")
+EXCHANGE_STATUS = {"ACTIVE": "ACTIVE", "TRADING": "TRADING", "BREAK": "BREAK", "HALT": "HALT", "PENDING_TRADING": "PRE_TRADING", "PRE_TRADING": "PRE_TRADING", "SETTLING": "SETTLING", "DELIVERED": "DELIVERED", "DELISTED": "DELISTED", "EXPIRED": "EXPIRED"}
+LIFECYCLE_STATUS = {"ACTIVE": "ACTIVE", "TRADING": "ACTIVE", "BREAK": "ACTIVE", "HALT": "ACTIVE", "PRE_TRADING": "ACTIVE", "SETTLING": "ACTIVE", "DELIVERED": "DELISTED", "DELISTED": "DELISTED", "EXPIRED": "EXPIRED"}
+TERMINAL = ("DELISTED", "EXPIRED")
+UNVERIFIED = ("USER_PROVIDED_UNVERIFIED", "UNKNOWN", "")
+# What a time with a zone looks like.
+RFC3339 = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})$"
 DAY_MS = 86_400_000
 
 
@@ -39,19 +42,40 @@ def expected_rows(lo: Column, hi: Column, step: Column) -> Column:
     return F.floor((hi - lo) / step) + 1
 
 
+def utc_date(ms: Column) -> Column:
+    """The UTC day of epoch milliseconds as `YYYY-MM-DD`, whatever the session's zone."""
+    return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(ms / DAY_MS).cast("int")).cast("string")
+
+
+def _utc(ms: Column) -> Column:
+    s = F.floor(F.pmod(ms, F.lit(DAY_MS)) / 1000)
+    return F.concat(utc_date(ms), F.format_string("T%02d:%02d:%02dZ", F.floor(s / 3600), F.floor(s % 3600 / 60), s % 60))
+
+
 def rfc3339(ms: Column) -> Column:
     """Epoch milliseconds to UTC seconds as text; null if not positive."""
-    return F.when(ms > 0, F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    return F.when(ms > 0, _utc(ms))
+
+
+def parsed_ms(text: Column) -> Column:
+    """Epoch milliseconds of RFC 3339 text; null for anything else."""
+    return F.when(F.trim(text).rlike(RFC3339), F.unix_millis(F.try_to_timestamp(F.trim(text))))
 
 
 def normalized_time(text: Column) -> Column:
-    """H9: RFC 3339 text to UTC seconds; null for blank, UNKNOWN and malformed text."""
-    return F.date_format(F.try_to_timestamp(known(text)), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """H9: RFC 3339 text to UTC seconds; null for blank and UNKNOWN; malformed text stays as it is, which malformed_time() tells."""
+    return F.coalesce(_utc(parsed_ms(text)), known(text))
+
+
+def malformed_time(text: Column) -> Column:
+    """Whether text is given and is no time."""
+    return known(text).isNotNull() & parsed_ms(text).isNull()
 
 
 def known(text: Column) -> Column:
     """Blank and UNKNOWN become null."""
-    return F.nullif(F.nullif(F.trim(text), F.lit("")), F.lit("UNKNOWN"))
+    trimmed = F.trim(text)
+    return F.when((trimmed != "") & (F.upper(trimmed) != "UNKNOWN"), trimmed)
 
 
 def unknown(text: Column) -> Column:
@@ -73,6 +97,31 @@ def market_symbol(s: Column) -> Column:
     return s.rlike("^[A-Z0-9]{3,30}$")
 
 
+def snapshot_symbol(s: Column) -> Column:
+    """As listings have it, of 3 to 40."""
+    return s.rlike("^[A-Z0-9]{3,40}$")
+
+
+def series_symbol(s: Column) -> Column:
+    """As series have it, underscores allowed."""
+    return s.rlike("^[A-Z0-9_]+$")
+
+
+def current_only(source_type: Column) -> Column:
+    """C14: whether a source shows only what is current."""
+    return F.coalesce(F.lower(source_type).contains("current"), F.lit(False))
+
+
+def unverified(trust: Column) -> Column:
+    """C15."""
+    return F.coalesce(F.upper(F.trim(trust)), F.lit("")).isin(*UNVERIFIED)
+
+
+def upper_or_null(s: Column) -> Column:
+    """Upper case, null for blank."""
+    return F.nullif(F.upper(F.trim(s)), F.lit(""))
+
+
 def safe_identifier(s: Column) -> Column:
     """C11: not blank, no parent reference, no separators."""
     return (F.length(F.trim(s)) > 0) & ~s.contains("..") & ~s.contains("/") & ~s.contains("\\")
@@ -118,6 +167,31 @@ def path_interval(path: Column) -> Column:
     return F.coalesce(_part(path, "interval=([^/]+)"), _part(path, "/([0-9]+[mhdw])/"), _part(path, "-([0-9]+[mhdw])-[^/]*$"))
 
 
+def audit_symbol(path: Column, hint: Column | None = None) -> Column:
+    """H4 for audits: a hint, else `symbol=`, else what the file's name begins with."""
+    return F.coalesce(*([] if hint is None else [hint]), _part(path, "symbol=([A-Z0-9]+)"), _part(path, "(?:^|/)([A-Z0-9]+)-[^/]*$"))
+
+
+def audit_interval(path: Column, hint: Column | None = None) -> Column:
+    return F.coalesce(*([] if hint is None else [hint]), _part(path, "interval=([0-9]+[mhdw])"), _part(path, "-([0-9]+[mhdw])-[^/]*$"))
+
+
+def folder_symbol(path: Column) -> Column:
+    """H4 for manifests: the folder `symbol=` alone."""
+    return F.upper(_part(path, "(?:^|/)symbol=([^/]+)"))
+
+
+def folder_interval(path: Column) -> Column:
+    """H4 for manifests and lifecycles: the folder `interval=`, else the first folder that is an interval."""
+    folders = F.filter(F.split(path, "/"), lambda x, i: (i > 0) & interval_token(x))
+    return F.coalesce(_part(path, "(?:^|/)interval=([^/]+)"), F.get(folders, F.lit(0)))
+
+
+def lifecycle_symbol(path: Column) -> Column:
+    """H4 for lifecycles: the folder, else the file's name up to its first dash."""
+    return F.coalesce(folder_symbol(path), F.upper(_part(path, "(?:^|/)([^/-]+)-[^/]*$")))
+
+
 def path_market(path: Column) -> Column:
     """H5."""
     return F.when(path.contains("futures"), F.lit("futures")).when(path.contains("spot"), F.lit("spot"))
@@ -157,6 +231,60 @@ def candle_key(market: Column, interval: Column, symbol: Column, period: Column)
     return F.concat(F.lit("candles/"), market, F.lit("/"), interval, F.lit("/symbol="), F.upper(symbol), F.lit("/year="), F.substring(period, 1, 4), F.lit("/month="), F.substring(period, 6, 2), F.lit("/"), F.upper(symbol), F.lit("-"), interval, F.lit("-"), period, F.lit(".parquet"))
 
 
+def _folders(**parts: Column | str) -> list[Column]:
+    return [x for k, v in parts.items() for x in (F.lit(f"/{k}="), F.lit(v) if isinstance(v, str) else v)]
+
+
+def candle_manifest_key(market: Column, interval: Column, symbol: Column) -> Column:
+    """The manifest of one candle series."""
+    return F.concat(F.lit("manifests/"), market, F.lit("/"), interval, F.lit("/symbol="), symbol, F.lit("/manifest.json"))
+
+
+def _safe(key: Column, *parts: Column) -> Column:
+    ok = F.lit(True)
+    for x in parts:
+        ok = ok & F.coalesce(safe_identifier(x), F.lit(False))
+    return F.when(ok, key)
+
+
+def sentiment_key(source: Column, dataset: Column, scope: Column, interval: Column, period: Column) -> Column:
+    """The object of one sentiment series and month; null for unsafe parts or another period."""
+    key = F.concat(F.lit("datasets/sentiment"), *_folders(source=source, dataset=dataset, scope=scope, interval=interval, year=F.substring(period, 1, 4), month=F.substring(period, 6, 2)), F.lit("/"), dataset, F.lit("-"), period, F.lit(".parquet"))
+    return F.when(period.rlike("^[0-9]{4}-[0-9]{2}$"), _safe(key, source, dataset, scope, interval))
+
+
+def derivatives_key(source: Column, dataset: Column, market: Column, symbol: Column, interval: Column, period: Column) -> Column:
+    """The same of a derivatives series."""
+    key = F.concat(F.lit("datasets/derivatives"), *_folders(source=source, dataset=dataset, market=market, symbol=symbol, interval=interval, year=F.substring(period, 1, 4), month=F.substring(period, 6, 2)), F.lit("/"), symbol, F.lit("-"), dataset, F.lit("-"), period, F.lit(".parquet"))
+    return F.when(period.rlike("^[0-9]{4}-[0-9]{2}$"), _safe(key, source, dataset, market, symbol, interval))
+
+
+def sentiment_manifest_key(source: Column, dataset: Column, scope: Column) -> Column:
+    return _safe(F.concat(F.lit("manifests/datasets/sentiment/"), source, F.lit("/"), dataset, *_folders(scope=scope), F.lit("/manifest.json")), source, dataset, scope)
+
+
+def derivatives_manifest_key(source: Column, dataset: Column, market: Column, symbol: Column, interval: Column) -> Column:
+    return _safe(F.concat(F.lit("manifests/datasets/derivatives/"), source, F.lit("/"), dataset, *_folders(market=market, symbol=symbol, interval=interval), F.lit("/manifest.json")), source, dataset, market, symbol)
+
+
+def snapshot_id(exchange: Column, market: Column, collected: Column, digest: Column) -> Column:
+    """Exchange, market, compact time of collection and the hash's first twelve characters, in lower case."""
+    compact = F.replace(F.translate(collected, "-:Z", ""), F.lit("T"), F.lit("_"))
+    return F.lower(F.concat_ws("_", exchange, market, compact, F.substring(digest, 1, 12)))
+
+
+def observed_time(path: Column, layout: str | None, stated: Column, payload_ms: Column) -> Column:
+    """From the file's name by a layout, else as stated, else the payload's own time; UTC seconds as text or null."""
+    name = F.regexp_replace(basename(path), r"\.[^.]*$", "")
+    named = F.lit(None).cast("bigint") if layout is None else F.unix_millis(F.try_to_timestamp(F.concat(name, F.lit(" Z")), F.lit(f"{layout} X")))
+    return F.coalesce(_utc(named), normalized_time(stated), rfc3339(payload_ms))
+
+
+def observed_at(start: Column, end: Column) -> Column:
+    """When evidence without a time of its own was observed: the window's end, else its start, else null."""
+    return F.coalesce(known(end), known(start))
+
+
 def fields_present(**fields: Column) -> Column:
     """Names of the fields that are not null, `symbol` first."""
     return F.array_compact(F.array(F.lit("symbol"), *[F.when(c.isNotNull(), F.lit(n)) for n, c in fields.items()]))

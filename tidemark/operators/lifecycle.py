@@ -8,6 +8,19 @@ from pyspark.sql import functions as F
 from ..functions import exprs
 from .listing import UNVERIFIED, explode_rules
 
+# Statuses and evidence levels that a lifecycle may have.
+STATUSES = ("ACTIVE", "DELISTED", "EXPIRED", "RENAMED", "UNKNOWN")
+LEVELS = ("VERIFIED_EXCHANGE_LISTING", "VERIFIED_EXCHANGE_DELISTING", "HISTORICAL_SNAPSHOT_EVIDENCE", "LOCAL_DATA_FIRST_SEEN", "CURRENT_ACTIVE_ONLY", "USER_PROVIDED_UNVERIFIED", "UNKNOWN")
+ENDS_PROVEN = ("VERIFIED_EXCHANGE_DELISTING", "HISTORICAL_SNAPSHOT_EVIDENCE")
+
+
+def lifecycle_from_files(rows: DataFrame, files: DataFrame, t: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """E18 with the hash of the symbol's files(path, symbol, sha256), in path order, and H28's time of observation."""
+    from .universe import file_set_hash
+
+    out = lifecycle_from_data(rows, t).join(file_set_hash(files).withColumnRenamed("h", "source_hash").drop("n"), "symbol", "left")
+    return out.withColumn("observed_at", exprs.observed_at(F.lit(start), F.lit(end)))
+
 
 def lifecycle_from_data(rows: DataFrame, t: str) -> DataFrame:
     """What local rows(symbol, interval, market, time) show of each symbol; never a listing date."""
@@ -19,8 +32,9 @@ def merge_snapshots(base: DataFrame, seen: DataFrame) -> DataFrame:
     """base(symbol, status, listed_ms, delisted_ms, evidence_level) brought up to date by seen(symbol, seq, status, onboard_ms, delivery_ms, unverified).
 
     Statuses go in the order of seq: the last terminal one wins, else the first
-    known. An onboarding date is taken where no listing date is known; a
-    delivery date only from a snapshot by which the status is terminal. The last
+    known, the base's before theirs. An onboarding date is taken where no listing
+    date is known; a delivery date only from a snapshot by which the status is
+    terminal. The last
     snapshot decides the evidence level.
     """
     w = Window.partitionBy("symbol").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -31,7 +45,7 @@ def merge_snapshots(base: DataFrame, seen: DataFrame) -> DataFrame:
     late = F.col("ended") & F.col("delivery_ms").isNotNull()
     each = rows.groupBy("symbol").agg(
         F.max_by(F.when(final, F.col("life")), F.when(final, F.col("seq"))).alias("s_terminal"), F.min_by(F.when(is_known, F.col("life")), F.when(is_known, F.col("seq"))).alias("s_known"),
-        F.min_by("onboard_ms", F.when(F.col("onboard_ms").isNotNull(), F.col("seq"))).alias("s_onboard"), F.min_by(F.when(late, F.col("delivery_ms")), F.when(late, F.col("seq"))).alias("s_delivery"),
+        F.min_by("delivery_ms", F.when(F.col("delivery_ms").isNotNull(), F.col("seq"))).alias("s_any_delivery"), F.min_by("onboard_ms", F.when(F.col("onboard_ms").isNotNull(), F.col("seq"))).alias("s_onboard"), F.min_by(F.when(late, F.col("delivery_ms")), F.when(late, F.col("seq"))).alias("s_delivery"),
         F.max_by("unverified", "seq").alias("s_unverified"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"), F.count("*").alias("snapshots"),
     )
     b = base.select("symbol", F.nullif("status", F.lit("UNKNOWN")).alias("b_status"), "listed_ms", "delisted_ms", "evidence_level")
@@ -39,7 +53,7 @@ def merge_snapshots(base: DataFrame, seen: DataFrame) -> DataFrame:
     kept = F.when(exprs.terminal(F.col("b_status")), F.col("b_status"))
     level = F.when(F.col("snapshots").isNull(), F.col("evidence_level")).when(F.col("s_unverified"), "USER_PROVIDED_UNVERIFIED").when(F.col("evidence_level").startswith("VERIFIED"), F.col("evidence_level")).otherwise("HISTORICAL_SNAPSHOT_EVIDENCE")
     return m.select(
-        "symbol", exprs.unknown(F.coalesce("s_terminal", kept, "b_status", "s_known")).alias("status"), F.coalesce("listed_ms", "s_onboard").alias("listed_ms"), F.coalesce("delisted_ms", "s_delivery").alias("delisted_ms"),
+        "symbol", exprs.unknown(F.coalesce("s_terminal", kept, "b_status", "s_known")).alias("status"), F.coalesce("listed_ms", "s_onboard").alias("listed_ms"), F.coalesce("delisted_ms", F.when(kept.isNotNull(), F.col("s_any_delivery")), "s_delivery").alias("delisted_ms"),
         "first_seq", "last_seq", F.coalesce("snapshots", F.lit(0)).alias("snapshots"), level.alias("evidence_level"),
     )
 
@@ -52,38 +66,67 @@ def disappeared(seen: DataFrame) -> DataFrame:
 
 
 def lifecycle_findings(symbols: DataFrame, sources: DataFrame) -> DataFrame:
-    """Findings over symbols(symbol, status, listed_ms, delisted_ms, evidence_level) and sources(symbol, source_hash, observed_ms)."""
+    """Distinct findings over symbols(symbol, status, listed_ms, delisted_ms, evidence_level) and sources(symbol, source_hash, observed_ms).
+
+    A boolean column malformed, of either side, marks rows that had times that
+    are none. What the manifest as a whole lacks has the empty target.
+    """
     w = Window.partitionBy("symbol").orderBy("status")
-    rows = symbols.withColumn("__k", F.row_number().over(w))
-    level = F.col("evidence_level")
+    have = sources.select(F.col("symbol").alias("__s")).distinct()
+    rows = symbols.withColumn("__k", F.row_number().over(w)).join(have, F.col("symbol") == F.col("__s"), "left")
+    broken = lambda df: F.coalesce(F.col("malformed"), F.lit(False)) if "malformed" in df.columns else F.lit(False)
+    level, listed, delisted = F.col("evidence_level"), F.col("listed_ms"), F.col("delisted_ms")
+    status = F.coalesce("status", F.lit("UNKNOWN"))
     rules = [
         ("LIFECYCLE_DUPLICATE_SYMBOL", "FAIL", F.col("__k") > 1),
         ("LIFECYCLE_SYMBOL_MALFORMED", "FAIL", ~exprs.market_symbol(F.col("symbol"))),
-        ("LIFECYCLE_LISTED_AFTER_DELISTED", "FAIL", F.col("listed_ms") > F.col("delisted_ms")),
-        ("LIFECYCLE_STATUS_UNKNOWN", "WARN", F.col("status") == "UNKNOWN"),
-        ("LIFECYCLE_LISTING_UNKNOWN", "WARN", F.col("listed_ms").isNull()),
-        ("LIFECYCLE_DELISTING_UNKNOWN", "WARN", F.col("delisted_ms").isNull()),
+        ("LIFECYCLE_EVIDENCE_MISSING", "FAIL", broken(symbols) | ~F.coalesce(level, F.lit("UNKNOWN")).isin(*LEVELS)),
+        ("LIFECYCLE_LISTED_AFTER_DELISTED", "FAIL", listed > delisted),
+        ("LIFECYCLE_STATUS_UNKNOWN", "WARN", status == "UNKNOWN"),
+        ("LIFECYCLE_STATUS_UNKNOWN", "FAIL", ~status.isin(*STATUSES)),
+        ("LIFECYCLE_LISTED_DATE_MISSING", "WARN", listed.isNull()),
+        ("LIFECYCLE_DELISTED_DATE_MISSING", "WARN", delisted.isNull()),
+        ("LIFECYCLE_EVIDENCE_MISSING", "WARN", exprs.known(level).isNull() | F.col("__s").isNull()),
+        ("LIFECYCLE_LOCAL_DATA_ONLY_NOT_LISTING_PROOF", "WARN", level == "LOCAL_DATA_FIRST_SEEN"),
         ("LIFECYCLE_CURRENT_ACTIVE_ONLY_RISK", "WARN", level == "CURRENT_ACTIVE_ONLY"),
-        ("LIFECYCLE_LOCAL_DATA_ONLY", "WARN", level == "LOCAL_DATA_FIRST_SEEN"),
-        ("LIFECYCLE_EVIDENCE_DATE_MISSING", "FAIL", (level == "VERIFIED_EXCHANGE_LISTING") & F.col("listed_ms").isNull() | (level == "VERIFIED_EXCHANGE_DELISTING") & F.col("delisted_ms").isNull()),
+        ("LIFECYCLE_USER_PROVIDED_UNVERIFIED", "WARN", level == "USER_PROVIDED_UNVERIFIED"),
+        ("LIFECYCLE_LISTED_DATE_MISSING", "FAIL", (level == "VERIFIED_EXCHANGE_LISTING") & listed.isNull()),
+        ("LIFECYCLE_DELISTED_DATE_MISSING", "FAIL", (level == "VERIFIED_EXCHANGE_DELISTING") & delisted.isNull()),
     ]
-    of_source = [("LIFECYCLE_SOURCE_HASH_MISSING", "WARN", F.col("source_hash").isNull()), ("LIFECYCLE_SOURCE_TIME_MISSING", "WARN", F.col("observed_ms").isNull())]
-    found = explode_rules(rows, "symbol", rules).unionByName(explode_rules(sources, "symbol", of_source))
-    empty = symbols.agg(F.count("*").alias("n")).filter("n = 0").select(F.lit("").alias("target"), F.lit("LIFECYCLE_EMPTY").alias("code"), F.lit("FAIL").alias("severity"))
-    return found.unionByName(empty)
-
+    of_source = [("LIFECYCLE_SOURCE_HASH_MISSING", "WARN", F.col("source_hash").isNull()), ("LIFECYCLE_EVIDENCE_MISSING", "FAIL", broken(sources))]
+    # Sources count where their symbol is in the manifest.
+    of_symbols = sources.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
+    found = explode_rules(rows, "symbol", rules).unionByName(explode_rules(of_symbols, "symbol", of_source)).distinct()
+    whole = evidence_support(symbols, sources).select(F.lit("").alias("target"), F.array_compact(F.array(F.when(F.col("symbols") == 0, F.struct(F.lit("LIFECYCLE_EMPTY").alias("code"), F.lit("FAIL").alias("severity"))), F.when(F.col("survivorship") != "LOW_SUPPORTED", F.struct(F.lit("LIFECYCLE_LOW_RISK_UNPROVEN").alias("code"), F.lit("WARN").alias("severity"))))).alias("f"))
+    return found.unionByName(whole.select("target", F.inline("f")))
+
+
+def evidence_support(symbols: DataFrame, sources: DataFrame) -> DataFrame:
+    """How far a manifest's listing, delisting and survivorship evidence goes; one row. What holds must hold for every symbol."""
+    level = F.coalesce("evidence_level", F.lit("UNKNOWN"))
+    hashed = sources.groupBy(F.col("symbol").alias("__s")).agg(F.bool_and(F.col("source_hash").isNotNull()).alias("__hashed"))
+    rows = symbols.join(hashed, F.col("symbol") == F.col("__s"), "left")
+    listed = F.col("listed_ms").isNotNull() & level.isin("VERIFIED_EXCHANGE_LISTING", *ENDS_PROVEN)
+    ended = F.col("delisted_ms").isNotNull() & level.isin(*ENDS_PROVEN)
+    supported = F.col("listed_ms").isNotNull() & ended & F.coalesce("__hashed", F.lit(True))
+    some = lambda x: F.bool_or(level == x)
+    none = F.count("*") == 0
+    return rows.agg(
+        F.count("*").alias("symbols"),
+        F.when(none, "MISSING").when(F.bool_and(listed), "VERIFIED").when(some("LOCAL_DATA_FIRST_SEEN"), "FIRST_SEEN_ONLY").when(some("CURRENT_ACTIVE_ONLY"), "CURRENT_ACTIVE_ONLY").when(some("USER_PROVIDED_UNVERIFIED"), "USER_PROVIDED_UNVERIFIED").otherwise("MISSING").alias("listing"),
+        F.when(none, "MISSING").when(F.bool_and(ended), "VERIFIED").otherwise("MISSING").alias("delisting"),
+        F.when(none, "UNKNOWN").when(F.bool_and(supported), "LOW_SUPPORTED").otherwise("ELEVATED").alias("survivorship"),
+    )
 
-def evidence_support(symbols: DataFrame) -> DataFrame:
-    """How far a manifest's listing, delisting and survivorship evidence goes; one row."""
-    verified = F.col("evidence_level").isin("VERIFIED_EXCHANGE_LISTING", "VERIFIED_EXCHANGE_DELISTING", "HISTORICAL_SNAPSHOT_EVIDENCE")
-    listed, delisted = verified & F.col("listed_ms").isNotNull(), verified & (F.col("delisted_ms").isNotNull() | (F.col("status") == "ACTIVE"))
-    grade = lambda c: F.when(F.bool_and(c), "COMPLETE").when(F.bool_or(c), "PARTIAL").otherwise("MISSING")
-    out = symbols.agg(F.count("*").alias("symbols"), grade(listed).alias("listing"), grade(delisted).alias("delisting"))
-    return out.withColumn("survivorship", F.when((F.col("listing") == "COMPLETE") & (F.col("delisting") == "COMPLETE"), "LOW_SUPPORTED").when((F.col("listing") == "MISSING") & (F.col("delisting") == "MISSING"), "UNSUPPORTED").otherwise("PARTIALLY_SUPPORTED"))
 
+def grade_sources(sources: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """I16: without a hash a source is unverified; confidence is MEDIUM only for hashed evidence of a verified level.
 
-def grade_sources(sources: DataFrame) -> DataFrame:
-    """I16: without a hash a source is unverified; confidence is MEDIUM only for hashed evidence of a verified level."""
+    files(path, sha256) are source files that exist: the hash of a source's own file, by source_uri, replaces the stated one.
+    """
+    if files is not None:
+        own = files.select(F.col("path").alias("__p"), F.col("sha256").alias("__h")).dropDuplicates(["__p"])
+        sources = sources.join(own, F.col("source_uri") == F.col("__p"), "left").withColumn("source_hash", F.coalesce("__h", "source_hash")).drop("__p", "__h")
     hashed = F.col("source_hash").isNotNull()
     level = F.when(hashed, F.col("evidence_level")).otherwise("USER_PROVIDED_UNVERIFIED")
     return sources.withColumns({"evidence_level": level, "confidence": F.when(hashed & ~F.col("evidence_level").isin(*UNVERIFIED), "MEDIUM").otherwise("LOW")})

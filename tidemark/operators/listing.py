@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs
 
-UNVERIFIED = ("USER_PROVIDED_UNVERIFIED", "UNKNOWN", "")
+UNVERIFIED = exprs.UNVERIFIED
+# Statuses that a listing may have.
+STATUSES = ("ACTIVE", "TRADING", "BREAK", "HALT", "PRE_TRADING", "SETTLING", "DELIVERED", "DELISTED", "EXPIRED", "UNKNOWN")
 
 
 def explode_rules(rows: DataFrame, target: str, rules: list[tuple[str, str, Column]]) -> DataFrame:
@@ -22,33 +24,61 @@ def count_map(col: str, n: str = "n") -> Column:
 
 
 def listing_symbols(raw: DataFrame, quote: str | None = None) -> DataFrame:
-    """Normalised symbols of raw(symbol, status, onboard_ms, delivery_ms, permissions)."""
-    symbol = F.upper(F.trim("symbol"))
-    rows = raw.withColumn("symbol", symbol).withColumn("quote_asset", exprs.quote_asset(F.col("symbol")))
-    if quote:
+    """Normalised symbols of raw(symbol, status, onboard_ms, delivery_ms, permissions); with its other columns behind.
+
+    Assets as stated, where raw has base_asset and quote_asset, else as the symbol ends. quote keeps one quote asset, blank or null all (C4).
+    """
+    given = lambda c: exprs.upper_or_null(F.col(c)) if c in raw.columns else F.lit(None).cast("string")
+    known = ("symbol", "status", "onboard_ms", "delivery_ms", "permissions", "base_asset", "quote_asset")
+    rest = [c for c in raw.columns if c not in known]
+    rows = raw.withColumns({"symbol": F.upper(F.trim("symbol")), "quote_asset": given("quote_asset"), "base_asset": given("base_asset")})
+    rows = rows.withColumns({"quote_asset": F.coalesce("quote_asset", exprs.quote_asset(F.col("symbol"))), "base_asset": F.coalesce("base_asset", exprs.base_asset(F.col("symbol")))})
+    if quote and quote.strip():
         rows = rows.filter(F.col("quote_asset") == quote.strip().upper())
     onboard, delivery = exprs.rfc3339(F.col("onboard_ms")), exprs.rfc3339(F.col("delivery_ms"))
     return rows.select(
-        "symbol", exprs.base_asset(F.col("symbol")).alias("base_asset"), "quote_asset", exprs.exchange_status(F.col("status")).alias("status"),
+        "symbol", "base_asset", "quote_asset", exprs.exchange_status(F.col("status")).alias("status"), exprs.upper_or_null(F.col("status")).alias("raw_status"),
         onboard.alias("onboard_at"), delivery.alias("delivery_at"), F.array_join(F.array_sort(F.col("permissions")), ",").alias("permissions"),
-        F.array_join(exprs.fields_present(status=F.nullif(F.trim("status"), F.lit("")), onboardDate=onboard, deliveryDate=delivery), ",").alias("source_fields"),
+        F.array_join(exprs.fields_present(status=F.nullif(F.trim("status"), F.lit("")), onboardDate=onboard, deliveryDate=delivery), ",").alias("source_fields"), *rest,
     )
 
 
 def listing_findings(symbols: DataFrame, by: list[str]) -> DataFrame:
-    """Findings of every symbol of every snapshot (by); duplicates, shape, status and dates."""
+    """I1 by symbol: findings over symbols(by, symbol, status, raw_status, onboard_at, delivery_at) of every snapshot; times are text or null."""
     w = Window.partitionBy(*by, "symbol").orderBy("status")
     rows = symbols.withColumn("__k", F.row_number().over(w)).withColumn("__t", F.concat_ws("/", *by, "symbol"))
+    status = F.coalesce("status", F.lit("UNKNOWN"))
     rules = [
         ("EXCHANGE_META_DUPLICATE_SYMBOL", "FAIL", F.col("__k") > 1),
-        ("EXCHANGE_META_SYMBOL_MALFORMED", "FAIL", ~F.col("symbol").rlike("^[A-Z0-9]{3,40}$")),
-        ("EXCHANGE_META_SYMBOL_STATUS_UNKNOWN", "WARN", F.col("status") == "UNKNOWN"),
-        ("EXCHANGE_META_ONBOARD_DATE_MISSING", "WARN", F.col("onboard_at").isNull()),
-        ("EXCHANGE_META_DELIVERY_DATE_MISSING", "WARN", F.col("delivery_at").isNull()),
+        ("EXCHANGE_META_SYMBOL_MALFORMED", "FAIL", ~exprs.snapshot_symbol(F.col("symbol"))),
+        ("EXCHANGE_META_STATUS_UNKNOWN", "FAIL", ~status.isin(*STATUSES)),
+        ("EXCHANGE_META_STATUS_UNKNOWN", "WARN", status == "UNKNOWN"),
+        ("EXCHANGE_META_SYMBOL_STATUS_UNMAPPED", "WARN", (status == "UNKNOWN") & exprs.upper_or_null(F.col("raw_status")).isNotNull()),
     ]
+    for name, at in (("ONBOARD", F.col("onboard_at")), ("DELIVERY", F.col("delivery_at"))):
+        rules += [(f"EXCHANGE_META_{name}_DATE_MISSING", "WARN", at.isNull()), (f"EXCHANGE_META_{name}_DATE_MISSING", "FAIL", at.isNotNull() & exprs.parsed_ms(at).isNull())]
     return explode_rules(rows, "__t", rules)
 
 
+def snapshot_findings(snapshots: DataFrame) -> DataFrame:
+    """I1 by snapshot: findings over snapshots(snapshot_id, raw_sha256, observed, source_type, symbols), observed being null where it is unknown."""
+    rules = [
+        ("EXCHANGE_META_RAW_PAYLOAD_MISSING", "WARN", exprs.known(F.col("raw_sha256")).isNull()),
+        ("EXCHANGE_META_SOURCE_TIME_UNKNOWN", "WARN", F.col("observed").isNull()),
+        ("EXCHANGE_META_CURRENT_ONLY_SOURCE", "WARN", exprs.current_only(F.col("source_type"))),
+        ("EXCHANGE_META_EMPTY_SYMBOL_SET", "FAIL", F.coalesce(F.col("symbols") == 0, F.lit(True))),
+    ]
+    return explode_rules(snapshots, "snapshot_id", rules)
+
+
+def snapshot_manifest(snapshots: DataFrame) -> DataFrame:
+    """One row: archive_summary with the hash of the archive's snapshot hashes in the order of collection (a tree: days, then their hashes)."""
+    line = F.concat_ws("|", "collected", "snapshot_id", "snapshot_hash")
+    days = snapshots.groupBy(F.substring("collected", 1, 10).alias("day")).agg(exprs.set_hash(line).alias("h"))
+    digest = days.agg(exprs.set_hash(F.concat_ws("|", "day", "h")).alias("archive_hash"))
+    return archive_summary(snapshots).join(F.broadcast(digest))
+
+
 def verdict(findings: DataFrame) -> DataFrame:
     """Counts by severity and the worst: FAIL, WARN or PASS."""
     out = findings.agg(F.count_if(F.col("severity") == "FAIL").alias("invalid"), F.count_if(F.col("severity") == "WARN").alias("warnings"))
@@ -56,10 +86,11 @@ def verdict(findings: DataFrame) -> DataFrame:
 
 
 def symbol_evidence(seen: DataFrame) -> DataFrame:
-    """E8 over seen(symbol, snapshot_id, collected, status, onboard_ms, delivery_ms, hash)."""
+    """E8 over seen(symbol, snapshot_id, collected, status, onboard_ms, delivery_ms); with a column hash also the sorted hashes of the snapshots."""
+    hashes = [F.array_join(F.array_sort(F.collect_set("hash")), ",").alias("snapshot_hashes")] if "hash" in seen.columns else []
     return seen.groupBy("symbol").agg(
         F.min("collected").alias("first_seen"), F.max("collected").alias("last_seen"), F.countDistinct("snapshot_id").alias("times_seen"),
-        F.array_join(F.array_sort(F.collect_set("status")), ",").alias("statuses"), F.bool_or(F.coalesce(F.col("onboard_ms") > 0, F.lit(False))).alias("has_onboard"), F.bool_or(F.coalesce(F.col("delivery_ms") > 0, F.lit(False))).alias("has_delivery"),
+        F.array_join(F.array_sort(F.collect_set("status")), ",").alias("statuses"), F.bool_or(F.coalesce(F.col("onboard_ms") > 0, F.lit(False))).alias("has_onboard"), F.bool_or(F.coalesce(F.col("delivery_ms") > 0, F.lit(False))).alias("has_delivery"), *hashes,
     )
 
 
@@ -78,13 +109,81 @@ def archive_summary(snapshots: DataFrame) -> DataFrame:
 def intake(incoming: DataFrame, archive: DataFrame, key: str = "hash", order: str = "path") -> DataFrame:
     """Each input with its outcome. The first of a batch wins, what the archive holds is a duplicate.
 
-    Outcomes: SKIPPED (no hash), DUPLICATE, IMPORTED.
+    Outcomes: SKIPPED (no hash), DUPLICATE, IMPORTED. The first of a batch is a
+    map-side minimum, so that inputs of one hash, or of none, never meet.
     """
-    w = Window.partitionBy(key).orderBy(order)
     have = archive.select(F.col(key).alias("__have")).distinct()
-    rows = incoming.withColumn("__k", F.row_number().over(w)).join(have, F.col(key) == F.col("__have"), "left")
-    outcome = F.when(F.col(key).isNull(), "SKIPPED").when((F.col("__k") > 1) | F.col("__have").isNotNull(), "DUPLICATE").otherwise("IMPORTED")
-    return rows.withColumn("outcome", outcome).drop("__k", "__have")
+    hashed = incoming.filter(F.col(key).isNotNull())
+    first = hashed.groupBy(F.col(key).alias("__key")).agg(F.min(order).alias("__first"))
+    rows = hashed.join(first, F.col(key) == F.col("__key")).join(have, F.col(key) == F.col("__have"), "left")
+    outcome = F.when((F.col(order) != F.col("__first")) | F.col("__have").isNotNull(), "DUPLICATE").otherwise("IMPORTED")
+    done = rows.withColumn("outcome", outcome).drop("__key", "__first", "__have")
+    return done.unionByName(incoming.filter(F.col(key).isNull()).withColumn("outcome", F.lit("SKIPPED")))
+
+
+def backfill_report(inputs: DataFrame, archive: DataFrame, trust: str | None, order: str = "path") -> tuple[DataFrame, DataFrame]:
+    """inputs(path, hash, observed, ...) with their outcome, and the findings of the whole intake.
+
+    hash is null for inputs without symbols. trust is what the caller vouches
+    for: none is unverified.
+    """
+    done = intake(inputs, archive, order=order)
+    rules = [
+        ("EXCHANGE_BACKFILL_INPUT_PARSE_FAILED", "WARN", F.col("outcome") == "SKIPPED"),
+        ("EXCHANGE_BACKFILL_OBSERVED_TIME_MISSING", "WARN", (F.col("outcome") != "SKIPPED") & F.col("observed").isNull()),
+        ("EXCHANGE_BACKFILL_DUPLICATE_SNAPSHOT", "WARN", F.col("outcome") == "DUPLICATE"),
+    ]
+    level = (trust or "").strip().upper() or "USER_PROVIDED_UNVERIFIED"
+    head = [
+        ("EXCHANGE_BACKFILL_INPUT_EMPTY", "FAIL", F.col("n") == 0),
+        ("EXCHANGE_BACKFILL_USER_PROVIDED_UNVERIFIED", "WARN", (F.col("n") > 0) & F.lit(level == "USER_PROVIDED_UNVERIFIED")),
+        ("EXCHANGE_BACKFILL_TRUST_LEVEL_UNKNOWN", "WARN", (F.col("n") > 0) & F.lit(level == "UNKNOWN")),
+    ]
+    whole = inputs.agg(F.count("*").alias("n")).withColumn("t", F.lit(""))
+    return done, explode_rules(done.withColumn("__t", F.col(order).cast("string")), "__t", rules).unionByName(explode_rules(whole, "t", head))
+
+
+def intake_hashes(done: DataFrame, trust: str) -> DataFrame:
+    """E21 for an intake: one row with the hashes of what came in and of what was imported; trees by the hash's first character, so that no task holds all lines."""
+    line = F.concat_ws("|", exprs.basename(F.col("path")), "input_sha256", F.coalesce("observed", F.lit("null")), F.lit(trust))
+    imported = F.when(F.col("outcome") == "IMPORTED", F.concat_ws("|", F.coalesce("observed", F.lit("")), "hash"))
+    each = done.filter("outcome <> 'SKIPPED'").groupBy(F.substring("input_sha256", 1, 2).alias("d")).agg(exprs.set_hash(line).alias("a"), exprs.set_hash(imported).alias("b"))
+    return each.agg(exprs.set_hash(F.concat_ws("|", "d", "a")).alias("source_batch_hash"), exprs.set_hash(F.concat_ws("|", "d", "b")).alias("imported_snapshot_set_hash"))
+
+
+def archive_integrity(snapshots: DataFrame, raw: DataFrame, manifest: DataFrame, strict: bool = False) -> DataFrame:
+    """I7 with D10, D13 and D16: distinct findings of an archive.
+
+    snapshots(snapshot_id, snapshot_hash, computed_hash, raw_sha256, symbols, source_type), an unparsed one having a null
+    snapshot_hash; raw(name_hash, sha256) of stored payloads, by the hash in their names and that of their bytes; manifest
+    (snapshot_count, sound), of no row where there is none. strict makes missing payloads and duplicates failures.
+    """
+    lax = "FAIL" if strict else "WARN"
+    have = raw.groupBy(F.col("name_hash").alias("__name")).agg(F.bool_and(F.col("sha256") == F.col("name_hash")).alias("__same"))
+    parsed = F.col("snapshot_hash").isNotNull()
+    wanted = parsed & exprs.known(F.col("raw_sha256")).isNotNull()
+    rows = snapshots.join(have, F.col("raw_sha256") == F.col("__name"), "left")
+    rules = [
+        ("EXCHANGE_ARCHIVE_SNAPSHOT_PARSE_FAILED", "FAIL", ~parsed),
+        ("EXCHANGE_ARCHIVE_HASH_MISMATCH", "FAIL", parsed & (F.col("computed_hash") != F.col("snapshot_hash"))),
+        ("EXCHANGE_ARCHIVE_RAW_PAYLOAD_MISSING", lax, wanted & F.col("__name").isNull()),
+        ("EXCHANGE_ARCHIVE_RAW_PAYLOAD_MISSING", "FAIL", wanted & ~F.col("__same")),
+        ("EXCHANGE_ARCHIVE_EMPTY", "FAIL", parsed & (F.col("symbols") == 0)),
+        ("EXCHANGE_ARCHIVE_CURRENT_ONLY_EVIDENCE", "WARN", parsed & exprs.current_only(F.col("source_type"))),
+    ]
+    found = explode_rules(rows, "snapshot_id", rules)
+    ids = snapshots.filter(parsed).groupBy("snapshot_id").agg(F.count("*").alias("n"), F.countDistinct("snapshot_hash").alias("h"))
+    found = found.unionByName(explode_rules(ids, "snapshot_id", [("EXCHANGE_ARCHIVE_CONFLICTING_SNAPSHOT", "FAIL", F.col("h") > 1), ("EXCHANGE_ARCHIVE_DUPLICATE_SNAPSHOT", lax, F.col("n") > F.col("h"))]))
+    counts = ids.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).join(F.broadcast(manifest.agg(F.max("snapshot_count").alias("said"), F.bool_and("sound").alias("sound"))))
+    some = F.col("n") > 0
+    head = [
+        ("EXCHANGE_ARCHIVE_EMPTY", "FAIL", "archive", ~some),
+        ("EXCHANGE_ARCHIVE_MANIFEST_STALE", "FAIL", "manifest", some & (F.col("said").isNull() | (F.col("sound") & (F.col("said") != F.col("n"))))),
+        ("EXCHANGE_ARCHIVE_HASH_MISMATCH", "FAIL", "manifest", some & ~F.col("sound")),
+    ]
+    for code, severity, target, holds in head:
+        found = found.unionByName(explode_rules(counts.withColumn("t", F.lit(target)), "t", [(code, severity, holds)]))
+    return found.distinct()
 
 
 def snapshot_conflicts(snapshots: DataFrame, by: str = "snapshot_id", key: str = "hash") -> DataFrame:

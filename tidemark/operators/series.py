@@ -6,6 +6,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SEVERITY = {"PASS": 0, "UNKNOWN": 1, "WARN": 2, "FAIL": 3}
+#: What an audit warns of.
+GAPS, DUPLICATES, OUT_OF_ORDER, BELOW = "DATASET_GAPS_DETECTED", "DATASET_DUPLICATE_TIMESTAMPS", "DATASET_OUT_OF_ORDER_TIMESTAMPS", "DATASET_COVERAGE_BELOW_THRESHOLD"
+PART_MS = 30 * 86_400_000
+
+
+def with_previous(rows: DataFrame, keys: list[str], order: list[str], part: Column | None, cols: dict[str, str], number: str | None = None) -> DataFrame:
+    """rows with the value of columns in the row before, by name: cols = {new: column}; number counts rows from 0.
+
+    Two levels, so that a long series is no single task: part is a coarse value
+    that never falls along the order. Within a part rows meet their predecessor
+    in a window; the parts' last rows then meet in a window over one row a part,
+    and each part's first row takes from there what is before it. Without part
+    a series is one part.
+    """
+    rows = rows.withColumn("__part", F.lit(0) if part is None else part)
+    w = Window.partitionBy(*keys, "__part").orderBy(*order)
+    seen = rows.withColumns({"__row": F.row_number().over(w), **{new: F.lag(c).over(w) for new, c in cols.items()}})
+    if part is not None:
+        last = F.max_by(F.struct(*[F.col(c).alias(new) for new, c in cols.items()]), F.struct(*order))
+        ends = rows.groupBy(*keys, "__part").agg(last.alias("__last"), F.count("*").alias("__n"))
+        before = Window.partitionBy(*keys).orderBy("__part")
+        edges = ends.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__part").alias("__k"), F.lag("__last").over(before).alias("__edge"), F.coalesce(F.sum("__n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+        on = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys] + [F.col("__part").eqNullSafe(F.col("__k"))]
+        seen = seen.join(edges, on, "left").withColumns({new: F.when(F.col("__row") == 1, F.col(f"__edge.{new}")).otherwise(F.col(new)) for new in cols})
+        seen = seen.withColumn("__row", F.col("__row") + F.col("__before")).drop("__edge", "__before", "__k", *[f"__k_{k}" for k in keys])
+    if number:
+        seen = seen.withColumn(number, (F.col("__row") - 1).cast("bigint"))
+    return seen.drop("__part", "__row")
 
 
 def _slots(rows: DataFrame, keys: list[str], t: str, part_ms: int) -> DataFrame:
@@ -13,15 +41,16 @@ def _slots(rows: DataFrame, keys: list[str], t: str, part_ms: int) -> DataFrame:
     return rows.groupBy(*keys, F.floor(F.col(t) / part_ms).alias("__part"), F.col(t).alias("__t")).agg(F.count("*").alias("__n"))
 
 
-def gap_audit(rows: DataFrame, keys: list[str], t: str, step_ms: int, start: int | None = None, end: int | None = None, min_pct: float = 99.0, part_ms: int = 30 * 86_400_000) -> DataFrame:
+def gap_audit(rows: DataFrame, keys: list[str], t: str, step_ms: int, start: int | None = None, end: int | None = None, min_pct: float = 99.0, part_ms: int = PART_MS, tail: bool = True) -> DataFrame:
     """Coverage of every series, one row each.
 
     Two levels, so that a long series is no single task: times meet their
     predecessor within a part of part_ms, and then the parts' first and last
     times meet in a window over one row a part. start and end clamp the window
     inwards: slots are expected from the clamped first to the clamped last time,
-    and those before the first row inside and after the last one are missing (the
-    reference counts only the former). Null times are ignored.
+    and those before the first row inside are missing, as are those after the
+    last one unless tail is false. warnings lists the codes of what was found.
+    Null times are ignored.
     """
     rows = rows.filter(F.col(t).isNotNull())
     inside = F.lit(True)
@@ -53,6 +82,8 @@ def gap_audit(rows: DataFrame, keys: list[str], t: str, step_ms: int, start: int
     )
     # From the clamped first time to the first row inside, and from the last one to the clamped last time; from end to end without any.
     before, after = F.coalesce(F.col("__first") - F.col("min_time_ms"), F.lit(0)), F.col("max_time_ms") - F.coalesce(F.col("__last"), F.col("min_time_ms") - step)
+    if not tail:
+        after = F.lit(0)
     ends = F.when(before > 0, 1).otherwise(0) + F.when(after >= step, 1).otherwise(0)
     lost = F.floor(before / step) + F.when(after >= step, F.floor(after / step)).otherwise(0)
     widest = F.greatest("__widest", F.when(before > 0, before + step).otherwise(0), F.when(after >= step, after + step).otherwise(0))
@@ -61,7 +92,9 @@ def gap_audit(rows: DataFrame, keys: list[str], t: str, step_ms: int, start: int
     pct = F.when(expected > 0, F.least(F.col("rows") - F.col("duplicate_rows"), expected) * 100.0 / expected).otherwise(F.lit(0.0))
     out = out.withColumns({"expected_rows": expected.cast("bigint"), "coverage_pct": pct, "largest_gap_seconds": F.greatest(F.floor((F.col("__widest") - step) / 1000), F.lit(0)).cast("bigint")})
     status = F.when(F.col("coverage_pct") < min_pct, "FAIL").when((F.col("gap_count") > 0) | (F.col("duplicate_rows") > 0), "WARN").otherwise("PASS")
-    return out.withColumn("status", status).select(*keys, "rows", "expected_rows", "missing_rows", "duplicate_rows", "gap_count", "largest_gap_seconds", "coverage_pct", "min_time_ms", "max_time_ms", "status")
+    found = [F.when(F.col("gap_count") > 0, GAPS), F.when(F.col("duplicate_rows") > 0, DUPLICATES), F.when(F.col("coverage_pct") < min_pct, BELOW)]
+    out = out.withColumns({"status": status, "warnings": F.concat_ws(",", *found)})
+    return out.select(*keys, "rows", "expected_rows", "missing_rows", "duplicate_rows", "gap_count", "largest_gap_seconds", "coverage_pct", "min_time_ms", "max_time_ms", "status", "warnings")
 
 
 def worst(status: Column) -> Column:
@@ -76,18 +109,19 @@ def gap_audit_total(audit: DataFrame) -> DataFrame:
     return audit.agg(F.count("*").alias("series"), *sums, F.coalesce(F.max("largest_gap_seconds"), F.lit(0)).alias("largest_gap_seconds"), worst(F.col("status")).alias("status"))
 
 
-def out_of_order(rows: DataFrame, keys: list[str], t: str, order: list[str]) -> DataFrame:
-    """rows whose time is below the one that arrived before, by the arrival order given."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    seen = rows.select(*keys, (F.col(t) < F.lag(t).over(w)).alias("__back"))
-    return seen.groupBy(*keys).agg(F.count("*").alias("rows"), F.count_if("__back").alias("out_of_order_rows"))
+def out_of_order(rows: DataFrame, keys: list[str], t: str, order: list[str], part: Column | None = None) -> DataFrame:
+    """rows whose time is below the one that arrived before, by the arrival order given; warnings names them. part as in with_previous."""
+    seen = with_previous(rows.select(*dict.fromkeys([*keys, t, *order])), keys, order, part, {"__prev": t})
+    out = seen.groupBy(*keys).agg(F.count("*").alias("rows"), F.count_if(F.col(t) < F.col("__prev")).alias("out_of_order_rows"))
+    return out.withColumn("warnings", F.when(F.col("out_of_order_rows") > 0, OUT_OF_ORDER).otherwise(""))
 
 
-def range_coverage(rows: DataFrame, keys: list[str], t: str, step_ms: int | None, lo: int, hi: int) -> DataFrame:
+def range_coverage(rows: DataFrame, keys: list[str], t: str, step_ms: int | None, lo: int, hi: int, part_ms: int = PART_MS) -> DataFrame:
     """Each series against the slots of [lo, hi]; rows off the grid are ignored for what is missing.
 
     Counts are arithmetic on distinct times; the first and last missing slots
-    come from the neighbours of the times that are there. No grid is generated.
+    come from neighbours within parts of part_ms, and then from the parts' ends,
+    as in gap_audit. No grid is generated.
     """
     inside = rows.filter(F.col(t).between(lo, hi)) if step_ms else rows
     series = rows.select(*keys).distinct()
@@ -95,22 +129,28 @@ def range_coverage(rows: DataFrame, keys: list[str], t: str, step_ms: int | None
         return series.select(*keys, *[F.lit(0).cast("bigint").alias(c) for c in ("expected_rows", "actual_rows", "duplicate_rows", "missing_rows")], *[F.lit(None).cast("bigint").alias(c) for c in ("first_missing_ms", "last_missing_ms")], F.lit("FAIL").alias("status"))
     expected = (hi - lo) // step_ms + 1
     top = lo + (expected - 1) * step_ms
-    slots = inside.groupBy(*keys, F.col(t).alias("__t")).agg(F.count("*").alias("__n"))
-    slots = slots.withColumn("__on", (F.col("__t") - lo) % step_ms == 0)
-    w = Window.partitionBy(*keys, "__on").orderBy("__t")
-    near = slots.withColumns({"__prev": F.coalesce(F.lag("__t").over(w), F.lit(lo - step_ms)), "__next": F.coalesce(F.lead("__t").over(w), F.lit(top + step_ms))})
-    on = F.col("__on")
-    got = near.groupBy(*keys).agg(
-        F.sum("__n").alias("actual_rows"), F.sum(F.col("__n") - 1).alias("duplicate_rows"), F.count_if(on).alias("__there"),
-        F.min(F.when(on & (F.col("__t") - F.col("__prev") > step_ms), F.col("__prev") + step_ms)).alias("__a"), F.min(F.when(on & (F.col("__next") - F.col("__t") > step_ms), F.col("__t") + step_ms)).alias("__b"),
-        F.max(F.when(on & (F.col("__next") - F.col("__t") > step_ms), F.col("__next") - step_ms)).alias("__c"), F.max(F.when(on & (F.col("__t") - F.col("__prev") > step_ms), F.col("__t") - step_ms)).alias("__d"),
+    slots = _slots(inside, keys, t, part_ms).withColumn("__g", F.when((F.col("__t") - lo) % step_ms == 0, F.col("__t")))
+    w = Window.partitionBy(*keys, "__part").orderBy("__t").rowsBetween(Window.unboundedPreceding, -1)
+    slots = slots.withColumn("__prev", F.max("__g").over(w))
+    gap = F.col("__g") - F.col("__prev") > step_ms
+    parts = slots.groupBy(*keys, "__part").agg(
+        F.sum("__n").alias("n"), F.sum(F.col("__n") - 1).alias("dups"), F.count("__g").alias("there"), F.min("__g").alias("first"), F.max("__g").alias("last"),
+        F.min(F.when(gap, F.col("__prev") + step_ms)).alias("a"), F.max(F.when(gap, F.col("__g") - step_ms)).alias("b"),
+    )
+    w = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("__prev", F.coalesce(F.max("last").over(w), F.lit(lo - step_ms)))
+    gap = F.col("first") - F.col("__prev") > step_ms
+    got = parts.groupBy(*keys).agg(
+        F.sum("n").alias("actual_rows"), F.sum("dups").alias("duplicate_rows"), F.sum("there").alias("__there"), F.max("last").alias("__last"),
+        F.least(F.min("a"), F.min(F.when(gap, F.col("__prev") + step_ms))).alias("__a"), F.greatest(F.max("b"), F.max(F.when(gap, F.col("first") - step_ms))).alias("__b"),
     )
     out = series.join(got, keys, "left")
     missing = F.lit(expected) - F.coalesce("__there", F.lit(0))
-    none = F.coalesce("__there", F.lit(0)) == 0
+    last = F.coalesce("__last", F.lit(lo - step_ms))
+    ends = last < top
     return out.select(
         *keys, F.lit(expected).cast("bigint").alias("expected_rows"), F.coalesce("actual_rows", F.lit(0)).alias("actual_rows"), F.coalesce("duplicate_rows", F.lit(0)).alias("duplicate_rows"), missing.cast("bigint").alias("missing_rows"),
-        F.when(none, F.lit(lo)).otherwise(F.least("__a", "__b")).cast("bigint").alias("first_missing_ms"), F.when(none, F.lit(top)).otherwise(F.greatest("__c", "__d")).cast("bigint").alias("last_missing_ms"),
+        F.coalesce("__a", F.when(ends, last + step_ms)).cast("bigint").alias("first_missing_ms"), F.when(ends, F.lit(top)).otherwise(F.col("__b")).cast("bigint").alias("last_missing_ms"),
         F.when((missing > 0) | (F.coalesce("duplicate_rows", F.lit(0)) > 0) | F.col("actual_rows").isNull(), "FAIL").otherwise("PASS").alias("status"),
     )
 
@@ -120,14 +160,13 @@ def usability(coverage: DataFrame) -> DataFrame:
     return coverage.withColumn("usable", F.col("missing_rows") == 0)
 
 
-def dataset_verify(rows: DataFrame, keys: list[str], event: str, available: str, lo: int, hi: int) -> DataFrame:
-    """Order, availability and range of every series in one pass over its sorted times.
+def dataset_verify(rows: DataFrame, keys: list[str], event: str, available: str, lo: int, hi: int, part_ms: int = PART_MS) -> DataFrame:
+    """Order, availability and range of every series in one pass over its sorted times, in parts of part_ms.
 
     Order is judged by event time, so that a repeated time is an error; hi is
     the last day's first millisecond, and a whole day is added to it.
     """
-    w = Window.partitionBy(*keys).orderBy(event)
-    seen = rows.withColumn("__prev", F.lag(event).over(w))
+    seen = with_previous(rows.select(*keys, event, available), keys, [event], F.floor(F.col(event) / part_ms), {"__prev": event})
     out = seen.groupBy(*keys).agg(
         F.count("*").alias("rows"), F.count_if(F.col(event) <= F.col("__prev")).alias("sort_errors"),
         F.count_if(F.col(available) < F.col(event)).alias("availability_errors"), F.count_if(F.col(event).between(lo, hi + 86_400_000)).alias("rows_in_range"),
@@ -136,19 +175,42 @@ def dataset_verify(rows: DataFrame, keys: list[str], event: str, available: str,
     return out.withColumn("verdict", verdict)
 
 
-def validate_rows(rows: DataFrame, keys: list[str], order: list[str], event: str, available: str, rules: list[tuple[str, Column]]) -> DataFrame:
+def funding_verify(verified: DataFrame, manifest_status: Column, start: str, end: str) -> DataFrame:
+    """The report of each verified series: its rows and window, PASS only where the verdict is."""
+    ok = F.col("verdict") == "PASS"
+    status = F.when(ok, "PASS").otherwise("FAIL")
+    none = F.lit(0).cast("bigint")
+    return verified.select("symbol", F.col("rows").alias("row_count"), F.lit(start).alias("coverage_start"), F.lit(end).alias("coverage_end"), none.alias("missing_intervals"), F.when(ok, none).otherwise(F.col("sort_errors")).alias("duplicate_event_time_count"), ok.alias("available_at_valid"), manifest_status.alias("manifest_status"), status.alias("verification_status"))
+
+
+def availability_violations(rows: DataFrame, event: str, available: str) -> DataFrame:
+    """The rows that were available before they happened."""
+    return rows.filter(F.col(available) < F.col(event))
+
+
+def validate_rows(rows: DataFrame, keys: list[str], order: list[str], event: str, available: str, required: list[str] = (), bounds: list[tuple[str, Column]] = (), part: Column | None = None) -> DataFrame:
     """each series' first offending row (counted from 0) and its first broken rule; series without one have nulls.
 
-    rules come first, then times, then order against the row before.
+    Required fields come first, then times, then duplicates and order against
+    the rows before, and bounds, (rule, whether it is broken), last. part as in
+    with_previous.
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
-    seen = rows.withColumns({"__row": F.row_number().over(w) - 1, "__prev": F.lag(event).over(w)})
-    seen_before = F.row_number().over(Window.partitionBy(*keys, event).orderBy(*order)) > 1
-    checks = [*rules, ("event_time_ms <= 0", F.col(event) <= 0), ("available_at_ms <= 0", F.col(available) <= 0), ("available_at_ms < event_time_ms", F.col(available) < F.col(event)), ("duplicate event_time_ms", seen_before), ("event_time_ms out of order", F.col(event) < F.col("__prev"))]
-    broken = F.coalesce(*[F.when(c, F.lit(name)) for name, c in checks])
-    found = seen.withColumn("__rule", broken)
+    numbered = with_previous(rows, keys, order, part, {"__prev": event}, "__i")
+    first = numbered.groupBy(*keys, event).agg(F.min("__i").alias("__first"))
+    on = [F.col(k).eqNullSafe(F.col(f"__e_{k}")) for k in (*keys, event)]
+    seen = numbered.join(first.select(*[F.col(k).alias(f"__e_{k}") for k in (*keys, event)], "__first"), on, "left")
+    checks = [(f"missing {c}", F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == "") for c in required]
+    checks += [("event_time_ms <= 0", F.col(event) <= 0), ("available_at_ms <= 0", F.col(available) <= 0), ("available_at_ms < event_time_ms", F.col(available) < F.col(event))]
+    checks += [("duplicate event_time_ms", F.col("__i") > F.col("__first")), ("event_time_ms out of order", F.col(event) < F.col("__prev")), *bounds]
+    found = seen.withColumn("__rule", F.coalesce(*[F.when(c, F.lit(name)) for name, c in checks]))
     bad = F.col("__rule").isNotNull()
-    return found.groupBy(*keys).agg(F.count("*").alias("rows"), F.count_if(bad).alias("bad_rows"), F.min(F.when(bad, F.col("__row"))).cast("bigint").alias("first_bad_row"), F.min_by(F.when(bad, F.col("__rule")), F.when(bad, F.col("__row"))).alias("first_rule"))
+    return found.groupBy(*keys).agg(F.count("*").alias("rows"), F.count_if(bad).alias("bad_rows"), F.min(F.when(bad, F.col("__i"))).alias("first_bad_row"), F.min_by(F.when(bad, F.col("__rule")), F.when(bad, F.col("__i"))).alias("first_rule"))
+
+
+def sentiment_bounds(score: Column, strength: Column | None = None) -> list[tuple[str, Column]]:
+    """Bounds of sentiment rows, for validate_rows; nulls are within."""
+    outside = lambda c, lo, hi: ~F.coalesce(c.between(lo, hi), F.lit(True))
+    return [("score outside 0..100", outside(score, 0, 100)), *([] if strength is None else [("intensity outside 0..1", outside(strength, 0, 1))])]
 
 
 def object_stats(rows: DataFrame, keys: list[str], times: list[str]) -> DataFrame:
@@ -178,9 +240,11 @@ def publishable(manifest: DataFrame, allow_failed: bool = False) -> DataFrame:
 
 
 def month_partitions(rows: DataFrame, keys: list[str], event: str) -> DataFrame:
-    """Rows with the year and month of their event time, as the partitioned sink lays them out."""
-    at = F.timestamp_millis(event)
-    return rows.withColumns({"year": F.date_format(at, "yyyy"), "month": F.date_format(at, "MM")})
+    """Rows with the year and month of their event time in UTC, as the partitioned sink lays them out."""
+    from ..functions import exprs
+
+    day = exprs.utc_date(F.col(event))
+    return rows.withColumns({"year": F.substring(day, 1, 4), "month": F.substring(day, 6, 2)})
 
 
 def normalize_sentiment(rows: DataFrame, series: list[str], event: str, order: list[str], score: Column, label: Column, lo: int, hi: int) -> DataFrame:

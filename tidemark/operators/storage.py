@@ -41,6 +41,24 @@ def archive_reconcile(local: DataFrame, remote: DataFrame) -> DataFrame:
     return j.select("path", F.col("l").alias("local_bytes"), F.col("r").alias("remote_bytes"), status.alias("status"), (status == "VERIFIED").alias("safe_to_delete"))
 
 
+def catalogue_update(catalogue: DataFrame, seen: DataFrame) -> DataFrame:
+    """catalogue(path, status, length) brought up to date by seen(path, status, length) of a reconciliation.
+
+    What is verified now is entered as VERIFIED; an entry that was verified and
+    no longer is, or is gone from both sides, falls back to UNKNOWN.
+    """
+    c = catalogue.select("path", F.col("status").alias("c_status"), F.col("length").alias("c_length"))
+    s = seen.select("path", F.col("status").alias("s_status"), F.col("length").alias("s_length"))
+    status = F.when(F.col("s_status") == "VERIFIED", "VERIFIED").when(F.col("c_status") == "VERIFIED", "UNKNOWN").otherwise(F.coalesce("c_status", F.lit("UNKNOWN")))
+    return c.join(s, "path", "full_outer").select("path", status.alias("status"), F.coalesce("s_length", "c_length").alias("length"))
+
+
+def targets(files: DataFrame, symbols: list[str] | None, first_year: int, last_year: int) -> DataFrame:
+    """files(symbol, year, ...) of a set of symbols, all without one, and of whole years; a range's months do not matter."""
+    rows = files.filter(F.col("year").cast("int").between(first_year, last_year))
+    return rows.filter(F.col("symbol").isin([s.strip().upper() for s in symbols])) if symbols else rows
+
+
 def cleanup_plan(files: DataFrame, retained: list[str], first_year: int, last_year: int, budget: int) -> DataFrame:
     """A decision and reason for every file(path, symbol, year, length, status); the first reason that holds.
 
@@ -87,7 +105,26 @@ def ingest_plan(symbols: DataFrame, periods: DataFrame, existing: DataFrame, mar
     return plan.withColumn("key", key).join(have, "key", "left").select("key", "symbol", "period", F.when(F.col("__have"), "SKIP_EXISTING").otherwise("FETCH").alias("state"))
 
 
+def apply_policy(plan: DataFrame, policy: str = "skip") -> DataFrame:
+    """What is to be done with a plan's objects: `skip` leaves those that are there, `overwrite` makes them anew, `dry-run` does nothing."""
+    if policy not in ("skip", "overwrite", "dry-run"):
+        raise ValueError(f"no such policy: {policy}")
+    there = F.col("state") == "SKIP_EXISTING"
+    if policy == "dry-run":
+        return plan.withColumn("state", F.lit("PLANNED"))
+    return plan if policy == "skip" else plan.withColumn("state", F.when(there, "FETCH").otherwise(F.col("state")))
+
+
 def plan_summary(plan: DataFrame) -> DataFrame:
     """Objects by state, and a label for the whole."""
     out = plan.agg(F.count("*").alias("objects"), F.count_if(F.col("state") == "FETCH").alias("to_fetch"), F.count_if(F.col("state") == "SKIP_EXISTING").alias("skipped"))
     return out.withColumn("label", F.when(F.col("to_fetch") > 0, "INCOMPLETE").otherwise("COMPLETE"))
+
+
+def outcome_summary(outcomes: DataFrame, dry_run: bool = False) -> DataFrame:
+    """Objects by outcome (RESTORED, SKIPPED_EXISTING, MISSING, FAILED_VALIDATION, FAILED_RESTORE, PLANNED) and the label of the gravest."""
+    names = {"restored": "RESTORED", "skipped": "SKIPPED_EXISTING", "missing": "MISSING", "failed_validation": "FAILED_VALIDATION", "failed_restore": "FAILED_RESTORE", "planned": "PLANNED"}
+    out = outcomes.agg(F.count("*").alias("objects"), *[F.count_if(F.col("outcome") == v).alias(k) for k, v in names.items()])
+    # The labels of a restore.
+    label = F.when(F.col("missing") > 0, "blocked_missing_r2_objects").when(F.col("failed_validation") > 0, "blocked_validation_failure").when(F.col("failed_restore") > 0, "partial_restore").otherwise("dry_run_complete" if dry_run else "restore_complete")
+    return out.withColumn("final_label", label)

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs
-from .listing import UNVERIFIED, count_map, explode_rules
+from .listing import count_map, explode_rules
+
+# Policies, those that claim a point in time, and what a policy makes of a LOW risk.
+POLICIES = ("POINT_IN_TIME_EXCHANGE_UNIVERSE", "POINT_IN_TIME_VOLUME_FILTERED_UNIVERSE", "POINT_IN_TIME_MARKET_CAP_FILTERED_UNIVERSE", "EXPLICIT_SYMBOL_LIST", "CURRENT_ACTIVE_SYMBOL_LIST", "LOCAL_DATA_DISCOVERED_SYMBOLS")
+POINT_IN_TIME = POLICIES[:3]
+POLICY_RISK = {"EXPLICIT_SYMBOL_LIST": "HIGH", "CURRENT_ACTIVE_SYMBOL_LIST": "HIGH", "LOCAL_DATA_DISCOVERED_SYMBOLS": "MEDIUM"}
+POLICY_CODE = {"EXPLICIT_SYMBOL_LIST": "UNIVERSE_EXPLICIT_SYMBOL_LIST_SURVIVORSHIP_RISK", "CURRENT_ACTIVE_SYMBOL_LIST": "UNIVERSE_CURRENT_ACTIVE_SURVIVORSHIP_RISK", "LOCAL_DATA_DISCOVERED_SYMBOLS": "UNIVERSE_LOCAL_DATA_DISCOVERY_NOT_POINT_IN_TIME"}
 
 
 def build_universe(symbols: DataFrame, lifecycle: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
@@ -20,36 +26,110 @@ def build_universe(symbols: DataFrame, lifecycle: DataFrame, start_ms: int, end_
     )
 
 
-def universe_findings(universe: DataFrame, policy: str, start_ms: int, end_ms: int) -> DataFrame:
-    """I4: findings of a universe and of its policy."""
+def discover_symbols(files: DataFrame) -> DataFrame:
+    """The symbols of the folders `symbol=` over files(path, ...), each once."""
+    return files.select(exprs.folder_symbol(F.col("path")).alias("symbol")).filter("symbol is not null").distinct()
+
+
+def universe_findings(
+    universe: DataFrame, policy: str, start_ms: int | None, end_ms: int | None, support: DataFrame | None = None,
+    coverage: str | None = None, snapshot_current_only: bool = False, includes_delisted: str = "unknown", risk: str = "HIGH", source_type: str = "",
+) -> DataFrame:
+    """I4: distinct findings of a universe and of what its header claims.
+
+    support is evidence_support's row for the lifecycle, null where there is
+    none; coverage how snapshots cover the window (window_coverage), null without
+    snapshots; risk the claimed survivorship risk. Findings of the header have the empty target.
+    """
     w = Window.partitionBy("symbol").orderBy("first_seen")
     rows = universe.withColumn("__k", F.row_number().over(w))
-    rules = [
-        ("UNIVERSE_DUPLICATE_SYMBOL", "FAIL", F.col("__k") > 1),
-        ("UNIVERSE_SYMBOL_MALFORMED", "FAIL", ~exprs.market_symbol(F.col("symbol"))),
-        ("UNIVERSE_SYMBOL_MISSING_LIFECYCLE", "WARN", ~F.col("in_lifecycle")),
-        ("UNIVERSE_SYMBOL_NOT_ACTIVE_DURING_WINDOW", "WARN", ~F.col("active_during_window")),
-        ("UNIVERSE_LISTING_EVIDENCE_MISSING", "WARN", F.col("listed_ms").isNull()),
-        ("UNIVERSE_DELISTING_EVIDENCE_MISSING", "WARN", F.col("delisted_ms").isNull()),
+    life, snapshots = support is not None, coverage is not None
+    rules = [("UNIVERSE_DUPLICATE_SYMBOL", "FAIL", F.col("__k") > 1), ("UNIVERSE_SYMBOL_MALFORMED", "FAIL", ~exprs.market_symbol(F.col("symbol")))]
+    if life:
+        rules += [
+            ("UNIVERSE_SYMBOL_MISSING_LIFECYCLE", "FAIL", ~F.col("in_lifecycle")),
+            ("UNIVERSE_SYMBOL_NOT_ACTIVE_DURING_WINDOW", "FAIL", ~F.col("active_during_window")),
+            ("UNIVERSE_LISTING_EVIDENCE_MISSING", "WARN", F.col("listed_ms").isNull()),
+            ("UNIVERSE_DELISTING_EVIDENCE_MISSING", "WARN", F.col("delisted_ms").isNull()),
+        ]
+    head = _proof(universe, support).select(F.lit("").alias("t"), "*")
+    listing, delisting = F.col("listing") == "VERIFIED", F.col("delisting") == "VERIFIED"
+    proven = _proven(policy, includes_delisted, source_type)
+    low = F.lit(risk == "LOW")
+    whole = [
+        ("UNIVERSE_EMPTY", "FAIL", F.col("n") == 0),
+        ("UNIVERSE_EFFECTIVE_WINDOW_INVALID", "FAIL", F.lit(start_ms is not None and end_ms is not None and start_ms > end_ms)),
+        ("UNIVERSE_LIFECYCLE_MANIFEST_MISSING", "FAIL", F.lit(not life and policy in POINT_IN_TIME)),
+        ("UNIVERSE_SNAPSHOT_ARCHIVE_CURRENT_ONLY", "WARN", F.lit(life and snapshot_current_only)),
+        ("UNIVERSE_SNAPSHOT_ARCHIVE_DOES_NOT_COVER_WINDOW", "WARN", F.lit(life and snapshots and coverage not in ("COVERS_WINDOW", "CURRENT_ONLY"))),
+        ("UNIVERSE_POINT_IN_TIME_EVIDENCE_PARTIAL", "WARN", F.lit(life and snapshots and coverage != "COVERS_WINDOW")),
+        ("UNIVERSE_LISTING_EVIDENCE_MISSING", "WARN", F.lit(life) & ~listing),
+        ("UNIVERSE_LISTING_NOT_PROVEN_BY_SNAPSHOTS", "WARN", F.lit(life and snapshots) & ~listing),
+        ("UNIVERSE_DELISTING_EVIDENCE_MISSING", "WARN", F.lit(life) & ~delisting),
+        ("UNIVERSE_DELISTING_NOT_PROVEN_BY_SNAPSHOTS", "WARN", F.lit(life and snapshots) & ~delisting),
+        ("UNIVERSE_LIFECYCLE_EVIDENCE_WEAK", "WARN", F.lit(life) & (F.col("survivorship") != "LOW_SUPPORTED")),
+        ("UNIVERSE_POLICY_UNKNOWN", "FAIL", F.lit(policy not in POLICIES)),
+        *[(code, "WARN", F.lit(policy == name)) for name, code in POLICY_CODE.items()],
+        ("UNIVERSE_DELISTED_STATUS_UNKNOWN", "FAIL", F.lit(includes_delisted == "true") & ~proven),
+        ("UNIVERSE_DELISTED_STATUS_UNKNOWN", "WARN", F.lit(includes_delisted == "unknown")),
+        ("UNIVERSE_LOW_RISK_UNPROVEN", "WARN", low & ~proven),
     ]
-    n = universe.agg(F.count("*").alias("n"))
-    head = [("UNIVERSE_EMPTY", "FAIL", F.col("n") == 0), ("UNIVERSE_EFFECTIVE_WINDOW_INVALID", "FAIL", F.lit(start_ms > end_ms)), ("UNIVERSE_LOCAL_DATA_DISCOVERY_NOT_POINT_IN_TIME", "WARN", F.lit(policy == "LOCAL_DATA_DISCOVERY"))]
-    return explode_rules(rows, "symbol", rules).unionByName(explode_rules(n.withColumn("t", F.lit("")), "t", head))
+    return explode_rules(rows, "symbol", rules).unionByName(explode_rules(head, "t", whole)).distinct()
+
+
+def _proof(universe: DataFrame, support: DataFrame | None) -> DataFrame:
+    """One row: the universe's symbols and whether all have a listing date, beside the lifecycle's support."""
+    n = universe.agg(F.count("*").alias("n"), F.coalesce(F.bool_and(F.col("listed_ms").isNotNull()), F.lit(False)).alias("all_listed"))
+    names = ("listing", "delisting", "survivorship")
+    if support is None:
+        return n.withColumns({c: F.lit("MISSING") for c in names})
+    return n.join(F.broadcast(support.select(*names)))
 
 
-def survivorship_risk(findings: DataFrame, policy: str, claimed: str) -> DataFrame:
-    """The claimed risk after what findings and policy force; one row. LOW needs a point-in-time policy without findings on evidence."""
-    bad = findings.agg(F.count_if(F.col("code").isin("UNIVERSE_DELISTING_EVIDENCE_MISSING", "UNIVERSE_LISTING_EVIDENCE_MISSING", "UNIVERSE_SYMBOL_MISSING_LIFECYCLE")).alias("gaps"), F.count_if(F.col("severity") == "FAIL").alias("invalid"))
-    forced = {"EXPLICIT_LIST": "HIGH", "CURRENT_ACTIVE": "HIGH", "LOCAL_DATA_DISCOVERY": "MEDIUM"}.get(policy)
-    risk = F.when(F.lit(claimed != "LOW"), claimed).when(F.lit(forced is not None), F.lit(forced)).when((F.col("gaps") > 0) | (F.col("invalid") > 0), "MEDIUM").otherwise("LOW")
-    return bad.withColumn("risk", risk)
+def _proven(policy: str, includes_delisted: str, source_type: str) -> Column:
+    """Whether a header of _proof() proves listings and delistings at a point in time."""
+    if policy not in POINT_IN_TIME or includes_delisted != "true":
+        return F.lit(False)
+    verified = (F.col("listing") == "VERIFIED") & (F.col("delisting") == "VERIFIED") & (F.col("survivorship") == "LOW_SUPPORTED")
+    named = any(x in source_type.lower() for x in ("point", "listing", "delisting"))
+    return verified | (F.lit(named) & F.col("all_listed") & (F.col("n") > 0))
 
 
-def symbol_reconcile(dataset: DataFrame, universe: DataFrame) -> DataFrame:
-    """Symbols of one side alone, as findings."""
+def survivorship_risk(universe: DataFrame, policy: str, claimed: str, support: DataFrame | None = None, includes_delisted: str = "unknown", source_type: str = "") -> DataFrame:
+    """I4: one row with the risk that policy and evidence leave of the claimed one. LOW stays only with proof at a point in time."""
+    proven = _proven(policy, includes_delisted, source_type)
+    unproven = POLICY_RISK.get(policy, "MEDIUM" if includes_delisted == "true" else "UNKNOWN")
+    risk = F.lit(claimed) if claimed != "LOW" else F.when(proven, "LOW").otherwise(unproven)
+    return _proof(universe, support).select(F.col("n").alias("symbols"), proven.alias("proven"), risk.alias("risk"))
+
+
+def symbol_reconcile(dataset: DataFrame, universe: DataFrame, quote: str | None = None, market: str | None = None) -> DataFrame:
+    """Symbols of one side alone, symbols of another quote asset, and a market type that the dataset has not, as findings.
+
+    The market is looked for among the dataset's column market, if it has one; a dataset that shows none is not held against it.
+    """
     d, u = dataset.select("symbol").distinct(), universe.select("symbol").distinct()
-    out = d.join(u, "symbol", "left_anti").select(F.col("symbol").alias("target"), F.lit("DATASET_SYMBOL_NOT_IN_UNIVERSE").alias("code"), F.lit("FAIL").alias("severity"))
-    return out.unionByName(u.join(d, "symbol", "left_anti").select(F.col("symbol").alias("target"), F.lit("UNIVERSE_SYMBOL_MISSING_DATA").alias("code"), F.lit("WARN").alias("severity")))
+    finding = lambda df, code, severity: df.select(F.col("symbol").alias("target"), F.lit(code).alias("code"), F.lit(severity).alias("severity"))
+    out = finding(d.join(u, "symbol", "left_anti"), "DATASET_SYMBOL_NOT_IN_UNIVERSE", "FAIL").unionByName(finding(u.join(d, "symbol", "left_anti"), "UNIVERSE_SYMBOL_MISSING_DATA", "WARN"))
+    if quote:
+        out = out.unionByName(finding(d.filter(~F.col("symbol").endswith(quote)), "UNIVERSE_DATASET_QUOTE_ASSET_MISMATCH", "FAIL"))
+    if market and "market" in dataset.columns:
+        other = dataset.agg(F.count("market").alias("n"), F.count_if(F.col("market") == market).alias("k")).filter("n > 0 and k = 0")
+        out = out.unionByName(finding(other.select(F.lit("").alias("symbol")), "UNIVERSE_DATASET_MARKET_TYPE_MISMATCH", "FAIL"))
+    return out
+
+
+def range_findings(head: DataFrame, start_ms: int | None, end_ms: int | None) -> DataFrame:
+    """A finding if the dataset's range, head(start_ms, end_ms), is not within the universe's window; open or empty bounds hold nothing out."""
+    early = F.lit(False) if start_ms is None else F.coalesce(F.col("start_ms") < start_ms, F.lit(False))
+    late = F.lit(False) if end_ms is None else F.coalesce(F.col("end_ms") > end_ms, F.lit(False))
+    return explode_rules(head.withColumn("t", F.lit("")), "t", [("DATASET_RANGE_OUTSIDE_UNIVERSE_WINDOW", "FAIL", early | late)])
+
+
+def coverage_findings(audit: DataFrame) -> DataFrame:
+    """The warnings of a coverage audit as findings of its symbols; those of a failed audit are failures."""
+    each = audit.select(F.col("symbol").alias("target"), F.explode(F.filter(F.split("warnings", ","), lambda x: x != "")).alias("code"), F.when(F.col("status") == "FAIL", "FAIL").otherwise("WARN").alias("severity"))
+    return each.distinct()
 
 
 def union_warnings(*frames: DataFrame) -> DataFrame:
@@ -60,20 +140,51 @@ def union_warnings(*frames: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def dataset_manifest(files: DataFrame, findings: DataFrame) -> DataFrame:
-    """One row: files(path, symbol, sha256, row_count, lo, hi) with the dataset's hash, range, symbols and worst finding."""
+def dataset_manifest(files: DataFrame, findings: DataFrame, carried: DataFrame | None = None) -> DataFrame:
+    """One row: files(path, symbol, sha256, row_count, lo, hi) with the dataset's hash, range, symbols, worst finding and sorted codes.
+
+    carried is a header row to carry on from the universe and its lifecycle
+    (provenance, D17); its columns come before the manifest's own.
+    """
     each = files.groupBy("symbol").agg(F.count("*").alias("files"), F.sum("row_count").alias("rows"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     head = each.agg(F.count("*").alias("symbols"), F.sum("files").alias("files"), F.sum("rows").alias("rows"), F.min("lo").alias("start_ms"), F.max("hi").alias("end_ms"))
-    found = findings.agg(F.count_if(F.col("severity") == "FAIL").alias("invalid"), F.count_if(F.col("severity") == "WARN").alias("warnings"))
+    codes = F.array_join(F.array_sort(F.collect_set("code")), ",")
+    found = findings.groupBy("code", "severity").agg(F.count("*").alias("n")).agg(
+        F.coalesce(F.sum(F.when(F.col("severity") == "FAIL", F.col("n"))), F.lit(0)).alias("invalid"), F.coalesce(F.sum(F.when(F.col("severity") == "WARN", F.col("n"))), F.lit(0)).alias("warnings"), codes.alias("warning_codes")
+    )
     digest = dataset_hash(files)
     out = head.join(F.broadcast(found)).join(F.broadcast(digest.select("dataset_hash")))
-    return out.withColumn("status", F.when(F.col("invalid") > 0, "FAIL").when(F.col("warnings") > 0, "WARN").otherwise("PASS"))
+    out = out.withColumn("status", F.when(F.col("invalid") > 0, "FAIL").when(F.col("warnings") > 0, "WARN").otherwise("PASS"))
+    return out if carried is None else carried.join(F.broadcast(out))
+
+
+def provenance(universe: DataFrame, lifecycle: DataFrame, support: DataFrame, risk: DataFrame, policy: str, universe_id: str = "universe", lifecycle_id: str = "lifecycle") -> DataFrame:
+    """One row that a dataset's manifest carries on: ids and hashes of universe and lifecycle, levels, evidence, policy and risk."""
+    tree = lambda df, line: df.groupBy(F.substring(F.sha2(line, 256), 1, 2).alias("d")).agg(exprs.set_hash(line).alias("h")).agg(exprs.set_hash(F.concat_ws("|", "d", "h")).alias("h"))
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("UNKNOWN"))
+    u = tree(universe, F.concat_ws("|", text("symbol"), text("listed_ms"), text("delisted_ms"), text("active_during_window"))).withColumnRenamed("h", "universe_hash")
+    m = tree(lifecycle, F.concat_ws("|", text("symbol"), text("status"), text("listed_ms"), text("delisted_ms"), text("evidence_level"))).withColumnRenamed("h", "lifecycle_hash")
+    levels = evidence_histogram(lifecycle).select(F.col("levels").alias("evidence_levels"))
+    out = u.select(F.lit(universe_id).alias("universe_id"), "universe_hash", F.lit(policy).alias("universe_policy"), F.lit(lifecycle_id).alias("lifecycle_id"))
+    for one in (m, levels, support.select(F.col("listing").alias("listing_evidence"), F.col("delisting").alias("delisting_evidence"), F.col("survivorship").alias("survivorship_support")), risk.select("risk")):
+        out = out.join(F.broadcast(one))
+    return out
+
+
+def fold_verdict(manifest: DataFrame, verdict: DataFrame) -> DataFrame:
+    """A manifest's row with the point-in-time verdict, its promotion and a hash of the whole, made anew."""
+    out = manifest.drop("pit_status", "pit_promotion", "manifest_hash").join(F.broadcast(verdict.select(F.col("verdict").alias("pit_status"), F.col("promotion").alias("pit_promotion"))))
+    return out.withColumn("manifest_hash", exprs.fingerprint(*out.columns))
+
+
+def file_set_hash(files: DataFrame) -> DataFrame:
+    """(symbol, h, n): SHA-256 over a symbol's `path:sha256` lines in path order, and how many they are."""
+    return files.groupBy("symbol").agg(exprs.set_hash(F.concat("path", F.lit(":"), "sha256")).alias("h"), F.count("*").alias("n"))
 
 
 def dataset_hash(files: DataFrame) -> DataFrame:
     """SHA-256 over `path:sha256` lines in path order, as a tree: symbols' hashes, then the hash of those, so that no task holds all lines."""
-    each = files.groupBy("symbol").agg(exprs.set_hash(F.concat("path", F.lit(":"), "sha256")).alias("h"), F.count("*").alias("n"))
-    return each.agg(exprs.set_hash(F.concat("symbol", F.lit(":"), "h")).alias("dataset_hash"), F.sum("n").alias("files"))
+    return file_set_hash(files).agg(exprs.set_hash(F.concat("symbol", F.lit(":"), "h")).alias("dataset_hash"), F.sum("n").alias("files"))
 
 
 def evidence_histogram(symbols: DataFrame) -> DataFrame:
@@ -83,24 +194,37 @@ def evidence_histogram(symbols: DataFrame) -> DataFrame:
 
 
 def pit_evidence(universe: DataFrame, lifecycle: DataFrame, sources: DataFrame, risk: str, policy: str, allow_unverified: bool = False) -> DataFrame:
-    """The point-in-time grade of each active symbol, the first rule that holds deciding."""
-    each = sources.groupBy("symbol").agg(F.count("*").alias("sources"), F.count_if(F.coalesce("trust", F.lit("")).isin(*UNVERIFIED)).alias("unverified"), F.count_if(F.col("observed_ms").isNull()).alias("missing_time"))
+    """The point-in-time grade of each active symbol, the first rule that holds deciding, with what blocks promotion and E11's counters."""
+    trust = F.coalesce(exprs.upper_or_null(F.col("trust")), F.lit(""))
+    per = sources.groupBy("symbol", trust.alias("trust")).agg(F.count("*").alias("n"), F.count_if(F.col("observed_ms").isNull()).alias("m"))
+    shut = exprs.unverified(F.col("trust"))
+    each = per.groupBy("symbol").agg(F.sum("n").alias("sources"), F.sum(F.when(shut, F.col("n"))).alias("unverified"), F.sum("m").alias("missing_time"), count_map("trust").alias("trust_levels"))
     life = lifecycle.groupBy("symbol").agg(F.min_by(F.struct("evidence_level", "delisted_ms"), "position").alias("l")).select("symbol", F.col("l.evidence_level").alias("level"), F.col("l.delisted_ms").alias("ended"), F.lit(True).alias("found"))
     m = universe.filter("active_during_window").select("symbol").join(life, "symbol", "left").join(each, "symbol", "left")
     n = lambda c: F.coalesce(F.col(c), F.lit(0))
+    unknown = exprs.known(F.col("level")).isNull()
     grade = (
-        F.when(F.col("found").isNull(), "MISSING_LIFECYCLE").when(exprs.known(F.col("level")).isNull(), "MISSING_EVIDENCE").when(F.col("level") == "LOCAL_DATA_FIRST_SEEN", "LOCAL_DATA_ONLY")
-        .when(F.col("level") == "CURRENT_ACTIVE_ONLY", "CURRENT_ACTIVE_ONLY").when(n("unverified") > 0, "UNVERIFIED_ONLY").when(n("missing_time") > 0, "PARTIAL_FOR_WINDOW").otherwise("VERIFIED_FOR_WINDOW")
+        F.when(F.col("found").isNull() | unknown, "MISSING_LIFECYCLE").when(F.col("level") == "LOCAL_DATA_FIRST_SEEN", "LOCAL_DATA_ONLY")
+        .when(F.col("level") == "CURRENT_ACTIVE_ONLY", "CURRENT_ONLY").when(n("unverified") > 0, "UNVERIFIED_ONLY").when(n("missing_time") > 0, "PARTIAL_FOR_WINDOW").otherwise("VERIFIED_FOR_WINDOW")
     )
+    g, allowed = F.col("grade"), F.lit(allow_unverified)
     m = m.withColumn("grade", grade)
-    eligible = F.when(F.col("grade") == "VERIFIED_FOR_WINDOW", "PIT_ELIGIBLE").when((F.col("grade") == "PARTIAL_FOR_WINDOW") | ((F.col("grade") == "UNVERIFIED_ONLY") & F.lit(allow_unverified)), "PIT_PARTIAL").otherwise("PIT_NOT_ELIGIBLE")
-    raised = (F.lit(risk == "LOW")) & (((F.col("grade") == "UNVERIFIED_ONLY") & F.lit(allow_unverified)) | (F.col("ended").isNull() & F.lit(policy.startswith("POINT_IN_TIME"))))
-    return m.select("symbol", "grade", eligible.alias("eligibility"), F.when(raised, "MEDIUM").otherwise(risk).alias("risk"), n("sources").alias("sources"), n("unverified").alias("unverified"), n("missing_time").alias("missing_time"))
+    eligible = F.when(g == "VERIFIED_FOR_WINDOW", "PIT_ELIGIBLE").when((g == "PARTIAL_FOR_WINDOW") | ((g == "UNVERIFIED_ONLY") & allowed), "PIT_PARTIAL").otherwise("PIT_NOT_ELIGIBLE")
+    reason = (
+        F.when(F.col("found").isNull(), "MISSING_LIFECYCLE_MANIFEST_OR_ENTRY").when(unknown, "EVIDENCE_MISSING").when(g.isin("LOCAL_DATA_ONLY", "CURRENT_ONLY"), g)
+        .when((g == "UNVERIFIED_ONLY") & ~allowed, "UNVERIFIED_EVIDENCE")
+    )
+    raised = F.lit(risk == "LOW") & (((g == "UNVERIFIED_ONLY") & allowed) | (F.col("found").isNotNull() & F.col("ended").isNull() & F.lit("POINT_IN_TIME" in policy)))
+    return m.select(
+        "symbol", "grade", eligible.alias("eligibility"), F.when(raised, "MEDIUM").otherwise(risk).alias("risk"), reason.alias("blocking_reason"),
+        n("sources").alias("sources"), (n("sources") - n("missing_time")).alias("observed"), n("unverified").alias("unverified"), n("missing_time").alias("missing_time"), F.coalesce("trust_levels", F.lit("")).alias("trust_levels"),
+    )
 
 
-def pit_verdict(rows: DataFrame) -> DataFrame:
-    """The worst eligibility of all symbols, and the promotion that it allows."""
+def pit_verdict(rows: DataFrame, risk: str | None = None) -> DataFrame:
+    """The worst eligibility of all symbols, the promotion that it allows, and the gravest risk; no symbols are eligible, at the risk given."""
     rank = F.when(F.col("eligibility") == "PIT_NOT_ELIGIBLE", 2).when(F.col("eligibility") == "PIT_PARTIAL", 1).otherwise(0)
-    out = rows.agg(F.count("*").alias("symbols"), F.coalesce(F.max(rank), F.lit(2)).alias("__r"))
+    grave = F.when(F.col("risk") == "HIGH", 3).when(F.col("risk") == "MEDIUM", 2).when(F.col("risk") == "LOW", 1).otherwise(0)
+    out = rows.agg(F.count("*").alias("symbols"), F.count("blocking_reason").alias("blocked"), F.coalesce(F.max(rank), F.lit(0)).alias("__r"), F.max_by("risk", grave).alias("risk"))
     pick = lambda a, b, c: F.when(F.col("__r") == 2, a).when(F.col("__r") == 1, b).otherwise(c)
-    return out.select("symbols", pick("PIT_NOT_ELIGIBLE", "PIT_PARTIAL", "PIT_ELIGIBLE").alias("verdict"), pick("BLOCK_STRICT_PROMOTION", "DOWNGRADE_PROMOTION", "ALLOW_STRICT_PROMOTION").alias("promotion"))
+    return out.select("symbols", "blocked", pick("PIT_NOT_ELIGIBLE", "PIT_PARTIAL", "PIT_ELIGIBLE").alias("verdict"), pick("BLOCK_STRICT_PROMOTION", "DOWNGRADE_PROMOTION", "ALLOW_STRICT_PROMOTION").alias("promotion"), F.coalesce("risk", F.lit(risk or "LOW")).alias("risk"))

@@ -27,7 +27,60 @@ DERIVATIVES = {
 SENTIMENT = "data array<struct<value: string, value_classification: string, timestamp: string>>"
 LISTING = "serverTime bigint, symbols array<struct<symbol: string, pair: string, contractType: string, deliveryDate: bigint, onboardDate: bigint, status: string, baseAsset: string, quoteAsset: string, permissions: array<string>>>"
 SNAPSHOT = "schema_version string, snapshot_id string, snapshot_hash string, collected_at string, observed_at string, trust_level string, symbols array<struct<symbol: string, status: string, onboard_at: string, delivery_at: string>>"
-LIFECYCLE = ["symbol", "status", "listed_at", "delisted_at", "evidence_level", "source_hash", "source_uri", "observed_at"]
+LIFECYCLE = ["symbol", "base_asset", "quote_asset", "market_type", "exchange", "status", "listed_at", "delisted_at", "first_seen", "last_seen", "evidence_level", "source_type", "source_name", "source_uri", "source_hash", "observed_at"]
+
+
+def read_candle_times(spark: SparkSession, paths: list[str] | str, interval: str | None = None, symbol: str | None = None) -> DataFrame:
+    """A2: (path, symbol, interval, open_time_ms) of candle Parquet files; no other column is read. Symbol and interval from the path unless given."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    rows = spark.read.schema("open_time_ms bigint").option("recursiveFileLookup", "true").parquet(*paths).select(F.col("_metadata.file_path").alias("path"), "open_time_ms")
+    p = F.col("path")
+    return rows.select("path", X.audit_symbol(p, F.lit(symbol)).alias("symbol"), X.audit_interval(p, F.lit(interval)).alias("interval"), "open_time_ms")
+
+
+def read_series(spark: SparkSession, root: str, first: str | None = None, last: str | None = None, **keys: str) -> DataFrame:
+    """A4: a table laid out by folders name=value, year=, month=, of the series that keys name and of the months first to last (YYYY-MM).
+
+    Folders outside are pruned and not listed as input.
+    """
+    rows = spark.read.parquet(root)
+    for k, v in keys.items():
+        rows = rows.filter(F.col(k) == v)
+    for bound, sign in ((first, 1), (last, -1)):
+        if bound:
+            year, month = (F.col(c).cast("int") for c in ("year", "month"))
+            y, m = int(bound[:4]), int(bound[5:7])
+            rows = rows.filter((year > y) | ((year == y) & (month >= m)) if sign > 0 else (year < y) | ((year == y) & (month <= m)))
+    return rows
+
+
+def read_manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Manifests as JSON objects of a stated schema; fields that are absent are null, a file that is no object fails the job."""
+    return spark.read.schema(schema).option("multiLine", "true").option("mode", "FAILFAST").json(path)
+
+
+def read_backfill(spark: SparkSession, files: list[str] = (), folder: str | None = None, layout: str | None = None, stated: str | None = None) -> DataFrame:
+    """A14 with H25: (path, input_sha256, observed, hash, symbols) of the files named and of the *.json below a folder, each path once.
+
+    hash is that of the sorted symbols, null for payloads without any or that are
+    no JSON. observed comes from the file's name by a layout, else as stated, else from the payload.
+    """
+    found = None
+    for where, option in [(list(files), "false")] * bool(files) + [([folder], "true")] * bool(folder):
+        one = spark.read.format("binaryFile").option("recursiveFileLookup", option).option("pathGlobFilter", "*.[jJ][sS][oO][nN]").load(where).select("path", "content")
+        found = one if found is None else found.unionByName(one)
+    if found is None:
+        raise ValueError("no files and no folder")
+    rows = found.withColumn("x", F.from_json(F.col("content").cast("string"), LISTING)).withColumn("symbols", F.coalesce(F.size("x.symbols"), F.lit(0)))
+    digest = F.when(F.col("symbols") > 0, F.sha2(F.to_json(F.array_sort("x.symbols")), 256))
+    made = rows.select("path", F.sha2("content", 256).alias("input_sha256"), X.observed_time(F.col("path"), layout, F.lit(stated), F.col("x.serverTime")).alias("observed"), digest.alias("hash"), F.greatest("symbols", F.lit(0)).alias("symbols"))
+    return made.dropDuplicates(["path"])
+
+
+def read_raw_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """(path, name_hash, sha256) of stored payloads: the hash that a file's name ends with and that of its bytes."""
+    rows = read_hashes(spark, path, "*.json")
+    return rows.select("path", F.nullif(F.regexp_extract("path", "_([0-9a-f]{64})[.]json$", 1), F.lit("")).alias("name_hash"), "sha256").filter("name_hash is not null")
 
 
 def typed_candles(raw: DataFrame) -> DataFrame:
@@ -46,24 +99,46 @@ def read_candle_csv(spark: SparkSession, path: str) -> DataFrame:
     return typed_candles(raw).select(X.path_market(p).alias("market"), X.path_symbol(p).alias("symbol"), X.path_interval(p).alias("interval"), X.key_period(p).alias("period"), F.lit(None).cast("string").alias("source_date"), *CANDLE)
 
 
-def read_candle_zip(spark: SparkSession, path: str) -> DataFrame:
-    """Candles from zip archives with one CSV member each; an unsafe or missing member fails the job."""
-    schema = "path string, " + ", ".join(f"c{k} string" for k in range(1, 12))
+def read_candle_zip(spark: SparkSession, path: str | list[str], report: bool = False) -> DataFrame:
+    """Candles from zip archives with one CSV member each, which must be named as the archive is.
+
+    An unsafe or missing member, a broken archive or a bad cell fails the job;
+    with report such an archive gives instead a row with its error and without candle.
+    """
+    names = [f"c{k}" for k in range(1, 12)]
+    schema = "path string, error string, " + ", ".join(f"{c} string" for c in names)
+
+    def open_member(file: str, content: bytes) -> Iterator[pd.DataFrame]:
+        with zipfile.ZipFile(io.BytesIO(content)) as z:
+            wanted = file.rsplit("/", 1)[-1].removesuffix(".zip") + ".csv"
+            found = [n for n in z.namelist() if n.endswith(".csv")]
+            if found != [wanted]:
+                raise ValueError(f"{file}: {found}")
+            with z.open(wanted) as member:
+                yield from pd.read_csv(member, header=None, names=names, usecols=range(11), dtype=str, chunksize=50_000)
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for file, content in zip(pdf["path"], pdf["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    names = [n for n in z.namelist() if n.endswith(".csv")]
-                    if len(names) != 1 or ".." in names[0] or names[0].startswith("/"):
-                        raise ValueError(f"{file}: {names}")
-                    with z.open(names[0]) as member:
-                        for part in pd.read_csv(member, header=None, names=[f"c{k}" for k in range(1, 12)], usecols=range(11), dtype=str, chunksize=50_000):
-                            yield part.assign(path=file)[["path", *part.columns]]
+                try:
+                    for part in open_member(file, content):
+                        yield part.assign(path=file, error=None)[["path", "error", *names]]
+                except (ValueError, zipfile.BadZipFile) as e:
+                    if not report:
+                        raise
+                    yield pd.DataFrame({"path": [file], "error": [str(e)[:200]], **{c: [None] for c in names}}, dtype=object)
 
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", "true").load(path)
-    p = F.col("path")
-    return typed_candles(found.select("path", "content").mapInPandas(lines, schema)).select(X.path_symbol(F.replace(p, F.lit(".zip"), F.lit(".csv"))).alias("symbol"), "path", *CANDLE)
+    raw = found.select("path", "content").mapInPandas(lines, schema)
+    if report:
+        cells = [F.col(c).try_cast("bigint" if n in WHOLE else "double") for c, n in zip(names, CANDLE, strict=True)]
+        raw = raw.filter(F.coalesce(F.col("c1"), F.lit("")) != "open_time")
+        bad = F.when(F.col("error").isNull() & ~F.coalesce(*[F.when(c.isNull(), F.lit(False)) for c in cells], F.lit(True)), "bad or missing cell")
+        typed = raw.withColumn("error", F.coalesce("error", bad)).select("path", "error", *[c.alias(n) for c, n in zip(cells, CANDLE, strict=True)])
+    else:
+        typed = typed_candles(raw).drop("error")
+    p = F.regexp_replace("path", r"\.zip$", ".csv")
+    return typed.select(X.path_symbol(p).alias("symbol"), X.path_interval(p).alias("interval"), X.key_period(p).alias("period"), *typed.columns)
 
 
 def read_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
@@ -88,7 +163,7 @@ def verify_checksums(spark: SparkSession, path: str) -> DataFrame:
 
 
 def normalize_derivatives(raw: DataFrame, dataset: str, symbol: str, market: str = "futures-um", interval: str = "8h") -> DataFrame:
-    """Rows of one dataset from raw JSON text columns; value must parse, extras may be null (H24). Overlapping pages meet in one row."""
+    """Rows of one dataset from raw JSON text columns; value must parse, extras that don't are null, so that they differ from zero (H24). Overlapping pages meet in one row."""
     value, one, two, at = DERIVATIVES[dataset]
     extra = lambda n: (F.lit(None).cast("double") if n is None else F.col(n).try_cast("double"))
     t = F.trim(F.col(at), F.lit('"')).cast("bigint")
@@ -99,7 +174,7 @@ def normalize_derivatives(raw: DataFrame, dataset: str, symbol: str, market: str
     return rows.dropDuplicates(["dataset", "market", "symbol", "interval", "event_time_ms"])
 
 
-def read_derivatives_json(spark: SparkSession, path: str, dataset: str, symbol: str) -> DataFrame:
+def read_derivatives_json(spark: SparkSession, path: str | list[str], dataset: str, symbol: str) -> DataFrame:
     names = [n for n in DERIVATIVES[dataset] if n]
     raw = spark.read.schema(", ".join(f"{n} string" for n in names)).option("multiLine", "true").json(path)
     return normalize_derivatives(raw, dataset, symbol)
@@ -126,17 +201,45 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     return df.filter(F.col("schema_version").isNotNull() & (F.size("symbols") > 0))
 
 
-def read_lifecycle_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A10: by header names in any case; missing columns are null, times are normalised."""
+def _lifecycle_rows(rows: DataFrame, defaults: dict[str, str]) -> DataFrame:
+    """Trimmed symbols and levels, normalised times, malformed marking rows that have others, blanks as defaults name them."""
+    times = ("listed_at", "delisted_at", "first_seen", "last_seen", "observed_at")
+    malformed = F.lit(False)
+    for c in times:
+        malformed = malformed | F.coalesce(X.malformed_time(F.col(c)), F.lit(False))
+    rows = rows.withColumn("malformed", malformed).withColumns({c: X.normalized_time(F.col(c)) for c in times})
+    rows = rows.withColumns({c: X.known(F.upper(F.trim(c))) for c in ("symbol", "status", "evidence_level")})
+    quote = F.coalesce(X.known(F.col("quote_asset")), F.lit(defaults.get("quote_asset")), X.quote_asset(F.col("symbol")))
+    rows = rows.withColumns({c: F.coalesce(X.known(F.col(c)), F.lit(v)) for c, v in defaults.items() if c in rows.columns and c != "quote_asset"}).withColumn("quote_asset", quote)
+    own = F.when(F.col("symbol").endswith(F.col("quote_asset")) & (F.length("symbol") > F.length("quote_asset")), F.substring(F.col("symbol"), F.lit(1), F.length("symbol") - F.length("quote_asset")))
+    return rows.withColumns({"base_asset": F.coalesce(X.known(F.col("base_asset")), own), "source_hash": X.known(F.col("source_hash")), "source_uri": X.known(F.col("source_uri"))})
+
+
+def read_lifecycle_csv(spark: SparkSession, path: str, **defaults: str) -> DataFrame:
+    """A10: by header names in any case, times also as *_utc; missing columns are null or as defaults say, times are normalised.
+
+    Times that are none stay as they are, and malformed says so. Without a level evidence is USER_PROVIDED_UNVERIFIED.
+    """
     df = spark.read.option("header", "true").csv(path)
-    have = {c.strip().lower(): c for c in df.columns}
+    also = {f"{n}_utc": n for n in LIFECYCLE} | {"source_uri_or_path": "source_uri"}
+    have = {also.get(c.strip().lower(), c.strip().lower()): c for c in df.columns}
     rows = df.select(*[(F.col(f"`{have[n]}`") if n in have else F.lit(None).cast("string")).alias(n) for n in LIFECYCLE])
-    return rows.withColumns({n: X.normalized_time(F.col(n)) for n in ("listed_at", "delisted_at", "observed_at")}).withColumn("symbol", F.upper(F.trim("symbol")))
+    return _lifecycle_rows(rows, {"evidence_level": "USER_PROVIDED_UNVERIFIED"} | defaults)
 
 
-def read_lifecycle_json(spark: SparkSession, path: str) -> DataFrame:
-    """A manifest object with `symbols`, or a bare array of them."""
+def read_lifecycle_json(spark: SparkSession, path: str, **defaults: str) -> DataFrame:
+    """A manifest object with `symbols`, or a bare array of them; blanks as the manifest's header has them, else as defaults say.
+
+    A bare array is its own source: symbols without a source hash take the file's.
+    """
     fields = ", ".join(f"{n}: string" for n in LIFECYCLE)
-    df = spark.read.schema(f"{', '.join(f'{n} string' for n in LIFECYCLE)}, symbols array<struct<{fields}>>").option("multiLine", "true").json(path)
-    nested = df.filter("symbols is not null").select(F.inline("symbols"))
-    return nested.unionByName(df.filter("symbols is null and symbol is not null").select(*LIFECYCLE))
+    head = ("exchange", "market_type", "quote_asset")
+    df = spark.read.schema(f"{', '.join(f'{n} string' for n in LIFECYCLE)}, symbols array<struct<{fields}>>").option("multiLine", "true").json(path).withColumn("__file", F.col("_metadata.file_path"))
+    nested = df.filter("symbols is not null").select(*[F.col(c).alias(f"__{c}") for c in head], F.inline("symbols"))
+    nested = nested.withColumns({c: F.coalesce(X.known(F.col(c)), F.col(f"__{c}")) for c in head}).select(*LIFECYCLE)
+    hashes = spark.read.format("binaryFile").load(path).select(F.col("path").alias("__path"), F.sha2("content", 256).alias("__hash"))
+    name = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    bare = df.filter("symbols is null and symbol is not null").join(hashes, name(F.col("__file")) == name(F.col("__path")), "left")
+    level = F.coalesce(X.known(F.col("evidence_level")), F.lit("USER_PROVIDED_UNVERIFIED"))
+    bare = bare.withColumns({"source_hash": F.coalesce(X.known(F.col("source_hash")), "__hash"), "source_uri": F.coalesce("source_uri", "__file"), "evidence_level": level}).select(*LIFECYCLE)
+    return _lifecycle_rows(nested.unionByName(bare), {"evidence_level": "UNKNOWN"} | defaults)

@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import exprs
+from ..operators import listing
 
-def write_table(df: DataFrame, path: str, keys: list[str] | None = None, order: list[str] | None = None, mode: str = "overwrite") -> None:
-    """ZSTD Parquet, one folder for each value of keys, rows sorted within files; only partitions that are written are replaced."""
+
+def write_table(df: DataFrame, path: str, keys: list[str] | None = None, order: list[str] | None = None, mode: str = "overwrite", file_rows: int = 5_000_000) -> None:
+    """ZSTD Parquet, one folder for each value of keys, rows sorted within files; only partitions that are written are replaced.
+
+    Rebalanced by keys, which splits what is too large for one task: a hot
+    folder is several files from several tasks, none of more than file_rows.
+    """
     if keys:
-        # Salted by a hash of the row, so that one hot partition is several files from several tasks.
-        df = df.repartition(*keys, F.pmod(F.xxhash64(*[c for c in df.columns if c not in keys]), F.lit(4)))
+        df = df.hint("rebalance", *keys)
     if order:
         df = df.sortWithinPartitions(*(keys or []), *order)
-    out = df.write.mode(mode).option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
+    out = df.write.mode(mode).option("compression", "zstd").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", file_rows)
     (out.partitionBy(*keys) if keys else out).parquet(path)
 
 
@@ -28,7 +34,17 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def append_archive(snapshots: DataFrame, path: str, collected: str = "collected_at") -> None:
-    """Snapshots appended by day of collection."""
-    t = F.to_timestamp(collected)
-    rows = snapshots.withColumns({"year": F.date_format(t, "yyyy"), "month": F.date_format(t, "MM"), "day": F.date_format(t, "dd")})
+    """Snapshots appended by UTC day of collection, given as RFC 3339 text; other columns, such as the raw payload, go with them."""
+    day = exprs.utc_date(exprs.parsed_ms(F.col(collected)))
+    rows = snapshots.withColumns({"year": F.substring(day, 1, 4), "month": F.substring(day, 6, 2), "day": F.substring(day, 9, 2)})
     rows.write.mode("append").option("compression", "zstd").partitionBy("year", "month", "day").parquet(path)
+
+
+def write_payloads(inputs: DataFrame, path: str, collected: str = "collected_at") -> None:
+    """Raw payloads (sha256, content, collected_at) beside the archive, as a table of bytes by UTC day."""
+    append_archive(inputs.select("sha256", "content", collected), path, collected)
+
+
+def write_latest(snapshots: DataFrame, path: str, collected: str = "collected_at", tie: str = "snapshot_id") -> None:
+    """The latest snapshot's rows as a table that is replaced as a whole."""
+    listing.latest(snapshots, collected, tie).write.mode("overwrite").option("compression", "zstd").parquet(path)
