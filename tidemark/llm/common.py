@@ -98,3 +98,37 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     return now.groupBy(F.col("v").alias("id")).agg(F.min("m").alias("component")).unionByName(
         roots.join(now.select(F.col("v").alias("id")), "id", "left_anti").select("id", F.col("id").alias("component"))
     )
+
+
+#: Members of a node that meet in one block of a comparison.
+BLOCK = 4096
+
+
+def open_nodes(rows: DataFrame, group: DataFrame | None = None, wide: DataFrame | None = None) -> DataFrame:
+    """The rows(node, id, ...) of nodes that hold more than one component, with the node's largest (major), how many members it has and how many are outside that (minor).
+
+    group(id, component) are the components so far, where rows don't have them; wide has further columns by id.
+    """
+    if group is not None:
+        rows = rows.join(group, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    each = rows.groupBy("node", "component").agg(F.count("*").alias("k"))
+    state = each.groupBy("node").agg(F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("members"))
+    state = state.select("node", F.col("top.component").alias("major"), "members", (F.col("members") - F.col("top.k")).alias("minor")).filter("minor > 0")
+    rows = rows.join(state, "node")
+    return cut(rows if wide is None else rows.join(wide, "id"))
+
+
+def meet(left: DataFrame, right: DataFrame, near: Column, many: str | None = None) -> DataFrame:
+    """Pairs (hub, spoke) of a row x of left and a row y of right in the same node, of different components, that near lets pass.
+
+    Both sides of a large node are dealt into blocks, each block of one side meeting each of the other in a group of its own.
+    many is the column that bounds how many of a node's rows are in left; without it they are few.
+    """
+    blocks = [F.lit(1) if c is None else F.ceil(F.col(c) / BLOCK) for c in (many, "members")]
+    own = [F.pmod(F.xxhash64(F.lit("block"), "id"), n).cast("int") for n in blocks]
+    others = [F.explode(F.sequence(F.lit(0), (n - 1).cast("int"))) for n in blocks]
+    x = left.withColumn("i", own[0]).withColumn("j", others[1]).alias("x")
+    y = right.withColumn("j", own[1]).withColumn("i", others[0]).alias("y")
+    same_place = (F.col("x.node") == F.col("y.node")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
+    met = x.join(y, same_place & (F.col("x.component") != F.col("y.component")) & near)
+    return met.select(F.col("x.id").alias("hub"), F.col("y.id").alias("spoke"))

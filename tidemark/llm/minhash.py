@@ -7,11 +7,14 @@ copies without all of their pairs; nodes that it leaves in many components get
 several more centres. Nodes that then hold more than one component go on: those
 with few members outside their largest component compare these with all the
 others, the rest branch, each member following the minwise tokens that the
-node's own path selects. Compared pairs pass a bound on sizes and a one-bit sketch (which keeps
-a pair at the threshold with a probability of about 1 - 1e-7) and are confirmed
-by intersecting the full sets. At the threshold a tree's root alone brings a pair together
-with probability 0.75, so that twelve trees lose about one such pair in ten million, and fewer
-above it.
+node's own path selects; what is still large at DEPTH is compared in blocks.
+Compared pairs pass a bound on sizes and two sketches (which keep a pair at the
+threshold with a probability of about 1 - 1e-7) and are confirmed by
+intersecting the full sets. At the threshold a tree's root alone brings a pair
+together with probability 3/4, so that twelve trees lose about one such pair in
+ten million. In nodes that branch twice at every level a pair stays together
+with probability 8/9 however deep they go, so 2/3 a tree, and twelve trees lose
+about two pairs in a million; the tests measure this against all pairs.
 """
 
 from __future__ import annotations
@@ -24,14 +27,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, cut, documents, lowered_words_of
+from .common import components, cut, documents, lowered_words_of, meet, open_nodes
 
 WORDS, PERCENT = 5, 75
 TREES, TOKENS, SKETCH = 12, 32, 128
 #: Members outside its largest component up to which a node is compared exhaustively, and how deep larger ones branch before they are compared all the same.
-SMALL_NODE, DEPTH, BRANCHES = 512, 5, 2
-#: Ids of documents in pairs that are sent to every executor, 8 bytes each; with more, texts are shuffled to them.
-MAX_BROADCAST_IDS = 2_000_000
+SMALL_NODE, DEPTH, BRANCHES = 512, 10, 2
+#: Documents in pairs, with the places they are wanted at, that are sent to every executor; with more, texts are shuffled to them.
+MAX_BROADCAST_IDS = 1_000_000
+#: Shingles of the hubs that one place holds, about, and pairs of one hub from which on it has several places.
+PLACE, HOT = 1_000_000, 50_000
 #: Further centres of a node that the first left in many components.
 CENTRES = 8
 #: Differing sketch bits beyond which a pair cannot be near: 16 are expected at 75 percent, with a deviation of 3.74.
@@ -107,14 +112,45 @@ def _sketches(words: int):
 
 
 def _sets(words: int):
+    """(id, places, shingles) of texts; rows whose text is another one of the same doc_id are left out, as s1 tells."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(0, b.num_rows, 500):
                 part = b.slice(k, 500)
-                found = [shingle_set(t, words).view(np.int64) for t in part.column(1).to_pylist()]
+                found = [shingle_set(t, words) for t in part.column("text").to_pylist()]
+                own = [(xxhash.xxh3_128_intdigest(x.tobytes()) >> 64) - (1 << 63) == s for x, s in zip(found, part.column("s1").to_pylist(), strict=True)]
+                found = [x.view(np.int64) for x, ok in zip(found, own, strict=True) if ok]
                 ends = np.cumsum([0, *(len(x) for x in found)])
                 flat = np.concatenate(found) if found else np.empty(0, np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], ["id", "shingles"])
+                part = part.filter(pa.array(own))
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("places"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], ["id", "places", "shingles"])
+
+    return run
+
+
+def _near(percent: int):
+    """The pairs that reach the threshold, from rows sorted by place: its hubs' sets first, which stay, then the sets to compare with them, which pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, held = None, {}
+        for b in batches:
+            lists = b.column("shingles")
+            ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
+            out = []
+            for i, (at, salt, hubs, own) in enumerate(zip(*(b.column(c).to_pylist() for c in ("place", "salt", "hubs", "id")), strict=True)):
+                if (at, salt) != place:
+                    place, held = (at, salt), {}
+                x = flat[ends[i] : ends[i + 1]]
+                if hubs is None:
+                    held[own] = x.copy()
+                    continue
+                for h in hubs:
+                    y = held[h]
+                    shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                    if shared * 100 >= (len(x) + len(y) - shared) * percent:
+                        out.append((min(h, own), max(h, own)))
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return run
 
@@ -136,81 +172,85 @@ def _sets_may_be_near(a: str, b: str, percent: int) -> Column:
     return differ <= F.least(most, expected + F.lit(6.0 * (places**0.5) / 2))
 
 
-def _open_nodes(rows: DataFrame, group: DataFrame | None = None, wide: DataFrame | None = None) -> DataFrame:
-    """The rows of nodes that hold more than one component, with the node's largest (major) and how many members are outside it (minor)."""
-    if group is not None:
-        rows = rows.join(group, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    each = rows.groupBy("node", "component").agg(F.count("*").alias("k"))
-    state = each.groupBy("node").agg(F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("m"))
-    state = state.select("node", F.col("top.component").alias("major"), (F.col("m") - F.col("top.k")).alias("minor")).filter("minor > 0")
-    rows = rows.join(state, "node")
-    return cut(rows if wide is None else rows.join(wide, "id"))
-
+def _cross(left: DataFrame, right: DataFrame, percent: int, many: str | None = None) -> DataFrame:
+    """Pairs (hub, spoke) of a row of left and one of right in the same node, of different components, that may be near."""
+    return meet(left, right, _may_be_near("x", "y", percent) & _sets_may_be_near("x", "y", percent), many)
 
-def _cross(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of a row of left and one of right in the same node, of different components, that may be near."""
-    x, y = left.alias("x"), right.alias("y")
-    met = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & _may_be_near("x", "y", percent) & _sets_may_be_near("x", "y", percent))
-    return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
 
+def _once(pairs: DataFrame) -> DataFrame:
+    """Pairs (hub, spoke) with their ordered ids (a, b), each pair once, whichever of the two is the hub."""
+    return pairs.withColumns({"a": F.least("hub", "spoke"), "b": F.greatest("hub", "spoke")}).dropDuplicates(["a", "b"])
 
-def _confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold. Only documents that are in a pair have their sets made again."""
-    ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    few = ids.count() <= MAX_BROADCAST_IDS
-    texts = docs.join(F.broadcast(ids) if few else ids, docs["doc_id"] == ids["id"], "left_semi").select("doc_id", "text")
-    # Both joins below read one shuffle of the sets.
-    sets = texts.mapInArrow(_sets(words), "id bigint, shingles array<bigint>")
-    left = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
-    both = left.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y")).cast("bigint")
-    near = both.select("a", "b", shared.alias("i"), (F.size("x") + F.size("y")).cast("bigint").alias("s"))
-    return near.filter(F.col("i") * 100 >= (F.col("s") - F.col("i")) * percent).select("a", "b")
 
+def _confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (hub, spoke) whose full sets reach the threshold, as (a, b). Only documents that are in a pair have their sets made again.
 
-def near_dedup(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, trees: int = TREES, small_node: int = SMALL_NODE) -> DataFrame:
+    Hubs are dealt into places. A set travels once to each place where a hub of
+    it is, and not once a pair; hubs with very many pairs have several places,
+    which share the spokes. A task holds one place's hubs while spokes stream by.
+    """
+    load = pairs.select(F.col("hub").alias("id")).distinct().join(reps.select("id", "n"), "id").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = cut(pairs.groupBy("hub").agg(F.ceil(F.count("*") / HOT).cast("int").alias("salts")).filter("salts > 1"))
+    # At most one hub for every HOT pairs.
+    dealt = pairs.join(F.broadcast(hot), "hub", "left").withColumn("salts", F.coalesce("salts", F.lit(1))) if hot.limit(1).count() else pairs.withColumn("salts", F.lit(1))
+    dealt = dealt.withColumn("place", F.pmod(F.xxhash64(F.lit("place"), "hub"), F.lit(1 + load // PLACE)))
+    spokes = dealt.groupBy(F.col("spoke").alias("id"), "place", F.pmod(F.xxhash64(F.lit("salt"), "spoke"), F.col("salts")).cast("int").alias("salt")).agg(F.collect_list("hub").alias("hubs"))
+    hubs = dealt.select(F.col("hub").alias("id"), "place", "salts").distinct().select("id", "place", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("array<bigint>").alias("hubs"))
+    wanted = spokes.unionByName(hubs).groupBy("id").agg(F.collect_list(F.struct("place", "salt", "hubs")).alias("places"))
+    wanted = cut(wanted.join(reps.select("id", "doc", "s1"), "id"))
+    few = wanted.agg(F.coalesce(F.sum(F.size("places")), F.lit(0))).first()[0] <= MAX_BROADCAST_IDS
+    texts = docs.join(F.broadcast(wanted) if few else wanted, docs["doc_id"] == wanted["doc"]).select("id", "s1", "places", "text")
+    place = "place bigint, salt int, hubs array<bigint>"
+    sets = texts.mapInArrow(_sets(words), f"id bigint, places array<struct<{place.replace(' ', ': ').replace(',:', ',')}>>, shingles array<bigint>")
+    rows = sets.select("id", "shingles", F.inline("places")).repartition("place", "salt").sortWithinPartitions("place", "salt", F.col("hubs").isNotNull())
+    return rows.select("place", "salt", "hubs", "id", "shingles").mapInArrow(_near(percent), "a bigint, b bigint").distinct()
+
+
+def near_dedup(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, trees: int = TREES, small_node: int = SMALL_NODE, depth_limit: int = DEPTH) -> DataFrame:
     """One row for each row of docs(doc_id, text, ...): doc_id, n_shingles, component_id, kept.
 
     Documents are linked when their sets of shingles (A-Z lower-cased words, the
     whole sequence of shorter texts) overlap by at least percent of their union.
     component_id is the smallest doc_id that links reach; kept marks its own row.
     Null, empty and wordless texts are linked with nothing. Rows that repeat a
-    doc_id are one document if their text is the same; doc_id must not be null
-    for a row to be linked. Other columns of docs are ignored; no rows give none.
+    doc_id are one document if their text is the same, else documents of their
+    own: they are linked only if their texts are, and each has its own text's
+    component_id. doc_id must not be null for a row to be linked. Other columns
+    of docs are ignored; no rows give none.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     schema = "doc_id bigint, n bigint, s1 bigint, s2 bigint, b1 bigint, b2 bigint, tokens array<bigint>, odd array<bigint>"
     made = cut(docs.mapInArrow(_sketches(words), schema))
     # One representative for each set: the smallest doc_id. A group of equal texts of any size is a map-side minimum.
-    reps = cut(made.filter("n > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "n", "b1", "b2", "tokens", "odd")).alias("r")).select("s1", "s2", F.col("r.doc_id").alias("id"), "r.n", "r.b1", "r.b2", "r.tokens", "r.odd"))
+    least = made.filter("n > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "n", "b1", "b2", "tokens", "odd")).alias("r"))
+    reps = cut(least.select("s1", "s2", F.col("r.doc_id").alias("id"), F.col("r.doc_id").alias("doc"), "r.n", "r.b1", "r.b2", "r.tokens", "r.odd"))
+    clash = reps.groupBy("id").agg(F.count("*").alias("k")).filter("k > 1").limit(1).count() > 0
+    if clash:
+        # One doc_id stands for several sets: they are numbered in its place. Partitions of a sorted table follow each other, and so do the numbers.
+        reps = cut(reps.orderBy("doc", "s1", "s2").withColumn("id", F.monotonically_increasing_id()))
     tokens = reps.select("id", "tokens")
     rooted = tokens.select("id", F.posexplode(F.slice("tokens", 1, trees)).alias("tree", "token")).select("id", F.xxhash64("tree", "token").alias("node"))
     lean = reps.select("id", "n", "b1", "b2")
-
-    def shared_nodes(rows: DataFrame) -> DataFrame:
-        count = rows.groupBy("node").agg(F.count("*").alias("members"), F.min(F.struct(F.xxhash64("node", "id"), "id", "n", "b1", "b2")).alias("centre"))
-        return rows.join(count.filter("members > 1"), "node")
-
-    rows = cut(shared_nodes(rooted.join(lean, "id")))
+    count = rooted.join(lean, "id").groupBy("node").agg(F.count("*").alias("k"), F.min(F.struct(F.xxhash64("node", "id"), "id", "n", "b1", "b2")).alias("centre"))
+    rows = cut(rooted.join(lean, "id").join(count.filter("k > 1").drop("k"), "node"))
     star = rows.select("node", "centre", F.struct("id", "n", "b1", "b2").alias("m")).filter("m.id <> centre.id").filter(_may_be_near("centre", "m", percent))
-    pairs = cut(star.select(F.least("centre.id", "m.id").alias("a"), F.greatest("centre.id", "m.id").alias("b")).distinct())
-    links = cut(_confirm(pairs, docs, words, percent))
-    rows = _open_nodes(rows.select("id", "n", "b1", "b2", "node"), components(links), reps.select("id", "odd"))
+    pairs = cut(_once(star.select(F.col("centre.id").alias("hub"), F.col("m.id").alias("spoke"))))
+    links = cut(_confirm(pairs, reps, docs, words, percent))
+    rows = open_nodes(rows.select("id", "n", "b1", "b2", "node"), components(links), reps.select("id", "odd"))
     large = rows.filter(F.col("minor") > small_node)
     if large.limit(1).count():
         # Groups of many near copies: several more centres each, so that few members stay outside the largest component.
         slot = F.pmod(F.xxhash64(F.lit("slot"), "id"), F.lit(CENTRES))
-        centres = large.groupBy("node", slot.alias("slot")).agg(F.min(F.struct(F.xxhash64("node", "id"), "id", "n", "b1", "b2", "odd", "component")).alias("c")).select("node", "c.*")
-        met = _cross(centres, large, percent).distinct().join(pairs, ["a", "b"], "left_anti")
-        met = cut(met)
-        links = cut(links.unionByName(_confirm(met, docs, words, percent)))
+        centres = large.groupBy("node", slot.alias("slot")).agg(F.min(F.struct(F.xxhash64("node", "id"), "id", "n", "b1", "b2", "odd", "component", "members")).alias("c")).select("node", "c.*")
+        met = cut(_once(_cross(centres, large, percent)).join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
+        links = cut(links.unionByName(_confirm(met, reps, docs, words, percent)))
         pairs = cut(pairs.unionByName(met))
-        rows = _open_nodes(rows.select("id", "n", "b1", "b2", "odd", "node"), components(links))
+        rows = open_nodes(rows.select("id", "n", "b1", "b2", "odd", "node"), components(links))
     more = None
-    for depth in range(1, DEPTH + 1):
-        last = depth == DEPTH
+    for depth in range(1, depth_limit + 1):
+        last = depth == depth_limit
         small = rows if last else rows.filter(F.col("minor") <= small_node)
-        cross = _cross(small.filter("component <> major"), small, percent)
+        cross = _cross(small.filter("component <> major"), small, percent, "minor")
         more = cross if more is None else more.unionByName(cross)
         large = rows.filter(F.col("minor") > small_node)
         if last or large.limit(1).count() == 0:
@@ -218,12 +258,14 @@ def near_dedup(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, tree
         pick = F.sequence(F.lit(1), F.lit(BRANCHES))
         wide = large.join(tokens, "id").select("id", "n", "b1", "b2", "odd", "component", "node", "tokens", F.explode(pick).alias("branch"))
         place = (F.pmod(F.xxhash64("node", "branch"), F.lit(TOKENS)) + 1).cast("int")
-        rows = _open_nodes(wide.select("id", "n", "b1", "b2", "odd", "component", F.xxhash64("node", "branch", F.element_at("tokens", place)).alias("node")))
-    more = cut(more.distinct().join(pairs, ["a", "b"], "left_anti"))
+        rows = open_nodes(wide.select("id", "n", "b1", "b2", "odd", "component", F.xxhash64("node", "branch", F.element_at("tokens", place)).alias("node")))
+    more = cut(_once(more).join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
     if more.limit(1).count():
-        links = links.unionByName(_confirm(more, docs, words, percent))
+        links = cut(links.unionByName(_confirm(more, reps, docs, words, percent)))
     group = components(links)
     named = reps.select("s1", "s2", "id").join(group, "id", "left").select("s1", "s2", F.coalesce("component", "id").alias("component_id"))
+    if clash:
+        named = named.join(reps.select(F.col("id").alias("component_id"), "doc"), "component_id").select("s1", "s2", F.col("doc").alias("component_id"))
     out = made.select("doc_id", "n", "s1", "s2").join(named, ["s1", "s2"], "left")
     label = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), label.alias("component_id"), (F.coalesce(F.col("doc_id") == label, F.lit(True))).alias("kept"))
