@@ -65,3 +65,22 @@ def test_collector_resumes_and_dedupes(spark, tmp_path):
     collect.collect(spark, *args)
     assert sorted(r.snapshot_id for r in spark.read.parquet(args[1]).collect()) == ["a", "d"]
     assert spark.read.parquet(args[2]).first().snapshots == 2
+
+
+def test_streams(spark, tmp_path):
+    """The watermarked forms: a snapshot hash once, and rows by day of availability and days of lag."""
+    (tmp_path / "in").mkdir()
+    for n, h in (("a", "1"), ("b", "1"), ("c", "2")):
+        (tmp_path / f"in/{n}.json").write_text(json.dumps({"schema_version": "1", "snapshot_id": n, "snapshot_hash": h, "collected_at": "2024-01-15T00:00:00Z", "observed_at": "2024-01-15T00:00:00Z", "trust_level": "OFFICIAL", "symbols": [{"symbol": "BTCUSDT", "status": "TRADING"}]}))
+
+    def rows(stream, name, mode):
+        query = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+        query.awaitTermination()
+        return spark.table(name).collect()
+
+    got = rows(collect.deduplicated(collect.snapshot_stream(spark, str(tmp_path / "in"))), "once", "append")
+    assert sorted(r.snapshot_hash for r in got) == ["1", "2"]
+    times = spark.sql("select timestamp'2024-01-01 05:00:00' as e, timestamp'2024-01-03 01:00:00' as a union all select timestamp'2024-01-01 09:00:00', timestamp'2024-01-03 02:00:00'")
+    times.write.parquet(str(tmp_path / "times"))
+    got = rows(collect.lag_histogram(spark.readStream.schema(times.schema).parquet(str(tmp_path / "times")), "e", "a"), "lags", "complete")
+    assert [(r.lag_days, r.rows) for r in got] == [(2, 2)]
