@@ -95,3 +95,21 @@ def test_five_stages_equal_brute_force(spark, tmp_path):
     five = sorted(repr((r.doc_id, len(sp.encode(r.text)), sp.encode(r.text))) for r in four.itertuples())
     assert sorted(repr((r.doc_id, r.n_tokens, [int(i) for i in r.token_ids])) for r in got[4].itertuples()) == five
     print("rows by stage", len(docs), *map(len, got))
+
+
+def test_stages_on_hard_rows_and_no_rows(spark):
+    """Nulls in any column, empty and very long texts, ties, repeated rows, and columns named as the stages' own."""
+    import corpus_pipeline as p
+
+    long = " ".join(f"w{i % 977}x{i % 31}" for i in range(20_000))
+    fine = lambda k: " ".join(f"word{k}x{i}" for i in range(80))
+    rows = [(1, None, None, None, None, "x"), (2, "", "en", "a", 0, None), (3, " \n\t ", "en", "a", 4, None), (4, long, "en", None, None, None), (4, long, "en", None, None, None), (None, fine(1), "en", "b", 5, None), (None, fine(1), "en", "b", 5, "y"), (5, fine(1), None, "b", 5, None), (6, fine(2), "de", "a", 9, None), (6, fine(3), "de", "a", 9, None)]
+    hard = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, text_hash string")
+    kept = {"quality rules": 7, "line dedup": 10, "near dedup": 7}
+    for k, (name, stage) in enumerate(p.STAGES):
+        got = stage(spark, hard, SF)
+        last = k == len(p.STAGES) - 1
+        assert set(got.columns) == (set(hard.columns) - {"text"} | {"token_ids", "n_tokens"} if last else set(hard.columns))
+        n = got.count()
+        assert n == kept.get(name, n) and (n > 0) and (not last or n == len(rows))
+        assert stage(spark, hard.limit(0), SF).count() == 0

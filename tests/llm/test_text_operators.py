@@ -9,8 +9,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import chat, labelled, line_dedup, minhash, mixing, quality_classifier, quality_rules, queries, sentencepieces, simhash, textstats, token_counts, toxicity
+from tidemark.llm import common
 from tidemark.llm.common import components
 
+
+@pytest.fixture(params=[False, True], ids=["wide", "tight"])
+def tight(request, monkeypatch):
+    """Also with crowds, blocks, places and broadcasts so small that every way of splitting them is gone."""
+    if request.param:
+        for module, name, value in ((common, "BLOCK", 16), (common, "CROWD", 20), (minhash, "CROWD", 20), (simhash, "CROWD", 5), (common, "MAX_BROADCAST_ROWS", 0), (minhash, "PLACE", 900), (minhash, "HOT", 9), (minhash, "MAX_BROADCAST_IDS", 0)):
+            monkeypatch.setattr(module, name, value)
+
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, n_words string"
 
@@ -87,7 +96,7 @@ def test_components(spark):
     assert {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()} == {x: find(x) for x in touched}
 
 
-def test_near_dedup_with_a_large_group_equals_brute_force(spark):
+def test_near_dedup_with_a_large_group_equals_brute_force(spark, tight):
     rng = random.Random(5)
     base = [f"w{rng.randrange(9999)}" for _ in range(120)]
     texts = []
@@ -187,7 +196,7 @@ def test_machine_learns_pairs():
     assert pair > 0 > max(m.bias + w[at[1]], m.bias + w[at[2]])
 
 
-def test_fingerprint_edits_and_block_tables(spark):
+def test_fingerprint_edits(spark):
     texts = [" ".join(f"w{(i * 7 + k) % 50}" for k in range(40 + i)) for i in range(60)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r for r in simhash.fingerprint_edits(docs, run=7).collect()}
@@ -196,15 +205,60 @@ def test_fingerprint_edits_and_block_tables(spark):
         assert got[i].edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
         assert got[i].fingerprint == simhash.fingerprint(t).hex() and got[i].edited_fingerprint == simhash.fingerprint(changed).hex()
         assert got[i].near_next == 1 - simhash._ham(got[i].fingerprint, simhash.fingerprint(texts[i - 1]).hex()) / 128
+
+
+@pytest.mark.parametrize(("blocks", "crowded"), [((4, 8), 512), ((4, 8), 2)])
+def test_near_classes_equal_all_pairs(spark, tight, blocks, crowded):
+    """Random fingerprints, chains of steps within the radius, and a crowd that shares a block but not much more."""
     rng = random.Random(6)
-    prints = [rng.getrandbits(128) for _ in range(80)]
-    prints += [p ^ sum(1 << b for b in rng.sample(range(128), rng.randrange(1, 6))) for p in prints]
+    prints = [rng.getrandbits(128) for _ in range(60)] + [0, 0]
+    prints += [p ^ sum(1 << b for b in rng.sample(range(128), rng.randrange(1, 6))) for p in prints[:60]]
+    prints += [p ^ sum(1 << b for b in rng.sample(range(128), rng.randrange(0, 4))) for p in prints[62:]]
+    crowd = rng.getrandbits(32)
+    prints += [crowd << 96 | rng.getrandbits(20) for _ in range(80)]
+    root = list(range(len(prints)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, p in enumerate(prints):
+        for j in range(i):
+            if p and prints[j] and (p ^ prints[j]).bit_count() <= 3:
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
     signed = lambda x: x - (1 << 64) if x >> 63 else x
-    rows = [(signed(p >> 64), signed(p & ((1 << 64) - 1))) for p in prints]
-    found = simhash.near_fingerprints(spark.createDataFrame(rows, "f1 long, f2 long")).collect()
-    want = {frozenset((i, j)) for i in range(160) for j in range(i) if 0 < (prints[i] ^ prints[j]).bit_count() <= 3}
-    at = {r: i for i, r in enumerate(rows)}
-    assert {frozenset((at[r.a1, r.a2], at[r.b1, r.b2])) for r in found} == want
+    rows = [(k, signed(p >> 64), signed(p & ((1 << 64) - 1))) for k, p in enumerate(prints)]
+    docs = spark.createDataFrame([*rows, (None, 5, 5), (None, 6, 5)], "doc_id long, f1 long, f2 long")
+    got = {(r.f1, r.f2): r.class_id for r in simhash.near_classes(docs, blocks=blocks, crowded=crowded).collect()}
+    assert got == {(a, b): find(k) for k, a, b in rows if a or b}
+
+
+def test_near_classes_of_ties_and_nothing(spark):
+    docs = spark.createDataFrame([(1, 7, 7), (1, 7, 6), (1, -1, 5), (2, -1, 4), (2, -1, 4)], "doc_id long, f1 long, f2 long")
+    got = {(r.f1, r.f2): r.class_id for r in simhash.near_classes(docs).collect()}
+    assert got == {(7, 7): 1, (7, 6): 1, (-1, 5): 1, (-1, 4): 1}
+    assert simhash.near_classes(docs.limit(0)).count() == 0
+
+
+def test_fingerprints_of_hard_rows(spark):
+    rows = [(None, "null b"), (None, "null a"), (3, None), (3, ""), (2, "same"), (2, "same"), (1, "x y z " * 50_000)]
+    got = sorted(((r.doc_id is not None, r.doc_id or 0, r.n_chars, r.near_next) for r in simhash.fingerprint_edits(spark.createDataFrame(rows, "doc_id long, text string"), run=2).collect()), key=str)
+    assert len(got) == 7 and sorted(x[2] for x in got) == [0, 0, 4, 4, 6, 6, 300_000] and all(0 <= x[3] <= 1 for x in got)
+
+
+def test_op4_classes_hold_equal_texts_together(spark):
+    got = queries.QUERIES["op4_fingerprints"](spark, SF).toPandas()
+    docs = spark.read.parquet(f"{SF}/documents.parquet").toPandas().fillna({"text": ""})
+    prints = {d: simhash.fingerprint(t) for d, t in zip(docs["doc_id"], docs["text"], strict=True)}
+    assert {d: bytes.fromhex(f) for d, f in zip(got["doc_id"], got["fingerprint"], strict=True)} == prints
+    words = {d for d, p in prints.items() if any(p)}
+    at = {d: int.from_bytes(p) for d, p in prints.items()}
+    label = dict(zip(got["doc_id"], got["class_id"], strict=True))
+    near = [(a, b) for a in words for b in words if a < b and (at[a] ^ at[b]).bit_count() <= 3]
+    assert near and all(label[a] == label[b] for a, b in near) and all(label[d] == d for d in prints if d not in words)
+    assert len(set(label.values())) == len(label) - len({b for _, b in near})
 
 
 def test_token_tree_edits_equal_encoding_anew():
@@ -386,3 +440,59 @@ def test_models_that_change_texts_are_refused(tmp_path):
         (tmp_path / "other.model").write_bytes(model.SerializeToString())
         with pytest.raises(ValueError, match="normalises"):
             sentencepieces.read_model(str(tmp_path / "other.model"))
+
+
+def linked_by_force(texts):
+    """All pairs of texts that reach the threshold, by a product of the sets' 0/1 matrix with itself."""
+    sets = [minhash.shingle_set(t) for t in texts]
+    at = {int(h): k for k, h in enumerate(np.unique(np.concatenate(sets)))}
+    m = np.zeros((len(sets), len(at)), np.float32)
+    for i, s in enumerate(sets):
+        m[i, [at[int(h)] for h in s]] = 1
+    both, n = m @ m.T, m.sum(axis=1)
+    return [(i, j) for i, j in zip(*np.nonzero(100 * both >= 75 * (n[:, None] + n[None, :] - both)), strict=True) if i < j]
+
+
+@pytest.mark.parametrize(("small_node", "depth"), [(512, 10), (8, 10)])
+def test_recall_of_links_at_the_threshold(spark, small_node, depth):
+    """Families of which every two texts are alike by 60 to 70 percent, so that nodes hold hundreds of components, with pairs in them at 75 to 81 percent."""
+    rng, texts = random.Random(11), []
+    for family in range(2):
+        common = [f"c{family}x{i}" for i in range(170)]
+        for pair in range(250):
+            shared, own = [f"p{family}x{pair}x{i}" for i in range(18 + pair % 8)], rng.randrange(22, 27)
+            texts += [" ".join(common + shared + [f"o{family}x{pair}x{side}x{i}" for i in range(own)]) for side in (0, 1)]
+    want = linked_by_force(texts)
+    assert len(want) > 250
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash.near_dedup(docs, small_node=small_node, depth_limit=depth).collect()}
+    found = sum(got[i] == got[j] for i, j in want)
+    print("links found", found, "of", len(want), "with", small_node, depth)
+    assert found / len(want) >= 0.99
+    linked = set(want)
+    assert len(set(got.values())) >= len(texts) - len(linked)
+
+
+def test_texts_of_one_doc_id_stay_apart(spark):
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(1, words(1)), (1, words(2)), (2, words(1) + " more"), (3, words(2) + " more"), (4, words(4)), (4, words(4)), (5, words(4) + " x")]
+    got = sorted(map(tuple, minhash.near_dedup(spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, id int")).collect()))
+    assert got == [(1, 56, 1, True), (1, 56, 1, True), (2, 57, 1, False), (3, 57, 1, False), (4, 56, 4, True), (4, 56, 4, True), (5, 57, 4, False)]
+    rows = [(1, words(1)), (2, words(2)), (2, words(1) + " more"), (3, words(2) + " more"), (3, words(3))]
+    got = sorted(map(tuple, minhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == [(1, 56, 1, True), (2, 56, 2, True), (2, 57, 1, False), (3, 56, 3, True), (3, 57, 2, False)]
+
+
+def test_mix_of_repeated_and_missing_ids(spark):
+    text = lambda n: " ".join("w" * n)
+    rows = [(None, text(9), "a")] * 40 + [(1, text(7), "a")] * 50 + [(1, text(3 + k % 5), "b") for k in range(300)] + [(k, text(k % 9), None) for k in range(200)] + [(5, None, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs).toPandas()
+    assert len(got) == len(rows) and (got["taken"] <= 3 * got["size"]).all()
+    for _, part in got.groupby("source_size"):
+        assert abs(part["taken"].sum() - part["target"].iloc[0]) <= 9
+    again = mixing.repeat_to_targets(docs.withColumn("rows", F.lit(1)).withColumn("text_hash", F.lit("x")))
+    assert again.columns == ["doc_id", "text", "source", "rows", "text_hash"]
+    words = sum(len((r.text or "").split()) for r in again.collect())
+    assert words == got["taken"].sum()
+    assert mixing.repeat_to_targets(docs.limit(0)).count() == 0

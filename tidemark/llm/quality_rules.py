@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, documents, same
+from .common import cut, documents, same, unused
 from .textstats import text_stats
 
 #: A statistic is stored as whole 1/256 of its logarithm.
@@ -158,9 +158,10 @@ def quality_rules(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataF
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of docs that quality_rules keeps, with all their columns. Rows are matched by doc_id and a hash of their text."""
-    key = docs.withColumn("__h", F.xxhash64("text"))
-    verdict = quality_rules(key, keep=("doc_id", "__h")).filter("kept").select(F.col("doc_id").alias("__id"), F.col("__h").alias("__k"))
-    return key.join(verdict, same(F.col("doc_id"), F.col("__id")) & (F.col("__h") == F.col("__k")), "left_semi").drop("__h")
+    h, own, same_text = (unused(c, docs) for c in ("text_hash", "kept_id", "kept_hash"))
+    key = docs.withColumn(h, F.xxhash64("text"))
+    verdict = quality_rules(key, keep=("doc_id", h)).filter("kept").select(F.col("doc_id").alias(own), F.col(h).alias(same_text))
+    return key.join(verdict, same(F.col("doc_id"), F.col(own)) & (F.col(h) == F.col(same_text)), "left_semi").drop(h)
 
 
 def op9_quality_rules(spark, sf_dir: str) -> DataFrame:
