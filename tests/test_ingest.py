@@ -165,3 +165,17 @@ def test_catalogue_targets_and_labels(spark):
     label = lambda *o, **kw: storage.outcome_summary(spark.createDataFrame([(x,) for x in o], "outcome string"), **kw).first().final_label
     assert label("MISSING", "FAILED_VALIDATION") == "blocked_missing_r2_objects" and label("FAILED_VALIDATION", "FAILED_RESTORE") == "blocked_validation_failure"
     assert label("FAILED_RESTORE", "RESTORED") == "partial_restore" and label("PLANNED", dry_run=True) == "dry_run_complete" and label("RESTORED") == "restore_complete"
+
+
+def test_objects_and_lifecycle_base(spark, tmp_path):
+    for name in ("A-1m-2024-01.parquet", "A-1m-2024-02-10.parquet", "A-1m-2024-03.parquet", "other.parquet"):
+        (tmp_path / name).write_text("x")
+    assert sorted(r.path[-18:] for r in readers.list_objects(spark, str(tmp_path), "2024-01-31", "2024-02-10").collect()) == ["-1m-2024-01.parquet"[-18:], "m-2024-02-10.parquet"[-18:]]
+    (tmp_path / "l.csv").write_text("symbol,status,listed_at,evidence_level\nAAA,ACTIVE,2024-01-01T00:00:00Z,USER_PROVIDED_UNVERIFIED\n")
+    data = lifecycle.lifecycle_from_data(spark.createDataFrame([("AAA", "1m", "spot", 5), ("BBB", "1m", "spot", 7)], "symbol string, interval string, market string, t long"), "t")
+    base = lifecycle.lifecycle_base(readers.read_lifecycle_csv(spark, str(tmp_path / "l.csv")), data)
+    got = {r.symbol: (r.status, r.listed_ms, r.evidence_level) for r in base.collect()}
+    assert got == {"AAA": ("ACTIVE", JAN, "USER_PROVIDED_UNVERIFIED"), "BBB": ("UNKNOWN", None, "LOCAL_DATA_FIRST_SEEN")}
+    seen = spark.createDataFrame([("BBB", 1, "DELIVERED", JAN, FEB, False)], "symbol string, seq long, status string, onboard_ms long, delivery_ms long, unverified boolean")
+    merged = {r.symbol: (r.status, r.listed_ms, r.delisted_ms, r.evidence_level) for r in lifecycle.merge_snapshots(base, seen).collect()}
+    assert merged["BBB"] == ("DELISTED", JAN, FEB, "HISTORICAL_SNAPSHOT_EVIDENCE") and merged["AAA"][0] == "ACTIVE"

@@ -149,3 +149,16 @@ def test_lifecycle_from_files(spark):
     files = spark.createDataFrame([("A", "b", "2"), ("A", "a", "1")], "symbol string, path string, sha256 string")
     r = lifecycle.lifecycle_from_files(rows, files, "t", "2024-01-01T00:00:00Z").first()
     assert (r.interval, r.observed_at, len(r.source_hash)) == ("1m", "2024-01-01T00:00:00Z", 64)
+
+
+@pytest.mark.parametrize("name", ["month_partition", "timestamp_normalize", "gap_audit_window", "listing_payload", "snapshot_findings"])
+def test_queries_do_not_depend_on_the_zone(spark, name):
+    from tidemark.plans.queries import QUERIES
+
+    rows = lambda: sorted(map(str, QUERIES[name](spark, "/root/testdata/sf0.001").collect()))
+    want = rows()
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert rows() == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -28,6 +28,23 @@ def lifecycle_from_data(rows: DataFrame, t: str) -> DataFrame:
     return rows.groupBy("symbol").agg(F.min(t).alias("first_seen"), F.max(t).alias("last_seen"), one("interval").alias("interval"), one("market").alias("market"), F.count("*").alias("rows"), F.lit("LOCAL_DATA_FIRST_SEEN").alias("evidence_level"))
 
 
+def lifecycle_base(*rows: DataFrame) -> DataFrame:
+    """Lifecycles read from files, with times as text, or from data, with times in milliseconds, as one base to merge snapshots into.
+
+    The first frame that has a symbol decides; rows that repeat it within that
+    frame stay, as duplicates are findings. What data show is never a listing date.
+    """
+    names = {"symbol": "string", "status": "string", "listed_ms": "bigint", "delisted_ms": "bigint", "evidence_level": "string", "malformed": "boolean"}
+    out = None
+    for df in rows:
+        if "listed_at" in df.columns:
+            df = df.withColumns({"listed_ms": exprs.parsed_ms(F.col("listed_at")), "delisted_ms": exprs.parsed_ms(F.col("delisted_at"))})
+        one = df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(kind).alias(c) for c, kind in names.items()])
+        one = one.withColumns({"status": F.coalesce("status", F.lit("UNKNOWN")), "malformed": F.coalesce("malformed", F.lit(False))})
+        out = one if out is None else out.unionByName(one.join(out.select(F.col("symbol").alias("__have")).distinct(), F.col("symbol") == F.col("__have"), "left_anti"))
+    return out
+
+
 def merge_snapshots(base: DataFrame, seen: DataFrame) -> DataFrame:
     """base(symbol, status, listed_ms, delisted_ms, evidence_level) brought up to date by seen(symbol, seq, status, onboard_ms, delivery_ms, unverified).
 

@@ -147,6 +147,11 @@ def read_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> Da
     return df.select("path", "length", "modificationTime")
 
 
+def list_objects(spark: SparkSession, prefix: str, first: str, last: str, pattern: str = "*.parquet") -> DataFrame:
+    """A5: the files below a prefix whose period overlaps the days first to last (YYYY-MM-DD)."""
+    return read_files(spark, prefix, pattern).filter(X.overlaps(F.col("path"), F.lit(first).cast("date"), F.lit(last).cast("date")))
+
+
 def read_hashes(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """SHA-256 of every file's bytes."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
