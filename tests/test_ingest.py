@@ -179,3 +179,41 @@ def test_objects_and_lifecycle_base(spark, tmp_path):
     seen = spark.createDataFrame([("BBB", 1, "DELIVERED", JAN, FEB, False)], "symbol string, seq long, status string, onboard_ms long, delivery_ms long, unverified boolean")
     merged = {r.symbol: (r.status, r.listed_ms, r.delisted_ms, r.evidence_level) for r in lifecycle.merge_snapshots(base, seen).collect()}
     assert merged["BBB"] == ("DELISTED", JAN, FEB, "HISTORICAL_SNAPSHOT_EVIDENCE") and merged["AAA"][0] == "ACTIVE"
+
+
+def test_a_folder_of_series_to_manifest_and_plans(spark, tmp_path):
+    from tidemark.operators import universe
+
+    rows = spark.createDataFrame([("futures", "1m", s, "2024", "01", JAN + k * MIN) for s in ("AAAUSDT", "BBBUSDT") for k in range(3)], "market string, interval string, symbol string, year string, month string, open_time_ms long")
+    root = str(tmp_path / "t")
+    sinks.write_table(rows, root, ["market", "interval", "symbol", "year", "month"], ["open_time_ms"])
+    files = readers.scan_dataset(spark, root)
+    got = {r.symbol: r for r in files.collect()}
+    a = got["AAAUSDT"]
+    assert (a.interval, a.market, a.row_count, a.lo, a.hi) == ("1m", "futures", 3, JAN, JAN + 2 * MIN) and a.path.startswith("market=futures/interval=1m/symbol=AAAUSDT/year=2024/month=01/")
+    uni = universe.build_universe(universe.discover_symbols(files).withColumn("first_seen", F.lit(JAN)), spark.createDataFrame([("AAAUSDT", "ACTIVE", JAN, None, "UNKNOWN")], "symbol string, status string, listed_ms long, delisted_ms long, evidence_level string"), JAN, FEB)
+    assert {r.symbol: r.in_lifecycle for r in uni.collect()} == {"AAAUSDT": True, "BBBUSDT": False}
+    found = universe.union_warnings(universe.symbol_reconcile(files, uni, "USDT", "spot"), universe.range_findings(files.agg(F.min("lo").alias("start_ms"), F.max("hi").alias("end_ms")), JAN, FEB))
+    m = universe.dataset_manifest(files, found).first()
+    assert (m.symbols, m.files, m.rows, m.status, m.warning_codes) == (2, 2, 6, "FAIL", "UNIVERSE_DATASET_MARKET_TYPE_MISMATCH")
+    local = readers.scan_files(spark, root, "*.parquet")
+    assert {(r.symbol, r.year, r.month) for r in local.collect()} == {(s, "2024", "01") for s in got}
+    usage = {(r.symbol, r.year, r.month): r.files for r in storage.storage_usage(local).collect()}
+    assert usage[None, None, None] == 2 and usage["AAAUSDT", None, None] == 1
+    seen = storage.archive_reconcile(local, local.filter("symbol = 'AAAUSDT'"))
+    assert {(r.status) for r in seen.collect()} == {"VERIFIED", "LOCAL_ONLY"}
+
+
+def test_snapshots_are_built_and_verified(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for n, text in {"a": payload(["AAAUSDT", "BBBBTC"]), "b": payload(["BBBBTC", "AAAUSDT"], FEB)}.items():
+        (tmp_path / f"in/{n}.json").write_text(text)
+    build = lambda: listing.build_snapshots(listing.listing_symbols(readers.read_listing_json(spark, str(tmp_path / "in"))), "X", "futures_um", "2024-03-01T00:00:00Z", "OFFICIAL_ARCHIVE", "archive")
+    a, b = build().orderBy("observed_at").collect()
+    assert a.snapshot_hash == b.snapshot_hash and a.snapshot_id == f"x_futures_um_20240301_000000_{a.snapshot_hash[:12]}" and (a.observed_at, b.observed_at) == ("2024-01-01T00:00:00Z", "2024-02-01T00:00:00Z")
+    sinks.append_archive(build(), str(tmp_path / "archive"))
+    archive = spark.read.parquet(str(tmp_path / "archive"))
+    manifest = spark.createDataFrame([(2, True)], "snapshot_count long, sound boolean")
+    found = lambda df: sorted(r.code.removeprefix("EXCHANGE_ARCHIVE_") for r in listing.archive_integrity(listing.verified_snapshots(df), archive.select(F.col("raw_sha256").alias("name_hash"), F.col("raw_sha256").alias("sha256")), manifest).collect())
+    assert found(archive) == ["DUPLICATE_SNAPSHOT"]
+    assert found(archive.withColumn("symbols", F.slice("symbols", 1, 1))) == ["DUPLICATE_SNAPSHOT", "HASH_MISMATCH"]

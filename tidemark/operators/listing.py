@@ -43,6 +43,30 @@ def listing_symbols(raw: DataFrame, quote: str | None = None) -> DataFrame:
     )
 
 
+def snapshot_hash(symbols: Column, *header: Column) -> Column:
+    """H17 for snapshots: SHA-256 of the canonical JSON of the sorted symbols and what the header states of them."""
+    return F.sha2(F.to_json(F.struct(*[c.alias(f"h{k}") for k, c in enumerate(header)], F.array_sort(symbols).alias("symbols")), {"ignoreNullFields": "false"}), 256)
+
+
+def build_snapshots(symbols: DataFrame, exchange: str, market: str, collected: str, trust: str, source_type: str, by: str = "path") -> DataFrame:
+    """One snapshot for each payload (by) of symbols(by, hash, observed_ms, symbol, status, ...) as listing_symbols makes them.
+
+    The columns are those of an archive: id, hash, times, trust, the payload's own hash and the symbols. A snapshot holds
+    one exchange's symbols, which are few. trust is what the caller vouches for and has no default.
+    """
+    fields = ("symbol", "status", F.col("onboard_at"), F.col("delivery_at"))
+    one = symbols.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("symbols"), F.max("hash").alias("raw_sha256"), F.max("observed_ms").alias("ms"))
+    rows = one.select(F.lit("1.0.0").alias("schema_version"), F.lit(exchange).alias("exchange"), F.lit(market).alias("market"), F.lit(collected).alias("collected_at"), exprs.rfc3339(F.col("ms")).alias("observed_at"), F.lit(trust).alias("trust_level"), F.lit(source_type).alias("source_type"), "raw_sha256", "symbols")
+    digest = snapshot_hash(F.col("symbols"), F.col("exchange"), F.col("market"), F.col("collected_at"))
+    return rows.withColumn("snapshot_hash", digest).withColumn("snapshot_id", exprs.snapshot_id(F.col("exchange"), F.col("market"), F.col("collected_at"), F.col("snapshot_hash")))
+
+
+def verified_snapshots(archive: DataFrame) -> DataFrame:
+    """Archived snapshots as archive_integrity takes them: the hash that they state and the one that their symbols have now."""
+    now = snapshot_hash(F.col("symbols"), F.col("exchange"), F.col("market"), F.col("collected_at"))
+    return archive.select("snapshot_id", "snapshot_hash", now.alias("computed_hash"), "raw_sha256", F.size("symbols").cast("bigint").alias("symbols"), "source_type")
+
+
 def listing_findings(symbols: DataFrame, by: list[str]) -> DataFrame:
     """I1 by symbol: findings over symbols(by, symbol, status, raw_status, onboard_at, delivery_at) of every snapshot; times are text or null."""
     w = Window.partitionBy(*by, "symbol").orderBy("status")

@@ -147,6 +147,33 @@ def read_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> Da
     return df.select("path", "length", "modificationTime")
 
 
+def _below(path, root: str):
+    """path relative to a root, both without a scheme."""
+    plain = lambda c: F.regexp_replace(c, "^[a-z]+:/+", "/")
+    start = F.length(plain(F.lit(root.rstrip("/")))) + 2
+    return F.substring(plain(path), start, F.length(path))
+
+
+def scan_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """A3 for storage plans: (path, symbol, year, month, length) of all files below a root, paths relative to it; contents are not read."""
+    p = F.col("path")
+    files = read_files(spark, root, pattern).select(_below(p, root).alias("path"), "length")
+    part = lambda n, c: F.coalesce(F.nullif(F.regexp_extract("path", f"(?:^|/){n}=([^/]+)", 1), F.lit("")), F.substring(X.key_period(p), *c))
+    return files.select("path", X.lifecycle_symbol(p).alias("symbol"), part("year", (1, 4)).alias("year"), part("month", (6, 2)).alias("month"), "length")
+
+
+def scan_dataset(spark: SparkSession, root: str, t: str = "open_time_ms") -> DataFrame:
+    """J5's scan: (path, symbol, interval, market, sha256, row_count, lo, hi) of the Parquet files below a root.
+
+    Bytes are read for the hashes; of the rows only the time column, for counts and ranges. A file without rows has none.
+    """
+    hashes = read_hashes(spark, root, "*.parquet").select(_below(F.col("path"), root).alias("path"), "sha256")
+    rows = spark.read.schema(f"{t} bigint").option("recursiveFileLookup", "true").parquet(root).select(_below(F.col("_metadata.file_path"), root).alias("path"), t)
+    stats = rows.groupBy("path").agg(F.count("*").alias("row_count"), F.min(t).alias("lo"), F.max(t).alias("hi"))
+    p = F.col("path")
+    return hashes.join(stats, "path", "left").select("path", X.lifecycle_symbol(p).alias("symbol"), X.folder_interval(p).alias("interval"), X.path_market(p).alias("market"), "sha256", F.coalesce("row_count", F.lit(0)).alias("row_count"), "lo", "hi")
+
+
 def list_objects(spark: SparkSession, prefix: str, first: str, last: str, pattern: str = "*.parquet") -> DataFrame:
     """A5: the files below a prefix whose period overlaps the days first to last (YYYY-MM-DD)."""
     return read_files(spark, prefix, pattern).filter(X.overlaps(F.col("path"), F.lit(first).cast("date"), F.lit(last).cast("date")))
