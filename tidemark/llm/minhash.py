@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, cut, documents, lowered_words_of, meet, open_nodes
+from .common import components, cut, documents, lowered_words_of, meet, open_nodes, unused
 
 WORDS, PERCENT = 5, 75
 TREES, TOKENS, SKETCH = 12, 32, 128
@@ -279,15 +279,16 @@ def drop_near(docs: DataFrame) -> DataFrame:
     document of its own and takes part in the components; of one doc_id the
     smallest hash comes first, and rows without one come last.
     """
+    own, h, r, n, kept = (unused(c, docs) for c in ("own_id", "text_hash", "whole_row", "number", "kept_id"))
     odd = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 or doc_id is null")
     if odd.limit(1).count() == 0:
-        keep = near_dedup(docs).filter("kept").select(F.col("doc_id").alias("__id"))
-        return docs.join(keep, docs["doc_id"] == keep["__id"], "left_semi").select(*docs.columns)
+        keep = near_dedup(docs).filter("kept").select(F.col("doc_id").alias(kept))
+        return docs.join(keep, docs["doc_id"] == keep[kept], "left_semi").select(*docs.columns)
     # A pair that repeats often is a map-side minimum. Partitions of a sorted table follow each other, and so do the numbers.
-    one = docs.groupBy(F.col("doc_id").alias("__id"), F.md5("text").alias("__h")).agg(F.min(F.struct(*docs.columns)).alias("__r"))
-    rows = cut(one.orderBy(F.col("__id").asc_nulls_last(), "__h").select(F.monotonically_increasing_id().alias("__n"), "__r.*"))
-    keep = near_dedup(rows.select(F.col("__n").alias("doc_id"), "text")).filter("kept").select(F.col("doc_id").alias("__k"))
-    return rows.join(keep, F.col("__n") == F.col("__k"), "left_semi").select(*docs.columns)
+    one = docs.groupBy(F.col("doc_id").alias(own), F.md5("text").alias(h)).agg(F.min(F.struct(*docs.columns)).alias(r))
+    rows = cut(one.orderBy(F.col(own).asc_nulls_last(), h).select(F.monotonically_increasing_id().alias(n), f"{r}.*"))
+    keep = near_dedup(rows.select(F.col(n).alias("doc_id"), "text")).filter("kept").select(F.col("doc_id").alias(kept))
+    return rows.join(keep, F.col(n) == F.col(kept), "left_semi").select(*docs.columns)
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
