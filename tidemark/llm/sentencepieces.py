@@ -31,7 +31,7 @@ from .common import documents
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 MARK = "▁"
 #: Chunks, parts of chunks and pairs that a Python worker remembers; longer chunks and parts are encoded anew each time, so that the memory for them is bounded.
-CHUNKS, PAIRS, LONGEST = 500_000, 500_000, 48
+CHUNKS, PAIRS, LONGEST = 250_000, 200_000, 48
 
 
 def read_model(path: str = MODEL) -> dict:
