@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, line_dedup, minhash, mixing, quality_classifier, quality_rules, sentencepieces, simhash, token_counts, toxicity
+from . import chat, line_dedup, minhash, mixing, quality_classifier, quality_rules, sentencepieces, simhash, suffix_dedup, token_counts, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_chat_formatting": chat.op10_chat_formatting,
+    "op11_suffix_dedup": suffix_dedup.op11_suffix_dedup,
 }
 ORACLE_SQL = {
     "op1_line_dedup": line_dedup.OP1_SQL,
@@ -22,4 +23,5 @@ ORACLE_SQL = {
     "op5_mixing": mixing.OP5_SQL,
     "op9_quality_rules": quality_rules.OP9_SQL,
     "op10_chat_formatting": chat.OP10_SQL,
+    "op11_suffix_dedup": suffix_dedup.OP11_SQL,
 }
