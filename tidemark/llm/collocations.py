@@ -2,25 +2,31 @@
 
 Texts lie side by side in one buffer. A prefix polynomial over the bytes gives
 each word's hash as a difference of two places, one over the words' hashes each
-n-gram's, whatever n is; both are kept twice, with different bases, so that a
-fingerprint has 128 bits. A task counts its n-grams and the shuffle adds up, per
-fingerprint, the number and one occurrence as a pointer (text, byte, words).
-Only fingerprints found often enough are read from the texts again; what stands
-at the pointer must have the fingerprint it was counted under.
-
-A phrase is as rare as its rarest part: one of three words is counted only where
-both its pairs are frequent, a longer one where all its triples are. Frequent
-fingerprints are marked in a bitmap of bounded size for that; a mark set by
-another fingerprint costs work and changes no count.
+n-gram's, whatever n is. A fingerprint has a second half, made in the same way of
+the words' ends and lengths beside their hashes, so that two phrases are told
+apart by 128 bits.
+
+A first pass only counts into tables of bounded size, a table for each length,
+at the slots that the fingerprints name. A phrase is at most as frequent as its
+slot and as the phrases inside it, so the second pass gathers only those whose
+slots all reach the threshold: a slot that others fill costs work and changes no
+count. The shuffle adds up, per fingerprint, the number and one occurrence as a
+pointer (text, byte). Only phrases found frequent are read from the texts again;
+what stands at a pointer must have the fingerprint that it was counted under.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+import zstandard
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, documents
@@ -28,9 +34,11 @@ from .common import cut, documents
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Bytes of text hashed at a time, and fingerprints a task gathers before it counts them and before it hands them on.
 STRETCH, GATHERED, HANDED = 1 << 21, 1_500_000, 2_000_000
-#: Bits of the largest bitmap of frequent fingerprints (16 MiB), and bits for each of them.
-MOST_BITS, BITS_EACH = 1 << 27, 16
+#: Slots of a length's table, and of one segment of it; the largest count of a slot.
+SLOTS, SEGMENT, FULL = 1 << 24, 1 << 14, 65_535
 _SPACE, _BREAK = 1, 2
+#: Behind these a phrase ends.
+_ENDS = re.compile(rb"[.,;:!?\x0A-\x0D]")
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = _SPACE
 _KIND[list(b".,;:!?\x0a\x0b\x0c\x0d")] = _BREAK
@@ -71,23 +79,20 @@ class Polynomial:
         return (prefix[ends] - prefix[starts]) * self.down[starts]
 
 
-_polynomials: list[tuple[Polynomial, Polynomial, np.ndarray]] = []
-
-
-def _hashes() -> list[tuple[Polynomial, Polynomial, np.ndarray]]:
-    """For each half of a fingerprint: the polynomial over bytes, that over words and the bytes' values. Made once in each worker."""
-    if not _polynomials:
-        for seed in _SEEDS:
-            values = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(seed)) | np.uint64(1)
-            _polynomials.append((Polynomial(int(mixed(np.array([seed], np.uint64))[0])), Polynomial(int(mixed(np.array([seed ^ _FULL], np.uint64))[0])), values))
-    return _polynomials
+@cache
+def _hashes() -> tuple[Polynomial, tuple[Polynomial, Polynomial], np.ndarray]:
+    """The polynomial over bytes, those over words for either half of a fingerprint, and the bytes' values. Made once in each worker."""
+    bases = mixed(np.arange(1, 4, dtype=np.uint64) * np.uint64(_SEEDS[0])).tolist()
+    values = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_SEEDS[1])) | np.uint64(1)
+    return Polynomial(bases[0]), (Polynomial(bases[1]), Polynomial(bases[2])), values
 
 
 class Words:
     """Words of texts that lie in one buffer, text k from edges[k] on, and the fingerprints of their n-grams."""
 
-    def __init__(self, raw: np.ndarray, edges: np.ndarray, languages: np.ndarray):
+    def __init__(self, raw: np.ndarray, edges: np.ndarray, languages: np.ndarray, names: list[str] | None = None):
         low = _LOWER[raw]
+        self.names = names
         kind = _KIND[low]
         word = kind == 0
         new = np.zeros(len(raw) + 1, bool)
@@ -99,10 +104,18 @@ class Words:
         self.starts, ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         self.text = np.searchsorted(edges, self.starts, side="right") - 1
         self.piece = np.cumsum(kind == _BREAK)[self.starts] + self.text
-        self.language, self.hashes = languages, []
-        for in_bytes, over_words, values in _hashes():
-            words = mixed(in_bytes.between(in_bytes.prefix(values[low]), self.starts, ends))
-            self.hashes.append((over_words, over_words.prefix(words)))
+        self.language = languages
+        in_bytes, over_words, values = _hashes()
+        one = mixed(in_bytes.between(in_bytes.prefix(values[low]), self.starts, ends))
+        # Words of up to 16 bytes are their first and last eight and their length; zeros stand in where the buffer ends.
+        padded = np.zeros(len(low) + 15, np.uint8)
+        padded[7:-8] = low
+        eight = np.ndarray((len(low) + 8,), "<u8", padded.data, 0, (1,))
+        size = np.minimum(ends - self.starts, 8)
+        shift = ((8 - size) * 8).astype(np.uint64)
+        other = mixed(eight[self.starts + 7] << shift) + mixed((eight[ends - 1] >> shift) ^ np.uint64(_SEEDS[1])) + (ends - self.starts).astype(np.uint64) * np.uint64(_SEEDS[0])
+        two = mixed(other) ^ one
+        self.hashes = [(p, p.prefix(w)) for p, w in zip(over_words, (one, two), strict=True)]
 
     def places(self, n: int) -> np.ndarray:
         """First words of the n-grams, none of which leaves its piece."""
@@ -116,8 +129,6 @@ class Words:
 
 
 def language_value(lang: str) -> int:
-    import xxhash
-
     return xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass"))
 
 
@@ -154,34 +165,100 @@ def _buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, edges - edges[0]
 
 
-class Marks:
-    """A set of fingerprints as a bitmap: holds all its own, and some others."""
+_COUNTS = "print bigint, other bigint, n bigint, k1 bigint, at bigint"
+
 
-    def __init__(self, bits: np.ndarray):
-        self.bits, self.mask = bits, np.uint64(len(bits) * 64 - 1)
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, np.ndarray, np.ndarray]]:
+    """The words of batches (text, lang, k1), stretch by stretch, with each text's k1 and where its part in the stretch begins in it, counted from the stretch's start."""
+    known: dict[str, int] = {}
+    for b in batches:
+        raw, edges = _buffer(b.column("text"))
+        k1 = b.column("k1").to_numpy(zero_copy_only=False)
+        names = b.column("lang").to_pylist()
+        known.update({x: language_value(x) for x in {*names} - known.keys()})
+        for part, begins, texts, before in _stretches(raw, edges):
+            languages = [names[k] for k in texts.tolist()]
+            yield Words(part, begins, np.array([known[x] for x in languages], np.uint64), languages), k1[texts], before - begins
 
-    def __contains__(self, _):
-        raise TypeError("ask has()")
 
-    def has(self, prints: np.ndarray) -> np.ndarray:
-        at = prints & self.mask
-        return (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+_TABLES = "n int, segment int, lang string, total bigint, counts binary"
 
 
-_COUNTS = "print bigint, other bigint, n bigint, k1 bigint, at bigint"
+def _sketch(longest: int, slots: int):
+    """Counts of slots for each length, 16 bits each (full at the largest), in compressed segments; and words by language."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = np.zeros((longest, slots), np.uint16)
+        totals: Counter[str] = Counter()
+        for words, _, _ in _each(batches):
+            for k, c in enumerate(np.bincount(words.text, minlength=len(words.names)).tolist()):
+                totals[words.names[k]] += c
+            for n in range(1, longest + 1):
+                at = (words.prints(n, words.places(n), 0) & np.uint64(slots - 1)).astype(np.uint32)
+                slot, times = np.unique(at, return_counts=True)
+                tables[n - 1, slot] = np.minimum(tables[n - 1, slot] + times, FULL)
+        width = min(slots, SEGMENT)
+        squeeze = zstandard.ZstdCompressor(1).compress
+        rows = [(0, 0, lang, c, None) for lang, c in totals.items()]
+        for n in range(longest):
+            for k in range(slots // width):
+                part = tables[n, k * width : (k + 1) * width]
+                if part.any():
+                    rows.append((n + 1, k, None, None, squeeze(part.tobytes())))
+        for k in range(0, len(rows), 1000):
+            cols = zip(*rows[k : k + 1000], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.binary()), strict=True)], names=["n", "segment", "lang", "total", "counts"])
+
+    return run
+
+
+def _fill(least: int):
+    """Which slots of each segment reach `least`, as bits; the rows of a segment come together, in any order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        for b in batches:
+            for n, k, counts in zip(b.column("n").to_pylist(), b.column("segment").to_pylist(), b.column("counts"), strict=True):
+                got = np.frombuffer(zstandard.ZstdDecompressor().decompress(counts.as_py()), np.uint16)
+                if (n, k) in sums:
+                    sums[n, k] += got
+                else:
+                    sums[n, k] = got.astype(np.int64)
+        keys = [*sums]
+        bits = [np.packbits(sums[x] >= least, bitorder="little").tobytes() for x in keys]
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in keys], pa.int32()), pa.array([x[1] for x in keys], pa.int32()), pa.array(bits, pa.binary())], names=["n", "segment", "bits"])
 
+    return run
+
+
+def frequent_slots(docs: DataFrame, least: int, longest: int, slots: int) -> tuple[np.ndarray, DataFrame]:
+    """Bitmaps (longest, slots / 8) of the slots that reach `least`, and totals(lang, n): the words of docs(text, lang, k1) by language.
+
+    The bitmaps have slots bits a length, whatever the data: at most 10 MiB are gathered and sent.
+    """
+    if least > FULL:
+        raise ValueError(f"least is at most {FULL}")
+    rows = cut(docs.mapInArrow(_sketch(longest, slots), _TABLES))
+    width = min(slots, SEGMENT)
+    out = np.zeros((longest, slots // 8), np.uint8)
+    found = rows.filter("n > 0").select("n", "segment", "counts").repartition("n", "segment").mapInArrow(_fill(least), "n int, segment int, bits binary")
+    for r in found.toLocalIterator():
+        out[r.n - 1, r.segment * width // 8 : (r.segment + 1) * width // 8] = np.frombuffer(r.bits, np.uint8)
+    return out, rows.filter("n = 0").groupBy("lang").agg(F.sum("total").alias("n"))
 
-def _count(lengths: tuple[int, ...], part: int, sent):
-    """Counts the n-grams of the given lengths whose parts of `part` words are all marked."""
+
+def _count(longest: int, sent):
+    """Counts the n-grams whose slots, and those of the n-grams inside them, are all marked in the bitmaps sent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks, known = Marks(np.frombuffer(sent.value, np.uint64)) if sent else None, {}
+        marks = sent.value
+        last = np.uint64(marks.shape[1] * 8 - 1)
         held: list[tuple[np.ndarray, ...]] = []
         size = counted = 0
 
         def add_up() -> tuple[np.ndarray, ...]:
             cols = [np.concatenate(x) for x in zip(*held, strict=True)]
-            order = np.argsort(cols[0], kind="stable")
+            order = np.lexsort((cols[1], cols[0]))
             a, b = cols[0][order], cols[1][order]
             new = np.ones(len(a), bool)
             new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
@@ -192,74 +269,50 @@ def _count(lengths: tuple[int, ...], part: int, sent):
         def batch(cols: tuple[np.ndarray, ...]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in cols], names=["print", "other", "n", "k1", "at"])
 
-        for b in batches:
-            raw, edges = _buffer(b.column("text"))
-            k1 = b.column("k1").to_numpy(zero_copy_only=False)
-            names = b.column("lang").to_pylist()
-            known.update({x: language_value(x) for x in {*names} - known.keys()})
-            languages = np.array([known[x] for x in names], np.uint64)
-            for part_raw, part_edges, texts, before in _stretches(raw, edges):
-                words = Words(part_raw, part_edges, languages[texts])
-                ok = None
-                if marks is not None:
-                    ok = np.zeros(len(words.starts), bool)
-                    there = words.places(part)
-                    ok[there] = marks.has(words.prints(part, there, 0))
-                for n in lengths:
-                    at = words.places(n)
-                    if ok is not None:
-                        for k in range(n - part + 1):
-                            at = at[ok[at + k]]
-                    text = words.text[at]
-                    where = (words.starts[at] - part_edges[text] + before[text]) << 3 | n
-                    held.append((words.prints(n, at, 0), words.prints(n, at, 1), np.ones(len(at), np.int64), k1[texts[text]], where))
-                    size += len(at)
-                if size - counted > GATHERED:
-                    held = [add_up()]
-                    size = counted = len(held[0][0])
-                    if counted > HANDED:
-                        yield batch(held.pop())
-                        size = counted = 0
+        for words, k1, shift in _each(batches):
+            ok = np.ones(len(words.starts) + 1, bool)
+            for n in range(1, longest + 1):
+                at = words.places(n)
+                at = at[ok[at] & ok[at + 1]] if n > 1 else at
+                prints = words.prints(n, at, 0)
+                slot = prints & last
+                good = (marks[n - 1, (slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                at, prints = at[good], prints[good]
+                ok = np.zeros(len(words.starts) + 1, bool)
+                ok[at] = True
+                text = words.text[at]
+                held.append((prints, words.prints(n, at, 1), np.ones(len(at), np.int64), k1[text], (words.starts[at] + shift[text]) << 3 | n))
+                size += len(at)
+            if size - counted > GATHERED:
+                held = [add_up()]
+                size = counted = len(held[0][0])
+                if counted > HANDED:
+                    yield batch(held.pop())
+                    size = counted = 0
         if held:
             yield batch(add_up())
 
     return run
 
 
-def marks_of(prints: DataFrame) -> bytes:
-    """A bitmap of prints(print): a power of two of bits, at most MOST_BITS, gathered as 64-bit words."""
-    n = prints.count()
-    bits = 1 << min(MOST_BITS.bit_length() - 1, max(12, (n * BITS_EACH).bit_length()))
-    slot = F.col("print").bitwiseAND(F.lit(bits - 1))
-    words = prints.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(print & 63 as int))")).alias("bits"))
-    out = np.zeros(bits >> 6, np.int64)
-    got = words.toArrow()
-    out[got.column("word").to_numpy()] = got.column("bits").to_numpy()
-    return out.tobytes()
+_PHRASES = "lang string, phrase string, words int, print bigint, other bigint, a bigint, cuts array<struct<k: int, l1: bigint, l2: bigint, r1: bigint, r2: bigint>>"
 
 
-def _read(sent_lengths: int):
-    """Phrases at pointers: rows (text, lang, wanted) to (lang, print, other, a, words...) with all parts' fingerprints; a phrase whose fingerprint is another is not the one counted."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out: list[tuple] = []
-            for text, lang, wanted in zip(b.column("text"), b.column("lang").to_pylist(), b.column("wanted"), strict=True):
-                raw = text.as_py().encode("utf-8", "surrogatepass")
-                for w in wanted.as_py():
-                    begin, n = w["at"] >> 3, w["at"] & 7
-                    words: list[bytes] = []
-                    end = begin
-                    while len(words) < n and end < len(raw):
-                        stop = min(len(raw), max(end + 64, 2 * end - begin))
-                        words, end = raw[begin:stop].split(b"\n", 1)[0].replace(b"\t", b" ").split(b" "), stop
-                        words = [x for x in words if x]
-                        if end < len(raw):
-                            words = words[:-1]
-                    out.append((lang, b" ".join(words[:n]).lower(), n, w["print"], w["other"], w["n"]))
-            yield from _with_parts(out)
-
-    return run
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The phrases at the pointers of rows (text, lang, wanted), with the fingerprints of all their parts."""
+    for b in batches:
+        out: list[tuple] = []
+        for text, lang, wanted in zip(b.column("text"), b.column("lang").to_pylist(), b.column("wanted"), strict=True):
+            raw = text.as_py().encode("utf-8", "surrogatepass")
+            for w in wanted.as_py():
+                begin, n = w["at"] >> 3, w["at"] & 7
+                parts, words, end = [b""], [], begin
+                while len(parts) == 1 and len(words) <= n and end < len(raw):
+                    end += max(64, 2 * (end - begin))
+                    parts = _ENDS.split(raw[begin:end], 1)
+                    words = parts[0].split()
+                out.append((lang, b" ".join(words[:n]).lower(), n, w["print"], w["other"], w["n"]))
+        yield from _with_parts(out)
 
 
 def _with_parts(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -294,29 +347,66 @@ def _with_parts(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays(cols, names=["lang", "phrase", "words", "print", "other", "a", "cuts"])
 
 
-def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
-    """Counts(print, other, n, k1, at) of all words and frequent phrases of docs(text, lang, k1), and totals(lang, n) of words."""
-    parts, sent = [], None
-    steps = [((1, 2), 0), ((3,), 2), (tuple(range(4, longest + 1)), 3)]
-    for lengths, part in steps:
-        lengths = tuple(n for n in lengths if n <= longest)
-        if not lengths:
-            break
-        counted = docs.mapInArrow(_count(lengths, part, sent), _COUNTS)
-        found = counted.groupBy("print", "other").agg(F.sum("n").alias("n"), F.min("k1").alias("k1"), F.min_by("at", "k1").alias("at"))
-        parts.append(cut(found.filter((F.col("n") >= least) | (F.col("at").bitwiseAND(F.lit(7)) == 1))))
-        frequent = parts[-1].filter((F.col("n") >= least) & (F.col("at").bitwiseAND(F.lit(7)) == lengths[-1])).select("print")
-        if lengths[-1] >= longest or frequent.isEmpty():
-            break
-        sent = docs.sparkSession.sparkContext.broadcast(marks_of(frequent))
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
-
-
-def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP) -> DataFrame:
-    """The phrases of docs(text, lang) that score best, by language: lang, rank, phrase, a, l, r, n, score."""
+def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
+    """counts(print, other, n, k1, at) of the words and phrases that docs(text, lang, k1) hold `least` times or more, and totals(lang, n) of all words."""
+    marks, totals = frequent_slots(docs, least, longest, slots)
+    counted = docs.mapInArrow(_count(longest, docs.sparkSession.sparkContext.broadcast(marks)), _COUNTS)
+    found = counted.groupBy("print", "other").agg(F.sum("n").alias("n"), F.min("k1").alias("k1"), F.min_by("at", "k1").alias("at"))
+    return cut(found.filter(F.col("n") >= least)), totals
+
+
+def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, slots: int = SLOTS) -> DataFrame:
+    """The best-scored phrases of docs(text, lang) by language: lang, rank, phrase, a, l, r, n, score.
+
+    Null texts are empty, a null language is `und`; texts without words count for
+    nothing, repeated rows count each. Other columns are not looked at. Equal
+    scores rank by a, then by phrase. An empty table gives no rows. longest is 2
+    to 7, slots a power of two.
+    """
     rows = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("und")).alias("lang"))
     rows = rows.withColumn("k1", F.xxhash64("text", "lang"))
-    return rows
+    counts, totals = phrase_counts(rows, least, longest, slots)
+    wanted = counts.filter(F.col("at").bitwiseAND(F.lit(7)) > 1).groupBy("k1").agg(F.collect_list(F.struct("print", "other", "n", "at")).alias("wanted"))
+    read = rows.join(wanted, "k1").select("text", "lang", "wanted").mapInArrow(_read, _PHRASES)
+    phrases = cut(read.dropDuplicates(["print", "other"]))
+    inside = phrases.filter("words > 2").select("a", F.explode(F.array(F.struct(F.col("cuts")[0]["r1"].alias("print"), F.col("cuts")[0]["r2"].alias("other")), F.struct(F.element_at("cuts", -1)["l1"].alias("print"), F.element_at("cuts", -1)["l2"].alias("other")))).alias("part"))
+    longer = inside.groupBy("part.print", "part.other").agg(F.max("a").alias("longer"))
+    cuts = phrases.select("print", "other", "a", "lang", F.explode("cuts").alias("c")).select("print", "other", "a", "lang", "c.*")
+    l = counts.select(F.col("print").alias("l1"), F.col("other").alias("l2"), F.col("n").alias("l"))
+    r = counts.select(F.col("print").alias("r1"), F.col("other").alias("r2"), F.col("n").alias("r"))
+    cuts = cuts.join(l, ["l1", "l2"]).join(r, ["r1", "r2"]).join(F.broadcast(totals), "lang")
+    score = F.expr("(cast(1000 as decimal(4, 0)) * cast(a as decimal(19, 0)) * cast(n as decimal(15, 0))) div (cast(l as decimal(19, 0)) * cast(r as decimal(19, 0)))")
+    best = cuts.withColumn("score", score).groupBy("print", "other").agg(F.min(F.struct("score", "k", "l", "r", "n")).alias("best"))
+    scored = phrases.select("print", "other", "lang", "phrase", "a").join(best, ["print", "other"]).join(longer, ["print", "other"], "left")
+    scored = scored.filter("longer is null or longer < a").select("lang", "phrase", "a", "best.l", "best.r", "best.n", "best.score")
+    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    ranked = scored.withColumn("rank", F.row_number().over(order).cast("bigint")).filter(F.col("rank") <= top)
+    return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir).select("text", "lang"))
+
+
+#: All phrases of all pieces, by their words.
+OP12_SQL = f"""
+WITH rows AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS t FROM rows),
+words AS MATERIALIZED (SELECT lang, list_filter(regexp_split_to_array(t, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+grams AS (SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase FROM (
+  SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM words CROSS JOIN range(1, {LONGEST + 1}) AS r(m))),
+f AS MATERIALIZED (SELECT lang, m, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= {LEAST}),
+split AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+cuts AS (SELECT s.lang, s.m, s.phrase, s.a, k, fl.a AS l, fr.a AS r, (1000::HUGEINT * s.a * n) // (fl.a::HUGEINT * fr.a) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM split) AS s JOIN totals USING (lang)
+  JOIN f AS fl ON fl.lang = s.lang AND fl.phrase = array_to_string(list_slice(w, 1, k), ' ')
+  JOIN f AS fr ON fr.lang = s.lang AND fr.phrase = array_to_string(list_slice(w, k + 1, s.m), ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+gone AS (SELECT DISTINCT s.lang, f.phrase FROM (
+    SELECT lang, m, a, w, unnest(range(2, m)) AS size FROM split) AS s, f
+  WHERE f.lang = s.lang AND f.m = s.size AND 100 * s.a >= 100 * f.a AND contains(' ' || array_to_string(s.w, ' ') || ' ', ' ' || f.phrase || ' ')),
+ranked AS (SELECT lang, phrase, a, l, r, n, score, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM (SELECT * FROM best ANTI JOIN gone USING (lang, phrase)) JOIN totals USING (lang))
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= {TOP}
+"""

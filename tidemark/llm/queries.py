@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, line_dedup, minhash, mixing, quality_classifier, quality_rules, sentencepieces, simhash, suffix_dedup, token_counts, toxicity
+from . import chat, clustering, collocations, line_dedup, minhash, mixing, quality_classifier, quality_rules, sentencepieces, simhash, suffix_dedup, token_counts, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_chat_formatting": chat.op10_chat_formatting,
     "op11_suffix_dedup": suffix_dedup.op11_suffix_dedup,
+    "op12_collocations": collocations.op12_collocations,
+    "op13_clustering": clustering.op13_clustering,
 }
 ORACLE_SQL = {
     "op1_line_dedup": line_dedup.OP1_SQL,
@@ -24,4 +26,6 @@ ORACLE_SQL = {
     "op9_quality_rules": quality_rules.OP9_SQL,
     "op10_chat_formatting": chat.OP10_SQL,
     "op11_suffix_dedup": suffix_dedup.OP11_SQL,
+    "op12_collocations": collocations.OP12_SQL,
+    "op13_clustering": clustering.OP13_SQL,
 }
