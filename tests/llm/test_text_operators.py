@@ -35,7 +35,7 @@ def hard(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got, want = queries.QUERIES[name](spark, SF).toPandas(), con.sql(queries.ORACLE_SQL[name]).df()
     same = lambda x: sorted(map(str, x[sorted(x.columns)].round(6).itertuples(index=False, name=None)))
