@@ -1,9 +1,11 @@
 """Coverage audits and validators on micro-fixtures with exact expected counts."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import lifecycle, series, storage
+from tidemark.operators import lifecycle, listing, series, storage
 
 T0, MIN = 1704067200000, 60_000
 
@@ -44,9 +46,35 @@ def test_validate(spark, event, available, rule):
     assert series.validate_rows(df, ["s"], ["e"], "e", "a", []).first().first_rule == rule
 
 
-def test_greedy_plan_skips_what_is_too_large(spark):
-    df = spark.createDataFrame([("s", "a", 6), ("s", "b", 9), ("s", "c", 3)], "symbol string, path string, length long")
-    assert [r["delete"] for r in storage.greedy_plan(df, 10).orderBy("path").collect()] == [True, False, True]
+@pytest.mark.parametrize("block_files", [1, 3, 1000])
+def test_one_budget_over_all_files(spark, block_files):
+    """Against a walk file by file: large files are passed over, later smaller ones still fit, whatever block they lie in."""
+    draw = random.Random(7)
+    rows = [(f"candles/m/1h/symbol={draw.choice('ABC')}/{draw.choice(['year=1', 'year=1-x', 'y.z'])}/{k:03}.parquet", draw.choice([0, 1, 2, 7, 30, 90])) for k in range(120)] + [("z", None), ("candles", 3), ("candles", 3)]
+    df = spark.createDataFrame(rows, "path string, length long")
+    for budget in (0, 10, 500, 10**6):
+        left, want = budget, []
+        for path, n in sorted(rows, key=lambda r: (r[0].split("/"), -1 if r[1] is None else r[1])):
+            want.append((path, n or 0, n is not None and n <= left))
+            left -= n if want[-1][2] else 0
+        assert sorted((r.path, r.length or 0, r.fits) for r in storage.within_budget(df, budget, block_files).collect()) == sorted(want)
+    assert storage.within_budget(df.limit(0), 5).collect() == []
+
+
+def test_cleanup_has_one_budget(spark):
+    at = lambda s, k=0, m="spot": f"candles/{m}/1h/symbol={s}/year=2024/{k}.parquet"
+    rows = [(at("A"), "A", "2024", 6, "VERIFIED"), (at("B"), "B", "2024", 6, "VERIFIED"), (at("C"), "C", "2024", 4, "VERIFIED"), (at("D"), "D", "2024", 1, "LOCAL_ONLY"), (at("E"), "E", "2024", 1, "VERIFIED"), (at("C", 1), "C", "2020", 1, "VERIFIED"), (at("F", m="um"), "F", "2024", 1, "VERIFIED"), ("reports/x", None, None, 1, None), ("manifests/x", None, None, 1, None), ("x", None, None, 1, "VERIFIED")]
+    df = spark.createDataFrame(rows, "path string, symbol string, year string, length long, status string")
+    got = {r.path: r.reason for r in storage.cleanup_plan(df, ["E"], 2023, 2025, 10, market="spot", interval="1h").collect()}
+    assert got == {at("A"): "DELETE", at("B"): "OVER_BUDGET", at("C"): "DELETE", at("D"): "NOT_VERIFIED", at("E"): "RETAINED_SYMBOL", at("C", 1): "NOT_TARGET", at("F", m="um"): "NOT_TARGET", "reports/x": "REPORT", "manifests/x": "PROTECTED", "x": "NOT_TARGET"}
+    assert storage.cleanup_plan(df, [], 2023, 2025, None).filter("delete").agg(F.sum("length")).first()[0] == 18
+
+
+def test_exactly_one_input_of_a_hash_is_imported(spark):
+    rows = [("h", "same")] * 5 + [("g", "b"), ("g", "a"), ("g", "a"), (None, "x"), (None, "x"), ("old", "q")]
+    df = spark.createDataFrame(rows, "hash string, path string").repartition(4)
+    done = listing.intake(df, spark.createDataFrame([("old",), ("old",)], "hash string"))
+    assert {(r.hash, r.path, r.outcome): r["count"] for r in done.groupBy("hash", "path", "outcome").count().collect()} == {("h", "same", "IMPORTED"): 1, ("h", "same", "DUPLICATE"): 4, ("g", "a", "IMPORTED"): 1, ("g", "a", "DUPLICATE"): 1, ("g", "b", "DUPLICATE"): 1, (None, "x", "SKIPPED"): 2, ("old", "q", "DUPLICATE"): 1}
 
 
 def test_disappeared(spark):

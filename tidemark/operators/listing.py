@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs
+from ..functions.lineage import cut
 
 UNVERIFIED = exprs.UNVERIFIED
 # Statuses that a listing may have.
@@ -118,10 +119,15 @@ def symbol_evidence(seen: DataFrame) -> DataFrame:
     )
 
 
-def archive_summary(snapshots: DataFrame) -> DataFrame:
-    """E9 over snapshots(snapshot_id, trust, observed, symbols): counts, trust histogram, range, status."""
+def summary_parts(snapshots: DataFrame, keys: list[str] = ()) -> DataFrame:
+    """What archive_summary adds up, by keys and trust level: parts of a day can be kept and replaced without the others."""
     trust = F.coalesce(F.col("trust"), F.lit(""))
-    each = snapshots.groupBy(trust.alias("trust")).agg(F.count("*").alias("n"), F.count_if(F.col("observed").isNull()).alias("missing_time"), F.min("observed").alias("lo"), F.max("observed").alias("hi"), F.count_if(F.col("symbols") == 0).alias("empty"))
+    return snapshots.groupBy(*keys, trust.alias("trust")).agg(F.count("*").alias("n"), F.count_if(F.col("observed").isNull()).alias("missing_time"), F.min("observed").alias("lo"), F.max("observed").alias("hi"), F.count_if(F.col("symbols") == 0).alias("empty"))
+
+
+def summed_up(parts: DataFrame) -> DataFrame:
+    """E9 from parts: counts, trust histogram, range, status."""
+    each = parts.groupBy("trust").agg(*[F.sum(c).alias(c) for c in ("n", "missing_time", "empty")], F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     return each.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("snapshots"), count_map("trust").alias("trust_levels"),
         F.coalesce(F.sum(F.when(~F.col("trust").isin(*UNVERIFIED), F.col("n"))), F.lit(0)).alias("official"), F.coalesce(F.sum(F.when(F.col("trust").isin(*UNVERIFIED), F.col("n"))), F.lit(0)).alias("unverified"),
@@ -130,19 +136,41 @@ def archive_summary(snapshots: DataFrame) -> DataFrame:
     )
 
 
+def archive_summary(snapshots: DataFrame) -> DataFrame:
+    """E9 over snapshots(snapshot_id, trust, observed, symbols): counts, trust histogram, range, status."""
+    return summed_up(summary_parts(snapshots))
+
+
+def evidence_parts(seen: DataFrame, keys: list[str]) -> DataFrame:
+    """symbol_evidence's aggregates by keys and symbol, before they are put together; a snapshot belongs to one value of keys."""
+    return seen.groupBy(*keys, "symbol").agg(
+        F.min("collected").alias("first_seen"), F.max("collected").alias("last_seen"), F.countDistinct("snapshot_id").alias("times_seen"), F.collect_set("status").alias("statuses"),
+        F.bool_or(F.coalesce(F.col("onboard_ms") > 0, F.lit(False))).alias("has_onboard"), F.bool_or(F.coalesce(F.col("delivery_ms") > 0, F.lit(False))).alias("has_delivery"),
+    )
+
+
+def evidence_of(parts: DataFrame) -> DataFrame:
+    """E8 from parts: one row a symbol."""
+    return parts.groupBy("symbol").agg(
+        F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.sum("times_seen").alias("times_seen"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("statuses")))), ",").alias("statuses"), F.bool_or("has_onboard").alias("has_onboard"), F.bool_or("has_delivery").alias("has_delivery"),
+    )
+
+
 def intake(incoming: DataFrame, archive: DataFrame, key: str = "hash", order: str = "path") -> DataFrame:
     """Each input with its outcome. The first of a batch wins, what the archive holds is a duplicate.
 
-    Outcomes: SKIPPED (no hash), DUPLICATE, IMPORTED. The first of a batch is a
-    map-side minimum, so that inputs of one hash, or of none, never meet.
+    Outcomes: SKIPPED (no hash), DUPLICATE, IMPORTED; of each hash that the
+    archive lacks exactly one input is IMPORTED, also where order does not tell
+    inputs apart. For that the batch is numbered once, in the shared folder. The
+    first is a map-side minimum, so that inputs of one hash, or of none, never meet.
     """
+    rows = cut(incoming.withColumn("__id", F.monotonically_increasing_id()))
     have = archive.select(F.col(key).alias("__have")).distinct()
-    hashed = incoming.filter(F.col(key).isNotNull())
-    first = hashed.groupBy(F.col(key).alias("__key")).agg(F.min(order).alias("__first"))
-    rows = hashed.join(first, F.col(key) == F.col("__key")).join(have, F.col(key) == F.col("__have"), "left")
-    outcome = F.when((F.col(order) != F.col("__first")) | F.col("__have").isNotNull(), "DUPLICATE").otherwise("IMPORTED")
-    done = rows.withColumn("outcome", outcome).drop("__key", "__first", "__have")
-    return done.unionByName(incoming.filter(F.col(key).isNull()).withColumn("outcome", F.lit("SKIPPED")))
+    first = rows.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.min(F.struct(order, "__id"))["__id"].alias("__first"))
+    won = first.join(have, F.col("__key") == F.col("__have"), "left_anti").select("__first")
+    outcome = F.when(F.col(key).isNull(), "SKIPPED").when(F.col("__first").isNull(), "DUPLICATE").otherwise("IMPORTED")
+    return rows.join(won, F.col("__id") == F.col("__first"), "left").withColumn("outcome", outcome).drop("__id", "__first")
 
 
 def backfill_report(inputs: DataFrame, archive: DataFrame, trust: str | None, order: str = "path") -> tuple[DataFrame, DataFrame]:

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs
+from ..functions.lineage import cut
 
 
 def storage_usage(files: DataFrame) -> DataFrame:
-    """Bytes and files by symbol, by year, by month of the year, and in all."""
-    sets = files.groupingSets([["symbol"], ["year"], ["month"], []], "symbol", "year", "month")
+    """Bytes and files by symbol, by year, by month of the year, by top-level area (the first folder of each path, none for files beside the folders), and in all."""
+    rows = files.withColumn("area", F.nullif(F.regexp_extract("path", "^([^/]+)/", 1), F.lit("")))
+    sets = rows.groupingSets([["symbol"], ["year"], ["month"], ["area"], []], "symbol", "year", "month", "area")
     return sets.agg(F.sum("length").alias("bytes"), F.count("*").alias("files"))
 
 
@@ -59,36 +64,76 @@ def targets(files: DataFrame, symbols: list[str] | None, first_year: int, last_y
     return rows.filter(F.col("symbol").isin([s.strip().upper() for s in symbols])) if symbols else rows
 
 
-def cleanup_plan(files: DataFrame, retained: list[str], first_year: int, last_year: int, budget: int) -> DataFrame:
+#: Files of one block of a budget's walk, about, and the most blocks there are.
+BLOCK_FILES, MOST_BLOCKS = 500_000, 10_000
+
+
+def _greedy(starts: dict[int, int]):
+    """Batches (__block, length, ...) in walking order: fits says what is taken, from each block's budget at its start on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, left = None, 0
+        for b in batches:
+            fits = []
+            for k, n in zip(b.column("__block").to_pylist(), b.column("length").to_pylist(), strict=True):
+                if k != block:
+                    block, left = k, starts[k]
+                fits.append(n is not None and n <= left)
+                if fits[-1]:
+                    left -= n
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fits, pa.bool_())], names=[*b.schema.names, "fits"])
+
+    return run
+
+
+def within_budget(files: DataFrame, budget: int, block_files: int = BLOCK_FILES) -> DataFrame:
+    """F13, exact: files(path, length, ...) with fits, whether each still fits what is left of one budget when all are walked in path order.
+
+    A file too large for what is left is passed over and later, smaller ones may
+    still fit. Paths are ordered by their folders, as a walk meets them, equal
+    ones by length. Files lie in range partitions, which are the blocks of the
+    walk. A block whose whole sum fits takes all, one whose smallest file does
+    not fit takes nothing, and only a block between these is read to learn what
+    it leaves. Then every block is decided from its own start, side by side.
+    The driver sees a row a block. A null length never fits.
+    """
+    blocks = max(1, min(MOST_BLOCKS, -(-files.count() // block_files)))
+    order = F.split("path", "/")
+    walk = cut(files.repartitionByRange(blocks, order, "length").sortWithinPartitions(order, "length").withColumn("__block", F.spark_partition_id()))
+    kinds = ", ".join([*[f"`{c}` {t}" for c, t in walk.dtypes], "fits boolean"])
+    left, starts = budget, {}
+    for r in walk.groupBy("__block").agg(F.coalesce(F.sum("length"), F.lit(0)).alias("whole"), F.min("length").alias("least")).orderBy("__block").collect():
+        starts[r["__block"]] = left
+        if r.whole <= left:
+            left -= r.whole
+        elif r.least <= left:
+            here = walk.filter(F.col("__block") == r["__block"]).mapInArrow(_greedy({r["__block"]: left}), kinds)
+            left -= here.filter("fits").agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    return walk.mapInArrow(_greedy(starts), kinds).drop("__block")
+
+
+def cleanup_plan(files: DataFrame, retained: list[str], first_year: int, last_year: int, budget: int | None, market: str | None = None, interval: str | None = None) -> DataFrame:
     """A decision and reason for every file(path, symbol, year, length, status); the first reason that holds.
 
-    Verified targets are deleted in path order, symbol by symbol, while the
-    running sum stays within each symbol's budget (prefix semantics).
+    Verified targets are deleted in path order as long as they fit into one
+    budget over all of them, see within_budget; none is no bound. market and
+    interval restrict the targets to `candles/market/interval/`.
     """
-    year = F.col("year").cast("int")
+    part = lambda k: F.regexp_extract("path", "(?:^|/)candles/([^/]+)/([^/]+)/", k)
+    target = F.col("year").cast("int").between(first_year, last_year)
+    for k, wanted in ((1, market), (2, interval)):
+        if wanted is not None:
+            target = target & (part(k) == wanted)
     why = (
         F.when(F.col("path").rlike("(^|/)reports/"), "REPORT").when(F.col("path").rlike("(^|/)(manifests|datasets)/"), "PROTECTED").when(F.col("symbol").isin(*retained), "RETAINED_SYMBOL")
-        .when(~year.between(first_year, last_year), "NOT_TARGET").when(F.col("status") != "VERIFIED", "NOT_VERIFIED")
+        .when(~F.coalesce(target, F.lit(False)), "NOT_TARGET").when(F.coalesce(F.col("status"), F.lit("")) != "VERIFIED", "NOT_VERIFIED")
     )
-    rows = files.withColumn("__why", why)
-    w = Window.partitionBy("symbol").orderBy("path").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    run = F.sum(F.when(F.col("__why").isNull(), F.col("length")).otherwise(0)).over(w)
-    reason = F.coalesce("__why", F.when(run > budget, "OVER_BUDGET"), F.lit("DELETE"))
-    return rows.withColumn("reason", reason).select("path", "symbol", "length", "reason", (F.col("reason") == "DELETE").alias("delete"))
-
-
-def greedy_plan(files: DataFrame, budget: int) -> DataFrame:
-    """F13, exact: files of each symbol in path order, each deleted if it still fits what is left of the budget."""
-
-    def pick(pdf):
-        pdf = pdf.sort_values("path")
-        left, out = budget, []
-        for n in pdf["length"]:
-            out.append(n <= left)
-            left -= n if n <= left else 0
-        return pdf.assign(delete=out)
-
-    return files.select("symbol", "path", "length").groupBy("symbol").applyInPandas(pick, "symbol string, path string, length bigint, delete boolean")
+    rows = files.withColumn("reason", why)
+    kept = rows.filter("reason is not null").select("path", "symbol", "length", "reason")
+    free = rows.filter("reason is null").select("path", "symbol", "length")
+    free = free.withColumn("fits", F.lit(True)) if budget is None else within_budget(free, budget)
+    free = free.select("path", "symbol", "length", F.when(F.col("fits"), "DELETE").otherwise("OVER_BUDGET").alias("reason"))
+    return kept.unionByName(free).withColumn("delete", F.col("reason") == "DELETE")
 
 
 def expand_periods(spark, start: str, end: str, unit: str) -> DataFrame:

@@ -21,6 +21,8 @@ HOUR = 3_600_000
 LO, HI = 1_704_067_200_000, 1_706_400_000_000  # 2024-01-01 and 2024-01-28, UTC
 WINDOW = (904_608_000_000, 946_684_800_000)
 CORE = ["S1USDT", "S2USDT"]
+# Bytes that a cleanup may delete.
+BUDGET = 20_000
 # Arrival numbers of one part of a series.
 ARRIVALS = 1_000_000
 
@@ -340,6 +342,17 @@ def _(spark, d):
     return G.intake(docs, docs.join(table(spark, d, "labels").select("doc_id"), "doc_id", "left_semi").select("hash"), order="doc_id")
 
 
+@query("snapshot_dedupe_ties", """with x as (select sha256(text) as hash, count(*) as n, bool_or(doc_id in (select doc_id from labels)) as archived from documents group by 1)
+select hash, 'IMPORTED' as outcome, 1::bigint as inputs from x where hash is not null and not archived
+union all select hash, 'DUPLICATE', n - case when archived then 0 else 1 end from x where hash is not null and (archived or n > 1)
+union all select hash, 'SKIPPED', n from x where hash is null""")
+def _(spark, d):
+    """Inputs that arrive together have the same place in the order: still one of each hash is imported."""
+    docs = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("hash"), F.lit(1).alias("arrival"))
+    archive = docs.join(table(spark, d, "labels").select("doc_id"), "doc_id", "left_semi").select("hash")
+    return G.intake(docs, archive, order="arrival").groupBy("hash", "outcome").agg(F.count("*").alias("inputs"))
+
+
 @query("backfill_findings", """with x as (select doc_id, source, sha256(text) as hash, row_number() over (partition by text order by doc_id) as k from documents), o as (select *, case when hash is null then 'SKIPPED' when k > 1 or hash in (select sha256(text) from documents where doc_id in (select doc_id from labels) and text is not null) then 'DUPLICATE' else 'IMPORTED' end as outcome from x)
 select cast(doc_id as varchar) as target, 'EXCHANGE_BACKFILL_INPUT_PARSE_FAILED' as code, 'WARN' as severity from o where outcome = 'SKIPPED' union all select cast(doc_id as varchar), 'EXCHANGE_BACKFILL_OBSERVED_TIME_MISSING', 'WARN' from o where outcome <> 'SKIPPED' and source is null
  union all select cast(doc_id as varchar), 'EXCHANGE_BACKFILL_DUPLICATE_SNAPSHOT', 'WARN' from o where outcome = 'DUPLICATE' union all select '', 'EXCHANGE_BACKFILL_USER_PROVIDED_UNVERIFIED', 'WARN'""")
@@ -524,7 +537,8 @@ def _(spark, d):
     return folded.select("universe_id", "universe_hash", "dataset_hash", "status", "pit_status", "pit_promotion")
 
 
-@query("storage_usage", f"with {SQL_FILES} select symbol, year, month, cast(sum(length) as bigint) as bytes, count(*) as files from files group by grouping sets ((symbol), (year), (month), ())")
+@query("storage_usage", f"""with {SQL_FILES}, x as (select *, string_split(path, '/')[1] as area from files)
+select symbol, year, month, area, cast(sum(length) as bigint) as bytes, count(*) as files from x group by grouping sets ((symbol), (year), (month), (area), ())""")
 def _(spark, d):
     return P.storage_usage(files(spark, d))
 
@@ -555,11 +569,21 @@ SQL_RECON = f"{SQL_FILES}, rg as (select 'S' || l_suppkey || 'USDT' as symbol, s
 query("archive_reconcile", f"with {SQL_RECON} select *, status = 'VERIFIED' as safe_to_delete from recon2")(reconciled)
 
 
-@query("cleanup_plan", f"""with {SQL_RECON}, x as (select f.path, f.symbol, f.length, case when f.symbol in ('S1USDT', 'S2USDT') then 'RETAINED_SYMBOL' when not cast(year as int) between 1993 and 1997 then 'NOT_TARGET' when coalesce(status, '') <> 'VERIFIED' then 'NOT_VERIFIED' end as why from files f left join recon2 r on r.path = f.path),
-y as (select *, sum(case when why is null then length else 0 end) over (partition by symbol order by path) as run from x), z as (select path, symbol, length, coalesce(why, case when run > 4000 then 'OVER_BUDGET' end, 'DELETE') as reason from y) select *, reason = 'DELETE' as delete from z""")
+# What a budget over all files leaves to delete: one walk in path order, file by file.
+SQL_CLEANUP = f"""with recursive {SQL_RECON},
+x as (select f.path, f.symbol, f.length, case when f.symbol in ('S1USDT', 'S2USDT') then 'RETAINED_SYMBOL' when not cast(year as int) between 1993 and 1997 then 'NOT_TARGET'
+  when coalesce(status, '') <> 'VERIFIED' then 'NOT_VERIFIED' end as why from files f left join recon2 r on r.path = f.path),
+free as materialized (select path, length, row_number() over (order by string_split(path, '/'), length) as k from x where why is null),
+walk as (select 0::bigint as k, {BUDGET}::bigint as left_over, false as fits
+  union all select f.k, case when f.length <= w.left_over then w.left_over - f.length else w.left_over end, f.length <= w.left_over from walk w join free f on f.k = w.k + 1)
+select x.path, x.symbol, x.length, coalesce(why, case when fits then 'DELETE' else 'OVER_BUDGET' end) as reason, why is null and fits as delete
+from x left join free using (path) left join walk on walk.k = free.k"""
+
+
+@query("cleanup_plan", SQL_CLEANUP)
 def _(spark, d):
     f = files(spark, d).join(reconciled(spark, d).select("path", "status"), "path", "left").withColumn("status", F.coalesce("status", F.lit("")))
-    return P.cleanup_plan(f, CORE, 1993, 1997, 4000)
+    return P.cleanup_plan(f, CORE, 1993, 1997, BUDGET, market="futures-um", interval="1h")
 
 
 @query("row_fingerprint", """select l_orderkey, l_linenumber, sha256('{"l_orderkey":' || l_orderkey || ',"l_linenumber":' || l_linenumber || ',"l_returnflag":"' || l_returnflag || '"}') as fingerprint from lineitem""")
