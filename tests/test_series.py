@@ -5,7 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions import exprs
 from tidemark.operators import lifecycle, listing, series, storage
+from tidemark.sources import readers
 
 T0, MIN = 1704067200000, 60_000
 
@@ -99,7 +101,7 @@ def test_partitions_do_not_change_an_audit(spark):
 @pytest.mark.parametrize("part_ms", [10 * MIN, 10**12])
 def test_gap_audit_from_clamped_bounds(spark, part_ms):
     at = [*range(5), *range(15, 25), *range(35, 40)]
-    got = lambda lo, hi: audit(spark, at, start=T0 + lo * MIN, end=T0 + hi * MIN, part_ms=part_ms)
+    got = lambda lo, hi: audit(spark, at, start=T0 + lo * MIN, end=T0 + hi * MIN, part_ms=part_ms, tail=True)
     r = got(10, 30)
     assert (r.expected_rows, r.missing_rows, r.gap_count, r.largest_gap_seconds, r.min_time_ms, r.max_time_ms) == (21, 11, 2, 360, T0 + 10 * MIN, T0 + 30 * MIN)
     r = got(6, 13)
@@ -107,4 +109,34 @@ def test_gap_audit_from_clamped_bounds(spark, part_ms):
     r = got(-9, 99)
     assert (r.expected_rows, r.missing_rows, r.gap_count, r.largest_gap_seconds) == (40, 20, 2, 600)
     r = got(50, 60)
-    assert (r.expected_rows, r.missing_rows, r.gap_count, r.status) == (0, 0, 0, "FAIL")
+    assert (r.rows, r.expected_rows, r.missing_rows, r.gap_count, r.status, r.warnings) == (20, 0, 0, 0, "PASS", "")
+
+
+def test_audit_of_what_has_no_symbol_or_interval(spark):
+    rows = [("A", "1m", T0), ("A", "1m", T0 + MIN), ("", "1m", T0), (None, "1m", T0), ("B", "soon", T0), (None, None, T0), ("A", "5m", T0), ("A", "5m", T0 + 10 * MIN)]
+    df = spark.createDataFrame(rows, "symbol string, interval string, t long")
+    got = {(r.symbol, r.interval): (r.status, r.rows, r.expected_rows, r.missing_rows, r.warnings) for r in series.gap_audit(df, ["symbol", "interval"], "t", exprs.interval_ms(F.col("interval"))).collect()}
+    none = ("UNKNOWN", 0, 0, 0)
+    assert got[None, "1m"] == got["", "1m"] == (*none, "DATASET_SYMBOL_INFER_FAILED") and got["B", "soon"] == (*none, "DATASET_INTERVAL_INFER_FAILED")
+    assert got[None, None] == (*none, "DATASET_SYMBOL_INFER_FAILED,DATASET_INTERVAL_INFER_FAILED")
+    assert got["A", "1m"] == ("PASS", 2, 2, 0, "") and got["A", "5m"][:4] == ("FAIL", 2, 3, 1)
+
+
+@pytest.mark.parametrize("file_rows", [2, 10**6])
+def test_audit_warns_of_rows_out_of_order_in_files(spark, tmp_path, file_rows):
+    """Order is that of the rows in a file and of the files by path; across files, parts and within them."""
+    for name, at in (("symbol=A/interval=1m/1", [0, 2, 1, 3, 4]), ("symbol=A/interval=1m/2", [3, 5, 6]), ("symbol=B/interval=1m/1", [0, 1])):
+        spark.createDataFrame([(T0 + i * MIN,) for i in at], "open_time_ms long").coalesce(1).write.parquet(str(tmp_path / name))
+    rows = readers.read_candle_times(spark, str(tmp_path), place=True)
+    order, part = series.file_order(file_rows)
+    got = {r.symbol: (r.out_of_order_rows, r.duplicate_rows, r.status, r.warnings) for r in series.gap_audit(rows, ["symbol", "interval"], "open_time_ms", MIN, order=order, arrival=part).collect()}
+    assert got == {"A": (2, 1, "WARN", "DATASET_DUPLICATE_TIMESTAMPS,DATASET_OUT_OF_ORDER_TIMESTAMPS"), "B": (0, 0, "PASS", "")}
+    assert {r.symbol: r.out_of_order_rows for r in series.out_of_order(rows, ["symbol"], "open_time_ms", order, part).collect()} == {"A": 2, "B": 0}
+
+
+def test_coverage_of_rows_in_the_window_alone(spark):
+    at = [*range(50), 60, 61]
+    r = audit(spark, at, start=T0 + 55 * MIN, end=T0 + 70 * MIN)
+    assert (r.rows, r.expected_rows, r.coverage_pct, r.status) == (52, 7, 100.0, "WARN")
+    r = audit(spark, at, start=T0 + 55 * MIN, end=T0 + 70 * MIN, in_window=True)
+    assert (r.rows, r.expected_rows, round(r.coverage_pct), r.status) == (52, 7, 29, "FAIL")

@@ -8,93 +8,92 @@ from pyspark.sql import functions as F
 SEVERITY = {"PASS": 0, "UNKNOWN": 1, "WARN": 2, "FAIL": 3}
 #: What an audit warns of.
 GAPS, DUPLICATES, OUT_OF_ORDER, BELOW = "DATASET_GAPS_DETECTED", "DATASET_DUPLICATE_TIMESTAMPS", "DATASET_OUT_OF_ORDER_TIMESTAMPS", "DATASET_COVERAGE_BELOW_THRESHOLD"
+NO_SYMBOL, NO_INTERVAL = "DATASET_SYMBOL_INFER_FAILED", "DATASET_INTERVAL_INFER_FAILED"
 PART_MS = 30 * 86_400_000
 
 
-def with_previous(rows: DataFrame, keys: list[str], order: list[str], part: Column | None, cols: dict[str, str], number: str | None = None) -> DataFrame:
-    """rows with the value of columns in the row before, by name: cols = {new: column}; number counts rows from 0.
-
-    Two levels, so that a long series is no single task: part is a coarse value
-    that never falls along the order. Within a part rows meet their predecessor
-    in a window; the parts' last rows then meet in a window over one row a part,
-    and each part's first row takes from there what is before it. Without part
-    a series is one part.
-    """
-    rows = rows.withColumn("__part", F.lit(0) if part is None else part)
-    w = Window.partitionBy(*keys, "__part").orderBy(*order)
-    seen = rows.withColumns({"__row": F.row_number().over(w), **{new: F.lag(c).over(w) for new, c in cols.items()}})
-    if part is not None:
-        last = F.max_by(F.struct(*[F.col(c).alias(new) for new, c in cols.items()]), F.struct(*order))
-        ends = rows.groupBy(*keys, "__part").agg(last.alias("__last"), F.count("*").alias("__n"))
-        before = Window.partitionBy(*keys).orderBy("__part")
-        edges = ends.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__part").alias("__k"), F.lag("__last").over(before).alias("__edge"), F.coalesce(F.sum("__n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-        on = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys] + [F.col("__part").eqNullSafe(F.col("__k"))]
-        seen = seen.join(edges, on, "left").withColumns({new: F.when(F.col("__row") == 1, F.col(f"__edge.{new}")).otherwise(F.col(new)) for new in cols})
-        seen = seen.withColumn("__row", F.col("__row") + F.col("__before")).drop("__edge", "__before", "__k", *[f"__k_{k}" for k in keys])
-    if number:
-        seen = seen.withColumn(number, (F.col("__row") - 1).cast("bigint"))
-    return seen.drop("__part", "__row")
-
-
 def _slots(rows: DataFrame, keys: list[str], t: str, part_ms: int) -> DataFrame:
     """One row for each distinct time of a series, with its rows; pre-aggregated, so that duplicates don't travel."""
     return rows.groupBy(*keys, F.floor(F.col(t) / part_ms).alias("__part"), F.col(t).alias("__t")).agg(F.count("*").alias("__n"))
 
 
-def gap_audit(rows: DataFrame, keys: list[str], t: str, step_ms: int, start: int | None = None, end: int | None = None, min_pct: float = 99.0, part_ms: int = PART_MS, tail: bool = True) -> DataFrame:
+def gap_audit(
+    rows: DataFrame, keys: list[str], t: str, step_ms: int | Column, start: int | None = None, end: int | None = None, min_pct: float = 99.0, part_ms: int = PART_MS,
+    tail: bool = False, in_window: bool = False, order: list[str] | None = None, arrival: Column | None = None,
+) -> DataFrame:
     """Coverage of every series, one row each.
 
     Two levels, so that a long series is no single task: times meet their
     predecessor within a part of part_ms, and then the parts' first and last
-    times meet in a window over one row a part. start and end clamp the window
-    inwards: slots are expected from the clamped first to the clamped last time,
-    and those before the first row inside are missing, as are those after the
-    last one unless tail is false. warnings lists the codes of what was found.
-    Null times are ignored.
+    times meet in a window over one row a part. step_ms may be a column that
+    the keys decide, null where a series' interval is none.
+
+    start and end clamp the window inwards: slots are expected from the clamped
+    first to the clamped last time, and those before the first row inside are
+    missing; with tail also those after the last one. A series with an empty or
+    null key, or without step, is UNKNOWN and counts nothing; one with no time
+    left between the clamped bounds passes. coverage_pct counts the rows outside
+    the window too, unless in_window says otherwise. order, columns of arrival
+    (see out_of_order, arrival being its part), adds out_of_order_rows and warns
+    of them. warnings lists the codes of what was found. Null times are ignored.
     """
-    rows = rows.filter(F.col(t).isNotNull())
+    rows = rows.filter(F.col(t).isNotNull()).withColumn("__step", (step_ms if isinstance(step_ms, Column) else F.lit(step_ms)).cast("bigint"))
+    series, step = [*keys, "__step"], F.col("__step")
     inside = F.lit(True)
     if start is not None:
         inside = inside & (F.col("__t") >= start)
     if end is not None:
         inside = inside & (F.col("__t") <= end)
-    slots = _slots(rows, keys, t, part_ms).withColumn("__in", inside)
-    step = F.lit(step_ms)
-    w = Window.partitionBy(*keys, "__part").orderBy("__t")
+    slots = _slots(rows, series, t, part_ms).withColumn("__in", inside)
+    w = Window.partitionBy(*series, "__part").orderBy("__t")
     slots = slots.withColumn("__d", F.when(F.col("__in"), F.col("__t") - F.lag(F.when(F.col("__in"), F.col("__t"))).over(w)))
     gap = F.col("__d") > step
     missing = lambda d: F.floor(d / step) - 1
-    parts = slots.groupBy(*keys, "__part").agg(
-        F.sum("__n").alias("all_rows"), F.min("__t").alias("lo"), F.max("__t").alias("hi"),
-        F.coalesce(F.sum(F.when(F.col("__in"), F.col("__n") - 1)), F.lit(0)).alias("dups"),
+    none = lambda c: F.coalesce(c, F.lit(0))
+    parts = slots.groupBy(*series, "__part").agg(
+        F.sum("__n").alias("all_rows"), none(F.sum(F.when(F.col("__in"), F.col("__n")))).alias("in_rows"), F.min("__t").alias("lo"), F.max("__t").alias("hi"),
+        none(F.sum(F.when(F.col("__in"), F.col("__n") - 1))).alias("dups"),
         F.min(F.when(F.col("__in"), F.col("__t"))).alias("first"), F.max(F.when(F.col("__in"), F.col("__t"))).alias("last"),
-        F.count_if(gap).alias("gaps"), F.coalesce(F.sum(F.when(gap, missing(F.col("__d")))), F.lit(0)).alias("lost"),
-        F.coalesce(F.max(F.when(gap, F.col("__d"))), F.lit(0)).alias("widest"),
+        F.count_if(gap).alias("gaps"), none(F.sum(F.when(gap, missing(F.col("__d"))))).alias("lost"), none(F.max(F.when(gap, F.col("__d")))).alias("widest"),
     )
-    w = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy(*series).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("__d", F.col("first") - F.max("last").over(w))
     low, high = F.min("lo"), F.max("hi")
-    out = parts.groupBy(*keys).agg(
-        F.sum("all_rows").alias("rows"), F.sum("dups").alias("duplicate_rows"), F.min("first").alias("__first"), F.max("last").alias("__last"),
+    out = parts.groupBy(*series).agg(
+        F.sum("all_rows").alias("rows"), F.sum("in_rows").alias("__rows"), F.sum("dups").alias("duplicate_rows"), F.min("first").alias("__first"), F.max("last").alias("__last"),
         (low if start is None else F.greatest(low, F.lit(start))).alias("min_time_ms"), (high if end is None else F.least(high, F.lit(end))).alias("max_time_ms"),
-        (F.sum("gaps") + F.count_if(gap)).alias("gap_count"), (F.sum("lost") + F.coalesce(F.sum(F.when(gap, missing(F.col("__d")))), F.lit(0))).alias("missing_rows"),
-        F.greatest(F.max("widest"), F.coalesce(F.max(F.when(gap, F.col("__d"))), F.lit(0))).alias("__widest"),
+        (F.sum("gaps") + F.count_if(gap)).alias("gap_count"), (F.sum("lost") + none(F.sum(F.when(gap, missing(F.col("__d")))))).alias("missing_rows"),
+        F.greatest(F.max("widest"), none(F.max(F.when(gap, F.col("__d"))))).alias("__widest"),
     )
-    # From the clamped first time to the first row inside, and from the last one to the clamped last time; from end to end without any.
-    before, after = F.coalesce(F.col("__first") - F.col("min_time_ms"), F.lit(0)), F.col("max_time_ms") - F.coalesce(F.col("__last"), F.col("min_time_ms") - step)
-    if not tail:
-        after = F.lit(0)
+    # From the clamped first time to the first row inside, and with tail from the last one to the clamped last time.
+    before = none(F.col("__first") - F.col("min_time_ms"))
+    after = F.col("max_time_ms") - F.coalesce(F.col("__last"), F.col("min_time_ms") - step) if tail else F.lit(0)
     ends = F.when(before > 0, 1).otherwise(0) + F.when(after >= step, 1).otherwise(0)
     lost = F.floor(before / step) + F.when(after >= step, F.floor(after / step)).otherwise(0)
     widest = F.greatest("__widest", F.when(before > 0, before + step).otherwise(0), F.when(after >= step, after + step).otherwise(0))
     out = out.withColumns({"gap_count": F.col("gap_count") + ends, "missing_rows": F.col("missing_rows") + lost, "__widest": widest})
-    expected = F.greatest(F.coalesce(F.floor((F.col("max_time_ms") - F.col("min_time_ms")) / step) + 1, F.lit(0)), F.lit(0))
-    pct = F.when(expected > 0, F.least(F.col("rows") - F.col("duplicate_rows"), expected) * 100.0 / expected).otherwise(F.lit(0.0))
+    expected = F.greatest(none(F.floor((F.col("max_time_ms") - F.col("min_time_ms")) / step) + 1), F.lit(0))
+    pct = F.when(expected > 0, F.least(F.col("__rows" if in_window else "rows") - F.col("duplicate_rows"), expected) * 100.0 / expected).otherwise(F.lit(0.0))
     out = out.withColumns({"expected_rows": expected.cast("bigint"), "coverage_pct": pct, "largest_gap_seconds": F.greatest(F.floor((F.col("__widest") - step) / 1000), F.lit(0)).cast("bigint")})
-    status = F.when(F.col("coverage_pct") < min_pct, "FAIL").when((F.col("gap_count") > 0) | (F.col("duplicate_rows") > 0), "WARN").otherwise("PASS")
-    found = [F.when(F.col("gap_count") > 0, GAPS), F.when(F.col("duplicate_rows") > 0, DUPLICATES), F.when(F.col("coverage_pct") < min_pct, BELOW)]
-    out = out.withColumns({"status": status, "warnings": F.concat_ws(",", *found)})
-    return out.select(*keys, "rows", "expected_rows", "missing_rows", "duplicate_rows", "gap_count", "largest_gap_seconds", "coverage_pct", "min_time_ms", "max_time_ms", "status", "warnings")
+    back = F.lit(0).cast("bigint")
+    if order is not None:
+        seen = out_of_order(rows, series, t, order, arrival).select(*[F.col(k).alias(f"__o_{k}") for k in series], "out_of_order_rows")
+        out = out.join(seen, [F.col(k).eqNullSafe(F.col(f"__o_{k}")) for k in series], "left")
+        back = none(F.col("out_of_order_rows"))
+    unresolved = [F.when(step.isNull() | (step <= 0) | (F.coalesce(F.col(k).cast("string"), F.lit("")) == "") if k == "interval" else F.coalesce(F.col(k).cast("string"), F.lit("")) == "", NO_INTERVAL if k == "interval" else NO_SYMBOL) for k in keys]
+    if "interval" not in keys:
+        unresolved.append(F.when(step.isNull() | (step <= 0), NO_INTERVAL))
+    unknown = F.array_distinct(F.array_compact(F.array(*unresolved)))
+    some = expected > 0
+    found = [F.when(F.col("gap_count") > 0, GAPS), F.when(F.col("duplicate_rows") > 0, DUPLICATES), F.when(back > 0, OUT_OF_ORDER), F.when(some & (F.col("coverage_pct") < min_pct), BELOW)]
+    warnings = F.when(F.size(unknown) > 0, F.concat_ws(",", unknown)).otherwise(F.concat_ws(",", *found))
+    status = F.when(F.size(unknown) > 0, "UNKNOWN").when(some & (F.col("coverage_pct") < min_pct), "FAIL").when(warnings != "", "WARN").otherwise("PASS")
+    counts = ["rows", "expected_rows", "missing_rows", "duplicate_rows", *(["out_of_order_rows"] if order is not None else []), "gap_count", "largest_gap_seconds"]
+    resolved = F.size(unknown) == 0
+    return out.select(
+        *keys, *[F.when(resolved, back if c == "out_of_order_rows" else F.col(c)).otherwise(F.lit(0)).cast("bigint").alias(c) for c in counts], F.when(resolved, F.col("coverage_pct")).otherwise(F.lit(0.0)).alias("coverage_pct"),
+        *[F.when(resolved, F.col(c)).alias(c) for c in ("min_time_ms", "max_time_ms")], status.alias("status"), warnings.alias("warnings"),
+    )
 
 
 def worst(status: Column) -> Column:
@@ -109,13 +108,35 @@ def gap_audit_total(audit: DataFrame) -> DataFrame:
     return audit.agg(F.count("*").alias("series"), *sums, F.coalesce(F.max("largest_gap_seconds"), F.lit(0)).alias("largest_gap_seconds"), worst(F.col("status")).alias("status"))
 
 
+def _parted(rows: DataFrame, part: Column | None) -> DataFrame:
+    return rows.withColumn("__part", F.lit(0) if part is None else part)
+
+
 def out_of_order(rows: DataFrame, keys: list[str], t: str, order: list[str], part: Column | None = None) -> DataFrame:
-    """rows whose time is below the one that arrived before, by the arrival order given; warnings names them. part as in with_previous."""
-    seen = with_previous(rows.select(*dict.fromkeys([*keys, t, *order])), keys, order, part, {"__prev": t})
-    out = seen.groupBy(*keys).agg(F.count("*").alias("rows"), F.count_if(F.col(t) < F.col("__prev")).alias("out_of_order_rows"))
+    """rows whose time is below the one that arrived before, by the arrival order given; warnings names them.
+
+    Two levels in one pass over the rows: part is a coarse value that never falls
+    along the order. Within a part rows meet their predecessor in a window, and
+    parts meet by their first and last rows, in a window over one row a part.
+    Without part a series is one part, and one task.
+    """
+    rows = _parted(rows.select(*dict.fromkeys([*keys, t, *order])) if part is None else rows, part)
+    w = Window.partitionBy(*keys, "__part").orderBy(*order)
+    seen = rows.withColumns({"__prev": F.lag(t).over(w), "__row": F.row_number().over(w)})
+    parts = seen.groupBy(*keys, "__part").agg(F.count("*").alias("n"), F.count_if(F.col(t) < F.col("__prev")).alias("back"), F.max(F.when(F.col("__row") == 1, F.col(t))).alias("first"), F.max_by(t, "__row").alias("last"))
+    before = F.lag("last").over(Window.partitionBy(*keys).orderBy("__part"))
+    out = parts.withColumn("__prev", before).groupBy(*keys).agg(F.sum("n").alias("rows"), (F.sum("back") + F.count_if(F.col("first") < F.col("__prev"))).alias("out_of_order_rows"))
     return out.withColumn("warnings", F.when(F.col("out_of_order_rows") > 0, OUT_OF_ORDER).otherwise(""))
 
 
+def file_order(file_rows: int = 1_000_000) -> tuple[list[str], Column]:
+    """The order of rows as they lie in files, for rows of readers.read_candle_times(place=True), and its parts: stretches of file_rows of one file.
+
+    The part is text that sorts as the order does, so that neither a series nor a large file is one task.
+    """
+    return ["path", "row_index"], F.struct(F.col("path"), F.floor(F.col("row_index") / file_rows).alias("stretch"))
+
+
 def range_coverage(rows: DataFrame, keys: list[str], t: str, step_ms: int | None, lo: int, hi: int, part_ms: int = PART_MS) -> DataFrame:
     """Each series against the slots of [lo, hi]; rows off the grid are ignored for what is missing.
 
@@ -160,16 +181,18 @@ def usability(coverage: DataFrame) -> DataFrame:
     return coverage.withColumn("usable", F.col("missing_rows") == 0)
 
 
-def dataset_verify(rows: DataFrame, keys: list[str], event: str, available: str, lo: int, hi: int, part_ms: int = PART_MS) -> DataFrame:
-    """Order, availability and range of every series in one pass over its sorted times, in parts of part_ms.
+def dataset_verify(rows: DataFrame, keys: list[str], event: str, available: str, lo: int, hi: int) -> DataFrame:
+    """Order, availability and range of every series.
 
-    Order is judged by event time, so that a repeated time is an error; hi is
-    the last day's first millisecond, and a whole day is added to it.
+    Order is judged by event time, so that what is out of order is each further
+    row of one time, and rows need not be sorted for that: they are counted by
+    time before they travel. hi is the last day's first millisecond, and a whole
+    day is added to it.
     """
-    seen = with_previous(rows.select(*keys, event, available), keys, [event], F.floor(F.col(event) / part_ms), {"__prev": event})
-    out = seen.groupBy(*keys).agg(
-        F.count("*").alias("rows"), F.count_if(F.col(event) <= F.col("__prev")).alias("sort_errors"),
-        F.count_if(F.col(available) < F.col(event)).alias("availability_errors"), F.count_if(F.col(event).between(lo, hi + 86_400_000)).alias("rows_in_range"),
+    times = rows.groupBy(*keys, event).agg(F.count("*").alias("n"), F.count_if(F.col(available) < F.col(event)).alias("early"))
+    out = times.groupBy(*keys).agg(
+        F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col(event).isNotNull(), F.col("n") - 1)), F.lit(0)).alias("sort_errors"),
+        F.sum("early").alias("availability_errors"), F.coalesce(F.sum(F.when(F.col(event).between(lo, hi + 86_400_000), F.col("n"))), F.lit(0)).alias("rows_in_range"),
     )
     verdict = F.when(F.col("rows") == 0, "EMPTY").when(F.col("sort_errors") > 0, "UNSORTED_OR_DUPLICATE").when(F.col("availability_errors") > 0, "AVAILABILITY").when(F.col("rows_in_range") == 0, "NONE_IN_RANGE").otherwise("PASS")
     return out.withColumn("verdict", verdict)
@@ -188,23 +211,44 @@ def availability_violations(rows: DataFrame, event: str, available: str) -> Data
     return rows.filter(F.col(available) < F.col(event))
 
 
+#: Tasks that further rows of one time are dealt to.
+SALTS = 64
+
+
 def validate_rows(rows: DataFrame, keys: list[str], order: list[str], event: str, available: str, required: list[str] = (), bounds: list[tuple[str, Column]] = (), part: Column | None = None) -> DataFrame:
     """each series' first offending row (counted from 0) and its first broken rule; series without one have nulls.
 
     Required fields come first, then times, then duplicates and order against
     the rows before, and bounds, (rule, whether it is broken), last. part as in
-    with_previous.
+    out_of_order. One pass: rows are numbered and meet their predecessor within
+    a part, the first of each time in a part meets those of other parts, and
+    parts, one row each, give each other their numbers and last times.
     """
-    numbered = with_previous(rows, keys, order, part, {"__prev": event}, "__i")
-    first = numbered.groupBy(*keys, event).agg(F.min("__i").alias("__first"))
-    on = [F.col(k).eqNullSafe(F.col(f"__e_{k}")) for k in (*keys, event)]
-    seen = numbered.join(first.select(*[F.col(k).alias(f"__e_{k}") for k in (*keys, event)], "__first"), on, "left")
+    rows = _parted(rows, part)
+    here = Window.partitionBy(*keys, "__part").orderBy(*order)
+    seen = rows.withColumns({"__row": F.row_number().over(here), "__prev": F.lag(event).over(here)})
+    seen = seen.withColumn("__again", F.col("__row") > F.min("__row").over(Window.partitionBy(*keys, "__part", event)))
+    # What is a repetition within its part is so whatever other parts hold: it need not meet them.
+    seen = seen.withColumn("__salt", F.when(F.col("__again"), 1 + F.col("__row") % SALTS).otherwise(0))
+    elsewhere = F.min("__part").over(Window.partitionBy(*keys, event, "__salt"))
+    seen = seen.withColumn("__again", F.col("__again") | (F.col("__part") > elsewhere))
     checks = [(f"missing {c}", F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == "") for c in required]
     checks += [("event_time_ms <= 0", F.col(event) <= 0), ("available_at_ms <= 0", F.col(available) <= 0), ("available_at_ms < event_time_ms", F.col(available) < F.col(event))]
-    checks += [("duplicate event_time_ms", F.col("__i") > F.col("__first")), ("event_time_ms out of order", F.col(event) < F.col("__prev")), *bounds]
-    found = seen.withColumn("__rule", F.coalesce(*[F.when(c, F.lit(name)) for name, c in checks]))
-    bad = F.col("__rule").isNotNull()
-    return found.groupBy(*keys).agg(F.count("*").alias("rows"), F.count_if(bad).alias("bad_rows"), F.min(F.when(bad, F.col("__i"))).alias("first_bad_row"), F.min_by(F.when(bad, F.col("__rule")), F.when(bad, F.col("__i"))).alias("first_rule"))
+    checks.append(("duplicate event_time_ms", F.col("__again")))
+    name = lambda found: F.coalesce(*[F.when(c, F.lit(n)) for n, c in found]) if found else F.lit(None).cast("string")
+    disorder = "event_time_ms out of order"
+    seen = seen.withColumns({"__early": name(checks), "__late": name(list(bounds))})
+    seen = seen.withColumn("__rule", F.coalesce("__early", F.when(F.col(event) < F.col("__prev"), disorder), "__late"))
+    first, bad = F.col("__row") == 1, (F.col("__row") > 1) & F.col("__rule").isNotNull()
+    parts = seen.groupBy(*keys, "__part").agg(
+        F.count("*").alias("n"), F.count_if(bad).alias("bad"), F.min(F.when(bad, F.col("__row"))).alias("at"), F.min_by(F.when(bad, F.col("__rule")), F.when(bad, F.col("__row"))).alias("rule"),
+        F.max_by(event, "__row").alias("last"), F.max(F.when(first, F.col(event))).alias("head"), F.max(F.when(first, F.col("__early"))).alias("early"), F.max(F.when(first, F.col("__late"))).alias("late"),
+    )
+    before = Window.partitionBy(*keys).orderBy("__part")
+    parts = parts.withColumns({"__prev": F.lag("last").over(before), "__start": F.coalesce(F.sum("n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+    parts = parts.withColumn("__first", F.coalesce("early", F.when(F.col("head") < F.col("__prev"), disorder), "late"))
+    parts = parts.withColumns({"at": F.col("__start") + F.when(F.col("__first").isNotNull(), 0).otherwise(F.col("at") - 1), "rule": F.coalesce("__first", "rule"), "bad": F.col("bad") + F.col("__first").isNotNull().cast("int")})
+    return parts.groupBy(*keys).agg(F.sum("n").alias("rows"), F.sum("bad").alias("bad_rows"), F.min("at").cast("bigint").alias("first_bad_row"), F.min_by("rule", "at").alias("first_rule"))
 
 
 def sentiment_bounds(score: Column, strength: Column | None = None) -> list[tuple[str, Column]]:

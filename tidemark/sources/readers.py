@@ -30,12 +30,16 @@ SNAPSHOT = "schema_version string, snapshot_id string, snapshot_hash string, col
 LIFECYCLE = ["symbol", "base_asset", "quote_asset", "market_type", "exchange", "status", "listed_at", "delisted_at", "first_seen", "last_seen", "evidence_level", "source_type", "source_name", "source_uri", "source_hash", "observed_at"]
 
 
-def read_candle_times(spark: SparkSession, paths: list[str] | str, interval: str | None = None, symbol: str | None = None) -> DataFrame:
-    """A2: (path, symbol, interval, open_time_ms) of candle Parquet files; no other column is read. Symbol and interval from the path unless given."""
+def read_candle_times(spark: SparkSession, paths: list[str] | str, interval: str | None = None, symbol: str | None = None, place: bool = False) -> DataFrame:
+    """A2: (path, symbol, interval, open_time_ms) of candle Parquet files; no other column is read. Symbol and interval from the path unless given.
+
+    place adds row_index, the row's number in its file: with path the order in which rows lie there.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    rows = spark.read.schema("open_time_ms bigint").option("recursiveFileLookup", "true").parquet(*paths).select(F.col("_metadata.file_path").alias("path"), "open_time_ms")
+    where = [F.col("_metadata.row_index").alias("row_index")] if place else []
+    rows = spark.read.schema("open_time_ms bigint").option("recursiveFileLookup", "true").parquet(*paths).select(F.col("_metadata.file_path").alias("path"), *where, "open_time_ms")
     p = F.col("path")
-    return rows.select("path", X.audit_symbol(p, F.lit(symbol)).alias("symbol"), X.audit_interval(p, F.lit(interval)).alias("interval"), "open_time_ms")
+    return rows.select("path", *["row_index"] * place, X.audit_symbol(p, F.lit(symbol)).alias("symbol"), X.audit_interval(p, F.lit(interval)).alias("interval"), "open_time_ms")
 
 
 def read_series(spark: SparkSession, root: str, first: str | None = None, last: str | None = None, **keys: str) -> DataFrame:
