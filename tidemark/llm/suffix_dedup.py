@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, documents, unused
+from .common import cut, documents, stored, unused
 
 LENGTH = 400
 #: Ranges that the windows over one anchor are taken in.
@@ -278,14 +278,14 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, bucket: int = BUCKET)
     far, near = F.shiftright("k2at", 8).bitwiseAND(F.lit(0xFF)), F.col("k2at").bitwiseAND(F.lit(0xFF))
     k2 = F.shiftright("k2at", 48).cast("int").alias("k2")
     long_ones = texts.filter(F.octet_length("text") >= length)
-    marked = cut(long_ones.mapInArrow(_mark(length), "gram bigint, around bigint, k1 bigint, k2at bigint"))
+    marked = stored(long_ones.mapInArrow(_mark(length), "gram bigint, around bigint, k1 bigint, k2at bigint"))
     each = marked.groupBy("gram", "around").agg(F.count("*").alias("n"), F.min("k1").alias("k1"), F.min_by("k2at", "k1").alias("k2at"))
     grams = each.groupBy("gram").agg(F.count("*").alias("kinds"), F.count_if(F.col("n") == 1).alias("single"))
     each = cut(each.join(grams.filter("kinds > 1 or single = 0"), "gram"))
     whole = marked.join(each.filter("n > 1").select("gram", "around"), ["gram", "around"]).select("k1", "k2at").distinct()
     spans = whole.select("k1", k2, (at - far).alias("start"), (at - near + length).alias("end"))
     wanted = each.filter("kinds > 1 and single > 0").groupBy("k1", k2).agg(F.collect_list(F.struct("gram", "n", "k2at")).alias("wanted"))
-    ranges = cut(long_ones.join(wanted, ["k1", "k2"]).select("text", "k1", "k2", "wanted").mapInArrow(_cores(length), _RANGES))
+    ranges = cut(long_ones.join(cut(wanted), ["k1", "k2"]).select("text", "k1", "k2", "wanted").mapInArrow(_cores(length), _RANGES))
     key = ["gram", "part", "core"]
     kinds = ranges.groupBy(*key, "before", "after").agg(F.sum("n").alias("n"), F.min("k1").alias("k1"), F.min_by("k2at", "k1").alias("k2at"))
     buckets = kinds.groupBy(key).agg(F.count("*").alias("kinds"), F.count_if(F.col("n") == 1).alias("single"))
@@ -296,7 +296,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, bucket: int = BUCKET)
     mixed = kinds.filter("kinds > 1 and single > 0")
     few = mixed.filter(F.col("kinds") <= bucket)
     blocks = max(1, -(-few.count() // BLOCK))
-    in_blocks = few.withColumn("block", F.pmod(F.xxhash64(*key), F.lit(blocks))).groupBy("block").applyInArrow(_sorted_blocks(length), _SPANS)
+    # As many partitions as blocks: they are small in bytes and long in work.
+    in_blocks = few.withColumn("block", F.pmod(F.xxhash64(*key), F.lit(blocks))).repartition(blocks, "block").groupBy("block").applyInArrow(_sorted_blocks(length), _SPANS)
     spans = spans.unionByName(same.filter(F.col("end") - F.col("start") >= length)).unionByName(in_blocks)
     many = mixed.filter(F.col("kinds") > bucket).withColumn("far", F.explode(F.sequence(F.lit(0), F.lit(step - 1))))
     many = many.filter("far <= octet_length(before)").withColumn("near", F.lit(step - 1) - F.col("far")).filter("near <= octet_length(after)")
