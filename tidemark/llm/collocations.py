@@ -10,7 +10,8 @@ A first pass only counts into tables of bounded size, a table for each length,
 at the slots that the fingerprints name. A phrase is at most as frequent as its
 slot and as the phrases inside it, so the second pass gathers only those whose
 slots all reach the threshold: a slot that others fill costs work and changes no
-count. The shuffle adds up, per fingerprint, the number and one occurrence as a
+count. (They prune while a table has fewer than about `least` words a slot; more
+slots take memory in every worker, `longest` bytes each.) The shuffle adds up, per fingerprint, the number and one occurrence as a
 pointer (text, byte). Only phrases found frequent are read from the texts again;
 what stands at a pointer must have the fingerprint that it was counted under.
 """
@@ -33,9 +34,9 @@ from .common import cut, documents
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Bytes of text hashed at a time, and fingerprints a task gathers before it counts them and before it hands them on.
-STRETCH, GATHERED, HANDED = 1 << 21, 1_500_000, 2_000_000
-#: Slots of a length's table, and of one segment of it; the largest count of a slot.
-SLOTS, SEGMENT, FULL = 1 << 24, 1 << 14, 65_535
+STRETCH, GATHERED, HANDED = 1 << 20, 600_000, 1_000_000
+#: Slots of a length's table, a byte each, and of one segment of it; the largest count that a slot holds.
+SLOTS, SEGMENT, FULL = 1 << 24, 1 << 14, 255
 _SPACE, _BREAK = 1, 2
 #: Behind these a phrase ends.
 _ENDS = re.compile(rb"[.,;:!?\x0A-\x0D]")
@@ -185,10 +186,10 @@ _TABLES = "n int, segment int, lang string, total bigint, counts binary"
 
 
 def _sketch(longest: int, slots: int):
-    """Counts of slots for each length, 16 bits each (full at the largest), in compressed segments; and words by language."""
+    """Counts of slots for each length, full at the largest, in compressed segments; and words by language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = np.zeros((longest, slots), np.uint16)
+        tables = np.zeros((longest, slots), np.uint8)
         totals: Counter[str] = Counter()
         for words, _, _ in _each(batches):
             for k, c in enumerate(np.bincount(words.text, minlength=len(words.names)).tolist()):
@@ -219,7 +220,7 @@ def _fill(least: int):
         sums: dict[tuple[int, int], np.ndarray] = {}
         for b in batches:
             for n, k, counts in zip(b.column("n").to_pylist(), b.column("segment").to_pylist(), b.column("counts"), strict=True):
-                got = np.frombuffer(zstandard.ZstdDecompressor().decompress(counts.as_py()), np.uint16)
+                got = np.frombuffer(zstandard.ZstdDecompressor().decompress(counts.as_py()), np.uint8)
                 if (n, k) in sums:
                     sums[n, k] += got
                 else:
