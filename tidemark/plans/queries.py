@@ -135,8 +135,45 @@ a as (select symbol, interval, min(n) as rows, (min(hi) - min(lo)) // {HOUR} + 1
 b as (select *, cast(least(rows - duplicate_rows, expected_rows) * 100.0 / expected_rows as double) as coverage_pct from a)
 select *, case when coverage_pct < 99 then 'FAIL' when gap_count > 0 or duplicate_rows > 0 then 'WARN' else 'PASS' end as status, concat_ws(',', case when gap_count > 0 then 'DATASET_GAPS_DETECTED' end, case when duplicate_rows > 0 then 'DATASET_DUPLICATE_TIMESTAMPS' end, case when coverage_pct < 99 then 'DATASET_COVERAGE_BELOW_THRESHOLD' end) as warnings from b""")
 def _(spark, d):
-    return S.gap_audit(candles(spark, d), ["symbol", "interval"], "open_time_ms", HOUR, *CLAMP, tail=False)
-
+    return S.gap_audit(candles(spark, d), ["symbol", "interval"], "open_time_ms", HOUR, *CLAMP)
+
+
+
+def odd_candles(spark, d) -> DataFrame:
+    """Candles of which some name no symbol, some no interval, and some lie before every window; event_id is their arrival."""
+    c, kind = candles(spark, d), F.col("event_type")
+    early = F.when(kind == "signup", 60 * 86_400_000).otherwise(0)
+    return c.select(F.when(kind == "error", "").otherwise(F.col("symbol")).alias("symbol"), F.when(kind != "view", F.col("interval")).alias("interval"), (F.col("open_time_ms") - early).alias("open_time_ms"), "event_id")
+
+
+# The audit's rules over those, from bounds that clamp inwards: unresolved series count nothing, an empty window passes.
+SQL_ODD = f"""with {SQL_CANDLES},
+x as (select case when event_type = 'error' then '' else symbol end as symbol, case when event_type <> 'view' then interval end as interval,
+  open_time_ms - case when event_type = 'signup' then {60 * 86_400_000} else 0 end as t, event_id from candles),
+g as (select symbol, interval, count(*) as n, greatest(min(t), {CLAMP[0]}) as lo, least(max(t), {CLAMP[1]}) as hi from x group by 1, 2),
+o as (select symbol, interval, count(*) filter (t < p) as back from (select *, lag(t) over (partition by symbol, interval order by event_id) as p from x) group by 1, 2),
+w as (select x.symbol, x.interval, t, t - coalesce(lag(t) over (partition by x.symbol, x.interval order by t), lo - {HOUR}) as diff
+  from x join g on g.symbol is not distinct from x.symbol and g.interval is not distinct from x.interval where t between lo and hi),
+a as (select symbol, interval, count(*) filter (diff = 0) as dups, count(*) filter (diff > {HOUR}) as gaps, coalesce(max(case when diff > {HOUR} then (diff - {HOUR}) // 1000 end), 0) as widest,
+  coalesce(sum(case when diff > {HOUR} then diff // {HOUR} - 1 end), 0) as missing from w group by 1, 2),
+j as (select g.symbol, g.interval, n, lo, hi, back, coalesce(dups, 0) as dups, coalesce(gaps, 0) as gaps, coalesce(widest, 0) as widest, coalesce(missing, 0) as missing,
+  case when lo <= hi then (hi - lo) // {HOUR} + 1 else 0 end as expected, coalesce(g.symbol, '') = '' as no_symbol, coalesce(g.interval, '') = '' as no_interval
+  from g join o on o.symbol is not distinct from g.symbol and o.interval is not distinct from g.interval left join a on a.symbol is not distinct from g.symbol and a.interval is not distinct from g.interval),
+p as (select *, no_symbol or no_interval as u, case when expected > 0 then least(n - dups, expected) * 100.0 / expected else 0 end as pct from j),
+v as (select *, case when u then concat_ws(',', case when no_symbol then 'DATASET_SYMBOL_INFER_FAILED' end, case when no_interval then 'DATASET_INTERVAL_INFER_FAILED' end)
+  when expected = 0 then case when back > 0 then 'DATASET_OUT_OF_ORDER_TIMESTAMPS' else '' end
+  else concat_ws(',', case when gaps > 0 then 'DATASET_GAPS_DETECTED' end, case when dups > 0 then 'DATASET_DUPLICATE_TIMESTAMPS' end, case when back > 0 then 'DATASET_OUT_OF_ORDER_TIMESTAMPS' end,
+    case when pct < 99 then 'DATASET_COVERAGE_BELOW_THRESHOLD' end) end as warnings from p)
+select symbol, interval, case when u then 0 else n end as rows, case when u then 0 else expected end as expected_rows, cast(case when u then 0 else missing end as bigint) as missing_rows,
+  case when u then 0 else dups end as duplicate_rows, case when u then 0 else back end as out_of_order_rows, case when u then 0 else gaps end as gap_count, case when u then 0 else widest end as largest_gap_seconds,
+  cast(case when u then 0 else pct end as double) as coverage_pct, case when not u then lo end as min_time_ms, case when not u then hi end as max_time_ms,
+  case when u then 'UNKNOWN' when expected > 0 and pct < 99 then 'FAIL' when warnings <> '' then 'WARN' else 'PASS' end as status, warnings from v"""
+
+
+@query("gap_audit_strict", SQL_ODD)
+def _(spark, d):
+    step = X.interval_ms(F.col("interval"))
+    return S.gap_audit(odd_candles(spark, d), ["symbol", "interval"], "open_time_ms", step, *CLAMP, order=["event_id"], arrival=F.floor(F.col("event_id") / ARRIVALS))
 
 
 @query("gap_audit_total", f"with {SQL_CANDLES}, {SQL_AUDIT} select count(*) as series, cast(sum(rows) as bigint) as rows, cast(sum(expected_rows) as bigint) as expected_rows, cast(sum(missing_rows) as bigint) as missing_rows, cast(sum(duplicate_rows) as bigint) as duplicate_rows, cast(sum(gap_count) as bigint) as gap_count, max(largest_gap_seconds) as largest_gap_seconds, case max(case status when 'FAIL' then 3 when 'WARN' then 2 else 0 end) when 3 then 'FAIL' when 2 then 'WARN' else 'PASS' end as status from audit")
