@@ -9,7 +9,7 @@ import pytest
 from tidemark.sources import readers, sinks
 from tidemark.streaming import collect
 
-LINE = "1704067200000,42283.58,42345.67,42270.01,42300.00,10.5,1704067259999,444150.0,500,5.0,210000.0"
+LINE = "1704067200000,7.5,8.25,7.0,8.0,3.5,1704067259999,26.25,12,1.5,11.25"
 
 
 def test_candle_csv(spark, tmp_path):
@@ -18,7 +18,7 @@ def test_candle_csv(spark, tmp_path):
     (d / "BTCUSDT-1m-2024-01.csv").write_text(LINE + "\n")
     df = readers.read_candle_csv(spark, str(d / "*.csv"))
     r = df.first()
-    assert len(df.columns) == 16 and (r.symbol, r.interval, r.period, r.open_time_ms, r.number_of_trades) == ("BTCUSDT", "1m", "2024-01", 1704067200000, 500)
+    assert len(df.columns) == 16 and (r.symbol, r.interval, r.period, r.open_time_ms, r.number_of_trades) == ("BTCUSDT", "1m", "2024-01", 1704067200000, 12)
     (d / "BTCUSDT-1m-2024-02.csv").write_text("1,2,3\n")
     with pytest.raises(Exception, match="candle without|CAST_INVALID"):
         readers.read_candle_csv(spark, str(d / "*.csv")).collect()
@@ -50,21 +50,61 @@ def test_partitioned_sink(spark, tmp_path):
     assert (tmp_path / "t/symbol=A/year=2024/month=01").is_dir()
 
 
-def test_collector_resumes_and_dedupes(spark, tmp_path):
-    def land(n, h):
-        (tmp_path / "in").mkdir(exist_ok=True)
-        (tmp_path / f"in/{n}.json").write_text(json.dumps({"schema_version": "1", "snapshot_id": n, "snapshot_hash": h, "collected_at": "2024-01-15T00:00:00Z", "observed_at": "2024-01-15T00:00:00Z", "trust_level": "OFFICIAL", "symbols": [{"symbol": "BTCUSDT", "status": "TRADING"}]}))
+@pytest.fixture
+def landing(spark, tmp_path):
+    """land(name, hash, day) puts a snapshot file down; rows() are the archive's (id, hash)."""
+    (tmp_path / "in").mkdir()
+
+    def land(name, h, day=15, n=None):
+        symbols = [{"symbol": "BTCUSDT", "status": "TRADING", "onboard_at": "2020-01-01T00:00:00Z"}, {"symbol": f"{h}USDT", "status": "BREAK"}]
+        (tmp_path / f"in/{name}.json").write_text(json.dumps({"schema_version": "1", "snapshot_id": n or name, "snapshot_hash": h, "collected_at": f"2024-01-{day}T00:00:00Z", "observed_at": f"2024-01-{day}T00:00:00Z", "trust_level": "OFFICIAL", "symbols": symbols}))
 
     args = [str(tmp_path / x) for x in ("in", "archive", "summary", "checkpoint")]
-    land("a", "1")
-    land("b", "1")
+    return land, args, lambda: sorted((r.snapshot_id, r.snapshot_hash) for r in spark.read.parquet(args[1]).collect())
+
+
+def test_collector_archives_a_hash_once(spark, landing, tmp_path):
+    """Twice in one batch, also as the same snapshot; in batches apart; after a restart; after a batch that wrote and was not committed."""
+    land, args, rows = landing
+    for name, h, n in (("a", "1", None), ("b", "1", None), ("c", "2", "same"), ("d", "2", "same"), ("e", None, None)):
+        land(name, h, n=n)
     (tmp_path / "in/bad.json").write_text('{"invalid": true}')
     collect.collect(spark, *args)
-    land("c", "1")
-    land("d", "2")
+    assert rows() == [("a", "1"), ("same", "2")]
+    land("f", "1")
+    land("g", "3", day=16)
+    collect.collect(spark, *args)
+    assert rows() == [("a", "1"), ("g", "3"), ("same", "2")]
+    for p in (tmp_path / "checkpoint/commits").glob("*1*"):
+        p.unlink()
+    land("h", "3")
+    collect.collect(spark, *args)
+    assert rows() == [("a", "1"), ("g", "3"), ("same", "2")]
+    assert spark.read.parquet(f"{args[2]}/archive").first().snapshots == 3
+
+
+def test_collector_knows_what_was_archived_before(spark, landing):
+    land, args, rows = landing
+    sinks.append_archive(spark.createDataFrame([("old", "2024-01-02T00:00:00Z", "1", "OFFICIAL", None, [("AUSDT", "TRADING", None, None)])], "snapshot_id string, collected_at string, snapshot_hash string, trust_level string, observed_at string, symbols array<struct<symbol: string, status: string, onboard_at: string, delivery_at: string>>"), args[1])
+    land("a", "1")
+    land("b", "2")
     collect.collect(spark, *args)
-    assert sorted(r.snapshot_id for r in spark.read.parquet(args[1]).collect()) == ["a", "d"]
-    assert spark.read.parquet(args[2]).first().snapshots == 2
+    assert rows() == [("b", "2"), ("old", "1")]
+
+
+def test_summaries_by_day_equal_those_of_all(spark, landing):
+    """Days that come late, and days that grow, after which the parts say what a full computation says."""
+    land, args, _ = landing
+    for turn in ([("a", "1", 15), ("b", "2", 16)], [("c", "3", 14)], [("d", "4", 15), ("e", "5", 17)]):
+        for x in turn:
+            land(*x)
+        collect.collect(spark, *args)
+    got = [spark.read.parquet(f"{args[2]}/{x}").collect() for x in ("archive", "symbols")]
+    collect.refresh(spark, args[1], args[2] + "-anew")
+    assert [sorted(map(str, x)) for x in got] == [sorted(map(str, spark.read.parquet(f"{args[2]}-anew/{x}").collect())) for x in ("archive", "symbols")]
+    a, b = got[0][0], {r.symbol: r for r in got[1]}["BTCUSDT"]
+    assert (a.snapshots, a.earliest, a.latest) == (5, "2024-01-14T00:00:00Z", "2024-01-17T00:00:00Z")
+    assert (b.times_seen, b.first_seen, b.last_seen, b.statuses, b.has_onboard, b.has_delivery) == (5, "2024-01-14T00:00:00Z", "2024-01-17T00:00:00Z", "TRADING", True, False)
 
 
 def test_streams(spark, tmp_path):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,11 +35,22 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def append_archive(snapshots: DataFrame, path: str, collected: str = "collected_at") -> None:
-    """Snapshots appended by UTC day of collection, given as RFC 3339 text; other columns, such as the raw payload, go with them."""
+def replace_partitions(df: DataFrame, path: str, keys: list[str]) -> None:
+    """df laid out by keys, in place of what these partitions held; others stay."""
+    df.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+
+
+def append_archive(snapshots: DataFrame, path: str, collected: str = "collected_at", batch: int | None = None) -> DataFrame:
+    """Snapshots appended by UTC day of collection, given as RFC 3339 text; other columns, such as the raw payload, go with them.
+
+    A batch number makes the append one that can be repeated: a batch's folders
+    replace those of the same number. Without one it is its own batch. Returns
+    the (year, month, day) of the rows.
+    """
     day = exprs.utc_date(exprs.parsed_ms(F.col(collected)))
     rows = snapshots.withColumns({"year": F.substring(day, 1, 4), "month": F.substring(day, 6, 2), "day": F.substring(day, 9, 2)})
-    rows.write.mode("append").option("compression", "zstd").partitionBy("year", "month", "day").parquet(path)
+    replace_partitions(rows.withColumn("batch", F.lit(uuid.uuid4().hex if batch is None else f"{batch:010}")), path, ["year", "month", "day", "batch"])
+    return rows.select("year", "month", "day")
 
 
 def write_payloads(inputs: DataFrame, path: str, collected: str = "collected_at") -> None:
