@@ -10,10 +10,11 @@ A first pass only counts into tables of bounded size, a table for each length,
 at the slots that the fingerprints name. A phrase is at most as frequent as its
 slot and as the phrases inside it, so the second pass gathers only those whose
 slots all reach the threshold: a slot that others fill costs work and changes no
-count. (They prune while a table has fewer than about `least` words a slot; more
-slots take memory in every worker, `longest` bytes each.) The shuffle adds up, per fingerprint, the number and one occurrence as a
-pointer (text, byte). Only phrases found frequent are read from the texts again;
-what stands at a pointer must have the fingerprint that it was counted under.
+count. (They prune while there are fewer than about `least` words a slot; more
+slots take memory in every worker, `longest` bytes each.) The shuffle adds up,
+per fingerprint, the number and one occurrence as a pointer (text, byte). Only
+phrases found frequent are read from the texts again; what stands at a pointer
+must have the fingerprint that it was counted under.
 """
 
 from __future__ import annotations

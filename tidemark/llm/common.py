@@ -44,6 +44,12 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(folder)
 
 
+def weighed(df: DataFrame, lists: str, item_bytes: int) -> DataFrame:
+    """df, marked to be sent to every executor if its rows and what their column lists holds were counted and are small; else it is joined by a shuffle."""
+    rows, items = df.agg(F.count("*"), F.coalesce(F.sum(F.size(lists)), F.lit(0))).first()
+    return F.broadcast(df) if 64 * rows + item_bytes * items <= MAX_BROADCAST_BYTES else df
+
+
 def same(a: Column, b: Column) -> Column:
     """Equality under which null equals null."""
     return a.eqNullSafe(b)
