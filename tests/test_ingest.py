@@ -55,6 +55,62 @@ def test_candles_from_archives_to_a_table(spark, tmp_path):
         ingest.ingest_candles(spark, str(landed), out, ["A"], "2024-01-01", "2024-01-01", "moon", "1m")
 
 
+def test_archives_are_unzipped_once_and_a_run_can_be_repeated(spark, tmp_path, monkeypatch):
+    """Days are objects of their own beside each other; a run that stops between staging and publishing changes nothing, the next one ends as if it had not been."""
+    landed, out = tmp_path / "in", str(tmp_path / "candles")
+    day = 86_400_000
+    for k in range(3):
+        land(landed, "AAAUSDT", f"2024-01-0{k + 1}", [candle(JAN + k * day), candle(JAN + k * day + MIN)])
+    reads = spark.sparkContext.accumulator(0)
+    run = lambda last, **kw: {r.period[-1]: r.state for r in ingest.ingest_candles(spark, str(landed), out, ["AAAUSDT"], "2024-01-01", last, "futures-um", "1m", unit="day", reads=reads, **kw).collect()}
+    assert run("2024-01-01") == {"1": "WRITTEN"} and reads.value == 1
+    real = ingest.publish
+    monkeypatch.setattr(ingest, "publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        run("2024-01-03")
+    assert spark.read.parquet(out).count() == 2 and reads.value == 3
+    monkeypatch.setattr(ingest, "publish", real)
+    assert run("2024-01-03") == {"1": "SKIP_EXISTING", "2": "WRITTEN", "3": "WRITTEN"} and reads.value == 5
+    assert run("2024-01-03") == dict.fromkeys("123", "SKIP_EXISTING") and reads.value == 5
+    assert sorted(r.open_time_ms for r in spark.read.parquet(out).collect()) == [JAN + k * day + m for k in range(3) for m in (0, MIN)]
+
+
+def test_sentiment_from_files_to_a_table(spark, tmp_path):
+    """The first item of a day wins by file and place; bounds are those of the caller; a series with a broken rule is not written."""
+    day = 86_400
+    item = lambda k, v, label="Extreme Fear": {"value": str(v), "value_classification": label, "timestamp": str(JAN // 1000 + k * day)}
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/b.json").write_text(json.dumps({"data": [item(1, 99), item(31, 70, "Greed"), item(32, 400), item(90, 1)]}))
+    (tmp_path / "in/a.json").write_text(json.dumps({"data": [item(1, 20), item(1, 30), item(0, 10)]}))
+    out = str(tmp_path / "out")
+    r = ingest.ingest_sentiment(spark, str(tmp_path / "in"), out, JAN, JAN + 60 * day * 1000).first()
+    assert (r.row_count, r.objects, r.coverage_start_ms, r.coverage_end_ms, r.status, r.reason) == (3, 2, JAN, JAN + 31 * day * 1000, "PASS", None)
+    assert r.object_keys.split(",")[0] == "datasets/sentiment/source=alternative_me/dataset=fear_greed/scope=global/interval=1d/year=2024/month=01/fear_greed-2024-01.parquet"
+    rows = readers.read_series(spark, out).orderBy("event_time_ms").collect()
+    assert [(x.event_time_ms, x.score, x.label, x.available_at_ms) for x in rows][:2] == [(JAN, 10.0, "extreme_fear", JAN + day * 1000), (JAN + day * 1000, 20.0, "extreme_fear", JAN + 2 * day * 1000)]
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad/a.json").write_text(json.dumps({"data": [item(0, 10), item(1, 20, "")]}))
+    r = ingest.ingest_sentiment(spark, str(tmp_path / "bad"), str(tmp_path / "none"), JAN, JAN + 60 * day * 1000).first()
+    assert (r.row_count, r.status, r.reason) == (0, "FAIL", "missing label") and not list((tmp_path / "none").glob("kind=*"))
+    r = ingest.ingest_sentiment(spark, str(tmp_path / "bad"), str(tmp_path / "none"), 1, 2).first()
+    assert (r.row_count, r.status, r.reason) == (0, "FAIL", "empty rows")
+
+
+def test_hashes_and_archives_of_any_size(spark, tmp_path):
+    """Files larger than a piece, in both ways of reading them."""
+    big = tmp_path / "big.bin"
+    with big.open("wb") as f:
+        for k in range(40):
+            f.write(bytes([k]) * (1 << 20))
+    want = hashlib.sha256(big.read_bytes()).hexdigest()
+    assert readers.read_hashes(spark, str(tmp_path), "*.bin").first().sha256 == want
+    lines = [candle(JAN + k * MIN) for k in range(120_000)]
+    land(tmp_path / "z", "AAAUSDT", "2024-01", lines)
+    assert readers.read_candle_zip(spark, str(tmp_path / "z")).count() == 120_000
+    whole = spark.read.format("binaryFile").load(str(tmp_path / "z/*.zip")).select("path", "content")
+    assert readers.read_archives(whole).agg(F.max("open_time_ms")).first()[0] == JAN + 119_999 * MIN
+
+
 def test_derivatives_from_pages_to_a_table(spark, tmp_path):
     page = lambda *at: json.dumps([{"fundingRate": "0.5", "markPrice": "x", "fundingTime": t} for t in at])
     for s, pages in {"AAAUSDT": [page(JAN, JAN + 8 * 60 * MIN), page(JAN + 8 * 60 * MIN, FEB)], "BBBUSDT": [page(5)]}.items():

@@ -295,9 +295,10 @@ def normalize_sentiment(rows: DataFrame, series: list[str], event: str, order: l
     """The first row of each event time wins, then scores outside 0 to 100 go; available a day after the event."""
     from ..functions import exprs
 
-    w = Window.partitionBy(*series, event).orderBy(*order)
-    first = rows.filter(F.col(event).between(lo, hi)).withColumn("__k", F.row_number().over(w)).filter("__k = 1")
-    out = first.select(*series, F.col(event).alias("event_time_ms"), (F.col(event) + exprs.DAY_MS).alias("available_at_ms"), score.alias("score"), exprs.snake(label).alias("label"))
+    # The first of each time is a map-side minimum over the order, so that repetitions of a time never meet.
+    cols = F.struct(*[F.col(c) for c in order], score.alias("__score"), label.alias("__label"))
+    first = rows.filter(F.col(event).between(lo, hi)).groupBy(*series, event).agg(F.min(cols).alias("__first"))
+    out = first.select(*series, F.col(event).alias("event_time_ms"), (F.col(event) + exprs.DAY_MS).alias("available_at_ms"), F.col("__first.__score").alias("score"), exprs.snake(F.col("__first.__label")).alias("label"))
     return out.filter(F.col("score").between(0, 100)).withColumn("intensity", exprs.intensity(F.col("score")))
 
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
+import re
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import Accumulator
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,37 +108,69 @@ def read_candle_csv(spark: SparkSession, path: str) -> DataFrame:
     return typed_candles(raw).select(X.path_market(p).alias("market"), X.path_symbol(p).alias("symbol"), X.path_interval(p).alias("interval"), X.key_period(p).alias("period"), F.lit(None).cast("string").alias("source_date"), *CANDLE)
 
 
-def read_candle_zip(spark: SparkSession, path: str | list[str], report: bool = False) -> DataFrame:
-    """Candles from zip archives with one CSV member each, which must be named as the archive is.
+#: Bytes read of a file at a time.
+CHUNK = 4 << 20
+#: Stores whose files tasks open themselves, piece by piece; files elsewhere come whole from Spark's reader, up to its 2 GB.
+STREAMED = re.compile(r"(?:file:)?/|s3://|gs://|hdfs://")
+
+
+def opened(path: str) -> pa.NativeFile:
+    """A file of a streamed store, seekable; nothing is read yet."""
+    if re.match(r"(?:file:)?/", path):
+        return fs.LocalFileSystem().open_input_file(re.sub("^file:/+", "/", path))
+    store, inside = fs.FileSystem.from_uri(path)
+    return store.open_input_file(inside)
+
+
+def _digest(file: pa.NativeFile) -> str:
+    digest = hashlib.sha256()
+    while piece := file.read(CHUNK):
+        digest.update(piece)
+    return digest.hexdigest()
+
 
-    An unsafe or missing member, a broken archive or a bad cell fails the job;
-    with report such an archive gives instead a row with its error and without candle.
+def _members(path: str, file, names: list[str]) -> Iterator[pd.DataFrame]:
+    """The lines of an archive's one CSV member, which must be named as the archive is, 50,000 at a time."""
+    with zipfile.ZipFile(file) as z:
+        wanted = path.rsplit("/", 1)[-1].removesuffix(".zip") + ".csv"
+        found = [n for n in z.namelist() if n.endswith(".csv")]
+        if found != [wanted]:
+            raise ValueError(f"{path}: {found}")
+        with z.open(wanted) as member:
+            yield from pd.read_csv(member, header=None, names=names, usecols=range(11), dtype=str, chunksize=50_000)
+
+
+def read_archives(archives: DataFrame, report: bool = False, reads: Accumulator | None = None) -> DataFrame:
+    """The candles of archives(path, and where to be verified expected, the SHA-256 that it should have).
+
+    Each archive is opened once, by one task: it is hashed in pieces, and what is
+    as expected is unzipped as it is read, so that memory is bounded whatever its
+    size. Another hash, an unsafe or missing member, a broken archive or a bad
+    cell fails the job; with report such an archive gives a row with its error
+    (`checksum` for the hash) and without candle. reads counts the archives unzipped.
     """
     names = [f"c{k}" for k in range(1, 12)]
-    schema = "path string, error string, " + ", ".join(f"{c} string" for c in names)
-
-    def open_member(file: str, content: bytes) -> Iterator[pd.DataFrame]:
-        with zipfile.ZipFile(io.BytesIO(content)) as z:
-            wanted = file.rsplit("/", 1)[-1].removesuffix(".zip") + ".csv"
-            found = [n for n in z.namelist() if n.endswith(".csv")]
-            if found != [wanted]:
-                raise ValueError(f"{file}: {found}")
-            with z.open(wanted) as member:
-                yield from pd.read_csv(member, header=None, names=names, usecols=range(11), dtype=str, chunksize=50_000)
+    verify, whole = "expected" in archives.columns, "content" in archives.columns
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for file, content in zip(pdf["path"], pdf["content"], strict=True):
+            for k, path in enumerate(pdf["path"]):
                 try:
-                    for part in open_member(file, content):
-                        yield part.assign(path=file, error=None)[["path", "error", *names]]
+                    with io.BytesIO(pdf["content"].iloc[k]) if whole else opened(path) as file:
+                        expected = pdf["expected"].iloc[k] if verify else None
+                        if expected is not None and _digest(file) != expected:
+                            raise ValueError("checksum")
+                        file.seek(0)
+                        if reads is not None:
+                            reads.add(1)
+                        for part in _members(path, file, names):
+                            yield part.assign(path=path, error=None)[["path", "error", *names]]
                 except (ValueError, zipfile.BadZipFile) as e:
                     if not report:
                         raise
-                    yield pd.DataFrame({"path": [file], "error": [str(e)[:200]], **{c: [None] for c in names}}, dtype=object)
+                    yield pd.DataFrame({"path": [path], "error": [str(e)[:200]], **{c: [None] for c in names}}, dtype=object)
 
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", "true").load(path)
-    raw = found.select("path", "content").mapInPandas(lines, schema)
+    raw = archives.mapInPandas(lines, "path string, error string, " + ", ".join(f"{c} string" for c in names))
     if report:
         cells = [F.col(c).try_cast("bigint" if n in WHOLE else "double") for c, n in zip(names, CANDLE, strict=True)]
         raw = raw.filter(F.coalesce(F.col("c1"), F.lit("")) != "open_time")
@@ -145,6 +182,18 @@ def read_candle_zip(spark: SparkSession, path: str | list[str], report: bool = F
     return typed.select(X.path_symbol(p).alias("symbol"), X.path_interval(p).alias("interval"), X.key_period(p).alias("period"), *typed.columns)
 
 
+def _contents(spark: SparkSession, path: str | list[str], pattern: str) -> DataFrame:
+    """(path, length) of the files below a folder; with content where tasks can't open them."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+    streamed = all(STREAMED.match(x) for x in ([path] if isinstance(path, str) else path))
+    return found.select("path", "length", *[] if streamed else ["content"])
+
+
+def read_candle_zip(spark: SparkSession, path: str | list[str], report: bool = False) -> DataFrame:
+    """Candles from the zip archives below a folder, see read_archives."""
+    return read_archives(_contents(spark, path, "*.zip").drop("length"), report)
+
+
 def read_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
     """A3: every file under a folder with its length and time; contents are not read."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
@@ -184,17 +233,37 @@ def list_objects(spark: SparkSession, prefix: str, first: str, last: str, patter
 
 
 def read_hashes(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """SHA-256 of every file's bytes."""
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
-    return df.select("path", "length", F.sha2("content", 256).alias("sha256"))
+    """SHA-256 of every file's bytes, read piece by piece, so that a file may have any size."""
+    found = _contents(spark, path, pattern)
+    if "content" in found.columns:
+        return found.select("path", "length", F.sha2("content", 256).alias("sha256"))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for p in b.column("path").to_pylist():
+                with opened(p) as file:
+                    out.append(_digest(file))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], names=["path", "length", "sha256"])
+
+    return found.mapInArrow(hashed, "path string, length bigint, sha256 string")
+
+
+def read_checksums(spark: SparkSession, path: str) -> DataFrame:
+    """(name, expected) from the .CHECKSUM files below a folder: the name of the archive each stands beside, and the hash it states."""
+    said = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.CHECKSUM").text(path)
+    return said.select(F.regexp_replace(F.col("_metadata.file_path"), r"\.CHECKSUM$", "").alias("path"), F.lower(F.element_at(F.split(F.trim("value"), r"\s+"), 1)).alias("expected"))
+
+
+def same_file(path: Column) -> Column:
+    """A path as two readers of one file spell it alike."""
+    return F.regexp_replace(path, "^file:/+", "/")
 
 
 def verify_checksums(spark: SparkSession, path: str) -> DataFrame:
     """Archives against their .CHECKSUM files: OK, MISMATCH or NO_CHECKSUM."""
-    have = read_hashes(spark, path, "*.zip")
-    said = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.CHECKSUM").text(path).select(F.regexp_replace(F.col("_metadata.file_path"), r"\.CHECKSUM$", "").alias("__p"), F.lower(F.element_at(F.split(F.trim("value"), r"\s+"), 1)).alias("expected"))
-    name = lambda c: F.regexp_replace(c, "^file:/+", "/")
-    j = have.join(said, name(F.col("path")) == name(F.col("__p")), "left")
+    have, said = read_hashes(spark, path, "*.zip"), read_checksums(spark, path).withColumnRenamed("path", "__p")
+    j = have.join(said, same_file(F.col("path")) == same_file(F.col("__p")), "left")
     return j.select("path", "sha256", "expected", F.when(F.col("expected").isNull(), "NO_CHECKSUM").when(F.col("expected") == F.col("sha256"), "OK").otherwise("MISMATCH").alias("status"))
 
 
@@ -217,10 +286,10 @@ def read_derivatives_json(spark: SparkSession, path: str | list[str], dataset: s
 
 
 def read_sentiment_json(spark: SparkSession, path: str) -> DataFrame:
-    """(position, score, label, event_time_ms) of every item, in the file's order."""
+    """(path, position, score, label, event_time_ms) of every item; path and position are their order."""
     df = spark.read.schema(SENTIMENT).option("multiLine", "true").json(path)
-    x = df.select(F.posexplode("data").alias("position", "x"))
-    return x.select("position", F.col("x.value").cast("double").alias("score"), F.col("x.value_classification").alias("label"), (F.col("x.timestamp").cast("bigint") * 1000).alias("event_time_ms"))
+    x = df.select(F.col("_metadata.file_path").alias("path"), F.posexplode("data").alias("position", "x"))
+    return x.select("path", "position", F.col("x.value").cast("double").alias("score"), F.col("x.value_classification").alias("label"), (F.col("x.timestamp").cast("bigint") * 1000).alias("event_time_ms"))
 
 
 def read_listing_json(spark: SparkSession, path: str) -> DataFrame:
