@@ -31,11 +31,13 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, documents
+from .common import cut, documents, weighed
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Bytes of text hashed at a time, and fingerprints a task gathers before it counts them and before it hands them on.
 STRETCH, GATHERED, HANDED = 1 << 20, 600_000, 1_000_000
+#: Phrases read from texts at a time.
+PHRASES = 5_000
 #: Slots of a length's table, a byte each, and of one segment of it; the largest count that a slot holds.
 SLOTS, SEGMENT, FULL = 1 << 24, 1 << 14, 255
 _SPACE, _BREAK = 1, 2
@@ -314,6 +316,9 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     parts = _ENDS.split(raw[begin:end], 1)
                     words = parts[0].split()
                 out.append((lang, b" ".join(words[:n]).lower(), n, w["print"], w["other"], w["n"]))
+                if len(out) == PHRASES:
+                    yield from _with_parts(out)
+                    out = []
         yield from _with_parts(out)
 
 
@@ -353,7 +358,9 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
     """counts(print, other, n, k1, at) of the words and phrases that docs(text, lang, k1) hold `least` times or more, and totals(lang, n) of all words."""
     marks, totals = frequent_slots(docs, least, longest, slots)
     counted = docs.mapInArrow(_count(longest, docs.sparkSession.sparkContext.broadcast(marks)), _COUNTS)
-    found = counted.groupBy("print", "other").agg(F.sum("n").alias("n"), F.min("k1").alias("k1"), F.min_by("at", "k1").alias("at"))
+    # Which occurrence is kept is as good as drawn, so that no text is pointed at by most phrases.
+    drawn = F.xxhash64("k1", "print")
+    found = counted.groupBy("print", "other").agg(F.sum("n").alias("n"), F.min_by("k1", drawn).alias("k1"), F.min_by("at", drawn).alias("at"))
     return cut(found.filter(F.col("n") >= least)), totals
 
 
@@ -369,7 +376,7 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     rows = rows.withColumn("k1", F.xxhash64("text", "lang"))
     counts, totals = phrase_counts(rows, least, longest, slots)
     wanted = counts.filter(F.col("at").bitwiseAND(F.lit(7)) > 1).groupBy("k1").agg(F.collect_list(F.struct("print", "other", "n", "at")).alias("wanted"))
-    read = rows.join(wanted, "k1").select("text", "lang", "wanted").mapInArrow(_read, _PHRASES)
+    read = rows.join(weighed(cut(wanted), "wanted", 40), "k1").select("text", "lang", "wanted").mapInArrow(_read, _PHRASES)
     phrases = cut(read.dropDuplicates(["print", "other"]))
     inside = phrases.filter("words > 2").select("a", F.explode(F.array(F.struct(F.col("cuts")[0]["r1"].alias("print"), F.col("cuts")[0]["r2"].alias("other")), F.struct(F.element_at("cuts", -1)["l1"].alias("print"), F.element_at("cuts", -1)["l2"].alias("other")))).alias("part"))
     longer = inside.groupBy("part.print", "part.other").agg(F.max("a").alias("longer"))
