@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 
 import duckdb
 import numpy as np
@@ -496,3 +497,42 @@ def test_mix_of_repeated_and_missing_ids(spark):
     words = sum(len((r.text or "").split()) for r in again.collect())
     assert words == got["taken"].sum()
     assert mixing.repeat_to_targets(docs.limit(0)).count() == 0
+
+
+def test_rows_of_one_id_keep_their_own_verdicts(spark):
+    """One doc_id and text under two languages: the row that the rules reject goes, its twin stays."""
+    good = lambda k: " ".join(f"word{(k * 7 + i) % 400}" for i in range(90))
+    odd = lambda k: " ".join(f"#{k}x{i}" for i in range(90 + k % 20))
+    rows = [(k, good(k), "en", "a", None) for k in range(600)] + [(5000 + k, odd(k), "de", "a", None) for k in range(200)]
+    rows += [(10_000, odd(3), "en", "a", None), (10_000, odd(3), "de", "a", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, kept_1 string")
+    verdicts = {r.lang: r.kept for r in quality_rules.quality_rules(docs, keep=("doc_id", "lang")).filter("doc_id = 10000").collect()}
+    assert sorted(verdicts.values()) == [False, True]
+    kept = quality_rules.keep_good(docs)
+    assert {r.lang for r in kept.filter("doc_id = 10000").collect()} == {x for x, ok in verdicts.items() if ok} and kept.columns == docs.columns
+
+
+def test_op7_equals_the_library(spark):
+    """The query's own rows, of all documents, from the library's ids and texts."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=sentencepieces.MODEL)
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = {r.doc_id: (r.n_tokens, r.token_ids_sha256, r.decoded_sha256, r.round_trip) for r in sentencepieces.op7_sentencepieces(spark, SF).collect()}
+    ids = {d: sp.encode(t) for d, t in texts.items()}
+    assert got == {d: (len(x), sha(" ".join(map(str, x))), sha(sp.decode(x)), sp.decode(x) == texts[d]) for d, x in ids.items()}
+
+
+def test_op8_equals_the_sum_over_pairs(spark):
+    """The query's scores, of all documents, by the machine's definition: a weight each chosen term and a product of factors each pair."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    machine = toxicity.Machine.from_bytes(toxicity.fit(docs, labels))
+    got = {r.doc_id: r for r in toxicity.op8_toxicity(spark, SF).collect()}
+    for r in docs.collect():
+        x = [machine.at[t] for t in toxicity.terms_of(r.text).tolist() if t in machine.at]
+        pairs = sum(float(machine.factors[i] @ machine.factors[j]) for k, i in enumerate(x) for j in x[:k])
+        score = 1 / (1 + np.exp(-(machine.bias + sum(float(machine.weights[i]) for i in x) + pairs)))
+        assert abs(got[r.doc_id].score - score) < 1e-6 and got[r.doc_id].predicted == int(got[r.doc_id].score >= 0.5)
+        assert got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)

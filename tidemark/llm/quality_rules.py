@@ -157,11 +157,19 @@ def quality_rules(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataF
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of docs that quality_rules keeps, with all their columns. Rows are matched by doc_id and a hash of their text."""
-    h, own, same_text = (unused(c, docs) for c in ("text_hash", "kept_id", "kept_hash"))
+    """The rows of docs that quality_rules keeps, with all their columns.
+
+    A row is matched with its verdict by all that the verdict hangs on, doc_id,
+    a hash of the text, lang and source, so that of two rows that differ in one
+    of these each gets its own. Nulls match nulls; an empty table gives none.
+    """
+    h = unused("text_hash", docs)
     key = docs.withColumn(h, F.xxhash64("text"))
-    verdict = quality_rules(key, keep=("doc_id", h)).filter("kept").select(F.col("doc_id").alias(own), F.col(h).alias(same_text))
-    return key.join(verdict, same(F.col("doc_id"), F.col(own)) & (F.col(h) == F.col(same_text)), "left_semi").drop(h)
+    by = ("doc_id", h, "lang", "source")
+    names = [unused(f"kept_{k}", key) for k in range(len(by))]
+    verdict = quality_rules(key, keep=by).filter("kept").select(*[F.col(c).alias(n) for c, n in zip(by, names, strict=True)])
+    met = [same(F.col(c), F.col(n)) for c, n in zip(by, names, strict=True)]
+    return key.join(verdict, met, "left_semi").drop(h)
 
 
 def op9_quality_rules(spark, sf_dir: str) -> DataFrame:

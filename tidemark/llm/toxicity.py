@@ -31,7 +31,8 @@ EPOCHS, BATCH, RATE, PENALTY, SEED = 12, 128, 0.1, 1e-4, 8
 #: Chi-square below which a bucket is not chosen.
 LEAST_CHI = 8.0
 THRESHOLD = 0.5
-_CACHE = 300_000
+#: Words that a worker remembers, and bytes of the longest of them; longer words are looked up anew.
+_CACHE, _LONGEST = 200_000, 32
 _STRIP = b".,;:!?\"'()[]{}"
 
 
@@ -60,9 +61,10 @@ class Machine:
             hit = self.known.get(w)
             if hit is None:
                 hit = tuple(self.at[t] for t in word_terms(w) if t in self.at)
-                if len(self.known) >= _CACHE:
-                    self.known.clear()
-                self.known[w] = hit
+                if len(w) <= _LONGEST:
+                    if len(self.known) >= _CACHE:
+                        self.known.clear()
+                    self.known[w] = hit
             found.update(hit)
         return sorted(found)
 
