@@ -5,7 +5,9 @@ import json
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidemark.operators import universe
 from tidemark.sources import readers, sinks
 from tidemark.streaming import collect
 
@@ -50,6 +52,41 @@ def test_partitioned_sink(spark, tmp_path):
     assert (tmp_path / "t/symbol=A/year=2024/month=01").is_dir()
 
 
+def test_counts_and_ranges_from_footers(spark, tmp_path):
+    """Row groups, nulls, no rows, no statistics and no such column; equal to a scan."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    put = lambda name, at, **kw: pq.write_table(pa.table({"open_time_ms": pa.array(at, pa.int64()), "x": pa.array([0.5] * len(at))}), tmp_path / f"{name}.parquet", **kw)
+    put("a", list(range(5, 1005)), row_group_size=100)
+    put("b", [7, None, 3], row_group_size=2)
+    put("c", [])
+    put("d", [9, 4], write_statistics=False)
+    put("e", [None, None])
+    pq.write_table(pa.table({"x": [1, 2]}), tmp_path / "f.parquet")
+    got = {r.path[-9]: (r.row_count, r.lo, r.hi) for r in readers.read_footers(spark, str(tmp_path)).collect()}
+    assert got == {"a": (1000, 5, 1004), "b": (3, 3, 7), "c": (0, None, None), "d": (2, 4, 9), "e": (2, None, None), "f": (2, None, None)}
+    rows = spark.read.schema("open_time_ms bigint").parquet(str(tmp_path)).groupBy(F.col("_metadata.file_name").alias("f")).agg(F.count("*").alias("n"), F.min("open_time_ms").alias("lo"), F.max("open_time_ms").alias("hi"))
+    assert {r.f[0]: (r.n, r.lo, r.hi) for r in rows.collect()} == {k: v for k, v in got.items() if v[0]}
+
+
+@pytest.mark.parametrize("kind", ["parquet", "csv", "json"])
+def test_files_by_name_are_in_order(spark, tmp_path, kind):
+    rows = [(f"S{k * 7 % 50:02}", k * 13 % 97) for k in range(500)]
+    sinks.write_ordered(spark.createDataFrame(rows, "symbol string, t int").repartition(7), str(tmp_path / "t"), ["symbol", "t"], kind, file_rows=60)
+    names = sorted(p.name for p in (tmp_path / "t").glob("part-*"))
+    read = [(r.symbol, r.t) for n in names for r in spark.read.schema("symbol string, t int").format(kind).load(str(tmp_path / "t" / n)).coalesce(1).collect()]
+    assert len(names) > 3 and read == sorted(rows)
+
+
+def test_flat_hash_is_that_of_the_sorted_lines(spark):
+    rows = [(f"p/{k * 37 % 1000:03}.parquet", hashlib.sha256(str(k).encode()).hexdigest()) for k in range(1000)]
+    df = spark.createDataFrame(rows, "path string, sha256 string").repartition(5)
+    want = hashlib.sha256("".join(f"{p}:{h}\n" for p, h in sorted(rows)).encode()).hexdigest()
+    assert tuple(universe.flat_hash(df).first()) == (want, 1000)
+    assert tuple(universe.flat_hash(df.limit(0)).first()) == (hashlib.sha256().hexdigest(), 0)
+
+
 @pytest.fixture
 def landing(spark, tmp_path):
     """land(name, hash, day) puts a snapshot file down; rows() are the archive's (id, hash)."""

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -187,6 +191,28 @@ def dataset_hash(files: DataFrame) -> DataFrame:
     return file_set_hash(files).agg(exprs.set_hash(F.concat("symbol", F.lit(":"), "h")).alias("dataset_hash"), F.sum("n").alias("files"))
 
 
+def flat_hash(files: DataFrame) -> DataFrame:
+    """SHA-256 over all `path:sha256` lines, each with its line end, in path order: one digest of one stream, and files, how many lines it had.
+
+    The lines are sorted by ranges; one task then passes them through the digest,
+    partition after partition, and holds a line at a time. That is what the flat
+    form asks for; dataset_hash is the one whose work is spread. No files give
+    the digest of nothing.
+    """
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, n = hashlib.sha256(), 0
+        for b in batches:
+            for line in b.column("line"):
+                made.update(line.as_py().encode("utf-8"))
+                n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([made.hexdigest()]), pa.array([n], pa.int64())], names=["h", "n"])
+
+    lines = files.select("path", F.concat("path", F.lit(":"), "sha256", F.lit("\n")).alias("line")).sort("path", "line").coalesce(1)
+    made = lines.mapInArrow(digest, "h string, n bigint")
+    return made.agg(F.coalesce(F.max("h"), F.lit(hashlib.sha256().hexdigest())).alias("dataset_hash"), F.coalesce(F.max("n"), F.lit(0)).alias("files"))
+
+
 def evidence_histogram(symbols: DataFrame) -> DataFrame:
     """Symbols by evidence level; one row."""
     each = symbols.groupBy("evidence_level").agg(F.count("*").alias("n"))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..functions.lineage import cut
 from ..operators import lifecycle as L
 from ..operators import listing as G
 from ..operators import series as S
@@ -531,17 +532,35 @@ def _(spark, d):
     return U.dataset_hash(files(spark, d))
 
 
+@query("dataset_hash_flat", f"with {SQL_FILES} select sha256(string_agg(path || ':' || sha256 || chr(10), '' order by path)) as dataset_hash, count(*) as files from files")
+def _(spark, d):
+    return U.flat_hash(files(spark, d))
+
+
+def daily(spark, d) -> DataFrame:
+    """The files' rows as daily series: a supplier's shipments."""
+    return table(spark, d, "lineitem").select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string"), F.lit("USDT")).alias("symbol"), F.lit("1d").alias("interval"), X.epoch_ms(F.col("l_shipdate")).alias("t"))
+
+
 def manifest(spark, d):
-    """Files against the universe: reconciled symbols, the universe's own findings and the range, with what the universe hands on."""
-    f, u, s = files(spark, d), universe(spark, d), support(spark, d)
+    """Files against the universe: reconciled symbols, the universe's own findings, the range and the coverage of the series, with what the universe hands on. Each input is taken once."""
+    f, b = cut(files(spark, d)), cut(base(spark, d))
+    s = cut(L.evidence_support(b, sources(spark, d)))
+    u = cut(U.build_universe(members(spark, d), b, *WINDOW))
     span = U.range_findings(f.agg(F.min("lo").alias("start_ms"), F.max("hi").alias("end_ms")), *WINDOW)
+    thin = U.coverage_findings(S.gap_audit(daily(spark, d), ["symbol", "interval"], "t", 86_400_000))
     risk = U.survivorship_risk(u, "LOCAL_DATA_DISCOVERED_SYMBOLS", "LOW", s)
-    carried = U.provenance(u, base(spark, d), s, risk, "LOCAL_DATA_DISCOVERED_SYMBOLS")
-    return U.dataset_manifest(f, U.union_warnings(rec(spark, d), ufind(spark, d), span), carried)
+    carried = U.provenance(u, b, s, risk, "LOCAL_DATA_DISCOVERED_SYMBOLS")
+    own = U.universe_findings(u, "LOCAL_DATA_DISCOVERED_SYMBOLS", *WINDOW, s, coverage="PARTIAL", risk="LOW")
+    return U.dataset_manifest(f, U.union_warnings(U.symbol_reconcile(seen(spark, d), u), own, span, thin), carried)
 
 
 SQL_MANIFEST = f"""{SQL_DHASH}, {SQL_UFIND}, {SQL_REC.replace(SQL_UNIVERSE + ", ", "")}, s as (select count(distinct symbol) as symbols, count(*) as files, cast(sum(row_count) as bigint) as rows, min(lo) as start_ms, max(hi) as end_ms from files),
-found as (select target, code, severity from rec union select target, code, severity from ufind union select '', 'DATASET_RANGE_OUTSIDE_UNIVERSE_WINDOW', 'FAIL' from s where start_ms < {WINDOW[0]} or end_ms > {WINDOW[1]}),
+dd as (select 'S' || l_suppkey || 'USDT' as symbol, epoch_ms(l_shipdate) as t, lag(epoch_ms(l_shipdate)) over (partition by l_suppkey order by l_shipdate) as p from lineitem),
+da as (select symbol, count(*) - count(*) filter (t = p) as there, count(*) filter (t = p) as dups, count(*) filter (t - p > 86400000) as gaps, (max(t) - min(t)) // 86400000 + 1 as expected from dd group by 1),
+dw as (select symbol, unnest(list_filter([case when gaps > 0 then 'DATASET_GAPS_DETECTED' end, case when dups > 0 then 'DATASET_DUPLICATE_TIMESTAMPS' end, case when least(there, expected) * 100.0 / expected < 99 then 'DATASET_COVERAGE_BELOW_THRESHOLD' end], lambda x: x is not null)) as code,
+ case when least(there, expected) * 100.0 / expected < 99 then 'FAIL' else 'WARN' end as severity from da),
+found as (select target, code, severity from rec union select target, code, severity from ufind union select symbol, code, severity from dw union select '', 'DATASET_RANGE_OUTSIDE_UNIVERSE_WINDOW', 'FAIL' from s where start_ms < {WINDOW[0]} or end_ms > {WINDOW[1]}),
 ul as (select concat_ws('|', symbol, coalesce(cast(listed_ms as varchar), 'UNKNOWN'), coalesce(cast(delisted_ms as varchar), 'UNKNOWN'), cast(active_during_window as varchar)) as line from universe), ud as (select sha256(line)[1:2] as d, sha256(string_agg(line, chr(10) order by line)) as h from ul group by 1),
 ll as (select concat_ws('|', symbol, status, coalesce(cast(listed_ms as varchar), 'UNKNOWN'), coalesce(cast(delisted_ms as varchar), 'UNKNOWN'), evidence_level) as line from base), ld as (select sha256(line)[1:2] as d, sha256(string_agg(line, chr(10) order by line)) as h from ll group by 1),
 lev as (select evidence_level || '=' || count(*) as x from base group by evidence_level),

@@ -10,6 +10,8 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -215,14 +217,46 @@ def scan_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     return files.select("path", X.lifecycle_symbol(p).alias("symbol"), part("year", (1, 4)).alias("year"), part("month", (6, 2)).alias("month"), "length")
 
 
+def read_footers(spark: SparkSession, root: str, t: str = "open_time_ms") -> DataFrame:
+    """(path, row_count, lo, hi) of the Parquet files below a root, from their footers alone: no column is read.
+
+    The range of t comes from the statistics of the row groups; a file with a
+    group that has none is read for that column. A file without rows has a null
+    range. In stores whose files tasks can't open the column is read by Spark.
+    """
+    if not STREAMED.match(root):
+        rows = spark.read.schema(f"{t} bigint").option("recursiveFileLookup", "true").parquet(root).select(F.col("_metadata.file_path").alias("path"), t)
+        stats = rows.groupBy("path").agg(F.count("*").alias("row_count"), F.min(t).alias("lo"), F.max(t).alias("hi"))
+        return read_files(spark, root).select("path").join(stats, "path", "left").withColumn("row_count", F.coalesce("row_count", F.lit(0)))
+
+    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            counts, ranges = [], []
+            for path in b.column("path").to_pylist():
+                with opened(path) as raw, pq.ParquetFile(raw) as file:
+                    meta = file.metadata
+                    groups = [meta.row_group(k) for k in range(meta.num_row_groups)]
+                    at = {groups[0].column(k).path_in_schema: k for k in range(groups[0].num_columns)} if groups else {}
+                    stats = [g.column(at[t]).statistics for g in groups if g.num_rows] if t in at else []
+                    if all(s is not None and s.has_min_max for s in stats):
+                        found = [x for s in stats for x in (s.min, s.max)]
+                    else:
+                        found = [x.as_py() for x in pc.min_max(file.read([t]).column(0)).values()]
+                    found = [x for x in found if x is not None]
+                    counts.append(meta.num_rows)
+                    ranges.append((min(found), max(found)) if found else (None, None))
+            yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(counts, pa.int64()), *[pa.array([r[k] for r in ranges], pa.int64()) for k in (0, 1)]], names=["path", "row_count", "lo", "hi"])
+
+    return read_files(spark, root).select("path").mapInArrow(footers, "path string, row_count bigint, lo bigint, hi bigint")
+
+
 def scan_dataset(spark: SparkSession, root: str, t: str = "open_time_ms") -> DataFrame:
     """J5's scan: (path, symbol, interval, market, sha256, row_count, lo, hi) of the Parquet files below a root.
 
-    Bytes are read for the hashes; of the rows only the time column, for counts and ranges. A file without rows has none.
+    Bytes are read for the hashes; counts and ranges come from the footers. A file without rows has no range.
     """
     hashes = read_hashes(spark, root, "*.parquet").select(_below(F.col("path"), root).alias("path"), "sha256")
-    rows = spark.read.schema(f"{t} bigint").option("recursiveFileLookup", "true").parquet(root).select(_below(F.col("_metadata.file_path"), root).alias("path"), t)
-    stats = rows.groupBy("path").agg(F.count("*").alias("row_count"), F.min(t).alias("lo"), F.max(t).alias("hi"))
+    stats = read_footers(spark, root, t).withColumn("path", _below(F.col("path"), root))
     p = F.col("path")
     return hashes.join(stats, "path", "left").select("path", X.lifecycle_symbol(p).alias("symbol"), X.folder_interval(p).alias("interval"), X.path_market(p).alias("market"), "sha256", F.coalesce("row_count", F.lit(0)).alias("row_count"), "lo", "hi")
 

@@ -25,6 +25,15 @@ def write_table(df: DataFrame, path: str, keys: list[str] | None = None, order:
     (out.partitionBy(*keys) if keys else out).parquet(path)
 
 
+def write_ordered(df: DataFrame, path: str, order: list[str], kind: str = "parquet", file_rows: int = 5_000_000) -> None:
+    """Rows in one order over all files: read by name, one file after the other, they are sorted.
+
+    A range-partitioned sort, in which files follow each other and no task holds all; equal rows are in any order among themselves.
+    """
+    out = df.sort(*order).write.mode("overwrite").option("maxRecordsPerFile", file_rows)
+    (out.option("compression", "zstd") if kind == "parquet" else out).format(kind).save(path)
+
+
 def write_csv(df: DataFrame, path: str, columns: list[str]) -> None:
     """B2: a fixed header and column order."""
     df.select(*columns).write.mode("overwrite").option("header", "true").csv(path)
