@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, documents, weighed
+from .common import KeyBits, cut, documents, only
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Bytes of text hashed at a time, and fingerprints a task gathers before it counts them and before it hands them on.
@@ -376,7 +376,8 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     rows = rows.withColumn("k1", F.xxhash64("text", "lang"))
     counts, totals = phrase_counts(rows, least, longest, slots)
     wanted = counts.filter(F.col("at").bitwiseAND(F.lit(7)) > 1).groupBy("k1").agg(F.collect_list(F.struct("print", "other", "n", "at")).alias("wanted"))
-    read = rows.join(weighed(cut(wanted), "wanted", 40), "k1").select("text", "lang", "wanted").mapInArrow(_read, _PHRASES)
+    wanted = cut(wanted)
+    read = only(rows, KeyBits.of(wanted, "k1"), "k1").join(wanted, "k1").select("text", "lang", "wanted").mapInArrow(_read, _PHRASES)
     phrases = cut(read.dropDuplicates(["print", "other"]))
     inside = phrases.filter("words > 2").select("a", F.explode(F.array(F.struct(F.col("cuts")[0]["r1"].alias("print"), F.col("cuts")[0]["r2"].alias("other")), F.struct(F.element_at("cuts", -1)["l1"].alias("print"), F.element_at("cuts", -1)["l2"].alias("other")))).alias("part"))
     longer = inside.groupBy("part.print", "part.other").agg(F.max("a").alias("longer"))

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,10 +47,40 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(folder)
 
 
-def weighed(df: DataFrame, lists: str, item_bytes: int) -> DataFrame:
-    """df, marked to be sent to every executor if its rows and what their column lists holds were counted and are small; else it is joined by a shuffle."""
-    rows, items = df.agg(F.count("*"), F.coalesce(F.sum(F.size(lists)), F.lit(0))).first()
-    return F.broadcast(df) if 64 * rows + item_bytes * items <= MAX_BROADCAST_BYTES else df
+#: Bits of the largest bitmap of keys (16 MiB), and bits for each key.
+KEY_BITS, BITS_EACH = 1 << 27, 16
+
+
+class KeyBits:
+    """A bitmap of 64-bit hashes: all that were put in are found, and some others, more of them when it is full."""
+
+    def __init__(self, words: np.ndarray):
+        self.words, self.mask = words, len(words) * 64 - 1
+
+    @classmethod
+    def of(cls, keys: DataFrame, name: str) -> KeyBits:
+        """Of the hashes in a column. Its size is bounded, whatever the number of keys; it is gathered as its 64-bit words."""
+        bits = 1 << min(KEY_BITS.bit_length() - 1, max(12, (keys.count() * BITS_EACH).bit_length()))
+        slot = F.col(name).bitwiseAND(F.lit(bits - 1))
+        got = keys.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.expr(f"bit_or(shiftleft(1L, cast(`{name}` & 63 as int)))").alias("bits")).toArrow()
+        words = np.zeros(bits >> 6, np.int64)
+        words[got.column("word").to_numpy()] = got.column("bits").to_numpy()
+        return cls(words)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        at = keys & self.mask
+        return (self.words[at >> 6] >> (at & 63)) & 1 == 1
+
+
+def only(df: DataFrame, keys: KeyBits, name: str, there: bool = True) -> DataFrame:
+    """The rows of df whose hash the bitmap has (or has not), so that the others need not travel to a join that has nothing for them."""
+    sent = df.sparkSession.sparkContext.broadcast(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(sent.value.has(b.column(name).to_numpy(zero_copy_only=False)) == there))
+
+    return df.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in df.dtypes))
 
 
 def same(a: Column, b: Column) -> Column:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, documents, stored, unused, weighed
+from .common import KeyBits, cut, documents, only, stored, unused
 
 LENGTH = 400
 #: Ranges that the windows over one anchor are taken in.
@@ -285,7 +285,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, bucket: int = BUCKET)
     whole = marked.join(each.filter("n > 1").select("gram", "around"), ["gram", "around"]).select("k1", "k2at").distinct()
     spans = whole.select("k1", k2, (at - far).alias("start"), (at - near + length).alias("end"))
     wanted = each.filter("kinds > 1 and single > 0").groupBy("k1", k2).agg(F.collect_list(F.struct("gram", "n", "k2at")).alias("wanted"))
-    ranges = cut(long_ones.join(weighed(cut(wanted), "wanted", 32), ["k1", "k2"]).select("text", "k1", "k2", "wanted").mapInArrow(_cores(length), _RANGES))
+    wanted = cut(wanted)
+    ranges = cut(only(long_ones, KeyBits.of(wanted, "k1"), "k1").join(wanted, ["k1", "k2"]).select("text", "k1", "k2", "wanted").mapInArrow(_cores(length), _RANGES))
     key = ["gram", "part", "core"]
     kinds = ranges.groupBy(*key, "before", "after").agg(F.sum("n").alias("n"), F.min("k1").alias("k1"), F.min_by("k2at", "k1").alias("k2at"))
     buckets = kinds.groupBy(key).agg(F.count("*").alias("kinds"), F.count_if(F.col("n") == 1).alias("single"))
@@ -344,7 +345,7 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET) ->
     keyed = docs.withColumns({k1: F.xxhash64("text"), k2: F.hash("text").bitwiseAND(F.lit(0x7FFF))})
     spans = repeated_spans(keyed.select("text", F.col(k1).alias("k1"), F.col(k2).alias("k2")), length, bucket)
     spans = cut(spans.groupBy(F.col("k1").alias(k1), F.col("k2").alias(k2)).agg(F.collect_set(F.struct("start", "end")).alias(got)))
-    joined = keyed.join(weighed(spans, got, 24), [k1, k2], "left").select(*[F.col(f"`{c}`") for c in names], got)
+    kinds = ", ".join([*[f"`{c}` {t}" for c, t in docs.dtypes], "n_bytes bigint", _KEPT])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -360,8 +361,13 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET) ->
             cols = [b.column(c) for c in names] + [pa.array(x, pa.int64()) for x in (size, removed, runs)] + [pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=[*names, "n_bytes", "n_removed", "n_spans", "kept"])
 
-    kinds = [f"`{c}` {t}" for c, t in docs.dtypes]
-    return joined.mapInArrow(run, ", ".join([*kinds, "n_bytes bigint", _KEPT]))
+    # Only texts that may have lost something meet what they lost.
+    bits = KeyBits.of(spans, k1)
+    cols = [F.col(f"`{c}`") for c in names]
+    touched = only(keyed, bits, k1).join(spans, [k1, k2], "left").select(*cols, got).mapInArrow(run, kinds)
+    rest = only(keyed, bits, k1, there=False).select(*cols, F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"))
+    none = F.lit(0).cast("bigint")
+    return touched.unionByName(rest.withColumns({"n_removed": none, "n_spans": none, "kept": F.encode(F.coalesce("text", F.lit("")), "utf-8")}))
 
 
 def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
