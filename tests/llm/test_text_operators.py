@@ -18,7 +18,7 @@ from tidemark.llm.common import components
 def tight(request, monkeypatch):
     """Also with crowds, blocks, places and broadcasts so small that every way of splitting them is gone."""
     if request.param:
-        for module, name, value in ((common, "BLOCK", 16), (minhash, "PLACE", 900), (minhash, "HOT", 9), (minhash, "MAX_BROADCAST_IDS", 0)):
+        for module, name, value in ((common, "BLOCK", 16), (minhash, "PLACE", 900), (minhash, "HOT", 9), (minhash, "MAX_BROADCAST_BYTES", 0)):
             monkeypatch.setattr(module, name, value)
 
 SF = "/root/testdata/sf0.001"

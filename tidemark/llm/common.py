@@ -115,10 +115,11 @@ def _mark(edges: DataFrame) -> tuple[int, int]:
     return tuple(edges.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("v", "m")), F.lit(0))).first())
 
 
-def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges(a, b) as (id, component), component being the smallest id reachable.
 
-    Large-star and small-star rounds over the edges until nothing changes. Every
+    Large-star and small-star rounds over the edges until nothing changes, which
+    ends, as each change makes a number smaller. Every
     round is a distributed join and aggregation; only a changed-or-not flag
     reaches the driver. The minimum of a node's neighbours is an aggregate, so a
     node of very many edges is not gathered in one task.
@@ -127,7 +128,7 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     n, mark = _mark(now)
     # Edges are few bytes: as many partitions as they need, whatever the session's number is.
     parts = max(1, -(-n // EDGES))
-    for _ in range(max_rounds):
+    while True:
         now = now.coalesce(parts)
         both = now.unionByName(now.select(F.col("m").alias("v"), F.col("v").alias("m")))
         low = both.groupBy("v").agg(F.min("m").alias("low")).select("v", F.least("v", "low").alias("low")).coalesce(parts)
@@ -139,8 +140,6 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         before, (n, mark) = (n, mark), _mark(now)
         if before == (n, mark):
             break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = now.select(F.col("m").alias("id")).distinct()
     return now.groupBy(F.col("v").alias("id")).agg(F.min("m").alias("component")).unionByName(
         roots.join(now.select(F.col("v").alias("id")), "id", "left_anti").select("id", F.col("id").alias("component"))

@@ -285,7 +285,11 @@ def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_C
 
 
 def drop_lines(docs: DataFrame) -> DataFrame:
-    """docs with their texts as line_dedup leaves them, and n_chars, where there is one, counted again."""
+    """docs with their texts as line_dedup leaves them, and n_chars, where there is one, counted again.
+
+    A null text becomes empty; rows that repeat a doc_id are one document where
+    documents are counted, and each loses its lines; no rows give none.
+    """
     rows = line_dedup(docs).withColumn("text", F.col("kept_text"))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -27,14 +27,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, cut, documents, lowered_words_of, meet, open_nodes, unused
+from .common import MAX_BROADCAST_BYTES, components, cut, documents, lowered_words_of, meet, open_nodes, unused
 
 WORDS, PERCENT = 5, 75
 TREES, TOKENS, SKETCH = 12, 32, 128
 #: Members outside its largest component up to which a node is compared exhaustively, and how deep larger ones branch before they are compared all the same.
 SMALL_NODE, DEPTH, BRANCHES = 512, 10, 2
-#: Documents in pairs, with the places they are wanted at, that are sent to every executor; with more, texts are shuffled to them.
-MAX_BROADCAST_IDS = 1_000_000
 #: Shingles of the hubs that one place holds, about, and pairs of one hub from which on it has several places.
 PLACE, HOT = 1_000_000, 50_000
 #: Further centres of a node that the first left in many components.
@@ -198,7 +196,9 @@ def _confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, words: int, per
     hubs = dealt.select(F.col("hub").alias("id"), "place", "salts").distinct().select("id", "place", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("array<bigint>").alias("hubs"))
     wanted = spokes.unionByName(hubs).groupBy("id").agg(F.collect_list(F.struct("place", "salt", "hubs")).alias("places"))
     wanted = cut(wanted.join(reps.select("id", "doc", "s1"), "id"))
-    few = wanted.agg(F.coalesce(F.sum(F.size("places")), F.lit(0))).first()[0] <= MAX_BROADCAST_IDS
+    # What would be sent, places and the hubs listed in them, is weighed.
+    size = F.aggregate("places", F.lit(64), lambda sum, x: sum + 48 + 8 * F.coalesce(F.size(x["hubs"]), F.lit(0)))
+    few = wanted.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] <= MAX_BROADCAST_BYTES
     texts = docs.join(F.broadcast(wanted) if few else wanted, docs["doc_id"] == wanted["doc"]).select("id", "s1", "places", "text")
     place = "place bigint, salt int, hubs array<bigint>"
     sets = texts.mapInArrow(_sets(words), f"id bigint, places array<struct<{place.replace(' ', ': ').replace(',:', ',')}>>, shingles array<bigint>")

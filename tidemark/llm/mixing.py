@@ -90,7 +90,12 @@ def mix(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), weights: tuple[int
 
 
 def repeat_to_targets(docs: DataFrame) -> DataFrame:
-    """The mixed corpus: the rows of docs as often as mix takes them. Rows that repeat doc_id and text share what mix takes of them all."""
+    """The mixed corpus: the rows of docs as often as mix takes them.
+
+    Rows that repeat doc_id and text share what mix takes of them all, a null
+    doc_id or text being a value like any other. Texts without words have no
+    size and are taken as mix says; no rows give none.
+    """
     h, key, k, n, m = (unused(c, docs) for c in ("text_hash", "planned_id", "planned_hash", "rows", "taken"))
     rows = docs.withColumn(h, F.xxhash64("text"))
     plan = mix(rows, keep=("doc_id", h)).groupBy(F.col("doc_id").alias(key), F.col(h).alias(k)).agg(F.count("*").alias(n), F.sum("copies").alias(m))

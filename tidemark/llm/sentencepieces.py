@@ -253,7 +253,7 @@ def decode(tokens: DataFrame, path: str = MODEL) -> DataFrame:
 
 
 def tokenized(docs: DataFrame, path: str = MODEL) -> DataFrame:
-    """The columns of docs but its text, with token_ids and n_tokens."""
+    """The columns of docs but its text, with token_ids and n_tokens; null texts have none, rows that repeat are encoded each, no rows give none."""
     return encode(docs, path).drop("text")
 
 

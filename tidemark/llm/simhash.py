@@ -144,17 +144,6 @@ def fingerprint_edits(docs: DataFrame, run: int = RUN) -> DataFrame:
     return led.select("doc_id", "text", "fingerprint", head, "after").mapInArrow(_edited, schema)
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, f1, f2): each row's fingerprint as two whole numbers; other columns are ignored, null texts are empty."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            both = np.frombuffer(b"".join(fingerprint(t) for t in b.column(1).to_pylist()), ">u8").astype(np.uint64).view(np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(both[:, 0]), pa.array(both[:, 1])], ["doc_id", "f1", "f2"])
-
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, f1 bigint, f2 bigint")
-
-
 def _block(k: int, blocks: int) -> Column:
     """Block k of a fingerprint: bits k * width and on of its 128, as a number; blocks never straddle the two halves."""
     half = blocks // 2
@@ -177,7 +166,10 @@ def near_classes(prints: DataFrame, radius: int = RADIUS, blocks: tuple[int, ...
     are looked up in, so that no link is lost. Equal fingerprints are one.
     Left out are null doc_ids and fingerprints of texts without words, which are
     all zero and near nothing. blocks are the numbers of blocks of the tables to
-    try one after the other: even, dividing 128, over the radius, at most 64 bits wide.
+    try one after the other: even, dividing 128, over the radius, at most 64 bits
+    wide. Members of a key of the last table that lie outside its largest class
+    meet all of the key's: that is quadratic where thousands of different texts
+    share 80 bits, and the price of losing no link.
     """
     if any(not 0 < radius < n or n % 2 or 64 % (n // 2) for n in blocks):
         raise ValueError("blocks must be even, divide 128 and exceed the radius")

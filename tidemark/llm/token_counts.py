@@ -201,7 +201,7 @@ def _known(path: str, sent) -> Counts:
 
 
 def token_trees(docs: DataFrame, path: str = RANKS) -> DataFrame:
-    """docs(text, ...) with n_tokens and tree. Null texts are empty; columns of those names are replaced."""
+    """docs(text, ...) with n_tokens and tree. Null texts are empty; columns of those names are replaced; rows that repeat have a tree each; no rows give none."""
     docs = docs.drop("n_tokens", "tree")
     sent = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
 
