@@ -49,7 +49,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; what a stage keeps is a Parquet table in the shared folder."""
+    """All stages over the documents; what a stage keeps is a Parquet table in the shared folder.
+
+    Nulls, empty texts, repeated rows and empty tables go through each stage as
+    its function says; columns beyond those of documents are carried to the last.
+    """
     docs, folder = documents(spark, sf_dir), f"{shared_dir(spark)}/pipeline-{uuid.uuid4()}"
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
