@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import clustering, collocations, suffix_dedup
+from tidemark.llm import clustering, collocations, common, suffix_dedup
 
 
 def test_suffix_array_equals_sorting():
@@ -52,8 +52,10 @@ def by_force(texts, length):
 
 @pytest.mark.parametrize("bucket", [1000, 1])
 @pytest.mark.parametrize(("seed", "length", "letters"), [(1, 16, "ab"), (2, 21, "abc "), (3, 40, "aé"), (4, 33, "xyz")])
-def test_repeats_equal_brute_force(spark, seed, length, letters, bucket):
-    """Passages between texts and inside them, periodic texts, copies, short, empty and null ones; a bucket of 1 counts all windows one by one."""
+def test_repeats_equal_brute_force(spark, monkeypatch, seed, length, letters, bucket):
+    """Passages between texts and inside them, periodic texts, copies, short, empty and null ones; a bucket of 1 counts all windows one by one, and its bitmaps are full."""
+    if bucket == 1:
+        monkeypatch.setattr(common, "KEY_BITS", 64)
     draw = random.Random(seed)
     some = lambda n: "".join(draw.choice(letters) for _ in range(draw.randint(0, n)))
     base = [some(120) for _ in range(20)]
@@ -74,6 +76,15 @@ def test_repeats_of_long_texts_and_nothing(spark):
     assert suffix_dedup.drop_repeats(docs.limit(0)).collect() == []
 
 
+def test_bitmaps_hold_all_their_keys(spark):
+    keys = spark.range(-3000, 3000).select(F.xxhash64("id").alias("k"))
+    bits = common.KeyBits.of(keys, "k")
+    assert common.only(keys, bits, "k").count() == 6000 and common.only(keys, bits, "k", there=False).count() == 0
+    others = spark.range(10_000, 60_000).select(F.xxhash64("id").alias("k"))
+    assert common.only(others, bits, "k").count() < 5000
+    assert common.only(others, common.KeyBits.of(keys.limit(0), "k"), "k").count() == 0
+
+
 def phrases_by_force(rows, least, longest, top):
     totals, found = Counter(), Counter()
     for text, lang in rows:

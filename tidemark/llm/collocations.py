@@ -11,8 +11,9 @@ at the slots that the fingerprints name. A phrase is at most as frequent as its
 slot and as the phrases inside it, so the second pass gathers only those whose
 slots all reach the threshold: a slot that others fill costs work and changes no
 count. (They prune while there are fewer than about `least` words a slot; more
-slots take memory in every worker, `longest` bytes each.) The shuffle adds up,
-per fingerprint, the number and one occurrence as a pointer (text, byte). Only
+slots take memory in every worker, `longest` bytes each.) The shuffle brings
+tasks' counts together by parts of the fingerprints' space, as blocks, and adds
+up, per fingerprint, the number and one occurrence as a pointer (text, byte). Only
 phrases found frequent are read from the texts again; what stands at a pointer
 must have the fingerprint that it was counted under.
 """
@@ -169,7 +170,7 @@ def _buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, edges - edges[0]
 
 
-_COUNTS = "print bigint, other bigint, n bigint, k1 bigint, at bigint"
+_COUNTS = "print bigint, other bigint, n bigint, k1 bigint, at bigint, lang string"
 
 
 def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, np.ndarray, np.ndarray]]:
@@ -185,33 +186,30 @@ def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, np.ndarray
             yield Words(part, begins, np.array([known[x] for x in languages], np.uint64), languages), k1[texts], before - begins
 
 
-_TABLES = "n int, segment int, lang string, total bigint, counts binary"
+_TABLES = "n int, segment int, counts binary"
 
 
 def _sketch(longest: int, slots: int):
-    """Counts of slots for each length, full at the largest, in compressed segments; and words by language."""
+    """Counts of slots for each length, full at the largest, in compressed segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = np.zeros((longest, slots), np.uint8)
-        totals: Counter[str] = Counter()
         for words, _, _ in _each(batches):
-            for k, c in enumerate(np.bincount(words.text, minlength=len(words.names)).tolist()):
-                totals[words.names[k]] += c
             for n in range(1, longest + 1):
                 at = (words.prints(n, words.places(n), 0) & np.uint64(slots - 1)).astype(np.uint32)
                 slot, times = np.unique(at, return_counts=True)
                 tables[n - 1, slot] = np.minimum(tables[n - 1, slot] + times, FULL)
         width = min(slots, SEGMENT)
         squeeze = zstandard.ZstdCompressor(1).compress
-        rows = [(0, 0, lang, c, None) for lang, c in totals.items()]
+        rows = []
         for n in range(longest):
             for k in range(slots // width):
                 part = tables[n, k * width : (k + 1) * width]
                 if part.any():
-                    rows.append((n + 1, k, None, None, squeeze(part.tobytes())))
+                    rows.append((n + 1, k, squeeze(part.tobytes())))
         for k in range(0, len(rows), 1000):
             cols = zip(*rows[k : k + 1000], strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.binary()), strict=True)], names=["n", "segment", "lang", "total", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["n", "segment", "counts"])
 
     return run
 
@@ -235,45 +233,58 @@ def _fill(least: int):
     return run
 
 
-def frequent_slots(docs: DataFrame, least: int, longest: int, slots: int) -> tuple[np.ndarray, DataFrame]:
-    """Bitmaps (longest, slots / 8) of the slots that reach `least`, and totals(lang, n): the words of docs(text, lang, k1) by language.
-
-    The bitmaps have slots bits a length, whatever the data: at most 10 MiB are gathered and sent.
-    """
+def frequent_slots(docs: DataFrame, least: int, longest: int, slots: int) -> np.ndarray:
+    """Bitmaps (longest, slots / 8) of the slots that reach `least` over docs(text, lang, k1): slots bits a length, whatever the data, at most 10 MiB."""
     if least > FULL:
         raise ValueError(f"least is at most {FULL}")
-    rows = cut(docs.mapInArrow(_sketch(longest, slots), _TABLES))
     width = min(slots, SEGMENT)
     out = np.zeros((longest, slots // 8), np.uint8)
-    found = rows.filter("n > 0").select("n", "segment", "counts").repartition("n", "segment").mapInArrow(_fill(least), "n int, segment int, bits binary")
+    found = docs.mapInArrow(_sketch(longest, slots), _TABLES).repartition("n", "segment").mapInArrow(_fill(least), "n int, segment int, bits binary")
     for r in found.toLocalIterator():
         out[r.n - 1, r.segment * width // 8 : (r.segment + 1) * width // 8] = np.frombuffer(r.bits, np.uint8)
-    return out, rows.filter("n = 0").groupBy("lang").agg(F.sum("total").alias("n"))
+    return out
+
+
+#: Parts of the fingerprints' space; a task hands on a block of counts for each.
+SPACES = 1024
+_BLOCKS = "space int, lang string, total bigint, block binary"
+Counts = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _merge(parts: list[Counts]) -> Counts:
+    """Counts (print, other, n, k1, at) added up by fingerprint, in their order; the occurrence that stays is as good as drawn, so that no text is pointed at by most phrases."""
+    a, b, n, k1, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((at, mixed(k1.view(np.uint64) ^ a), b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    first = np.flatnonzero(new)
+    return a[first], b[first], np.add.reduceat(n[order], first) if len(first) else n, k1[order][first], at[order][first]
+
+
+_NAMES = ["space", "lang", "total", "block"]
 
 
 def _count(longest: int, sent):
-    """Counts the n-grams whose slots, and those of the n-grams inside them, are all marked in the bitmaps sent."""
+    """Counts the n-grams whose slots, and those of the n-grams inside them, are all marked in the bitmaps sent, as blocks; and words by language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = sent.value
         last = np.uint64(marks.shape[1] * 8 - 1)
-        held: list[tuple[np.ndarray, ...]] = []
+        squeeze = zstandard.ZstdCompressor(1).compress
+        held: list[Counts] = []
+        totals: Counter[str] = Counter()
         size = counted = 0
 
-        def add_up() -> tuple[np.ndarray, ...]:
-            cols = [np.concatenate(x) for x in zip(*held, strict=True)]
-            order = np.lexsort((cols[1], cols[0]))
-            a, b = cols[0][order], cols[1][order]
-            new = np.ones(len(a), bool)
-            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            first = np.flatnonzero(new)
-            n = np.add.reduceat(cols[2][order], first) if len(first) else cols[2]
-            return a[first], b[first], n, cols[3][order][first], cols[4][order][first]
-
-        def batch(cols: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in cols], names=["print", "other", "n", "k1", "at"])
+        def blocks(cols: Counts) -> pa.RecordBatch:
+            edges = np.searchsorted(cols[0], np.arange(SPACES, dtype=np.uint64) * np.uint64((1 << 64) // SPACES)).tolist() + [len(cols[0])]
+            rows = [(k, squeeze(np.concatenate([x[i:j].view(np.int64) for x in cols]).tobytes())) for k, (i, j) in enumerate(zip(edges, edges[1:], strict=False)) if i < j]
+            none = pa.nulls(len(rows))
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), none.cast(pa.string()), none.cast(pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=_NAMES)
 
         for words, k1, shift in _each(batches):
+            for k, c in enumerate(np.bincount(words.text, minlength=len(words.names)).tolist()):
+                totals[words.names[k]] += c
             ok = np.ones(len(words.starts) + 1, bool)
             for n in range(1, longest + 1):
                 at = words.places(n)
@@ -288,13 +299,45 @@ def _count(longest: int, sent):
                 held.append((prints, words.prints(n, at, 1), np.ones(len(at), np.int64), k1[text], (words.starts[at] + shift[text]) << 3 | n))
                 size += len(at)
             if size - counted > GATHERED:
-                held = [add_up()]
+                held = [_merge(held)]
                 size = counted = len(held[0][0])
                 if counted > HANDED:
-                    yield batch(held.pop())
+                    yield blocks(held.pop())
                     size = counted = 0
         if held:
-            yield batch(add_up())
+            yield blocks(_merge(held))
+        langs = [*totals]
+        yield pa.RecordBatch.from_arrays([pa.array([-1] * len(langs), pa.int32()), pa.array(langs, pa.string()), pa.array([totals[x] for x in langs], pa.int64()), pa.nulls(len(langs)).cast(pa.binary())], names=_NAMES)
+
+    return run
+
+
+def _sum(least: int):
+    """The counts of blocks that come together by space, and what of them reaches `least`; and the totals by language, which come with them."""
+    names = ["print", "other", "n", "k1", "at", "lang"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spaces: dict[int, list[Counts]] = {}
+        totals: Counter[str] = Counter()
+        for b in batches:
+            for k, lang, total, block in zip(b.column("space").to_pylist(), b.column("lang").to_pylist(), b.column("total").to_pylist(), b.column("block"), strict=True):
+                if k < 0:
+                    totals[lang] += total
+                    continue
+                got = np.frombuffer(zstandard.ZstdDecompressor().decompress(block.as_py()), np.int64).reshape(5, -1)
+                held = spaces.setdefault(k, [])
+                held.append((got[0].view(np.uint64), got[1].view(np.uint64), *got[2:]))
+                if len(held) == 64:
+                    spaces[k] = [_merge(held)]
+        for k in [*spaces]:
+            cols = _merge(spaces.pop(k))
+            keep = cols[2] >= least
+            if keep.any():
+                some = [pa.array(x[keep].view(np.int64)) for x in cols]
+                yield pa.RecordBatch.from_arrays([*some, pa.nulls(len(some[0])).cast(pa.string())], names=names)
+        langs = [*totals]
+        none = pa.nulls(len(langs)).cast(pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, pa.array([totals[x] for x in langs], pa.int64()), none, none, pa.array(langs, pa.string())], names=names)
 
     return run
 
@@ -356,12 +399,10 @@ def _with_parts(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
     """counts(print, other, n, k1, at) of the words and phrases that docs(text, lang, k1) hold `least` times or more, and totals(lang, n) of all words."""
-    marks, totals = frequent_slots(docs, least, longest, slots)
-    counted = docs.mapInArrow(_count(longest, docs.sparkSession.sparkContext.broadcast(marks)), _COUNTS)
-    # Which occurrence is kept is as good as drawn, so that no text is pointed at by most phrases.
-    drawn = F.xxhash64("k1", "print")
-    found = counted.groupBy("print", "other").agg(F.sum("n").alias("n"), F.min_by("k1", drawn).alias("k1"), F.min_by("at", drawn).alias("at"))
-    return cut(found.filter(F.col("n") >= least)), totals
+    marks = docs.sparkSession.sparkContext.broadcast(frequent_slots(docs, least, longest, slots))
+    blocks = docs.mapInArrow(_count(longest, marks), _BLOCKS).repartition("space")
+    found = cut(blocks.mapInArrow(_sum(least), _COUNTS))
+    return found.filter("lang is null").drop("lang"), found.filter("lang is not null").groupBy("lang").agg(F.sum("n").alias("n"))
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, slots: int = SLOTS) -> DataFrame:
