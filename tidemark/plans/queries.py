@@ -74,6 +74,7 @@ def sources(spark, d) -> DataFrame:
 
 
 def members(spark, d) -> DataFrame:
+    """A universe is a chosen set of symbols, here the customers of one market segment; reconciliation holds it against all that trade."""
     c = table(spark, d, "customer").filter("c_mktsegment = 'BUILDING'")
     return c.select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("symbol"), (F.lit(WINDOW[0]) + F.col("c_custkey") * 86_400_000).alias("first_seen"))
 
