@@ -39,6 +39,8 @@ LENGTH = 400
 RANGES = 8
 #: Different ranges of one bucket that a block may hold, and those of a block together, about.
 BUCKET, BLOCK = 1_000, 2_000
+#: Tasks that blocks are dealt to, at most.
+MOST_TASKS = 20_000
 #: Windows whose anchors are found at a time.
 STRETCH = 1 << 20
 _LOW = np.uint64((1 << 24) - 1)
@@ -297,8 +299,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, bucket: int = BUCKET)
     mixed = kinds.filter("kinds > 1 and single > 0")
     few = mixed.filter(F.col("kinds") <= bucket)
     blocks = max(1, -(-few.count() // BLOCK))
-    # As many partitions as blocks: they are small in bytes and long in work.
-    in_blocks = few.withColumn("block", F.pmod(F.xxhash64(*key), F.lit(blocks))).repartition(blocks, "block").groupBy("block").applyInArrow(_sorted_blocks(length), _SPANS)
+    # As many tasks as blocks, up to a bound: they are small in bytes and long in work.
+    in_blocks = few.withColumn("block", F.pmod(F.xxhash64(*key), F.lit(blocks))).repartition(min(blocks, MOST_TASKS), "block").groupBy("block").applyInArrow(_sorted_blocks(length), _SPANS)
     spans = spans.unionByName(same.filter(F.col("end") - F.col("start") >= length)).unionByName(in_blocks)
     many = mixed.filter(F.col("kinds") > bucket).withColumn("far", F.explode(F.sequence(F.lit(0), F.lit(step - 1))))
     many = many.filter("far <= octet_length(before)").withColumn("near", F.lit(step - 1) - F.col("far")).filter("near <= octet_length(after)")
