@@ -222,8 +222,9 @@ def period_end(period: Column) -> Column:
 
 def overlaps(key: Column, lo: Column, hi: Column) -> Column:
     """Whether an object's period overlaps [lo, hi]; false for keys without a period."""
-    p = key_period(key)
-    return F.coalesce((period_start(p) <= hi) & (period_end(p) >= lo), F.lit(False))
+    # A lambda's argument is evaluated once, however often it stands in the body.
+    met = F.transform(F.array(key_period(key)), lambda p: (period_start(p) <= hi) & (period_end(p) >= lo))
+    return F.coalesce(F.get(met, F.lit(0)), F.lit(False))
 
 
 def candle_key(market: Column, interval: Column, symbol: Column, period: Column) -> Column:

@@ -53,11 +53,17 @@ def seen(spark, d) -> DataFrame:
     )
 
 
+def by_month(rows: DataFrame, ts: str) -> DataFrame:
+    """Rows with l_suppkey as objects of a supplier and month: keys are made of a group's first time, once a group and not once a row (nor can a filter on them move below the grouping)."""
+    t = F.col(ts)
+    g = rows.groupBy("l_suppkey", (F.year(t) * 12 + F.month(t)).alias("__month")).agg(F.count("*").alias("row_count"), F.min(t).alias("first"), F.max(t).alias("last"))
+    keyed = g.select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string"), F.lit("USDT")).alias("symbol"), F.date_format("first", "yyyy-MM").alias("period"), "row_count", "first", "last")
+    return keyed.withColumn("path", X.candle_key(F.lit("futures-um"), F.lit("1h"), F.col("symbol"), F.col("period")))
+
+
 def files(spark, d) -> DataFrame:
-    li = table(spark, d, "lineitem").select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string"), F.lit("USDT")).alias("symbol"), F.date_format("l_shipdate", "yyyy-MM").alias("period"), X.epoch_ms(F.col("l_shipdate")).alias("ms"))
-    g = li.groupBy("symbol", "period").agg(F.count("*").alias("row_count"), F.min("ms").alias("lo"), F.max("ms").alias("hi"))
-    path = X.candle_key(F.lit("futures-um"), F.lit("1h"), F.col("symbol"), F.col("period"))
-    return g.select("symbol", "period", F.substring("period", 1, 4).alias("year"), F.substring("period", 6, 2).alias("month"), path.alias("path"), (F.col("row_count") * 64).alias("length"), "row_count", "lo", "hi", F.sha2(F.concat(path, F.lit("#"), F.col("row_count").cast("string")), 256).alias("sha256"))
+    g = by_month(table(spark, d, "lineitem").select("l_suppkey", "l_shipdate"), "l_shipdate")
+    return g.select("symbol", "period", F.substring("period", 1, 4).alias("year"), F.substring("period", 6, 2).alias("month"), "path", (F.col("row_count") * 64).alias("length"), "row_count", X.epoch_ms(F.col("first")).alias("lo"), X.epoch_ms(F.col("last")).alias("hi"), F.sha2(F.concat("path", F.lit("#"), F.col("row_count").cast("string")), 256).alias("sha256"))
 
 
 def base(spark, d) -> DataFrame:
