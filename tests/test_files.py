@@ -87,6 +87,27 @@ def test_flat_hash_is_that_of_the_sorted_lines(spark):
     assert tuple(universe.flat_hash(df.limit(0)).first()) == (hashlib.sha256().hexdigest(), 0)
 
 
+@pytest.mark.parametrize("resumes", [True, False])
+def test_flat_hash_hands_its_state_on(spark, monkeypatch, resumes):
+    """No task reads all lines: each range is a job of its own that goes on from the state before; where that is hidden, one task has the same result."""
+    if not resumes:
+        monkeypatch.setattr(universe, "_openssl_resumes", lambda: False)
+    ran, run = [], spark.sparkContext.runJob
+    monkeypatch.setattr(spark.sparkContext, "runJob", lambda rdd, f, partitions=None, *more: (ran.append(partitions), run(rdd, f, partitions, *more))[1])
+    monkeypatch.setattr(universe, "_digest", lambda *a, made=universe._digest: (ran.append(a[0]), made(*a))[1])
+    rows = [(f"p/{k * 37 % 1000:03}:é{'x' * (k % 70)}", str(k)) for k in range(1000)] + [("p/0", "1"), ("p/0", "1")]
+    df = spark.createDataFrame(rows, "path string, sha256 string").repartition(5)
+    want = hashlib.sha256("".join(f"{p}:{h}\n" for p, h in sorted(rows)).encode()).hexdigest()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert tuple(universe.flat_hash(df).first()) == (want, 1002)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    jobs, states = [x for x in ran if isinstance(x, list)], [x for x in ran if not isinstance(x, list)]
+    assert jobs == [[k] for k in range(4 if resumes else 1)]
+    assert len(set(states)) == len(jobs)
+
+
 @pytest.fixture
 def landing(spark, tmp_path):
     """land(name, hash, day) puts a snapshot file down; rows() are the archive's (id, hash)."""

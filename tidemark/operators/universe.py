@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs
+from ..functions.lineage import cut
 from .listing import count_map, explode_rules
 
 # Policies, those that claim a point in time, and what a policy makes of a LOW risk.
@@ -191,26 +193,66 @@ def dataset_hash(files: DataFrame) -> DataFrame:
     return file_set_hash(files).agg(exprs.set_hash(F.concat("symbol", F.lit(":"), "h")).alias("dataset_hash"), F.sum("n").alias("files"))
 
 
-def flat_hash(files: DataFrame) -> DataFrame:
-    """SHA-256 over all `path:sha256` lines, each with its line end, in path order: one digest of one stream, and files, how many lines it had.
+def _openssl_resumes() -> bool:
+    """Whether the OpenSSL that hashlib uses lets a digest's state be handed on; builds may hide its functions."""
+    try:
+        import _hashlib
+
+        return all(hasattr(ctypes.CDLL(_hashlib.__file__), f"SHA256_{f}") for f in ("Init", "Update", "Final"))
+    except (ImportError, OSError):
+        return False
+
 
-    The lines are sorted by ranges; one task then passes them through the digest,
-    partition after partition, and holds a line at a time. That is what the flat
-    form asks for; dataset_hash is the one whose work is spread. No files give
-    the digest of nothing.
+def _digest(state: bytes | None, resumes: bool):
+    """Batches (line) to a row: the digest of all lines so far, its state for the lines that follow, and how many these were.
+
+    state is OpenSSL's SHA256_CTX after the lines before, 112 bytes; None begins.
     """
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made, n = hashlib.sha256(), 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if resumes:
+            import _hashlib
+
+            lib, made, end, out = ctypes.CDLL(_hashlib.__file__), *(ctypes.create_string_buffer(k) for k in (112, 112, 32))
+            if state is None:
+                lib.SHA256_Init(made)
+            else:
+                made.raw = state
+            update = lambda data: lib.SHA256_Update(made, data, ctypes.c_size_t(len(data)))
+        else:
+            plain = hashlib.sha256()
+            update = plain.update
+        n = 0
         for b in batches:
-            for line in b.column("line"):
-                made.update(line.as_py().encode("utf-8"))
-                n += 1
-        yield pa.RecordBatch.from_arrays([pa.array([made.hexdigest()]), pa.array([n], pa.int64())], names=["h", "n"])
-
-    lines = files.select("path", F.concat("path", F.lit(":"), "sha256", F.lit("\n")).alias("line")).sort("path", "line").coalesce(1)
-    made = lines.mapInArrow(digest, "h string, n bigint")
-    return made.agg(F.coalesce(F.max("h"), F.lit(hashlib.sha256().hexdigest())).alias("dataset_hash"), F.coalesce(F.max("n"), F.lit(0)).alias("files"))
+            update("".join(b.column("line").drop_null().to_pylist()).encode("utf-8"))
+            n += len(b)
+        if resumes:
+            end.raw = made.raw
+            lib.SHA256_Final(out, end)
+        h, left = (out.raw.hex(), made.raw) if resumes else (plain.hexdigest(), None)
+        yield pa.RecordBatch.from_arrays([pa.array([h]), pa.array([left], pa.binary()), pa.array([n], pa.int64())], names=["h", "state", "n"])
+
+    return run
+
+
+def flat_hash(files: DataFrame) -> DataFrame:
+    """SHA-256 over all `path:sha256` lines, each with its line end, in path order: one digest of one stream, and files, how many there were.
+
+    The lines are sorted by ranges. One small job a range, one after the other,
+    passes its lines through the digest, whose state the driver hands on from range
+    to range: the stream is one, as the flat form asks for, but no task reads more
+    than a range. dataset_hash is the one whose work is spread. Where OpenSSL hides
+    its state, one task sorts and reads all. No files give the digest of nothing;
+    a file without path or hash has no line.
+    """
+    resumes, spark = _openssl_resumes(), files.sparkSession
+    lines = files.select("path", F.concat("path", F.lit(":"), "sha256", F.lit("\n")).alias("line"))
+    lines = cut(lines.sort("path", "line").select("line")) if resumes else lines.repartition(1).sortWithinPartitions("path", "line").select("line")
+    h, state, files_seen = hashlib.sha256().hexdigest(), None, 0
+    for k in range(lines.rdd.getNumPartitions()):
+        for h, state, n in spark.sparkContext.runJob(lines.mapInArrow(_digest(state, resumes), "h string, state binary, n bigint").rdd, list, [k]):
+            state, files_seen = state and bytes(state), files_seen + n
+    return spark.createDataFrame([(h, files_seen)], "dataset_hash string, files bigint")
 
 
 def evidence_histogram(symbols: DataFrame) -> DataFrame:
