@@ -72,6 +72,24 @@ def test_cleanup_has_one_budget(spark):
     assert storage.cleanup_plan(df, [], 2023, 2025, None).filter("delete").agg(F.sum("length")).first()[0] == 18
 
 
+def test_cleanup_evaluates_its_files_once(spark):
+    """Count, ranges, sort and result all see one evaluation, however dear the plan behind the files is."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = [(f"candles/spot/1h/symbol=S/year=2024/{k:03}.parquet", "S", "2024", k, "VERIFIED") for k in range(100)]
+    kinds = "path string, symbol string, year string, length long, status string"
+    df = spark.createDataFrame(rows, kinds).mapInArrow(count, kinds)
+    plan = storage.cleanup_plan(df, [], 2023, 2025, 10)
+    assert plan.filter("delete").count() == 5
+    assert seen.value == 100
+
+
+
 def test_exactly_one_input_of_a_hash_is_imported(spark):
     rows = [("h", "same")] * 5 + [("g", "b"), ("g", "a"), ("g", "a"), (None, "x"), (None, "x"), ("old", "q")]
     df = spark.createDataFrame(rows, "hash string, path string").repartition(4)

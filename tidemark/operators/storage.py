@@ -128,8 +128,9 @@ def cleanup_plan(files: DataFrame, retained: list[str], first_year: int, last_ye
         F.when(F.col("path").rlike("(^|/)reports/"), "REPORT").when(F.col("path").rlike("(^|/)(manifests|datasets)/"), "PROTECTED").when(F.col("symbol").isin(*retained), "RETAINED_SYMBOL")
         .when(~F.coalesce(target, F.lit(False)), "NOT_TARGET").when(F.coalesce(F.col("status"), F.lit("")) != "VERIFIED", "NOT_VERIFIED")
     )
-    rows = files.withColumn("reason", why)
-    kept = rows.filter("reason is not null").select("path", "symbol", "length", "reason")
+    # The walk takes its rows several times (a count, the ranges' bounds, the sort): what they come from is evaluated once.
+    rows = cut(files.select("path", "symbol", "length", why.alias("reason")))
+    kept = rows.filter("reason is not null")
     free = rows.filter("reason is null").select("path", "symbol", "length")
     free = free.withColumn("fits", F.lit(True)) if budget is None else within_budget(free, budget)
     free = free.select("path", "symbol", "length", F.when(F.col("fits"), "DELETE").otherwise("OVER_BUDGET").alias("reason"))

@@ -793,11 +793,11 @@ def _(spark, d):
     return P.staging_estimate(files(spark, d), CORE, 100_000)
 
 
-def reconciled(spark, d):
+def reconciled(spark, d, local: DataFrame | None = None):
     """Local files by month of shipment against remote ones by month of order, both over all line items."""
-    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.date_format("o_orderdate", "yyyy-MM").alias("period"))
-    g = table(spark, d, "lineitem").select("l_orderkey", F.concat(F.lit("S"), F.col("l_suppkey").cast("string"), F.lit("USDT")).alias("symbol")).join(o, "l_orderkey").groupBy("symbol", "period").agg((F.count("*") * 64).alias("length"))
-    return P.archive_reconcile(files(spark, d), g.select(X.candle_key(F.lit("futures-um"), F.lit("1h"), F.col("symbol"), F.col("period")).alias("path"), "length"))
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    remote = by_month(table(spark, d, "lineitem").select("l_orderkey", "l_suppkey").join(o, "l_orderkey"), "o_orderdate")
+    return P.archive_reconcile(files(spark, d) if local is None else local, remote.select("path", (F.col("row_count") * 64).alias("length")))
 
 
 SQL_RECON = f"""{SQL_FILES}, rg as (select 'S' || l_suppkey || 'USDT' as symbol, strftime(o_orderdate, '%Y-%m') as period, count(*) * 64 as length
@@ -822,7 +822,8 @@ from x left join free using (path) left join walk on walk.k = free.k"""
 
 @query("cleanup_plan", SQL_CLEANUP)
 def _(spark, d):
-    f = files(spark, d).join(reconciled(spark, d).select("path", "status"), "path", "left").withColumn("status", F.coalesce("status", F.lit("")))
+    local = cut(files(spark, d).select("path", "symbol", "year", "length"))
+    f = local.join(reconciled(spark, d, local).select("path", "status"), "path", "left").withColumn("status", F.coalesce("status", F.lit("")))
     return P.cleanup_plan(f, CORE, 1993, 1997, BUDGET, market="futures-um", interval="1h")
 
 
